@@ -13,18 +13,21 @@ ORDERED, DELETE_WINS = "ordered", "delete_wins"
 WRITING_OPS = ["c", "u", "r"]
 DELETING_OP = "d"
 
-
-def _or(condition: Column, when_null: bool) -> Column:
-    return F.coalesce(condition, F.lit(when_null))
+# SQL text rather than composed columns: one call into the JVM for a whole predicate.
+# The comparisons never yield NULL, so that they can be negated.
+_IS_DELETE = f"(coalesce({DELETED} = 'true', false) OR coalesce({OP} = '{DELETING_OP}', false))"
+_IS_UPSERT = (
+    f"(coalesce({DELETED} <> 'true', true) AND "
+    f"coalesce({OP} IN ({', '.join(repr(op) for op in WRITING_OPS)}), false))"
+)
 
 
 def is_delete() -> Column:
-    """True or false, never NULL, so that it can be negated."""
-    return _or(F.col(DELETED) == "true", False) | _or(F.col(OP) == DELETING_OP, False)
+    return F.expr(_IS_DELETE)
 
 
 def is_upsert() -> Column:
-    return _or(F.col(DELETED) != "true", True) & _or(F.col(OP).isin(WRITING_OPS), False)
+    return F.expr(_IS_UPSERT)
 
 
 def reject_reason(pk: str) -> Column:
@@ -33,14 +36,12 @@ def reject_reason(pk: str) -> Column:
     A payload that is not wholly decodable is no reason by itself: one unreadable
     field leaves the others usable.
     """
-    no_metadata = F.col(OP).isNull() & F.col(DELETED).isNull()
-    return (
-        F.when(F.coalesce(F.trim(VALUE), F.lit("")).isin("", "null"), "tombstone")
-        .when(no_metadata & F.col(BAD).isNotNull(), "malformed")
-        .when(no_metadata, "no_metadata")
-        .when(F.col(pk).isNull(), "null_key")
-        .when(~(is_delete() | is_upsert()), "unknown_op")
-    )
+    return F.expr(f"""
+        CASE WHEN coalesce(trim({VALUE}), '') IN ('', 'null') THEN 'tombstone'
+             WHEN {OP} IS NULL AND {DELETED} IS NULL AND {BAD} IS NOT NULL THEN 'malformed'
+             WHEN {OP} IS NULL AND {DELETED} IS NULL THEN 'no_metadata'
+             WHEN `{pk}` IS NULL THEN 'null_key'
+             WHEN NOT {_IS_DELETE} AND NOT {_IS_UPSERT} THEN 'unknown_op' END""")
 
 
 def arrival_order() -> list[Column]:

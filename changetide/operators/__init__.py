@@ -6,7 +6,7 @@ from .merge import (
 )
 from .reconcile import reconcile, reconcile_summary, verify_key
 from .state import as_of, current, last_changes, lookup, up_to, versions
-from .versions import batch_metrics, history, last_operations, version_row_counts
+from .timeline import batch_metrics, history, last_operations, version_row_counts
 
 __all__ = [
     "as_of", "batch_metrics", "cascade_delete", "changes", "classify", "current", "decode",

@@ -38,14 +38,14 @@ def classify(decoded: DataFrame, spec: TableSpec) -> DataFrame:
 
     The payload text is dropped from changes: only a reject needs it later.
     """
-    reason = reject_reason(spec.pk)
+    rejected = f"{REASON} IS NOT NULL"
     return (
-        decoded.withColumn(REASON, reason)
+        decoded.withColumns({REASON: reject_reason(spec.pk), KIND: is_delete()})
         .withColumns({
-            KIND: F.when(F.col(REASON).isNotNull(), REJECT)
-                   .when(is_delete(), DELETE).otherwise(UPSERT),
-            PARTIAL: F.col(REASON).isNull() & F.col(BAD).isNotNull(),
-            VALUE: F.when(F.col(REASON).isNotNull(), F.col(VALUE)),
+            KIND: F.expr(f"CASE WHEN {rejected} THEN '{REJECT}' "
+                         f"WHEN {KIND} THEN '{DELETE}' ELSE '{UPSERT}' END"),
+            PARTIAL: F.expr(f"{REASON} IS NULL AND {BAD} IS NOT NULL"),
+            VALUE: F.expr(f"CASE WHEN {rejected} THEN {VALUE} END"),
         })
         .drop(BAD)
     )

@@ -6,7 +6,7 @@ anything else updates. ``orders``, ``lineitem`` and ``part`` become the shop tab
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.decode import changes, classify, decode, to_messages
@@ -39,26 +39,24 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def millis(ts: Column) -> Column:
+def millis(ts: str) -> str:
     """Milliseconds of a timestamp without zone, read as UTC in any session time zone."""
-    return F.unix_millis(F.from_utc_timestamp(ts.cast("timestamp"), F.current_timezone()))
+    return f"unix_millis(from_utc_timestamp(CAST({ts} AS TIMESTAMP), current_timezone()))"
 
 
 def event_changes(events: DataFrame, late: bool = False) -> DataFrame:
     """Flat change rows of ``events`` with their batch: the day of month, from 0."""
-    failed = F.col("event_type") == "error"
-    day = F.dayofmonth("ts") - 1
-    delay = F.when(F.col("event_id") % LATE == 0, 1).otherwise(0) if late else F.lit(0)
-    return events.select(
+    delay = f"CASE WHEN event_id % {LATE} = 0 THEN 1 ELSE 0 END" if late else "0"
+    return events.selectExpr(
         *USERS.columns,
-        F.when(F.col("event_type") == "signup", "c").when(failed, "d").otherwise("u").alias(OP),
-        F.lit(USERS.name).alias(TABLE),
-        millis(F.col("ts")).alias(SOURCE_TS),
-        F.when(failed, "true").otherwise("false").alias(DELETED),
-        F.col("ts").cast("timestamp").alias(BROKER_TS),
-        F.lit(0).alias(PARTITION),
-        F.col("event_id").alias(OFFSET),
-        (day + delay).cast("long").alias(BATCH),
+        f"CASE event_type WHEN 'signup' THEN 'c' WHEN 'error' THEN 'd' ELSE 'u' END AS {OP}",
+        f"'{USERS.name}' AS {TABLE}",
+        f"{millis('ts')} AS {SOURCE_TS}",
+        f"CASE event_type WHEN 'error' THEN 'true' ELSE 'false' END AS {DELETED}",
+        f"CAST(ts AS TIMESTAMP) AS {BROKER_TS}",
+        f"0 AS {PARTITION}",
+        f"event_id AS {OFFSET}",
+        f"CAST(dayofmonth(ts) - 1 + {delay} AS BIGINT) AS {BATCH}",
     )
 
 
@@ -93,25 +91,28 @@ def event_log(spark: SparkSession, sf_dir: str, late: bool = False) -> DataFrame
 
 def as_orders(orders: DataFrame) -> DataFrame:
     """``orders`` in the columns of the shop's orders."""
-    nothing = F.lit(None)
     values = {
-        "order_id": F.col("o_orderkey"), "user_id": F.col("o_custkey"),
-        "eval_set": F.lit(ORDERS.defaults["eval_set"]), "order_number": F.lit(1),
-        "order_dow": F.dayofweek("o_orderdate") - 1, "order_hour_of_day": F.hour("o_orderdate"),
-        "days_since_prior": nothing, "status": F.col("o_orderstatus"),
-        "created_at": F.col("o_orderdate"), "updated_at": F.col("o_orderdate"),
+        "order_id": "o_orderkey", "user_id": "o_custkey",
+        "eval_set": f"'{ORDERS.defaults['eval_set']}'", "order_number": "1",
+        "order_dow": "dayofweek(o_orderdate) - 1", "order_hour_of_day": "hour(o_orderdate)",
+        "days_since_prior": "NULL", "status": "o_orderstatus",
+        "created_at": "o_orderdate", "updated_at": "o_orderdate",
     }
-    return orders.select(*[values[f.name].cast(f.dataType).alias(f.name) for f in ORDERS.schema])
+    return _cast(orders, ORDERS, values)
 
 
 def as_products(parts: DataFrame) -> DataFrame:
     """``part`` in the columns of the shop's products; the brand number is the aisle."""
     values = {
-        "product_id": F.col("p_partkey"), "product_name": F.col("p_name"),
-        "aisle_id": F.regexp_extract("p_brand", r"(\d+)", 1), "department_id": F.col("p_size"),
+        "product_id": "p_partkey", "product_name": "p_name",
+        "aisle_id": "regexp_extract(p_brand, '([0-9]+)', 1)", "department_id": "p_size",
     }
-    return parts.select(
-        *[values[f.name].cast(f.dataType).alias(f.name) for f in PRODUCTS.schema])
+    return _cast(parts, PRODUCTS, values)
+
+
+def _cast(rows: DataFrame, spec: TableSpec, values: dict[str, str]) -> DataFrame:
+    return rows.selectExpr(*[f"CAST({values[f.name]} AS {f.dataType.simpleString()}) AS {f.name}"
+                             for f in spec.schema])
 
 
 def order_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -136,13 +137,12 @@ def _snapshot(rows: DataFrame, spec: TableSpec) -> DataFrame:
 
 def line_changes(lines: DataFrame) -> DataFrame:
     """``lineitem`` as updates of its order's last line; returned lines delete it."""
-    returned = F.col("l_returnflag") == "R"
-    return lines.select(
+    return lines.selectExpr(
         *LAST_LINES.columns,
-        F.when(returned, "d").otherwise("u").alias(OP),
-        F.lit(LAST_LINES.name).alias(TABLE),
-        millis(F.col("l_shipdate")).alias(SOURCE_TS),
-        F.when(returned, "true").otherwise("false").alias(DELETED),
-        F.lit(0).alias(PARTITION),
-        F.col("l_linenumber").cast("long").alias(OFFSET),
+        f"CASE l_returnflag WHEN 'R' THEN 'd' ELSE 'u' END AS {OP}",
+        f"'{LAST_LINES.name}' AS {TABLE}",
+        f"{millis('l_shipdate')} AS {SOURCE_TS}",
+        f"CASE l_returnflag WHEN 'R' THEN 'true' ELSE 'false' END AS {DELETED}",
+        f"0 AS {PARTITION}",
+        f"CAST(l_linenumber AS BIGINT) AS {OFFSET}",
     )

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from ..functions.report import share_of_total, weekday_label
 from ..operators.reconcile import reconcile_summary, verify_key
 from ..operators.state import as_of, current
-from ..operators.versions import history, last_operations, version_row_counts
+from ..operators.timeline import history, last_operations, version_row_counts
 from ..spec import ORDER_PRODUCTS, ORDERS, TableSpec
 from ..streaming.changelog import ChangeLog
 

@@ -49,8 +49,8 @@ def text_messages(spark: SparkSession, path: str, topic: str,
                   max_files: int | None = None) -> DataFrame:
     """Stream of text files with one payload per line.
 
-    Plain text has no broker position: the file's time stands for the message's time and
-    the line's place in the batch for the offset.
+    Plain text has no broker position: the file's time stands for the message's time, and
+    the batch writer numbers the lines.
     """
     reader = spark.readStream.format("text")
     if max_files:
@@ -60,7 +60,7 @@ def text_messages(spark: SparkSession, path: str, topic: str,
         F.col("_metadata.file_modification_time").alias("ts"),
         F.lit(topic).alias("topic"),
         F.lit(0).alias("partition"),
-        F.monotonically_increasing_id().alias("offset"))
+        F.lit(None).cast("long").alias("offset"))
 
 
 def route(messages: DataFrame, specs: Sequence[TableSpec], prefix: str,
@@ -69,11 +69,3 @@ def route(messages: DataFrame, specs: Sequence[TableSpec], prefix: str,
     return {spec.name: messages.filter(F.col("topic") == spec.topic(prefix, database))
             for spec in specs}
 
-
-def routed_counts(messages: DataFrame, specs: Sequence[TableSpec], prefix: str,
-                  database: str) -> DataFrame:
-    """Messages per included table, in one pass over the frame."""
-    names = {spec.topic(prefix, database): spec.name for spec in specs}
-    table = F.element_at(F.create_map(*[F.lit(x) for pair in names.items() for x in pair]), "topic")
-    return (messages.filter(F.col("topic").isin(list(names)))
-            .groupBy(table.alias("table_name")).agg(F.count("*").alias("n_messages")))

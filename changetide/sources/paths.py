@@ -23,20 +23,30 @@ def first_existing(spark: SparkSession, candidates: list[str]) -> str | None:
     return next((path for path in candidates if exists(spark, path)), None)
 
 
-def names(spark: SparkSession, folder: str) -> list[str]:
-    """Names in a folder, by one listing; none where the folder is missing."""
+def subfolders(spark: SparkSession, folder: str) -> list[str]:
+    """Names of a few entries of a folder, one call to the JVM each; none where it is missing."""
     fs, hadoop_path = _file_system(spark, folder)
     if not fs.exists(hadoop_path):
         return []
     return [status.getPath().getName() for status in fs.listStatus(hadoop_path)]
 
 
+def file_names(spark: SparkSession, folder: str) -> list[str]:
+    """Names of the files in a folder, however many, fetched as one string."""
+    if not exists(spark, folder):
+        return []
+    paths = spark.read.format("binaryFile").load(folder)._jdf.inputFiles()
+    joined = spark._jvm.org.apache.hadoop.util.StringUtils.join("\n", paths)
+    return [path.rsplit("/", 1)[1] for path in joined.split("\n") if path]
+
+
 def touch(spark: SparkSession, path: str) -> None:
     fs, hadoop_path = _file_system(spark, path)
     fs.create(hadoop_path, True).close()
 
 
 def remove(spark: SparkSession, path: str) -> None:
+    """Delete a file, if it is there."""
     fs, hadoop_path = _file_system(spark, path)
     fs.delete(hadoop_path, False)
 

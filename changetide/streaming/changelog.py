@@ -22,9 +22,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.changes import ORDERED
-from ..operators import state, versions
+from ..operators import state, timeline
 from ..operators.decode import reject_summary
-from ..sources.paths import data_files, exists, names, remove, touch
+from ..sources.paths import data_files, exists, file_names, remove, subfolders, touch
 from ..spec import BATCH, KIND, REASON, SOURCE_TS, VALUE, TableSpec
 
 LANE, CHANGES, REJECTS = "lane", "changes", "rejects"
@@ -42,22 +42,32 @@ def batch_path(root: str, batch_id: int) -> str:
 
 def _commits(spark: SparkSession, root: str) -> dict[int, list[str]]:
     """Committed batches, in order, with the lanes each one has."""
-    found = (name.split("+") for name in names(spark, f"{root}/commits"))
+    found = (name.split("+") for name in file_names(spark, f"{root}/commits"))
     return dict(sorted((int(batch), lanes) for batch, *lanes in found))
 
 
+def _markers(root: str, batch_id: int) -> list[str]:
+    """The markers a batch may have, so that writing one batch lists no others."""
+    return [f"{root}/commits/{batch_id}+{lanes}"
+            for lanes in (CHANGES, REJECTS, f"{CHANGES}+{REJECTS}")]
+
+
+def is_committed(spark: SparkSession, root: str, batch_id: int) -> bool:
+    return any(exists(spark, marker) for marker in _markers(root, batch_id))
+
+
 def open_batch(spark: SparkSession, root: str, batch_id: int) -> None:
     """Withdraw a batch from readers before it is written again."""
-    lanes = _commits(spark, root).get(batch_id)
-    if lanes is not None:
-        remove(spark, f"{root}/commits/{'+'.join([str(batch_id), *lanes])}")
+    for marker in _markers(root, batch_id):
+        remove(spark, marker)
 
 
 def commit_batch(spark: SparkSession, root: str, batch_id: int) -> None:
-    """Show a completely written batch to readers."""
+    """Show a completely written batch to readers, unless nothing was written."""
     lanes = [lane for lane in (CHANGES, REJECTS)
              if exists(spark, f"{batch_path(root, batch_id)}/{LANE}={lane}")]
-    touch(spark, f"{root}/commits/{'+'.join([str(batch_id), *lanes])}")
+    if lanes:
+        touch(spark, f"{root}/commits/{'+'.join([str(batch_id), *lanes])}")
 
 
 @dataclass(frozen=True)
@@ -117,7 +127,7 @@ class ChangeLog:
     def bases(self, mode: str = ORDERED) -> list[int]:
         """Batches up to which a complete base is stored."""
         root = self._base_root(mode)
-        return sorted(int(name.removeprefix("upto=")) for name in names(self.spark, root)
+        return sorted(int(name.removeprefix("upto=")) for name in subfolders(self.spark, root)
                       if exists(self.spark, f"{root}/{name}/_SUCCESS"))
 
     def compact(self, version: int | None = None, mode: str = ORDERED) -> int:
@@ -190,16 +200,16 @@ class ChangeLog:
         self.current(mode).createOrReplaceTempView(name or self.spec.name)
 
     def history(self) -> DataFrame:
-        return versions.history(self.read(), self.spec)
+        return timeline.history(self.read(), self.spec)
 
     def version_row_counts(self, mode: str = ORDERED) -> DataFrame:
-        return versions.version_row_counts(self.read(), self.spec, mode)
+        return timeline.version_row_counts(self.read(), self.spec, mode)
 
     def batch_metrics(self) -> DataFrame:
         """Messages of every committed batch by kind, rejects included."""
         both = self._stored(self.batches(), CHANGES).unionByName(
             self._stored(self.committed(REJECTS), REJECTS))
-        return versions.batch_metrics(both)
+        return timeline.batch_metrics(both)
 
     # -- files ----------------------------------------------------------------------
 

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from ..operators.decode import classify, decode
 from ..spec import COMMITTED, KIND, REJECT, TableSpec
 from .changelog import (
-    CHANGES, LANE, REJECTS, SNAPSHOT_BATCH, batch_path, commit_batch, open_batch,
+    CHANGES, LANE, REJECTS, SNAPSHOT_BATCH, batch_path, commit_batch, is_committed, open_batch,
 )
 
 
@@ -34,11 +34,18 @@ def _commit(classified: DataFrame, spec: TableSpec, root: str, batch_id: int) ->
 
 
 def make_batch_writer(spec: TableSpec, root: str) -> Callable[[DataFrame, int], None]:
-    """A ``foreachBatch`` function that decodes, classifies and commits a batch of messages."""
+    """A ``foreachBatch`` function that decodes, classifies and commits a batch of messages.
+
+    The batch is read once. An empty one commits nothing; delivered again in place of a
+    batch that had rows, because its source has lost them, it leaves that batch alone.
+    """
     def write(messages: DataFrame, batch_id: int) -> None:
-        if messages.isEmpty():
+        if is_committed(messages.sparkSession, root, batch_id) and messages.isEmpty():
             return
-        _commit(classify(decode(messages, spec), spec), spec, root, batch_id)
+        # Only a batch frame, not a stream, can number the messages of a source without offsets.
+        placed = messages.withColumn(
+            "offset", F.coalesce("offset", F.monotonically_increasing_id()))
+        _commit(classify(decode(placed, spec), spec), spec, root, batch_id)
 
     return write
 

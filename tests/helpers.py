@@ -1,0 +1,38 @@
+"""Small change logs and messages for the tests."""
+
+import json
+
+from changetide.operators import changes, classify, decode
+from changetide.spec import (
+    BATCH, KIND, OFFSET, PARTITION, SOURCE_TS, DELETE, UPSERT, MESSAGE_SCHEMA, TableSpec, row_schema,
+)
+
+ITEMS = TableSpec("items", "k", row_schema("k integer, v integer"))
+
+LOG_SCHEMA = (f"k INT, v INT, {KIND} STRING, {SOURCE_TS} LONG, {PARTITION} INT, {OFFSET} LONG, "
+              f"{BATCH} LONG")
+
+
+def log_of(spark, events):
+    """A log from (key, value or None for a delete, time, offset, batch)."""
+    rows = [(k, v, DELETE if v is None else UPSERT, ts, 0, offset, batch)
+            for k, v, ts, offset, batch in events]
+    return spark.createDataFrame(rows, LOG_SCHEMA)
+
+
+def payload(key, value=None, op="u", ts=0, **more):
+    return json.dumps({"k": key, "v": value, "__op": op, "__table": "items",
+                       "__source_ts_ms": ts, "__deleted": "true" if op == "d" else "false", **more})
+
+
+def messages_of(spark, values, topic="shop.main.items"):
+    return spark.createDataFrame(
+        [(value, None, topic, 0, offset) for offset, value in enumerate(values)], MESSAGE_SCHEMA)
+
+
+def log_from(spark, values, spec=ITEMS):
+    return changes(classify(decode(messages_of(spark, values), spec), spec))
+
+
+def state(frame):
+    return {row["k"]: row["v"] for row in frame.collect()}

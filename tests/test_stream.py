@@ -1,0 +1,243 @@
+"""Streams into stored logs: resume, replay, commit markers, compaction."""
+
+import os
+
+import pytest
+
+from changetide.sources import exists, file_messages, scratch_dir, text_messages
+from changetide.spec import ORDERS, PRODUCTS
+from changetide.streaming import (
+    ChangeLog, await_all, changelog, make_batch_writer, progress, start, start_all, stop_all,
+    write_snapshot,
+)
+from changetide.streaming.queries import batch_timings
+from changetide.sources import bootstrap
+from changetide.plans.reports import metadata, stored_reports
+
+from helpers import ITEMS, messages_of, payload, state
+
+ALL_NOW = {"availableNow": True}
+
+
+def land(folder, name, lines, mtime):
+    """A text file of payloads with a set time, as file streams follow file times."""
+    folder.mkdir(exist_ok=True)
+    path = folder / name
+    path.write_text("\n".join(lines) + "\n")
+    os.utime(path, (mtime, mtime))
+
+
+def run(spark, folder, root, **more):
+    messages = text_messages(spark, str(folder), "shop.main.items", **more)
+    query = start(ITEMS, messages, str(root), trigger=ALL_NOW)
+    await_all([query])
+    return query
+
+
+def log_at(spark, root):
+    return ChangeLog(spark, ITEMS, str(root))
+
+
+def test_batches_versions_and_resume(spark, tmp_path):
+    folder, root = tmp_path / "in", tmp_path / "log"
+    land(folder, "a.txt", [payload(1, 10, "c", 1), payload(2, 20, "c", 2)], 1000)
+    land(folder, "b.txt", [payload(1, 11, "u", 3), payload(2, op="d", ts=4)], 2000)
+    run(spark, folder, root, max_files=1)
+    log = log_at(spark, root)
+    assert log.batches() == [0, 1]
+    assert state(log.current()) == {1: 11}
+    assert state(log.as_of(version=0)) == {1: 10, 2: 20}
+
+    run(spark, folder, root, max_files=1)
+    assert log.batches() == [0, 1], "nothing new, no new batch"
+
+    land(folder, "c.txt", [payload(2, 21, "c", 5), payload(1, 9, "u", 0)], 3000)
+    run(spark, folder, root, max_files=1)
+    assert log.batches() == [0, 1, 2]
+    assert state(log.current()) == {1: 11, 2: 21}
+    assert state(log.as_of(ts_ms=3)) == {1: 11, 2: 20}
+    counts = log.version_row_counts().orderBy("version").collect()
+    assert [(r.version, r.n_rows, r.change) for r in counts] == [(0, 2, None), (1, 1, -1), (2, 2, 1)]
+    rows = log.history().orderBy("version").collect()
+    assert [(r.operation, r.n_upserts, r.n_deletes) for r in rows] == [
+        ("WRITE", 2, 0), ("MERGE", 1, 1), ("MERGE", 2, 0)]
+    assert all(r.timestamp is not None for r in rows)
+    with pytest.raises(ValueError, match="no version 3"):
+        log.as_of(version=3)
+
+
+def test_a_batch_of_rejects_makes_no_version(spark, tmp_path):
+    writer = make_batch_writer(ITEMS, str(tmp_path))
+    writer(messages_of(spark, ["{bad", ""]), 0)
+    writer(messages_of(spark, [payload(1, 1), "null"]), 1)
+    writer(messages_of(spark, []), 2)
+    log = log_at(spark, tmp_path)
+    assert log.committed() == [0, 1]
+    assert log.batches() == [1]
+    assert log.history().first().version == 0
+    assert {r.reason: r.n_messages for r in log.reject_summary().collect()} == {
+        "malformed": 1, "tombstone": 2}
+    assert log.rejects().count() == 3
+    metrics = {r.batch_id: (r.n_total, r.n_upserts, r.n_rejects) for r in log.batch_metrics().collect()}
+    assert metrics == {0: (2, 0, 2), 1: (2, 1, 1)}
+
+
+def test_replay_replaces_a_batch(spark, tmp_path):
+    writer = make_batch_writer(ITEMS, str(tmp_path))
+    messages = messages_of(spark, [payload(1, 1), payload(2, 2), "{bad"])
+    writer(messages, 0)
+    log = log_at(spark, tmp_path)
+    before = sorted(tuple(r) for r in log.read().drop("__committed_at", "__broker_ts").fillna("").collect())
+    writer(messages, 0)
+    writer(messages_of(spark, []), 0)
+    after = sorted(tuple(r) for r in log.read().drop("__committed_at", "__broker_ts").fillna("").collect())
+    assert before == after and len(after) == 2
+    assert log.rejects().count() == 1
+
+
+def test_readers_ignore_batches_that_are_not_committed(spark, tmp_path):
+    writer = make_batch_writer(ITEMS, str(tmp_path))
+    for batch in range(3):
+        writer(messages_of(spark, [payload(batch, batch)]), batch)
+    changelog.open_batch(spark, str(tmp_path), 1)
+    log = log_at(spark, tmp_path)
+    assert log.batches() == [0, 2]
+    assert state(log.current()) == {0: 0, 2: 2}
+    changelog.commit_batch(spark, str(tmp_path), 1)
+    assert state(log.current()) == {0: 0, 1: 1, 2: 2}
+
+
+def test_a_new_checkpoint_over_a_filled_log_is_refused(spark, tmp_path):
+    folder, root = tmp_path / "in", tmp_path / "log"
+    land(folder, "a.txt", [payload(1, 10)], 1000)
+    run(spark, folder, root)
+    with pytest.raises(ValueError, match="no checkpoint"):
+        start(ITEMS, text_messages(spark, str(folder), "t"), str(root), str(tmp_path / "other"),
+              ALL_NOW)
+
+
+def test_snapshot_precedes_the_stream(spark, tmp_path):
+    folder, root = tmp_path / "in", tmp_path / "log"
+    rows = spark.createDataFrame([(1, 1), (2, 2)], "k INT, v INT")
+    write_snapshot(bootstrap(rows, ITEMS, 5), ITEMS, str(root))
+    land(folder, "a.txt", [payload(2, 22, ts=6), payload(3, 33, ts=7)], 1000)
+    run(spark, folder, root)
+    log = log_at(spark, root)
+    assert log.batches() == [-1, 0]
+    assert state(log.as_of(version=0)) == {1: 1, 2: 2}
+    assert state(log.current()) == {1: 1, 2: 22, 3: 33}
+
+
+@pytest.mark.parametrize("limit", [0, 1 << 20])
+def test_compaction_keeps_the_state(spark, tmp_path, monkeypatch, limit):
+    """Both ways to read a base: rows after it sent to all tasks, or everything regrouped."""
+    monkeypatch.setattr(changelog, "BROADCAST_BYTES", limit)
+    writer = make_batch_writer(ITEMS, str(tmp_path))
+    batches = [
+        [payload(1, 1, ts=100), payload(1, op="d", ts=300), payload(2, 2, ts=50), payload(5, 5, ts=1)],
+        [payload(1, 9, ts=200), payload(3, 3, ts=400)],
+        [payload(2, 20, ts=500), payload(3, op="d", ts=450), payload(4, 4, ts=500)],
+    ]
+    log = log_at(spark, tmp_path)
+    for number, values in enumerate(batches):
+        writer(messages_of(spark, values), number)
+    expected = [{2: 2, 5: 5}, {2: 2, 3: 3, 5: 5}, {2: 20, 4: 4, 5: 5}]
+    for mode in ("ordered", "delete_wins"):
+        full = [state(log.as_of(version=v, mode=mode)) for v in range(3)]
+        log.compact(version=0, mode=mode)
+        assert [state(log.as_of(version=v, mode=mode)) for v in range(3)] == full
+        assert log.compact(version=1, mode=mode) == 1
+        assert log.bases(mode) == [0, 1]
+        assert [state(log.as_of(version=v, mode=mode)) for v in range(3)] == full
+        assert state(log.current(mode)) == full[2]
+        assert state(log.lookup(3, mode)) == {}
+        if mode == "ordered":
+            assert full == expected
+    assert log.current(columns=[]).columns == ["k"]
+
+
+def test_several_tables_progress_and_stop(spark, tmp_path):
+    for spec in (ORDERS, PRODUCTS):
+        land(tmp_path / spec.name, "a.txt",
+             [f'{{"{spec.pk}": {i}, "__op": "c", "__source_ts_ms": {i}}}' for i in range(5)], 1000)
+    messages = {s.name: text_messages(spark, str(tmp_path / s.name), s.topic("shop", "main"))
+                for s in (ORDERS, PRODUCTS)}
+    queries = start_all([ORDERS, PRODUCTS], messages, str(tmp_path / "base"), trigger=ALL_NOW)
+    await_all(queries)
+    stop_all(queries)
+    assert not any(q.isActive for q in queries)
+    reported = progress(spark, queries)
+    assert {r.table_name: r.n_input_rows for r in reported.collect()} == {"orders": 5, "products": 5}
+    log = ChangeLog(spark, ORDERS, str(tmp_path / "base" / "orders"))
+    timed = batch_timings(log.batch_metrics(), reported, "orders").first()
+    assert timed.n_upserts == 5 and timed.duration_ms > 0
+
+
+def test_a_running_query_stops(spark, tmp_path):
+    folder = tmp_path / "in"
+    land(folder, "a.txt", [payload(1, 1)], 1000)
+    query = start(ITEMS, text_messages(spark, str(folder), "t"), str(tmp_path / "log"),
+                  trigger={"processingTime": "200 milliseconds"})
+    query.processAllAvailable()
+    assert query.isActive
+    stop_all([query])
+    assert not query.isActive
+    assert state(log_at(spark, tmp_path / "log").current()) == {1: 1}
+
+
+def test_a_failed_query_is_raised(spark, tmp_path):
+    (tmp_path / "in").mkdir()
+    land(tmp_path / "in", "a.txt", [payload(1, 1)], 1000)
+    blocked = tmp_path / "log"
+    blocked.mkdir()
+    (blocked / "batches").write_text("not a folder")
+    with pytest.raises(Exception):
+        run(spark, tmp_path / "in", blocked)
+
+
+def test_missing_log_reads_as_empty(spark, tmp_path):
+    log = log_at(spark, tmp_path / "none")
+    assert not log.exists()
+    assert log.current().collect() == []
+    assert log.current().columns == ["k", "v"]
+    assert log.files().count() == 0
+    assert log.detail().first().n_files == 0
+    assert log.reject_summary().count() == 0
+    with pytest.raises(ValueError):
+        log.compact()
+
+
+def test_view_detail_and_metadata(spark, tmp_path):
+    writer = make_batch_writer(ITEMS, str(tmp_path))
+    for batch in range(2):
+        writer(messages_of(spark, [payload(batch, batch)]), batch)
+    log = log_at(spark, tmp_path)
+    log.create_view()
+    assert spark.sql("SELECT count(*) FROM items").first()[0] == 2
+    detail = log.detail().first()
+    assert (detail.table_name, detail.n_versions, detail.columns) == ("items", 2, "k,v")
+    assert detail.size_bytes == log.files().groupBy().sum("bytes").first()[0] > 0
+    report = metadata(log)
+    assert report["file_count"].first().n_files == log.files().count()
+    assert report["files"].count() <= 5
+
+
+def test_json_frames_and_reports_of_stored_logs(spark, tmp_path):
+    landing, base = scratch_dir(spark, "frames"), str(tmp_path / "base")
+    values = [f'{{"order_id": {i}, "order_dow": {i % 7}, "order_hour_of_day": {i % 3}, '
+              f'"status": "completed", "__op": "c", "__source_ts_ms": {i}}}' for i in range(12)]
+    messages_of(spark, values, ORDERS.topic("shop", "main")).write.json(landing)
+    assert exists(spark, landing)
+    query = start(ORDERS, file_messages(spark, landing, max_files=50), f"{base}/orders", trigger=ALL_NOW)
+    await_all([query])
+    logs = {s.name: ChangeLog(spark, s, f"{base}/{s.name}") for s in (ORDERS, PRODUCTS)}
+    found = stored_reports(logs)
+    assert set(found) == {"overview", "current", "time-travel", "analytics", "metadata"}
+    assert [(r.table_name, r.n_rows, r.n_versions) for r in found["overview"]["overview"].collect()] == [
+        ("orders", 12, 1)]
+    assert found["current"]["total"].first().n_rows == 12
+    assert [r.order_id for r in found["time-travel"]["first_version"].collect()] == [0, 1, 2, 3, 4]
+    assert "top_products" not in found["analytics"]
+    assert [(r.order_hour_of_day, r.n, r.pct) for r in found["analytics"]["hour_share"].collect()] == [
+        (0, 4, 33.3), (1, 4, 33.3), (2, 4, 33.3)]
+    assert stored_reports({}) == {}
