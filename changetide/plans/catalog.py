@@ -166,7 +166,7 @@ def deleted(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def inserted_if_absent(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Customers, and one row for each supplier key and order's customer that is no customer."""
+    """Customers in credit, and for each other customer with orders a row from the first order."""
     customers = feeds.table(spark, sf_dir, "customer").select(
         "c_custkey", "c_acctbal").filter("c_acctbal > 0")
     incoming = feeds.table(spark, sf_dir, "orders").select(

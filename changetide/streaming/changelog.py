@@ -140,7 +140,10 @@ class ChangeLog:
         if not batches:
             raise ValueError(f"{self.spec.name} has no version to compact")
         upto = self.batch_of(len(batches) - 1 if version is None else version)
-        older = [b for b in self.bases(mode) if b < upto]
+        bases = self.bases(mode)
+        if upto in bases:
+            return upto
+        older = [b for b in bases if b < upto]
         log = self._since(older[-1], mode, upto) if older else self.read(upto=upto)
         (
             state.last_changes(log, self.spec, mode)
