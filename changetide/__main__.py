@@ -1,6 +1,7 @@
-"""Command line: load bulk files, follow topics, show reports.
+"""Command line: load bulk files, compare with them, follow topics, show reports.
 
     python -m changetide load   --base PATH --data-dir DIR [--limit N]
+    python -m changetide verify --base PATH --data-dir DIR [--limit N]
     python -m changetide ingest --base PATH --servers HOST:PORT --prefix P --database D
     python -m changetide report --base PATH [--demo NAME] [--rows N]
 """
@@ -36,6 +37,18 @@ def load(spark: SparkSession, args: argparse.Namespace) -> None:
     reports.table_counts(stored).show(truncate=False)
 
 
+def verify(spark: SparkSession, args: argparse.Namespace) -> None:
+    """Bulk files against the tables: keys by status, and the first key's value on both sides."""
+    source = load_shop_tables(spark, args.data_dir, args.limit)
+    for name, log in _logs(spark, args.base).items():
+        if log.exists():
+            column = next(c for c in log.spec.columns if c != log.spec.pk)
+            found = reports.verify(source[name], log.current(), log.spec.pk, column)
+            for part, frame in found.items():
+                print(f"verify {name}: {part}")
+                frame.show(truncate=False)
+
+
 def ingest(spark: SparkSession, args: argparse.Namespace) -> None:
     """Follow the topics of all tables until one query ends or the user interrupts."""
     messages = {spec.name: kafka_messages(spark, args.servers, spec.topic(args.prefix, args.database))
@@ -62,9 +75,10 @@ def main(argv: list[str]) -> None:
     parser = argparse.ArgumentParser(prog="changetide")
     commands = parser.add_subparsers(dest="command", required=True)
 
-    loading = commands.add_parser("load")
-    loading.add_argument("--data-dir", required=True)
-    loading.add_argument("--limit", type=int, default=DEFAULT_LIMIT)
+    loading, verifying = commands.add_parser("load"), commands.add_parser("verify")
+    for command in (loading, verifying):
+        command.add_argument("--data-dir", required=True)
+        command.add_argument("--limit", type=int, default=DEFAULT_LIMIT)
 
     ingesting = commands.add_parser("ingest")
     ingesting.add_argument("--servers", required=True)
@@ -77,7 +91,8 @@ def main(argv: list[str]) -> None:
     reporting.add_argument("--demo", choices=["all", *REPORT_NAMES], default="all")
     reporting.add_argument("--rows", type=int, default=20)
 
-    for command, action in ((loading, load), (ingesting, ingest), (reporting, report)):
+    actions = ((loading, load), (verifying, verify), (ingesting, ingest), (reporting, report))
+    for command, action in actions:
         command.add_argument("--base", required=True)
         command.set_defaults(action=action)
 

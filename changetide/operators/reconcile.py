@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 _SOURCE, _REPLICA = "__n_source", "__n_replica"
@@ -35,20 +35,26 @@ def reconcile_summary(source: DataFrame, replica: DataFrame, pk: str) -> DataFra
     return reconcile(source, replica, pk).groupBy("status").agg(F.count("*").alias("n_keys"))
 
 
-def verify_key(source: DataFrame, replica: DataFrame, pk: str, key: object,
-               column: str) -> DataFrame:
-    """One column of one key on both sides, and whether the replica has caught up."""
+def verify_rows(source: DataFrame, replica: DataFrame, pk: str, column: str) -> DataFrame:
+    """One column of each key on both sides, and whether the replica has caught up."""
     def side(rows: DataFrame, name: str) -> DataFrame:
-        return rows.filter(F.col(pk) == F.lit(key)).select(
-            pk, F.lit(name).alias("side"), F.col(column).alias("v"))
+        return rows.select(pk, F.lit(name).alias("side"), F.col(column).alias("v"))
 
-    def of(name: str):
+    def of(name: str) -> Column:
         return F.max(F.when(F.col("side") == name, F.col("v")))
 
     both = side(source, "source").unionByName(side(replica, "replica"))
     return both.groupBy(pk).agg(
         of("source").alias("source_value"), of("replica").alias("replica_value"),
-        F.count_distinct("side").alias("sides"),
+        F.count_if(F.col("side") == "source").alias("here"),
+        F.count_if(F.col("side") == "replica").alias("there"),
     ).select(pk, "source_value", "replica_value",
-             ((F.col("sides") == 2) & F.col("source_value").eqNullSafe(F.col("replica_value")))
-             .alias("in_sync"))
+             ((F.col("here") > 0) & (F.col("there") > 0)
+              & F.col("source_value").eqNullSafe(F.col("replica_value"))).alias("in_sync"))
+
+
+def verify_key(source: DataFrame, replica: DataFrame, pk: str, key: object,
+               column: str) -> DataFrame:
+    """The same for one key, looked up on both sides."""
+    wanted = F.col(pk) == F.lit(key)
+    return verify_rows(source.filter(wanted), replica.filter(wanted), pk, column)

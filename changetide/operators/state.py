@@ -40,6 +40,11 @@ def current(log: DataFrame, spec: TableSpec, mode: str = ORDERED,
     return won.select(*[F.col(c) if c == spec.pk else F.col(_WON)[c].alias(c) for c in out])
 
 
+def published(rows: DataFrame, spec: TableSpec) -> DataFrame:
+    """Live rows with their time columns as timestamps; unreadable times become NULL."""
+    return rows.withColumns({c: F.try_to_timestamp(c) for c in spec.times if c in rows.columns})
+
+
 def last_changes(log: DataFrame, spec: TableSpec, mode: str = ORDERED) -> DataFrame:
     """The deciding change of every key with all its log columns, deletes included.
 

@@ -9,8 +9,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.report import share_of_total, weekday_label
-from ..operators.reconcile import reconcile_summary, verify_key
-from ..operators.state import as_of, current
+from ..operators.reconcile import reconcile_summary, verify_rows
+from ..operators.state import as_of
 from ..operators.timeline import history, last_operations, version_row_counts
 from ..spec import ORDER_PRODUCTS, ORDERS, TableSpec
 from ..streaming.changelog import ChangeLog
@@ -61,17 +61,17 @@ def table_counts(tables: Mapping[str, DataFrame]) -> DataFrame:
 # -- reports ------------------------------------------------------------------------
 
 
-def overview(logs: Sequence[tuple[TableSpec, DataFrame]]) -> DataFrame:
-    """Per table: live rows, number of versions, last operation and columns."""
-    def one(spec: TableSpec, log: DataFrame) -> DataFrame:
-        live = current(log, spec, columns=[]).agg(F.count("*").alias("n")).scalar()
+def overview(tables: Sequence[tuple[TableSpec, DataFrame, DataFrame]]) -> DataFrame:
+    """Per table, given as specification, live rows and log: rows, versions, last operation, columns."""
+    def one(spec: TableSpec, rows: DataFrame, log: DataFrame) -> DataFrame:
+        live = rows.agg(F.count("*").alias("n")).scalar()
         return history(log, spec).agg(
             F.count("*").alias("n_versions"),
             F.max_by("operation", "version").alias("last_operation"),
         ).select(F.lit(spec.name).alias("table_name"), live.alias("n_rows"), "n_versions",
                  "last_operation", F.lit(",".join(spec.columns)).alias("columns"))
 
-    return reduce(DataFrame.unionByName, [one(spec, log) for spec, log in logs])
+    return reduce(DataFrame.unionByName, [one(*table) for table in tables])
 
 
 def current_data(orders: DataFrame) -> dict[str, DataFrame]:
@@ -94,13 +94,19 @@ def time_travel(log: DataFrame, spec: TableSpec = ORDERS) -> dict[str, DataFrame
     }
 
 
-def verify(source: DataFrame, replica: DataFrame, pk: str, key: object = None,
-           column: str | None = None) -> dict[str, DataFrame]:
-    """Keys of the whole table by status; for one key also its value on both sides."""
-    out = {"summary": reconcile_summary(source, replica, pk)}
-    if key is not None and column is not None:
-        out["row"] = verify_key(source, replica, pk, key, column)
-    return out
+def verify(source: DataFrame, replica: DataFrame, pk: str, column: str,
+           key: object = None) -> dict[str, DataFrame]:
+    """All keys counted by status, and one column of one key on both sides.
+
+    Without ``key`` the source's first key is taken; its one row goes to the replica's tasks.
+    """
+    if key is None:
+        picked = sample_rows(source, pk, 1)
+        there = replica.join(F.broadcast(picked.select(pk)), pk, "left_semi")
+    else:
+        picked, there = (rows.filter(F.col(pk) == F.lit(key)) for rows in (source, replica))
+    return {"summary": reconcile_summary(source, replica, pk),
+            "row": verify_rows(picked, there, pk, column)}
 
 
 def analytics(orders: DataFrame, order_products: DataFrame | None = None) -> dict[str, DataFrame]:
@@ -136,7 +142,8 @@ def stored_reports(logs: Mapping[str, ChangeLog],
     builders: dict[str, Callable[[], dict[str, DataFrame]]] = {}
     if present:
         builders["overview"] = lambda: {
-            "overview": overview([(log.spec, log.read()) for log in present.values()])}
+            "overview": overview([(log.spec, log.current(columns=[]), log.read())
+                                  for log in present.values()])}
     if ORDERS.name in present:
         log, lines = present[ORDERS.name], present.get(ORDER_PRODUCTS.name)
         builders.update({

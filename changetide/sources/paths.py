@@ -45,10 +45,10 @@ def touch(spark: SparkSession, path: str) -> None:
     fs.create(hadoop_path, True).close()
 
 
-def remove(spark: SparkSession, path: str) -> None:
-    """Delete a file, if it is there."""
+def remove(spark: SparkSession, path: str, recursive: bool = False) -> None:
+    """Delete a file, or a folder with all it holds, if it is there."""
     fs, hadoop_path = _file_system(spark, path)
-    fs.delete(hadoop_path, False)
+    fs.delete(hadoop_path, recursive)
 
 
 def scratch_dir(spark: SparkSession, name: str) -> str:

@@ -47,13 +47,15 @@ class TableSpec:
     """One replicated table: its key column and the types of its row columns.
 
     ``defaults`` fills columns that a bulk file does not carry; streamed changes
-    are full rows and never use it.
+    are full rows and never use it. ``times`` are text columns that hold a time: the log
+    keeps the text, the published table has timestamps.
     """
 
     name: str
     pk: str
     schema: T.StructType
     defaults: Mapping[str, object] = field(default_factory=dict, hash=False)
+    times: tuple[str, ...] = ()
 
     def __post_init__(self) -> None:
         if self.pk not in self.schema.names:
@@ -104,12 +106,14 @@ ORDERS = TableSpec(
                "status string, created_at string, updated_at string"),
     {"eval_set": "train", "order_number": 1, "order_dow": 0, "order_hour_of_day": 12,
      "status": "completed"},
+    ("created_at", "updated_at"),
 )
 ORDER_PRODUCTS = TableSpec(
     "order_products", "id",
     row_schema("id long, order_id integer, product_id integer, add_to_cart_order integer, "
                "reordered integer, created_at string"),
     {"add_to_cart_order": 1, "reordered": 0},
+    ("created_at",),
 )
 PRODUCTS = TableSpec(
     "products", "product_id",

@@ -52,6 +52,11 @@ def _markers(root: str, batch_id: int) -> list[str]:
             for lanes in (CHANGES, REJECTS, f"{CHANGES}+{REJECTS}")]
 
 
+def drop_bases(spark: SparkSession, root: str) -> None:
+    """Forget the compacted state, when batches it was made from are written anew."""
+    remove(spark, f"{root}/base", recursive=True)
+
+
 def is_committed(spark: SparkSession, root: str, batch_id: int) -> bool:
     return any(exists(spark, marker) for marker in _markers(root, batch_id))
 
@@ -200,7 +205,9 @@ class ChangeLog:
         return state.lookup(log, self.spec, key, mode)
 
     def create_view(self, name: str | None = None, mode: str = ORDERED) -> None:
-        self.current(mode).createOrReplaceTempView(name or self.spec.name)
+        """The published table as a SQL view, under the table's name unless another is given."""
+        state.published(self.current(mode), self.spec).createOrReplaceTempView(
+            name or self.spec.name)
 
     def history(self) -> DataFrame:
         return timeline.history(self.read(), self.spec)

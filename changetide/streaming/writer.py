@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 from ..operators.decode import classify, decode
 from ..spec import COMMITTED, KIND, REJECT, TableSpec
 from .changelog import (
-    CHANGES, LANE, REJECTS, SNAPSHOT_BATCH, batch_path, commit_batch, is_committed, open_batch,
+    CHANGES, LANE, REJECTS, SNAPSHOT_BATCH, batch_path, commit_batch, drop_bases, is_committed,
+    open_batch,
 )
 
 
@@ -51,5 +52,9 @@ def make_batch_writer(spec: TableSpec, root: str) -> Callable[[DataFrame, int],
 
 
 def write_snapshot(changes: DataFrame, spec: TableSpec, root: str) -> None:
-    """Commit an initial snapshot, made by ``bootstrap``, ahead of the first stream batch."""
+    """Commit an initial snapshot, made by ``bootstrap``, ahead of the first stream batch.
+
+    A snapshot written again replaces the one before, a full refresh.
+    """
+    drop_bases(changes.sparkSession, root)
     _commit(changes, spec, root, SNAPSHOT_BATCH)

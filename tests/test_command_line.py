@@ -22,6 +22,10 @@ def test_load_then_report(spark, tmp_path, capsys):
     shown = capsys.readouterr().out
     assert "analytics: top_products" in shown and "|0         |17 |" in shown
     assert "overview" not in shown
+    main(["verify", "--base", base, "--data-dir", str(data), "--limit", "25"])
+    shown = capsys.readouterr().out
+    assert "|equal  |20" in shown and "|missing|5" in shown
+    assert "|0       |0           |0            |true" in shown
 
 
 def test_unknown_report_is_refused(spark):

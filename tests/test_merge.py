@@ -7,7 +7,9 @@ from changetide.operators import (
     cascade_delete, current, insert_if_absent, merge_delete, merge_upsert, reconcile,
     reconcile_summary, update_where, verify_key,
 )
+from changetide.plans.reports import verify
 from changetide.sources import bootstrap, to_changes
+from changetide.spec import TableSpec, row_schema
 
 from helpers import ITEMS, state
 
@@ -104,3 +106,27 @@ def test_verify_key(spark):
     assert check(2) == [(2, 2, 9, False)]
     assert check(3) == [(3, None, None, True)]
     assert check(4) == []
+
+
+def test_verify_report(spark):
+    source, replica = items(spark, [(2, 2), (1, 1)]), items(spark, [(1, 7), (2, 2)])
+    found = verify(source, replica, "k", "v")
+    assert [tuple(r) for r in found["row"].collect()] == [(1, 1, 7, False)]
+    assert {r.status: r.n_keys for r in found["summary"].collect()} == {"equal": 1, "different": 1}
+    assert [tuple(r) for r in verify(source, replica, "k", "v", key=2)["row"].collect()] == [
+        (2, 2, 2, True)]
+
+
+def test_cascade_in_log_form(spark):
+    """Deletes of the parents and of their children, written to both logs."""
+    lines = TableSpec("lines", "id", row_schema("id integer, parent integer"))
+    parents = items(spark, [(1, 1), (2, 2)])
+    children = spark.createDataFrame([(10, 1), (11, 1), (12, 2)], "id INT, parent INT")
+    doomed = parents.filter("k = 1").select("k")
+    kept, left = cascade_delete(parents, children, doomed, "k", "parent")
+    gone = children.join(doomed, F.col("parent") == F.col("k"), "left_semi")
+    parent_log = bootstrap(parents, ITEMS, 0).unionByName(
+        to_changes(parents.join(doomed, "k"), ITEMS, "d", 1))
+    child_log = bootstrap(children, lines, 0).unionByName(to_changes(gone, lines, "d", 1))
+    assert state(current(parent_log, ITEMS)) == state(kept)
+    assert current(child_log, lines).collect() == left.collect()

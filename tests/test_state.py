@@ -1,14 +1,19 @@
 """State, versions and counts against a replay in plain Python."""
 
+import datetime
+
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 
 from changetide.functions.changes import DELETE_WINS, ORDERED
 from changetide.operators import (
-    as_of, batch_metrics, current, history, last_changes, last_operations, lookup, versions,
+    as_of, batch_metrics, current, history, last_changes, last_operations, lookup, published,
+    versions,
     version_row_counts,
 )
 
+from changetide.spec import TableSpec, row_schema
+
 from helpers import ITEMS, log_from, log_of, payload, state
 
 FEW = settings(max_examples=12, deadline=None,
@@ -164,6 +169,16 @@ def test_batch_metrics_count_every_message(spark):
         4, 2, 1, 1, 1)
 
 
+def test_published_times(spark):
+    spec = TableSpec("t", "k", row_schema("k integer, at string"), times=("at",))
+    rows = spark.createDataFrame(
+        [(1, "2024-01-02T03:04:05Z"), (2, "2024-01-02 03:04:05"), (3, "soon"), (4, None)],
+        "k INT, at STRING")
+    times = {r.k: r["at"] for r in published(rows, spec).collect()}
+    assert times[1] == times[2] == datetime.datetime(2024, 1, 2, 3, 4, 5)
+    assert times[3] is None and times[4] is None
+
+
 def test_empty_log(spark):
     log = log_of(spark, [])
     assert current(log, ITEMS).count() == 0

@@ -126,6 +126,11 @@ def test_snapshot_precedes_the_stream(spark, tmp_path):
     assert log.batches() == [-1, 0]
     assert state(log.as_of(version=0)) == {1: 1, 2: 2}
     assert state(log.current()) == {1: 1, 2: 22, 3: 33}
+    log.compact()
+    write_snapshot(bootstrap(rows.filter("k = 1"), ITEMS, 5), ITEMS, str(root))
+    assert log.bases() == []
+    assert state(log.as_of(version=0)) == {1: 1}
+    assert state(log.current()) == {1: 1, 2: 22, 3: 33}
 
 
 @pytest.mark.parametrize("limit", [0, 1 << 20])
