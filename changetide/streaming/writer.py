@@ -34,11 +34,14 @@ def _commit(classified: DataFrame, spec: TableSpec, root: str, batch_id: int) ->
     commit_batch(spark, root, batch_id)
 
 
-def make_batch_writer(spec: TableSpec, root: str) -> Callable[[DataFrame, int], None]:
+def make_batch_writer(spec: TableSpec, root: str,
+                      max_tasks: int | None = None) -> Callable[[DataFrame, int], None]:
     """A ``foreachBatch`` function that decodes, classifies and commits a batch of messages.
 
     The batch is read once. An empty one commits nothing; delivered again in place of a
     batch that had rows, because its source has lost them, it leaves that batch alone.
+    ``max_tasks`` merges the source's partitions into fewer tasks, and so fewer files, where
+    frequent batches from a topic with many partitions would leave very small ones.
     """
     def write(messages: DataFrame, batch_id: int) -> None:
         if is_committed(messages.sparkSession, root, batch_id) and messages.isEmpty():
@@ -46,6 +49,8 @@ def make_batch_writer(spec: TableSpec, root: str) -> Callable[[DataFrame, int],
         # Only a batch frame, not a stream, can number the messages of a source without offsets.
         placed = messages.withColumn(
             "offset", F.coalesce("offset", F.monotonically_increasing_id()))
+        if max_tasks:
+            placed = placed.coalesce(max_tasks)
         _commit(classify(decode(placed, spec), spec), spec, root, batch_id)
 
     return write

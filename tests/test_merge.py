@@ -1,6 +1,8 @@
 """Merges in snapshot form, and that the log form ends the same."""
 
 import pytest
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from changetide.operators import (
@@ -54,6 +56,22 @@ def test_insert_if_absent(spark):
     assert state(insert_if_absent(target, repeated, "k", order=["seq"])) == {1: 1, 2: 9}
 
 
+TABLE = st.dictionaries(st.integers(0, 15), st.integers(0, 99), max_size=10)
+
+
+@settings(max_examples=8, deadline=None,
+          suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(TABLE, TABLE)
+def test_merges_equal_dictionaries(spark, old, new):
+    target, source = items(spark, list(old.items())), items(spark, list(new.items()))
+    assert state(merge_upsert(target, source, "k")) == {**old, **new}
+    assert state(merge_delete(target, source, "k")) == {k: v for k, v in old.items() if k not in new}
+    assert state(insert_if_absent(target, source, "k")) == {**new, **old}
+    expected = {k: "missing" if k not in new else "extra" if k not in old
+                else "equal" if old[k] == new[k] else "different" for k in {**old, **new}}
+    assert {r.k: r.status for r in reconcile(target, source, "k").collect()} == expected
+
+
 def test_update_where_leaves_null_conditions_alone(spark):
     rows = update_where(items(spark, [(1, 1), (2, None), (3, 5)]), F.col("v") > 2, {"v": 0})
     assert state(rows) == {1: 1, 2: None, 3: 0}

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from changetide.functions.changes import DELETE_WINS
 from changetide.operators import (
-    as_of, cascade_delete, changes, classify, current, decode, lookup, merge_delete, merge_upsert, reconcile,
+    as_of, cascade_delete, changes, classify, current, decode, merge_delete, merge_upsert, reconcile,
     version_row_counts,
 )
 from changetide.plans import catalog, feeds, reports
