@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, Window
+from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 # Weekday labels for 0 (Sunday) to 6.
@@ -18,9 +18,8 @@ def weekday_label(day: Column) -> Column:
 
 
 def share_of_total(count: str) -> Column:
-    """Percent of the column's total, one decimal.
+    """Percent of the column's total, one decimal, in decimal arithmetic.
 
     The frame has one partition, so use it on aggregated rows only.
     """
-    total = F.sum(count).over(Window.partitionBy())
-    return F.round(F.col(count) * F.lit(100.0) / total, 1)
+    return F.expr(f"round({count} * 100.0 / sum({count}) OVER (), 1)")

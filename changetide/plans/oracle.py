@@ -280,7 +280,7 @@ SELECT CAST(hour(ts) AS INTEGER) AS order_hour_of_day, count(*) AS n FROM events
 GROUP BY 1 ORDER BY n DESC, 1 LIMIT 5""",
     "hour_share": """
 SELECT CAST(hour(ts) AS INTEGER) AS order_hour_of_day, count(*) AS n,
-       CAST(round(CAST(count(*) * 100.0 AS DECIMAL(38, 10)) / sum(count(*)) OVER (), 1) AS DOUBLE)
+       CAST((count(*) * 2000 + sum(count(*)) OVER ()) // (2 * sum(count(*)) OVER ()) AS DOUBLE) / 10
          AS pct
 FROM events GROUP BY 1 ORDER BY n DESC, 1 LIMIT 10""",
     "top_products": """

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, DataFrameReader, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -11,7 +11,7 @@ from ..spec import (
     BROKER_TS, DELETE, DELETED, KIND, OFFSET, OP, ORDER_PRODUCTS, ORDERS, PARTIAL, PARTITION,
     PRODUCTS, REASON, SOURCE_TS, TABLE, UPSERT, VALUE, TableSpec,
 )
-from .paths import first_existing, written
+from .paths import first_existing, input_files, written
 
 # Rows loaded per bulk file, and how many more for the line items.
 DEFAULT_LIMIT = 50_000
@@ -20,9 +20,12 @@ LINES_PER_ORDER = 3
 _FILE, _SPLIT, _PLACE, _FIRST, _BEFORE = "__file", "__split", "__place", "__first", "__before"
 
 
-def _csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """CSV columns by header name, cast to the declared types; undeclared columns are dropped."""
-    text = spark.read.option("header", True).option("escape", '"').csv(path)
+def _reader(spark: SparkSession) -> DataFrameReader:
+    return spark.read.option("header", True).option("escape", '"')
+
+
+def _placed(text: DataFrame, schema: T.StructType) -> DataFrame:
+    """Declared columns by header name, cast to their types, and each row's place in the files."""
     present = set(text.columns)
     return text.select(
         *[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema if f.name in present],
@@ -31,19 +34,49 @@ def _csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
         F.monotonically_increasing_id().alias(_PLACE))
 
 
+def _opening_files(text: DataFrame, limit: int) -> list[str]:
+    """The first files, in path order, that together hold at least ``limit`` rows.
+
+    Twice as many files are counted at each step, so the rest of a large folder is not read.
+    """
+    paths, taken, rows = sorted(input_files(text)), 0, 0
+    reader = _reader(text.sparkSession).schema(text.schema)
+    while rows < limit and taken < len(paths):
+        following = paths[taken:max(1, 2 * taken)]
+        rows += reader.csv(following).count()
+        taken += len(following)
+    return paths[:taken]
+
+
+def _rows_before() -> Column:
+    """Rows in the splits before each one; the frame has one row per split."""
+    earlier = Window.orderBy(_FILE, _SPLIT).rowsBetween(Window.unboundedPreceding, -1)
+    return F.coalesce(F.sum("n").over(earlier), F.lit(0))
+
+
+def _opening_splits(placed: DataFrame, limit: int) -> DataFrame:
+    """Whole splits from the start that hold at least ``limit`` rows, or all.
+
+    The end is a place in a file, so it holds even if the files are split otherwise when
+    they are read again.
+    """
+    splits = placed.groupBy(_FILE, _SPLIT).agg(F.count("*").alias("n"))
+    beyond = splits.withColumn(_BEFORE, _rows_before()).filter(F.col(_BEFORE) >= limit)
+    end = beyond.agg(F.min(F.struct(_FILE, _SPLIT))).scalar()
+    return placed.filter(F.coalesce(F.struct(_FILE, _SPLIT) < end, F.lit(True)))
+
+
 def number_rows(placed: DataFrame, number: str) -> DataFrame:
     """Number rows 1, 2, 3 ... in file order, without sorting them or moving them to one task.
 
-    ``placed`` comes from :func:`_csv`. Each file split counts its rows; a running sum
+    ``placed`` comes from :func:`_placed`. Each file split counts its rows; a running sum
     over these counts, one per split, tells every split where its numbers begin. The rows
     are stored first, so that both steps see the same splits.
     """
     rows = written(placed, "numbered")
     splits = rows.groupBy(_FILE, _SPLIT).agg(
         F.min(_PLACE).alias(_FIRST), F.count("*").alias("n"))
-    earlier = Window.orderBy(_FILE, _SPLIT).rowsBetween(Window.unboundedPreceding, -1)
-    starts = splits.select(
-        _FILE, _SPLIT, _FIRST, F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias(_BEFORE))
+    starts = splits.select(_FILE, _SPLIT, _FIRST, _rows_before().alias(_BEFORE))
     return rows.join(starts, [_FILE, _SPLIT]).select(
         (F.col(_BEFORE) + F.col(_PLACE) - F.col(_FIRST) + 1).alias(number),
         *[c for c in placed.columns if c not in (_FILE, _SPLIT, _PLACE)])
@@ -59,9 +92,12 @@ def load_csv(spark: SparkSession, candidates: list[str], spec: TableSpec,
     path = first_existing(spark, candidates)
     if path is None:
         return spark.createDataFrame([], spec.schema)
-    rows = _csv(spark, path, spec.schema)
+    text = _reader(spark).csv(path)
+    if limit is not None:
+        text = _reader(spark).schema(text.schema).csv(_opening_files(text, limit))
+    rows = _placed(text, spec.schema)
     if limit is not None or spec.pk not in rows.columns:
-        rows = number_rows(rows, "__number")
+        rows = number_rows(rows if limit is None else _opening_splits(rows, limit), "__number")
         if limit is not None:
             rows = rows.filter(F.col("__number") <= limit)
         if spec.pk not in rows.columns:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -31,13 +32,19 @@ def subfolders(spark: SparkSession, folder: str) -> list[str]:
     return [status.getPath().getName() for status in fs.listStatus(hadoop_path)]
 
 
+def input_files(frame: DataFrame) -> list[str]:
+    """Paths of a frame's files, however many, fetched as one string."""
+    joined = frame.sparkSession._jvm.org.apache.hadoop.util.StringUtils.join(
+        "\n", frame._jdf.inputFiles())
+    return [unquote(path) for path in joined.split("\n") if path]
+
+
 def file_names(spark: SparkSession, folder: str) -> list[str]:
-    """Names of the files in a folder, however many, fetched as one string."""
+    """Names of the files in a folder."""
     if not exists(spark, folder):
         return []
-    paths = spark.read.format("binaryFile").load(folder)._jdf.inputFiles()
-    joined = spark._jvm.org.apache.hadoop.util.StringUtils.join("\n", paths)
-    return [path.rsplit("/", 1)[1] for path in joined.split("\n") if path]
+    listed = input_files(spark.read.format("binaryFile").load(folder))
+    return [path.rsplit("/", 1)[1] for path in listed]
 
 
 def touch(spark: SparkSession, path: str) -> None:

@@ -2,7 +2,7 @@
 
 import pytest
 
-from changetide.sources import load_csv, load_shop_tables, replace_table
+from changetide.sources import bulk, load_csv, load_shop_tables, replace_table, written
 from changetide.spec import ORDER_PRODUCTS, ORDERS, PRODUCTS
 
 
@@ -61,6 +61,28 @@ def test_numbering_over_many_files_and_splits(spark, tmp_path):
     assert [r.id for r in rows] == list(range(1, 652))
 
 
+@pytest.mark.parametrize("limit", [0, 1, 399, 400, 401, 500, 2000])
+def test_the_limit_over_many_files_and_splits(spark, tmp_path, limit, monkeypatch):
+    folder = tmp_path / "some orders"
+    folder.mkdir()
+    counts = [150, 250, 0, 90, 70]
+    for number, rows in enumerate(counts):
+        write(folder / f"part-{number}.csv", "order_id,user_id", [f"{i},{number}" for i in range(rows)])
+    stored = []
+    monkeypatch.setattr(bulk, "written", lambda frame, name: stored.append(frame) or written(frame, name))
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "256")
+    spark.conf.set("spark.sql.files.openCostInBytes", "0")
+    try:
+        rows = load_csv(spark, [str(folder)], ORDERS, limit).collect()
+        kept = stored[0].count()
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+    expected = [(number, i) for number, n in enumerate(counts) for i in range(n)][:limit]
+    assert sorted((r.user_id, r.order_id) for r in rows) == expected
+    assert kept <= limit + 100, "only splits that hold the first rows are stored"
+
+
 def test_candidates_and_missing_files(spark, tmp_path):
     write(tmp_path / "order_products__train.csv", LINES, ["1,2,3,1"])
     write(tmp_path / "orders.csv", "order_id,user_id", [f"{i},1" for i in range(9)])
