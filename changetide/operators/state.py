@@ -45,15 +45,16 @@ def published(rows: DataFrame, spec: TableSpec) -> DataFrame:
     return rows.withColumns({c: F.try_to_timestamp(c) for c in spec.times if c in rows.columns})
 
 
-def last_changes(log: DataFrame, spec: TableSpec, mode: str = ORDERED) -> DataFrame:
-    """The deciding change of every key with all its log columns, deletes included.
+def last_changes(log: DataFrame, spec: TableSpec, mode: str = ORDERED,
+                 columns: Sequence[str] | None = None) -> DataFrame:
+    """The deciding change of every key, deletes included, with all or some log columns.
 
-    Its result can stand in for the log it came from: a later or late change is
-    compared with it exactly as with the full log.
+    With all of them the result can stand in for the log it came from: a later or late
+    change is compared with it exactly as with the full log.
     """
-    carried = [c for c in log.columns if c != spec.pk]
-    won = _last_change(log, spec, mode, carried)
-    return won.select(spec.pk, *[F.col(_WON)[c].alias(c) for c in carried]).select(*log.columns)
+    out = log.columns if columns is None else [spec.pk, *[c for c in columns if c != spec.pk]]
+    won = _last_change(log, spec, mode, [c for c in out if c != spec.pk])
+    return won.select(*[F.col(c) if c == spec.pk else F.col(_WON)[c].alias(c) for c in out])
 
 
 def versions(log: DataFrame) -> DataFrame:

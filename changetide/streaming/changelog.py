@@ -25,7 +25,7 @@ from ..functions.changes import ORDERED
 from ..operators import state, timeline
 from ..operators.decode import reject_summary
 from ..sources.paths import data_files, exists, file_names, remove, subfolders, touch
-from ..spec import BATCH, KIND, REASON, SOURCE_TS, VALUE, TableSpec
+from ..spec import BATCH, KIND, REASON, SOURCE_TS, UPSERT, VALUE, TableSpec
 
 LANE, CHANGES, REJECTS = "lane", "changes", "rejects"
 
@@ -149,9 +149,9 @@ class ChangeLog:
         if upto in bases:
             return upto
         older = [b for b in bases if b < upto]
-        log = self._since(older[-1], mode, upto) if older else self.read(upto=upto)
         (
-            state.last_changes(log, self.spec, mode)
+            (self._decided(older[-1], mode, upto) if older
+             else state.last_changes(self.read(upto=upto), self.spec, mode))
             .sortWithinPartitions(self.spec.pk)
             .write.mode("overwrite")
             .option("parquet.bloom.filter.enabled#" + self.spec.pk, "true")
@@ -164,29 +164,36 @@ class ChangeLog:
         log_schema = T.StructType([*self.spec.log_schema.fields, T.StructField(BATCH, T.LongType())])
         return self.spark.read.schema(log_schema).parquet(f"{self._base_root(mode)}/upto={base}")
 
-    def _since(self, base: int, mode: str, upto: int | None = None) -> DataFrame:
-        return self._base(base, mode).unionByName(self.read(after=base, upto=upto))
+    def _decided(self, number: int, mode: str, upto: int | None,
+                 columns: list[str] | None = None) -> DataFrame:
+        """The deciding change of every key, from a base and the batches after it.
+
+        Where few keys changed since the base, by measure, its other rows are final as they
+        are and stay where they are; otherwise all rows are grouped anew.
+        """
+        base, tail = self._base(number, mode), self.read(after=number, upto=upto)
+        pk = self.spec.pk
+        size = tail.agg(F.sum(F.octet_length(F.col(pk).cast("string")) + 16)).first()[0] or 0
+        if size > BROADCAST_BYTES:
+            return state.last_changes(base.unionByName(tail), self.spec, mode, columns)
+        touched = F.broadcast(tail.select(pk).distinct())
+        reopened = base.join(touched, pk, "left_semi").select(*tail.columns).unionByName(tail)
+        decided = state.last_changes(reopened, self.spec, mode, columns)
+        return base.join(touched, pk, "left_anti").select(*decided.columns).unionByName(decided)
 
     # -- tables ---------------------------------------------------------------------
 
     def current(self, mode: str = ORDERED, columns: Iterable[str] | None = None,
                 upto: int | None = None) -> DataFrame:
         """Live rows, from the newest base that helps and the batches after it."""
-        wanted = None if columns is None else list(columns)
+        spec = self.spec
+        wanted = spec.columns if columns is None else [c for c in spec.columns if c in set(columns)]
         usable = [b for b in self.bases(mode) if upto is None or b <= upto]
         if not usable:
-            return state.current(self.read(upto=upto), self.spec, mode, wanted)
-        base, tail = self._base(usable[-1], mode), self.read(after=usable[-1], upto=upto)
-        pk = self.spec.pk
-        size = tail.agg(F.sum(F.octet_length(F.col(pk).cast("string")) + 16)).first()[0] or 0
-        if size > BROADCAST_BYTES:
-            return state.current(base.unionByName(tail), self.spec, mode, wanted)
-        # Few keys changed since the base: its other rows are final as they are, unshuffled.
-        touched = F.broadcast(tail.select(pk).distinct())
-        final = base.join(touched, pk, "left_anti").filter(F.col(KIND) == state.UPSERT)
-        open_ = base.join(touched, pk, "left_semi").select(*tail.columns).unionByName(tail)
-        decided = state.current(open_, self.spec, mode, wanted)
-        return final.select(*decided.columns).unionByName(decided)
+            return state.current(self.read(upto=upto), spec, mode, wanted)
+        out = wanted if spec.pk in wanted else [spec.pk, *wanted]
+        decided = self._decided(usable[-1], mode, upto, [*wanted, KIND])
+        return decided.filter(F.col(KIND) == UPSERT).select(*out)
 
     def as_of(self, version: int | None = None, ts_ms: int | None = None, mode: str = ORDERED,
               columns: Iterable[str] | None = None) -> DataFrame:
@@ -201,7 +208,9 @@ class ChangeLog:
     def lookup(self, key: object, mode: str = ORDERED) -> DataFrame:
         """The live row of one key, with the key filter at every scan."""
         bases = self.bases(mode)
-        log = self._since(bases[-1], mode) if bases else self.read()
+        if not bases:
+            return state.lookup(self.read(), self.spec, key, mode)
+        log = self._base(bases[-1], mode).unionByName(self.read(after=bases[-1]))
         return state.lookup(log, self.spec, key, mode)
 
     def create_view(self, name: str | None = None, mode: str = ORDERED) -> None:
