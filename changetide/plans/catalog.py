@@ -15,6 +15,7 @@ from ..operators import (
 )
 from ..operators.decode import classify, decode, to_messages
 from ..sources import bootstrap, flatten_envelope, load_csv, route, scratch_dir, to_changes
+from ..sources.messages import spread
 from ..spec import (
     BATCH, KIND, OFFSET, ORDER_PRODUCTS, ORDERS, PARTIAL, PRODUCTS, REASON, UPSERT, DELETE, TableSpec,
 )
@@ -35,8 +36,8 @@ _EXTRA_KEYS = 10_000_000
 
 
 def decode_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    messages = feeds.event_messages(feeds.table(spark, sf_dir, "events"), damaged=True)
-    return decode(messages, feeds.USERS).select(
+    events = spread(feeds.table(spark, sf_dir, "events"), spark.sparkContext.defaultParallelism)
+    return decode(feeds.event_messages(events, damaged=True), feeds.USERS).select(
         F.col(OFFSET).alias("msg_offset"), "user_id", "event_id", "event_type", "value", "props",
         F.col("__op").alias("op"), F.col("__deleted").alias("deleted"),
         F.col("__source_ts_ms").alias("source_ts_ms"))

@@ -15,6 +15,7 @@ from ..spec import (
     TableSpec, row_schema,
 )
 from ..sources.bulk import bootstrap
+from ..sources.messages import spread
 
 PREFIX, DATABASE = "shop", "main"
 
@@ -80,7 +81,9 @@ def event_messages(events: DataFrame, late: bool = False, damaged: bool = False)
 
 def classified_events(spark: SparkSession, sf_dir: str, late: bool = False,
                       damaged: bool = False) -> DataFrame:
-    messages = event_messages(table(spark, sf_dir, "events"), late, damaged)
+    """Messages of all events, decoded with all cores even where the table is one small file."""
+    events = spread(table(spark, sf_dir, "events"), spark.sparkContext.defaultParallelism)
+    messages = event_messages(events, late, damaged)
     return classify(decode(messages, USERS), USERS)
 
 

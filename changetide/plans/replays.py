@@ -37,7 +37,8 @@ def _event_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
 def ingested(spark: SparkSession, sf_dir: str) -> tuple[ChangeLog, StreamingQuery]:
     """All events streamed into a log."""
     root = scratch_dir(spark, "ingest")
-    query = start(feeds.USERS, _event_stream(spark, sf_dir), root, trigger=_ALL_NOW)
+    query = start(feeds.USERS, _event_stream(spark, sf_dir), root, trigger=_ALL_NOW,
+                  tasks=spark.sparkContext.defaultParallelism)
     await_all([query])
     return ChangeLog(spark, feeds.USERS, root), query
 
@@ -89,5 +90,6 @@ def several_tables(spark: SparkSession, sf_dir: str) -> dict[str, ChangeLog]:
         PRODUCTS.name: _created(feeds.as_products(table_stream(spark, sf_dir, "part")), PRODUCTS),
     }
     base = scratch_dir(spark, "tables")
-    await_all(start_all(specs, messages, base, trigger=_ALL_NOW))
+    await_all(start_all(specs, messages, base, trigger=_ALL_NOW,
+                        tasks=spark.sparkContext.defaultParallelism))
     return {spec.name: ChangeLog(spark, spec, f"{base}/{spec.name}") for spec in specs}

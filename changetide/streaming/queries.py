@@ -21,7 +21,7 @@ _PROGRESS = ("table_name STRING, batch_id LONG, timestamp STRING, n_input_rows L
 
 def start(spec: TableSpec, messages: DataFrame, root: str, checkpoint: str | None = None,
           trigger: Mapping[str, object] | None = None,
-          max_tasks: int | None = None) -> StreamingQuery:
+          tasks: int | None = None) -> StreamingQuery:
     """Stream messages into the table's change log.
 
     The log and the checkpoint live and die together: a new checkpoint would number its
@@ -34,7 +34,7 @@ def start(spec: TableSpec, messages: DataFrame, root: str, checkpoint: str | Non
         raise ValueError(f"{root} holds committed batches, but {checkpoint} is no checkpoint of them")
     return (
         messages.writeStream.queryName(spec.name)
-        .foreachBatch(make_batch_writer(spec, root, max_tasks))
+        .foreachBatch(make_batch_writer(spec, root, tasks))
         .option("checkpointLocation", checkpoint)
         .trigger(**(trigger or DEFAULT_TRIGGER))
         .start()
@@ -43,11 +43,11 @@ def start(spec: TableSpec, messages: DataFrame, root: str, checkpoint: str | Non
 
 def start_all(specs: Sequence[TableSpec], messages: Mapping[str, DataFrame], base: str,
               checkpoint: str | None = None, trigger: Mapping[str, object] | None = None,
-              max_tasks: int | None = None) -> list[StreamingQuery]:
+              tasks: int | None = None) -> list[StreamingQuery]:
     """One query per table, side by side, below a common base path."""
     return [
         start(spec, messages[spec.name], f"{base}/{spec.name}",
-              f"{checkpoint}/{spec.name}" if checkpoint else None, trigger, max_tasks)
+              f"{checkpoint}/{spec.name}" if checkpoint else None, trigger, tasks)
         for spec in specs
     ]
 

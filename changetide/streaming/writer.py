@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.decode import classify, decode
+from ..sources.messages import with_tasks
 from ..spec import COMMITTED, KIND, REJECT, TableSpec
 from .changelog import (
     CHANGES, LANE, REJECTS, SNAPSHOT_BATCH, batch_path, commit_batch, drop_bases, is_committed,
@@ -35,13 +36,14 @@ def _commit(classified: DataFrame, spec: TableSpec, root: str, batch_id: int) ->
 
 
 def make_batch_writer(spec: TableSpec, root: str,
-                      max_tasks: int | None = None) -> Callable[[DataFrame, int], None]:
+                      tasks: int | None = None) -> Callable[[DataFrame, int], None]:
     """A ``foreachBatch`` function that decodes, classifies and commits a batch of messages.
 
     The batch is read once. An empty one commits nothing; delivered again in place of a
     batch that had rows, because its source has lost them, it leaves that batch alone.
-    ``max_tasks`` merges the source's partitions into fewer tasks, and so fewer files, where
-    frequent batches from a topic with many partitions would leave very small ones.
+    ``tasks`` decodes and writes with that many tasks, and so files: fewer than the source's
+    partitions where frequent batches would leave very small files, more where a source has
+    few partitions or one that holds most messages.
     """
     def write(messages: DataFrame, batch_id: int) -> None:
         if is_committed(messages.sparkSession, root, batch_id) and messages.isEmpty():
@@ -49,8 +51,8 @@ def make_batch_writer(spec: TableSpec, root: str,
         # Only a batch frame, not a stream, can number the messages of a source without offsets.
         placed = messages.withColumn(
             "offset", F.coalesce("offset", F.monotonically_increasing_id()))
-        if max_tasks:
-            placed = placed.coalesce(max_tasks)
+        if tasks:
+            placed = with_tasks(placed, tasks)
         _commit(classify(decode(placed, spec), spec), spec, root, batch_id)
 
     return write

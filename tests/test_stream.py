@@ -82,13 +82,15 @@ def test_a_batch_of_rejects_makes_no_version(spark, tmp_path):
     assert metrics == {0: (2, 0, 2), 1: (2, 1, 1)}
 
 
-def test_fewer_tasks_write_fewer_files(spark, tmp_path):
+def test_the_number_of_tasks_decides_the_number_of_files(spark, tmp_path):
     many = messages_of(spark, [payload(i, i) for i in range(40)]).repartition(8)
     make_batch_writer(ITEMS, str(tmp_path / "many"))(many, 0)
-    make_batch_writer(ITEMS, str(tmp_path / "few"), max_tasks=2)(many, 0)
-    wide, narrow = log_at(spark, tmp_path / "many"), log_at(spark, tmp_path / "few")
-    assert (wide.files().count(), narrow.files().count()) == (8, 2)
-    assert state(wide.current()) == state(narrow.current()) == {i: i for i in range(40)}
+    make_batch_writer(ITEMS, str(tmp_path / "few"), tasks=2)(many, 0)
+    make_batch_writer(ITEMS, str(tmp_path / "more"), tasks=5)(many.coalesce(1), 0)
+    logs = [log_at(spark, tmp_path / name) for name in ("many", "few", "more")]
+    assert [log.files().count() for log in logs] == [8, 2, 5]
+    for log in logs:
+        assert state(log.current()) == {i: i for i in range(40)}
 
 
 def test_replay_replaces_a_batch(spark, tmp_path):
