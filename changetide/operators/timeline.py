@@ -29,8 +29,11 @@ def batch_metrics(classified: DataFrame) -> DataFrame:
     )
 
 
-def history(log: DataFrame, spec: TableSpec) -> DataFrame:
-    """One row per version: when it was committed, what it did and to how many rows."""
+def history(log: DataFrame, spec: TableSpec, skipped: int = 0) -> DataFrame:
+    """One row per version: when it was committed, what it did and to how many rows.
+
+    A log without its first ``skipped`` versions is numbered on from there.
+    """
     committed = F.max(COMMITTED) if COMMITTED in log.columns else F.lit(None).cast("timestamp")
     batches = log.groupBy(BATCH).agg(
         committed.alias("timestamp"),
@@ -41,7 +44,7 @@ def history(log: DataFrame, spec: TableSpec) -> DataFrame:
     )
     first = F.col("version") == 0
     return batches.withColumn(
-        "version", (F.row_number().over(_by_batch()) - 1).cast("long")
+        "version", (F.row_number().over(_by_batch()) + (skipped - 1)).cast("long")
     ).select(
         "version", BATCH, "timestamp",
         F.when(first, "WRITE").otherwise("MERGE").alias("operation"),

@@ -353,7 +353,8 @@ def table_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 def overview(spark: SparkSession, sf_dir: str) -> DataFrame:
     logs = [(feeds.USERS, _late_log(spark, sf_dir)), (ORDERS, feeds.order_log(spark, sf_dir)),
             (PRODUCTS, feeds.product_log(spark, sf_dir))]
-    return reports.overview([(spec, current(log, spec, columns=[]), log) for spec, log in logs])
+    return reports.overview([(spec, current(log, spec, columns=[]), history(log, spec))
+                             for spec, log in logs])
 
 
 QUERIES: dict[str, Query] = {

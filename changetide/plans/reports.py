@@ -10,8 +10,7 @@ from pyspark.sql import functions as F
 
 from ..functions.report import share_of_total, weekday_label
 from ..operators.reconcile import reconcile_summary, verify_rows
-from ..operators.state import as_of
-from ..operators.timeline import history, last_operations, version_row_counts
+from ..operators.timeline import last_operations
 from ..spec import ORDER_PRODUCTS, ORDERS, TableSpec
 from ..streaming.changelog import ChangeLog
 
@@ -62,11 +61,14 @@ def table_counts(tables: Mapping[str, DataFrame]) -> DataFrame:
 
 
 def overview(tables: Sequence[tuple[TableSpec, DataFrame, DataFrame]]) -> DataFrame:
-    """Per table, given as specification, live rows and log: rows, versions, last operation, columns."""
-    def one(spec: TableSpec, rows: DataFrame, log: DataFrame) -> DataFrame:
+    """Row count, number of versions, last operation and columns of each table.
+
+    A table is given as its specification, live rows and history, of which the last row will do.
+    """
+    def one(spec: TableSpec, rows: DataFrame, history: DataFrame) -> DataFrame:
         live = rows.agg(F.count("*").alias("n")).scalar()
-        return history(log, spec).agg(
-            F.count("*").alias("n_versions"),
+        return history.agg(
+            (F.max("version") + 1).alias("n_versions"),
             F.max_by("operation", "version").alias("last_operation"),
         ).select(F.lit(spec.name).alias("table_name"), live.alias("n_rows"), "n_versions",
                  "last_operation", F.lit(",".join(spec.columns)).alias("columns"))
@@ -84,13 +86,12 @@ def current_data(orders: DataFrame) -> dict[str, DataFrame]:
     }
 
 
-def time_travel(log: DataFrame, spec: TableSpec = ORDERS) -> dict[str, DataFrame]:
-    """History, row counts of the first versions, and the first rows at version 0."""
-    counts = version_row_counts(log, spec)
+def time_travel(log: ChangeLog) -> dict[str, DataFrame]:
+    """Last operations, row counts of the first versions, and the first rows at version 0."""
     return {
-        "history": last_operations(history(log, spec), HISTORY_ROWS),
-        "row_counts": counts.filter(F.col("version") < COUNTED_VERSIONS).orderBy("version"),
-        "first_version": sample_rows(as_of(log, spec, version=0), spec.pk, FIRST_VERSION_ROWS),
+        "history": last_operations(log.history(last=HISTORY_ROWS), HISTORY_ROWS),
+        "row_counts": log.version_row_counts(first=COUNTED_VERSIONS).orderBy("version"),
+        "first_version": sample_rows(log.as_of(version=0), log.spec.pk, FIRST_VERSION_ROWS),
     }
 
 
@@ -126,7 +127,7 @@ def metadata(log: ChangeLog) -> dict[str, DataFrame]:
     files = log.files()
     return {
         "detail": log.detail(),
-        "operations": last_operations(log.history(), LAST_OPERATIONS),
+        "operations": last_operations(log.history(last=LAST_OPERATIONS), LAST_OPERATIONS),
         "file_count": table_counts({log.spec.name: files}).withColumnRenamed("n_rows", "n_files"),
         "files": files.select("file_name", "kb").orderBy("file_name").limit(LISTED_FILES),
     }
@@ -142,13 +143,13 @@ def stored_reports(logs: Mapping[str, ChangeLog],
     builders: dict[str, Callable[[], dict[str, DataFrame]]] = {}
     if present:
         builders["overview"] = lambda: {
-            "overview": overview([(log.spec, log.current(columns=[]), log.read())
+            "overview": overview([(log.spec, log.current(columns=[]), log.history(last=1))
                                   for log in present.values()])}
     if ORDERS.name in present:
         log, lines = present[ORDERS.name], present.get(ORDER_PRODUCTS.name)
         builders.update({
             "current": lambda: current_data(log.current()),
-            "time-travel": lambda: time_travel(log.read(), log.spec),
+            "time-travel": lambda: time_travel(log),
             "analytics": lambda: analytics(log.current(), lines.current() if lines else None),
             "metadata": lambda: metadata(log),
         })

@@ -218,11 +218,16 @@ class ChangeLog:
         state.published(self.current(mode), self.spec).createOrReplaceTempView(
             name or self.spec.name)
 
-    def history(self) -> DataFrame:
-        return timeline.history(self.read(), self.spec)
+    def history(self, last: int | None = None) -> DataFrame:
+        """History of all versions, or of the last ones, whose batches alone are opened."""
+        batches = self.batches()
+        skipped = 0 if last is None else max(0, len(batches) - last)
+        return timeline.history(self._stored(batches[skipped:], CHANGES), self.spec, skipped)
 
-    def version_row_counts(self, mode: str = ORDERED) -> DataFrame:
-        return timeline.version_row_counts(self.read(), self.spec, mode)
+    def version_row_counts(self, mode: str = ORDERED, first: int | None = None) -> DataFrame:
+        """Row counts of all versions, or of the first ones, whose batches alone are opened."""
+        return timeline.version_row_counts(
+            self._stored(self.batches()[:first], CHANGES), self.spec, mode)
 
     def batch_metrics(self) -> DataFrame:
         """Messages of every committed batch by kind, rejects included."""

@@ -31,11 +31,3 @@ def test_load_then_report(spark, tmp_path, capsys):
 def test_unknown_report_is_refused(spark):
     with pytest.raises(SystemExit):
         main(["report", "--base", "x", "--demo", "nothing"])
-
-
-def test_delta_target_says_what_is_missing(spark):
-    from changetide.spec import ORDERS
-    from changetide.streaming.delta import make_delta_writer
-
-    with pytest.raises(ImportError, match="delta"):
-        make_delta_writer(ORDERS, "x")

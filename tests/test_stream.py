@@ -12,7 +12,7 @@ from changetide.streaming import (
 )
 from changetide.streaming.queries import batch_timings
 from changetide.sources import bootstrap
-from changetide.plans.reports import metadata, stored_reports
+from changetide.plans.reports import metadata, stored_reports, time_travel
 
 from helpers import ITEMS, messages_of, payload, state
 
@@ -62,6 +62,16 @@ def test_batches_versions_and_resume(spark, tmp_path):
     assert [(r.operation, r.n_upserts, r.n_deletes) for r in rows] == [
         ("WRITE", 2, 0), ("MERGE", 1, 1), ("MERGE", 2, 0)]
     assert all(r.timestamp is not None for r in rows)
+    last = log.history(last=2)
+    assert [(r.version, r.operation) for r in last.orderBy("version").collect()] == [
+        (1, "MERGE"), (2, "MERGE")]
+    assert all("batch_id=0" not in f for f in last.inputFiles())
+    first = log.version_row_counts(first=2)
+    assert [(r.version, r.n_rows) for r in first.orderBy("version").collect()] == [(0, 2), (1, 1)]
+    assert all("batch_id=2" not in f for f in first.inputFiles())
+    report = time_travel(log)
+    assert [r.version for r in report["history"].collect()] == [2, 1, 0]
+    assert [r.n_rows for r in report["row_counts"].collect()] == [2, 1, 2]
     with pytest.raises(ValueError, match="no version 3"):
         log.as_of(version=3)
 
