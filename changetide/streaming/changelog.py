@@ -113,9 +113,11 @@ class ChangeLog:
 
     def read(self, after: int | None = None, upto: int | None = None) -> DataFrame:
         """Changes of committed batches; directories of other batches are not opened."""
-        return self._stored(
-            [b for b in self.batches()
-             if (after is None or b > after) and (upto is None or b <= upto)], CHANGES)
+        return self._stored(self._between(after, upto), CHANGES)
+
+    def _between(self, after: int | None, upto: int | None) -> list[int]:
+        return [b for b in self.batches()
+                if (after is None or b > after) and (upto is None or b <= upto)]
 
     def rejects(self) -> DataFrame:
         return self._stored(self.committed(REJECTS), REJECTS).select(
@@ -171,8 +173,10 @@ class ChangeLog:
         Where few keys changed since the base, by measure, its other rows are final as they
         are and stay where they are; otherwise all rows are grouped anew.
         """
-        base, tail = self._base(number, mode), self.read(after=number, upto=upto)
-        pk = self.spec.pk
+        base, later, pk = self._base(number, mode), self._between(number, upto), self.spec.pk
+        if not later:
+            return base if columns is None else base.select(pk, *[c for c in columns if c != pk])
+        tail = self._stored(later, CHANGES)
         size = tail.agg(F.sum(F.octet_length(F.col(pk).cast("string")) + 16)).first()[0] or 0
         if size > BROADCAST_BYTES:
             return state.last_changes(base.unionByName(tail), self.spec, mode, columns)
