@@ -2,26 +2,48 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import and_
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 _SOURCE, _REPLICA = "__n_source", "__n_replica"
 
 
-def reconcile(source: DataFrame, replica: DataFrame, pk: str) -> DataFrame:
+def reconcile(source: DataFrame, replica: DataFrame, pk: str,
+              unique_keys: bool = False) -> DataFrame:
     """Each key with its status: equal, different, missing (in the replica) or extra.
 
-    A full outer join with null-safe comparison of all columns would meet every pair of a
-    repeated key. Counting equal rows instead works on keys that are not unique, spreads a
-    frequent key over many tasks, and reduces both sides before the shuffle. A key is
-    equal when both sides hold the same rows equally often.
+    A key is equal when both sides hold the same rows equally often, NULLs being equal.
+    Where the key is unique on both sides, as a primary key is, say so: one join is enough
+    and about twice as fast.
+    """
+    if sorted(source.columns) != sorted(replica.columns):
+        raise ValueError(f"columns differ: {source.columns} and {replica.columns}")
+    return (_joined if unique_keys else _counted)(source, replica, pk)
+
+
+def _joined(source: DataFrame, replica: DataFrame, pk: str) -> DataFrame:
+    rest = [c for c in source.columns if c != pk]
+    here, there = source.alias("here"), replica.alias("there")
+    same = reduce(and_, [F.col(f"here.{c}").eqNullSafe(F.col(f"there.{c}")) for c in rest], F.lit(True))
+    key_here, key_there = F.col(f"here.{pk}"), F.col(f"there.{pk}")
+    return here.join(there, key_here == key_there, "full_outer").select(
+        F.coalesce(key_here, key_there).alias(pk),
+        F.when(key_there.isNull(), "missing").when(key_here.isNull(), "extra")
+         .when(same, "equal").otherwise("different").alias("status"))
+
+
+def _counted(source: DataFrame, replica: DataFrame, pk: str) -> DataFrame:
+    """By counting equal rows, where a join would meet every pair of a repeated key.
+
+    A frequent key is spread over many tasks, and both aggregations begin before the shuffle.
     """
-    columns = source.columns
-    if sorted(columns) != sorted(replica.columns):
-        raise ValueError(f"columns differ: {columns} and {replica.columns}")
     both = source.withColumns({_SOURCE: F.lit(1), _REPLICA: F.lit(0)}).unionByName(
         replica.withColumns({_SOURCE: F.lit(0), _REPLICA: F.lit(1)}))
-    rows = both.groupBy(*columns).agg(F.sum(_SOURCE).alias(_SOURCE), F.sum(_REPLICA).alias(_REPLICA))
+    rows = both.groupBy(*source.columns).agg(
+        F.sum(_SOURCE).alias(_SOURCE), F.sum(_REPLICA).alias(_REPLICA))
     keys = rows.groupBy(pk).agg(
         F.sum(_SOURCE).alias(_SOURCE), F.sum(_REPLICA).alias(_REPLICA),
         F.bool_and(F.col(_SOURCE) == F.col(_REPLICA)).alias("same"))
@@ -31,8 +53,10 @@ def reconcile(source: DataFrame, replica: DataFrame, pk: str) -> DataFrame:
          .when(F.col("same"), "equal").otherwise("different").alias("status"))
 
 
-def reconcile_summary(source: DataFrame, replica: DataFrame, pk: str) -> DataFrame:
-    return reconcile(source, replica, pk).groupBy("status").agg(F.count("*").alias("n_keys"))
+def reconcile_summary(source: DataFrame, replica: DataFrame, pk: str,
+                      unique_keys: bool = False) -> DataFrame:
+    return reconcile(source, replica, pk, unique_keys).groupBy("status").agg(
+        F.count("*").alias("n_keys"))
 
 
 def verify_rows(source: DataFrame, replica: DataFrame, pk: str, column: str) -> DataFrame:

@@ -220,6 +220,11 @@ def reconciled(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reconcile(parts, _replica(parts), PRODUCTS.pk)
 
 
+def reconciled_by_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    parts = feeds.product_rows(spark, sf_dir)
+    return reconcile(parts, _replica(parts), PRODUCTS.pk, unique_keys=True)
+
+
 def verified_key(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One part on both sides after an update that the replica has not seen."""
     parts = feeds.product_rows(spark, sf_dir)
@@ -380,6 +385,7 @@ QUERIES: dict[str, Query] = {
     "update_where_logged": updated_where_logged,
     "cascade_delete": cascaded,
     "reconcile": reconciled,
+    "reconcile_unique_keys": reconciled_by_join,
     "verify_key": verified_key,
     "csv_snapshot_load": csv_loaded,
     "csv_numbered_load": csv_numbered,

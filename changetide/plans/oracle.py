@@ -109,6 +109,16 @@ replica AS (
   FROM products WHERE product_id % 83 = 0
 )"""
 
+_RECONCILED = f"""
+WITH {_PRODUCTS}, {_REPLICA}
+SELECT coalesce(s.product_id, r.product_id) AS product_id,
+       CASE WHEN r.product_id IS NULL THEN 'missing' WHEN s.product_id IS NULL THEN 'extra'
+            WHEN s.product_name IS NOT DISTINCT FROM r.product_name
+             AND s.aisle_id IS NOT DISTINCT FROM r.aisle_id
+             AND s.department_id IS NOT DISTINCT FROM r.department_id THEN 'equal'
+            ELSE 'different' END AS status
+FROM products s FULL OUTER JOIN replica r ON s.product_id = r.product_id"""
+
 _UPDATED = """
 SELECT CAST(o_orderkey AS INTEGER) AS order_id, CAST(o_custkey AS INTEGER) AS user_id,
        CASE WHEN o_orderstatus = 'P' THEN 'cancelled' ELSE o_orderstatus END AS status,
@@ -205,15 +215,8 @@ UNION ALL
 SELECT 'lineitem', l_orderkey, count(*) FROM lineitem l
 WHERE NOT EXISTS (SELECT 1 FROM orders o WHERE o.o_orderkey = l.l_orderkey AND o.o_orderstatus = 'F')
 GROUP BY l_orderkey""",
-    "reconcile": f"""
-WITH {_PRODUCTS}, {_REPLICA}
-SELECT coalesce(s.product_id, r.product_id) AS product_id,
-       CASE WHEN r.product_id IS NULL THEN 'missing' WHEN s.product_id IS NULL THEN 'extra'
-            WHEN s.product_name IS NOT DISTINCT FROM r.product_name
-             AND s.aisle_id IS NOT DISTINCT FROM r.aisle_id
-             AND s.department_id IS NOT DISTINCT FROM r.department_id THEN 'equal'
-            ELSE 'different' END AS status
-FROM products s FULL OUTER JOIN replica r ON s.product_id = r.product_id""",
+    "reconcile": _RECONCILED,
+    "reconcile_unique_keys": _RECONCILED,
     "verify_key": f"""
 WITH {_PRODUCTS}
 SELECT product_id, 0 AS source_value, aisle_id AS replica_value, aisle_id = 0 AS in_sync

@@ -69,7 +69,9 @@ def test_merges_equal_dictionaries(spark, old, new):
     assert state(insert_if_absent(target, source, "k")) == {**new, **old}
     expected = {k: "missing" if k not in new else "extra" if k not in old
                 else "equal" if old[k] == new[k] else "different" for k in {**old, **new}}
-    assert {r.k: r.status for r in reconcile(target, source, "k").collect()} == expected
+    for unique in (False, True):
+        found = reconcile(target, source, "k", unique_keys=unique).collect()
+        assert {r.k: r.status for r in found} == expected
 
 
 def test_update_where_leaves_null_conditions_alone(spark):
@@ -105,6 +107,9 @@ def test_reconcile(spark):
     result = {r.k: r.status for r in reconcile(source, replica, "k").collect()}
     assert result == {1: "equal", 2: "equal", 3: "different", 4: "missing", 5: "extra",
                       6: "equal", 8: "different"}
+    unique = source.filter("k < 6"), replica.filter("k < 6")
+    joined = {r.k: r.status for r in reconcile(*unique, "k", unique_keys=True).collect()}
+    assert joined == {k: status for k, status in result.items() if k < 6}
     summary = {r.status: r.n_keys for r in reconcile_summary(source, replica, "k").collect()}
     assert summary == {"equal": 3, "different": 2, "missing": 1, "extra": 1}
 
