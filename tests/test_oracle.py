@@ -58,3 +58,17 @@ def test_rows_only_query_has_rows(spark, name):
 
 def test_entry(spark):
     assert entry.entry(spark).count() == 12
+
+
+@pytest.mark.parametrize("name", ["current_state", "history", "hour_share", "csv_snapshot_load"])
+def test_results_do_not_depend_on_the_session_time_zone(spark, name):
+    def rows():
+        frame = QUERIES[name](spark, SF_DIR)
+        return ordered(frame.columns, [tuple(r) for r in frame.collect()])
+
+    expected = rows()
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        assert rows() == expected
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")

@@ -75,6 +75,8 @@ def test_a_base_is_not_shuffled_for_a_few_changed_keys(spark, log):
     assert "LeftAnti, BuildRight" in plan and "SortMergeJoin" not in plan
     untouched = plan[:plan.index("LeftAnti")]
     assert "hashpartitioning" not in untouched
+    found = plan_of(log.lookup(7))
+    assert found.count("FileScan") == found.count("EqualTo(k,7)") == 2
     log.compact()
     assert "Exchange" not in plan_of(log.current())
 
