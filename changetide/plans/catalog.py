@@ -15,7 +15,6 @@ from ..operators import (
 )
 from ..operators.decode import classify, decode, to_messages
 from ..sources import bootstrap, flatten_envelope, load_csv, route, scratch_dir, to_changes
-from ..sources.messages import spread
 from ..spec import (
     BATCH, KIND, OFFSET, ORDER_PRODUCTS, ORDERS, PARTIAL, PRODUCTS, REASON, UPSERT, DELETE, TableSpec,
 )
@@ -36,8 +35,8 @@ _EXTRA_KEYS = 10_000_000
 
 
 def decode_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    events = spread(feeds.table(spark, sf_dir, "events"), spark.sparkContext.defaultParallelism)
-    return decode(feeds.event_messages(events, damaged=True), feeds.USERS).select(
+    messages = feeds.event_messages(feeds.spread_table(spark, sf_dir, "events"), damaged=True)
+    return decode(messages, feeds.USERS).select(
         F.col(OFFSET).alias("msg_offset"), "user_id", "event_id", "event_type", "value", "props",
         F.col("__op").alias("op"), F.col("__deleted").alias("deleted"),
         F.col("__source_ts_ms").alias("source_ts_ms"))
@@ -238,14 +237,15 @@ def verified_key(spark: SparkSession, sf_dir: str) -> DataFrame:
 def csv_loaded(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All orders written as CSV and loaded; the first candidate file does not exist."""
     path = scratch_dir(spark, "orders-csv")
-    feeds.order_rows(spark, sf_dir).write.option("header", True).option("escape", '"').csv(path)
+    rows = feeds.as_orders(feeds.spread_table(spark, sf_dir, "orders"))
+    rows.write.option("header", True).option("escape", '"').csv(path)
     return load_csv(spark, [f"{path}-missing", path], ORDERS)
 
 
 def csv_numbered(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All line items written as CSV without a key; the loader numbers them."""
     path = scratch_dir(spark, "lines-csv")
-    feeds.table(spark, sf_dir, "lineitem").select(
+    feeds.spread_table(spark, sf_dir, "lineitem").select(
         F.col("l_orderkey").alias("order_id"), F.col("l_partkey").alias("product_id"),
         F.col("l_linenumber").alias("add_to_cart_order"),
     ).write.option("header", True).csv(path)

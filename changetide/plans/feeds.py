@@ -40,6 +40,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def spread_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A given table for work that is costly per row, over all cores even if it is one small file."""
+    return spread(table(spark, sf_dir, name), spark.sparkContext.defaultParallelism)
+
+
 def millis(ts: str) -> str:
     """Milliseconds of a timestamp without zone, read as UTC in any session time zone."""
     return f"unix_millis(from_utc_timestamp(CAST({ts} AS TIMESTAMP), current_timezone()))"
@@ -81,9 +86,7 @@ def event_messages(events: DataFrame, late: bool = False, damaged: bool = False)
 
 def classified_events(spark: SparkSession, sf_dir: str, late: bool = False,
                       damaged: bool = False) -> DataFrame:
-    """Messages of all events, decoded with all cores even where the table is one small file."""
-    events = spread(table(spark, sf_dir, "events"), spark.sparkContext.defaultParallelism)
-    messages = event_messages(events, late, damaged)
+    messages = event_messages(spread_table(spark, sf_dir, "events"), late, damaged)
     return classify(decode(messages, USERS), USERS)
 
 

@@ -46,7 +46,7 @@ def ingested(spark: SparkSession, sf_dir: str) -> tuple[ChangeLog, StreamingQuer
 def replayed(spark: SparkSession, sf_dir: str) -> ChangeLog:
     """The same, with the first batch delivered a second time."""
     log, _ = ingested(spark, sf_dir)
-    messages = feeds.event_messages(feeds.table(spark, sf_dir, "events")).drop(BATCH)
+    messages = feeds.event_messages(feeds.spread_table(spark, sf_dir, "events")).drop(BATCH)
     make_batch_writer(log.spec, log.root)(messages, log.batches()[0])
     return log
 
@@ -64,7 +64,7 @@ def resumed(spark: SparkSession, sf_dir: str) -> ChangeLog:
 @lru_cache(maxsize=8)
 def _resumed(spark: SparkSession, application: str, sf_dir: str) -> ChangeLog:
     root, landing = scratch_dir(spark, "resume"), scratch_dir(spark, "landing")
-    messages = feeds.event_messages(feeds.table(spark, sf_dir, "events"), late=True)
+    messages = feeds.event_messages(feeds.spread_table(spark, sf_dir, "events"), late=True)
     for first, following in zip(DELIVERIES, [*DELIVERIES[1:], None]):
         day = F.col(BATCH)
         wanted = day >= first if following is None else (day >= first) & (day < following)
