@@ -3,10 +3,14 @@
 from __future__ import annotations
 
 from .bpe import op9_bpe
+from .order_minhash import op7_order_minhash
 from .sharding import op6_jump_shards
+from .vectors import op4_near_vectors
 
 QUERIES = {
+    "op4_near_vectors": op4_near_vectors,
     "op6_jump_shards": op6_jump_shards,
+    "op7_order_minhash": op7_order_minhash,
     "op9_bpe": op9_bpe,
 }
 
