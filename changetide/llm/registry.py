@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 from .bpe import op9_bpe
+from .jaccard import op8_jaccard_join
 from .order_minhash import op7_order_minhash
+from .repeats import op10_repeated_strings
 from .sharding import op6_jump_shards
 from .vectors import op4_near_vectors
 
@@ -11,7 +13,9 @@ QUERIES = {
     "op4_near_vectors": op4_near_vectors,
     "op6_jump_shards": op6_jump_shards,
     "op7_order_minhash": op7_order_minhash,
+    "op8_jaccard_join": op8_jaccard_join,
     "op9_bpe": op9_bpe,
+    "op10_repeated_strings": op10_repeated_strings,
 }
 
 ORACLE: dict[str, str] = {}
