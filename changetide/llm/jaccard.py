@@ -27,9 +27,10 @@ from .tables import mixed, pieces, stored, table, utf8
 from .words import shingle_sets
 
 WORDS, PERCENT = 3, 90
-LEAF = 1024       # rows of a region that one task compares
-PIVOTS = 16       # documents that cut a larger one
+LEAF = 8192       # rows of a region that one task compares
+PIVOTS = 8        # documents that cut a larger one
 LEVELS = 3        # cuts, before the rest is joined in blocks
+SPREAD = 2        # cells that a member may be in on average, for a cut to be worth it
 CHUNK = 1 << 21   # bytes of text looked at together
 FILTER_BITS = 1 << 24
 
@@ -230,7 +231,7 @@ def _verified(pairs: DataFrame, documents: DataFrame, named: DataFrame, key: str
 
 
 def _cut(rows: DataFrame, sizes: DataFrame, level: int, percent: int) -> DataFrame:
-    """Members of large regions, each in its nearest pivot's cell and in all cells that its window reaches."""
+    """Members of large regions with ``cells``: their nearest pivot's, and all others that their window reaches."""
     joined = rows.join(sizes, "region")
     drawn = F.pmod(F.xxhash64("name", F.lit(level)), F.ceil(F.col("size") / PIVOTS)) == 0
     pivots = joined.groupBy("region").agg(
@@ -243,21 +244,19 @@ def _cut(rows: DataFrame, sizes: DataFrame, level: int, percent: int) -> DataFra
                 continue
             own = np.frombuffer(b"".join(batch.column("sketch").to_pylist()), np.uint64).reshape(-1, 4)
             n = batch.column("n").to_numpy(zero_copy_only=False)
-            region = batch.column("region").to_numpy(zero_copy_only=False)
-            lists = batch.column("pivots").to_pylist()
-            at, cell = [], []
-            for i, found in enumerate(lists):
+            region = batch.column("region").to_numpy(zero_copy_only=False).view(np.uint64)
+            reached = []
+            for i, found in enumerate(batch.column("pivots").to_pylist()):
                 marks = np.frombuffer(b"".join(found), np.uint64).reshape(-1, 4)
                 apart = np.bitwise_count(marks ^ own[i]).sum(axis=1).astype(np.int64)
                 reach = np.flatnonzero(apart <= apart.min() + 2 * (n[i] * (100 - percent) // percent))
-                at.append(np.full(len(reach), i))
-                cell.append(reach)
-            at, cell = np.concatenate(at), np.concatenate(cell)
-            names = mixed(region[at].view(np.uint64) ^ mixed(cell.astype(np.uint64), level + 20)).view(np.int64)
-            out = batch.select(["name", "n", "sketch", "component"]).take(pa.array(at))
-            yield pa.RecordBatch.from_arrays([pa.array(names), *out.columns], ["region", *out.schema.names])
+                reached.append(mixed(region[i] ^ mixed(reach.astype(np.uint64), level + 20)).view(np.int64))
+            out = batch.select(["region", "name", "n", "sketch", "component"])
+            yield pa.RecordBatch.from_arrays(
+                [*out.columns, pa.array(reached, pa.list_(pa.int64()))], [*out.schema.names, "cells"])
 
-    return rows.join(pivots, "region").mapInArrow(cells, "region long, name long, n long, sketch binary, component long")
+    return rows.join(pivots, "region").mapInArrow(
+        cells, "region long, name long, n long, sketch binary, component long, cells array<long>")
 
 
 def _blocks(rows: DataFrame, sizes: DataFrame, leaf: int) -> DataFrame:
@@ -335,7 +334,12 @@ def _region_pairs(rows: DataFrame, percent: int, leaf: int, levels: int) -> Data
         kept = rows.join(large.select("region"), "region", "left_semi")
         if level == levels:
             return found.union(_leaf_pairs(_blocks(kept, large, leaf), percent))
-        rows = stored(_cut(kept, large, level, percent).dropDuplicates(["region", "name"]), "cells")
+        cells = stored(_cut(kept, large, level, percent), "cells")
+        # Where windows reach nearly all cells, a cut only multiplies rows; such a region goes to blocks at once.
+        spread = cells.groupBy("region").agg((F.sum(F.size("cells")) <= SPREAD * F.count("*")).alias("worth"))
+        cut = cells.join(stored(spread, "spread"), "region")
+        found = found.union(_leaf_pairs(_blocks(cut.filter("not worth").drop("worth", "cells"), large, leaf), percent))
+        rows = cut.filter("worth").withColumn("region", F.explode("cells")).drop("worth", "cells").dropDuplicates(["region", "name"])
     return found
 
 

@@ -2,15 +2,23 @@
 
 from __future__ import annotations
 
+from .attention import op3_attention_scores
 from .bpe import op9_bpe
 from .jaccard import op8_jaccard_join
+from .language import op1_page_languages
+from .mixing import op5_mixed_rates
 from .order_minhash import op7_order_minhash
+from .packing import op2_packed_rows
 from .repeats import op10_repeated_strings
 from .sharding import op6_jump_shards
 from .vectors import op4_near_vectors
 
 QUERIES = {
+    "op1_page_languages": op1_page_languages,
+    "op2_packed_rows": op2_packed_rows,
+    "op3_attention_scores": op3_attention_scores,
     "op4_near_vectors": op4_near_vectors,
+    "op5_mixed_rates": op5_mixed_rates,
     "op6_jump_shards": op6_jump_shards,
     "op7_order_minhash": op7_order_minhash,
     "op8_jaccard_join": op8_jaccard_join,
