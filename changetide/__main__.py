@@ -10,13 +10,12 @@ from __future__ import annotations
 
 import argparse
 import sys
-import time
 
 from pyspark.sql import SparkSession
 
 from .plans import reports
 from .sources import bootstrap, kafka_messages, load_shop_tables
-from .sources.bulk import DEFAULT_LIMIT
+from .sources.bulk import BEFORE_ALL
 from .spec import SHOP_TABLES
 from .streaming import ChangeLog, start_all, stop_all, write_snapshot
 
@@ -30,9 +29,8 @@ def _logs(spark: SparkSession, base: str) -> dict[str, ChangeLog]:
 def load(spark: SparkSession, args: argparse.Namespace) -> None:
     """Bulk files as the snapshot that precedes the streams."""
     tables = load_shop_tables(spark, args.data_dir, args.limit)
-    now = int(time.time() * 1000)
     for spec in SHOP_TABLES:
-        write_snapshot(bootstrap(tables[spec.name], spec, now), spec, f"{args.base}/{spec.name}")
+        write_snapshot(bootstrap(tables[spec.name], spec, args.exported), spec, f"{args.base}/{spec.name}")
     stored = {name: log.current(columns=[]) for name, log in _logs(spark, args.base).items()}
     reports.table_counts(stored).show(truncate=False)
 
@@ -78,7 +76,9 @@ def main(argv: list[str]) -> None:
     loading, verifying = commands.add_parser("load"), commands.add_parser("verify")
     for command in (loading, verifying):
         command.add_argument("--data-dir", required=True)
-        command.add_argument("--limit", type=int, default=DEFAULT_LIMIT)
+        command.add_argument("--limit", type=int, help="first rows of each file; all if absent")
+
+    loading.add_argument("--exported", type=int, default=BEFORE_ALL, help="time of export in ms")
 
     ingesting = commands.add_parser("ingest")
     ingesting.add_argument("--servers", required=True)

@@ -11,13 +11,14 @@ _ROW = "__row"
 
 
 def one_per_key(rows: DataFrame, pk: str, order: Sequence[str] | None = None) -> DataFrame:
-    """One row per key: the greatest by ``order``, or an error where a key repeats.
+    """One row per key: the greatest by ``order``, or an error where a key repeats. Rows without a key all stay.
 
     Rows are reduced before the shuffle, so a key that fills a third of the input
     reaches its reducer as one row per map task.
     """
     names = rows.columns
     rest = [c for c in names if c != pk]
+    rows, keyless = rows.filter(F.col(pk).isNotNull()), rows.filter(F.col(pk).isNull())
     keyed = rows.groupBy(pk)
     if order:
         packed = F.struct(*[F.col(c).alias(f"__by{i}") for i, c in enumerate(order)], *rest)
@@ -25,9 +26,9 @@ def one_per_key(rows: DataFrame, pk: str, order: Sequence[str] | None = None) ->
     else:
         repeated = F.concat(F.lit(f"several rows for {pk} = "), F.col(pk).cast("string"))
         found = keyed.agg(F.first(F.struct(*rest)).alias(_ROW), F.count("*").alias("n")).withColumn(
-            _ROW, F.when((F.col("n") == 1) | F.col(pk).isNull(), F.col(_ROW))
+            _ROW, F.when(F.col("n") == 1, F.col(_ROW))
                    .otherwise(F.raise_error(repeated)))
-    return found.select(*[F.col(c) if c == pk else F.col(_ROW)[c].alias(c) for c in names])
+    return found.select(*[F.col(c) if c == pk else F.col(_ROW)[c].alias(c) for c in names]).unionByName(keyless)
 
 
 def merge_upsert(target: DataFrame, source: DataFrame, pk: str,
@@ -50,6 +51,7 @@ def merge_delete(target: DataFrame, keys: DataFrame, pk: str) -> DataFrame:
 def insert_if_absent(target: DataFrame, source: DataFrame, pk: str,
                      order: Sequence[str] | None = None) -> DataFrame:
     """Add source rows whose key the target lacks; the least by ``order`` wins among copies.
+    Rows without a key match nothing, so all of them are added.
 
     The keys both sides share are found first. That join may send the small source to the
     target's tasks, where comparing the source with the target's keys could not.
@@ -59,8 +61,9 @@ def insert_if_absent(target: DataFrame, source: DataFrame, pk: str,
     if order:
         rest = [c for c in names if c != pk]
         packed = F.struct(*[F.col(c).alias(f"__by{i}") for i, c in enumerate(order)], *rest)
-        incoming = source.groupBy(pk).agg(F.min(packed).alias(_ROW)).select(
-            *[F.col(c) if c == pk else F.col(_ROW)[c].alias(c) for c in names])
+        incoming = source.filter(F.col(pk).isNotNull()).groupBy(pk).agg(F.min(packed).alias(_ROW)).select(
+            *[F.col(c) if c == pk else F.col(_ROW)[c].alias(c) for c in names]).unionByName(
+                incoming.filter(F.col(pk).isNull()))
     else:
         incoming = one_per_key(incoming, pk)
     shared = target.select(pk).join(source.select(pk).distinct(), pk, "left_semi")

@@ -26,12 +26,13 @@ def reconcile(source: DataFrame, replica: DataFrame, pk: str,
 
 def _joined(source: DataFrame, replica: DataFrame, pk: str) -> DataFrame:
     rest = [c for c in source.columns if c != pk]
-    here, there = source.alias("here"), replica.alias("there")
+    here = source.withColumn(_SOURCE, F.lit(True)).alias("here")
+    there = replica.withColumn(_REPLICA, F.lit(True)).alias("there")
     same = reduce(and_, [F.col(f"here.{c}").eqNullSafe(F.col(f"there.{c}")) for c in rest], F.lit(True))
     key_here, key_there = F.col(f"here.{pk}"), F.col(f"there.{pk}")
     return here.join(there, key_here == key_there, "full_outer").select(
         F.coalesce(key_here, key_there).alias(pk),
-        F.when(key_there.isNull(), "missing").when(key_here.isNull(), "extra")
+        F.when(F.col(_REPLICA).isNull(), "missing").when(F.col(_SOURCE).isNull(), "extra")
          .when(same, "equal").otherwise("different").alias("status"))
 
 
@@ -60,7 +61,7 @@ def reconcile_summary(source: DataFrame, replica: DataFrame, pk: str,
 
 
 def verify_rows(source: DataFrame, replica: DataFrame, pk: str, column: str) -> DataFrame:
-    """One column of each key on both sides, and whether the replica has caught up."""
+    """One column of each key on both sides, and whether the replica has caught up: as many rows, the same greatest value."""
     def side(rows: DataFrame, name: str) -> DataFrame:
         return rows.select(pk, F.lit(name).alias("side"), F.col(column).alias("v"))
 
@@ -73,7 +74,7 @@ def verify_rows(source: DataFrame, replica: DataFrame, pk: str, column: str) ->
         F.count_if(F.col("side") == "source").alias("here"),
         F.count_if(F.col("side") == "replica").alias("there"),
     ).select(pk, "source_value", "replica_value",
-             ((F.col("here") > 0) & (F.col("there") > 0)
+             ((F.col("here") > 0) & (F.col("here") == F.col("there"))
               & F.col("source_value").eqNullSafe(F.col("replica_value"))).alias("in_sync"))
 
 

@@ -73,12 +73,13 @@ def up_to(log: DataFrame, version: int | None = None, ts_ms: int | None = None)
     if ts_ms is not None:
         return log.filter(F.col(SOURCE_TS) <= F.lit(ts_ms).cast("long"))
     last = versions(log).filter(F.col("version") == version).select(BATCH).scalar()
-    return log.filter(F.col(BATCH) <= last)
+    known = F.coalesce(last, F.raise_error(F.lit(f"the log has no version {version}")).cast("long"))
+    return log.filter(F.col(BATCH) <= known)
 
 
 def as_of(log: DataFrame, spec: TableSpec, version: int | None = None, ts_ms: int | None = None,
           mode: str = ORDERED, columns: Iterable[str] | None = None) -> DataFrame:
-    """State at a version, or at a source time. A version that does not exist is empty."""
+    """State at a version, or at a source time. A version that does not exist is an error when rows are read."""
     return current(up_to(log, version, ts_ms), spec, mode, columns)
 
 

@@ -35,7 +35,7 @@ _EXTRA_KEYS = 10_000_000
 
 
 def decode_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    messages = feeds.event_messages(feeds.spread_table(spark, sf_dir, "events"), damaged=True)
+    messages = feeds.event_messages(feeds.table(spark, sf_dir, "events"), damaged=True)
     return decode(messages, feeds.USERS).select(
         F.col(OFFSET).alias("msg_offset"), "user_id", "event_id", "event_type", "value", "props",
         F.col("__op").alias("op"), F.col("__deleted").alias("deleted"),
@@ -237,7 +237,7 @@ def verified_key(spark: SparkSession, sf_dir: str) -> DataFrame:
 def csv_loaded(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All orders written as CSV and loaded; the first candidate file does not exist."""
     path = scratch_dir(spark, "orders-csv")
-    rows = feeds.as_orders(feeds.spread_table(spark, sf_dir, "orders"))
+    rows = feeds.as_orders(feeds.table(spark, sf_dir, "orders"))
     rows.write.option("header", True).option("escape", '"').csv(path)
     return load_csv(spark, [f"{path}-missing", path], ORDERS)
 
@@ -245,7 +245,7 @@ def csv_loaded(spark: SparkSession, sf_dir: str) -> DataFrame:
 def csv_numbered(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All line items written as CSV without a key; the loader numbers them."""
     path = scratch_dir(spark, "lines-csv")
-    feeds.spread_table(spark, sf_dir, "lineitem").select(
+    feeds.table(spark, sf_dir, "lineitem").select(
         F.col("l_orderkey").alias("order_id"), F.col("l_partkey").alias("product_id"),
         F.col("l_linenumber").alias("add_to_cart_order"),
     ).write.option("header", True).csv(path)

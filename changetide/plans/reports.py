@@ -17,7 +17,7 @@ from ..streaming.changelog import ChangeLog
 # Lengths of the report lists.
 SAMPLE_ROWS, FIRST_VERSION_ROWS = 10, 5
 TOP_HOURS, HOUR_SHARES, TOP_PRODUCTS = 5, 10, 10
-HISTORY_ROWS, COUNTED_VERSIONS, LAST_OPERATIONS, LISTED_FILES = 20, 10, 5, 5
+HISTORY_ROWS, LAST_OPERATIONS, LISTED_FILES = 20, 5, 5
 
 
 # -- building blocks ----------------------------------------------------------------
@@ -86,11 +86,11 @@ def current_data(orders: DataFrame) -> dict[str, DataFrame]:
     }
 
 
-def time_travel(log: ChangeLog) -> dict[str, DataFrame]:
-    """Last operations, row counts of the first versions, and the first rows at version 0."""
+def time_travel(log: ChangeLog, history: int = HISTORY_ROWS, versions: int | None = None) -> dict[str, DataFrame]:
+    """The last operations, row counts of all or the first versions, and the first rows at version 0."""
     return {
-        "history": last_operations(log.history(last=HISTORY_ROWS), HISTORY_ROWS),
-        "row_counts": log.version_row_counts(first=COUNTED_VERSIONS).orderBy("version"),
+        "history": last_operations(log.history(last=history), history),
+        "row_counts": log.version_row_counts(first=versions).orderBy("version"),
         "first_version": sample_rows(log.as_of(version=0), log.spec.pk, FIRST_VERSION_ROWS),
     }
 

@@ -13,10 +13,12 @@ from ..spec import (
 )
 from .paths import first_existing, input_files, written
 
-# Rows loaded per bulk file, and how many more for the line items.
-DEFAULT_LIMIT = 50_000
+# Fixed value: how many more rows a limit allows for the line items.
 LINES_PER_ORDER = 3
 
+# Source time of a snapshot whose time of export is not known.
+BEFORE_ALL = 0
+
 _FILE, _SPLIT, _PLACE, _FIRST, _BEFORE = "__file", "__split", "__place", "__first", "__before"
 
 
@@ -109,8 +111,8 @@ def load_csv(spark: SparkSession, candidates: list[str], spec: TableSpec,
 
 
 def load_shop_tables(spark: SparkSession, data_dir: str,
-                     limit: int | None = DEFAULT_LIMIT) -> dict[str, DataFrame]:
-    """The three shop tables of a folder of CSV files, by table name."""
+                     limit: int | None = None) -> dict[str, DataFrame]:
+    """The three shop tables of a folder of CSV files, by table name; all rows unless a limit is given."""
     lines = None if limit is None else limit * LINES_PER_ORDER
     return {
         ORDERS.name: load_csv(spark, [f"{data_dir}/orders.csv"], ORDERS, limit),
@@ -152,6 +154,10 @@ def to_changes(rows: DataFrame, spec: TableSpec, op: str, ts_ms: int) -> DataFra
         *[c for c in rows.columns if c not in {*spec.columns, BROKER_TS, PARTITION, OFFSET}])
 
 
-def bootstrap(rows: DataFrame, spec: TableSpec, ts_ms: int) -> DataFrame:
-    """Rows of an initial snapshot as changes; any later change of a key replaces its row."""
+def bootstrap(rows: DataFrame, spec: TableSpec, ts_ms: int = BEFORE_ALL) -> DataFrame:
+    """Rows of an initial snapshot as changes; any change of a key after ``ts_ms`` replaces its row.
+
+    Without a time the snapshot stands before every change of the stream, whenever it is loaded, so that
+    it hides none made between export and load.
+    """
     return to_changes(rows, spec, "r", ts_ms)

@@ -63,18 +63,9 @@ def text_messages(spark: SparkSession, path: str, topic: str,
         F.lit(None).cast("long").alias("offset"))
 
 
-def spread(frame: DataFrame, tasks: int) -> DataFrame:
-    """At least this many tasks: a frame read in fewer parts is shuffled, any other left alone.
-
-    A read in few parts is a small one, or one that cannot be split; decoding it takes far
-    longer than moving it.
-    """
-    return frame.repartition(tasks) if frame.rdd.getNumPartitions() < tasks else frame
-
-
 def with_tasks(frame: DataFrame, tasks: int) -> DataFrame:
-    """About this many tasks: more parts are merged without a shuffle, fewer are spread."""
-    return spread(frame.coalesce(tasks), tasks)
+    """This many tasks, by a shuffle that the caller asks for; a scan's splits are set by configuration."""
+    return frame.repartition(tasks)
 
 
 def route(messages: DataFrame, specs: Sequence[TableSpec], prefix: str,

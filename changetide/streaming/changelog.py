@@ -32,9 +32,6 @@ LANE, CHANGES, REJECTS = "lane", "changes", "rejects"
 # The initial snapshot comes before batch 0 of the stream.
 SNAPSHOT_BATCH = -1
 
-# Keys changed since the base are sent to every task only up to this size.
-BROADCAST_BYTES = 64 * 1024 * 1024
-
 
 def batch_path(root: str, batch_id: int) -> str:
     return f"{root}/batches/{BATCH}={batch_id}"
@@ -170,17 +167,14 @@ class ChangeLog:
                  columns: list[str] | None = None) -> DataFrame:
         """The deciding change of every key, from a base and the batches after it.
 
-        Where few keys changed since the base, by measure, its other rows are final as they
-        are and stay where they are; otherwise all rows are grouped anew.
+        Only keys that changed since the base are grouped anew; its other rows are final as they are. Spark
+        sizes the joins when they run: few changed keys go to the base's tasks, many meet it in a shuffle.
         """
         base, later, pk = self._base(number, mode), self._between(number, upto), self.spec.pk
         if not later:
             return base if columns is None else base.select(pk, *[c for c in columns if c != pk])
         tail = self._stored(later, CHANGES)
-        size = tail.agg(F.sum(F.octet_length(F.col(pk).cast("string")) + 16)).first()[0] or 0
-        if size > BROADCAST_BYTES:
-            return state.last_changes(base.unionByName(tail), self.spec, mode, columns)
-        touched = F.broadcast(tail.select(pk).distinct())
+        touched = tail.select(pk).distinct()
         reopened = base.join(touched, pk, "left_semi").select(*tail.columns).unionByName(tail)
         decided = state.last_changes(reopened, self.spec, mode, columns)
         return base.join(touched, pk, "left_anti").select(*decided.columns).unionByName(decided)

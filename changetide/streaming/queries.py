@@ -65,12 +65,16 @@ def await_all(queries: Sequence[StreamingQuery]) -> None:
 
 
 def stop_all(queries: Sequence[StreamingQuery], timeout: int = 15) -> None:
-    """Stop every query, then give each up to ``timeout`` seconds to end."""
-    for query in queries:
-        if query.isActive:
-            query.stop()
-    for query in queries:
-        query.awaitTermination(timeout)
+    """Stop every query, then give each up to ``timeout`` seconds to end; the first failure is raised after all."""
+    failures = []
+    for act in (lambda q: q.stop() if q.isActive else None, lambda q: q.awaitTermination(timeout)):
+        for query in queries:
+            try:
+                act(query)
+            except Exception as failure:  # noqa: BLE001
+                failures.append(failure)
+    if failures:
+        raise failures[0]
 
 
 def progress(spark: SparkSession, queries: Sequence[StreamingQuery]) -> DataFrame:

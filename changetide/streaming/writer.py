@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.decode import classify, decode
@@ -35,22 +35,33 @@ def _commit(classified: DataFrame, spec: TableSpec, root: str, batch_id: int) ->
     commit_batch(spark, root, batch_id)
 
 
+# Bits of a made-up offset for the task and for its row; the batch stands above them.
+_TASK_BITS, _ROW_BITS = 14, 27
+
+
+def _number(batch_id: int) -> Column:
+    """Number of a message whose source gives none: a later batch's are greater than all of an earlier one."""
+    made = F.monotonically_increasing_id()
+    row = made.bitwiseAND((1 << 33) - 1)
+    return (F.lit(batch_id << _TASK_BITS + _ROW_BITS).cast("long")
+            + F.shiftleft(F.shiftright(made, 33), _ROW_BITS) + row)
+
+
 def make_batch_writer(spec: TableSpec, root: str,
                       tasks: int | None = None) -> Callable[[DataFrame, int], None]:
     """A ``foreachBatch`` function that decodes, classifies and commits a batch of messages.
 
-    The batch is read once. An empty one commits nothing; delivered again in place of a
-    batch that had rows, because its source has lost them, it leaves that batch alone.
+    The batch is read once. A batch that is committed stays as it is: delivered again, be it with fewer rows
+    because its source has lost some, it is skipped, so readers never miss it.
     ``tasks`` decodes and writes with that many tasks, and so files: fewer than the source's
     partitions where frequent batches would leave very small files, more where a source has
     few partitions or one that holds most messages.
     """
     def write(messages: DataFrame, batch_id: int) -> None:
-        if is_committed(messages.sparkSession, root, batch_id) and messages.isEmpty():
+        if is_committed(messages.sparkSession, root, batch_id):
             return
         # Only a batch frame, not a stream, can number the messages of a source without offsets.
-        placed = messages.withColumn(
-            "offset", F.coalesce("offset", F.monotonically_increasing_id()))
+        placed = messages.withColumn("offset", F.coalesce("offset", _number(batch_id)))
         if tasks:
             placed = with_tasks(placed, tasks)
         _commit(classify(decode(placed, spec), spec), spec, root, batch_id)

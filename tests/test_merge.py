@@ -153,3 +153,24 @@ def test_cascade_in_log_form(spark):
     child_log = bootstrap(children, lines, 0).unionByName(to_changes(gone, lines, "d", 1))
     assert state(current(parent_log, ITEMS)) == state(kept)
     assert current(child_log, lines).collect() == left.collect()
+
+
+def test_rows_without_a_key_all_stay(spark):
+    target = spark.createDataFrame([(1, 1)], "k INT, v INT")
+    source = spark.createDataFrame([(None, 2), (None, 3), (1, 4)], "k INT, v INT")
+    for merge, kept in ((merge_upsert, 4), (insert_if_absent, 1)):
+        for order in (None, ["v"]):
+            found = sorted(tuple(r) for r in merge(target, source, "k", order).fillna(-1).collect())
+            assert found == [(-1, 2), (-1, 3), (1, kept)]
+
+
+def test_reconcile_of_null_keys_and_copies(spark):
+    one = spark.createDataFrame([(1, 5)], "k INT, v INT")
+    other = spark.createDataFrame([(1, 5), (None, 9)], "k INT, v INT")
+    for unique in (True, False):
+        assert sorted((r["k"] or 0, r["status"]) for r in reconcile(one, other, "k", unique).collect()) == [
+            (0, "extra"), (1, "equal")]
+        assert (None, "missing") in [tuple(r) for r in reconcile(other, one, "k", unique).collect()]
+    copies = spark.createDataFrame([(1, 5), (1, 3)], "k INT, v INT")
+    assert not verify_key(one, copies, "k", 1, "v").first()["in_sync"]
+    assert verify_key(one, one, "k", 1, "v").first()["in_sync"]

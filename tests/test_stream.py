@@ -3,6 +3,7 @@
 import os
 
 import pytest
+from pyspark.sql import functions as F
 
 from changetide.sources import exists, file_messages, scratch_dir, text_messages
 from changetide.spec import ORDERS, PRODUCTS
@@ -103,19 +104,54 @@ def test_the_number_of_tasks_decides_the_number_of_files(spark, tmp_path):
         assert state(log.current()) == {i: i for i in range(40)}
 
 
-def test_replay_replaces_a_batch(spark, tmp_path):
+def test_a_committed_batch_is_never_written_again(spark, tmp_path):
     writer = make_batch_writer(ITEMS, str(tmp_path))
     messages = messages_of(spark, [payload(1, 1), payload(2, 2), "{bad"])
     writer(messages, 0)
     log = log_at(spark, tmp_path)
     before = sorted(tuple(r) for r in log.read().drop("__committed_at", "__broker_ts").fillna("").collect())
+    files = {f: f.read_bytes() for f in sorted(tmp_path.rglob("*")) if f.is_file()}
     writer(messages, 0)
+    writer(messages_of(spark, [payload(1, 7)]), 0)
     writer(messages_of(spark, []), 0)
+    assert files == {f: f.read_bytes() for f in sorted(tmp_path.rglob("*")) if f.is_file()}
     after = sorted(tuple(r) for r in log.read().drop("__committed_at", "__broker_ts").fillna("").collect())
     assert before == after and len(after) == 2
     assert log.rejects().count() == 1
 
 
+def test_without_offsets_the_later_batch_wins_at_equal_times(spark, tmp_path):
+    writer = make_batch_writer(ITEMS, str(tmp_path))
+    for batch, values in enumerate([[payload(2, 5, ts=1), payload(1, 10, ts=1)], [payload(1, 11, ts=1)]]):
+        writer(messages_of(spark, values).withColumn("offset", F.lit(None).cast("long")).repartition(3), batch)
+    assert state(log_at(spark, tmp_path).current()) == {1: 11, 2: 5}
+
+
+def test_a_snapshot_hides_no_change_of_the_stream(spark, tmp_path):
+    """Changes made between export and load, and a second load over a live stream."""
+    rows = spark.createDataFrame([(1, 1), (2, 2), (3, 3)], "k INT, v INT")
+    writer = make_batch_writer(ITEMS, str(tmp_path))
+    writer(messages_of(spark, [payload(1, 10, ts=5), payload(2, op="d", ts=6)]), 0)
+    for _ in range(2):
+        write_snapshot(bootstrap(rows, ITEMS), ITEMS, str(tmp_path))
+        assert state(log_at(spark, tmp_path).current()) == {1: 10, 3: 3}
+
+
+def test_stop_reaches_all_queries(spark):
+    class Query:
+        isActive = True
+        def __init__(self, fails): self.fails, self.ended = fails, 0
+        def stop(self): self.ended += 1
+        def awaitTermination(self, timeout):
+            self.ended += 1
+            if self.fails:
+                raise RuntimeError("failed")
+    queries = [Query(True), Query(False)]
+    with pytest.raises(RuntimeError):
+        stop_all(queries)
+    assert [q.ended for q in queries] == [2, 2]
+
+
 def test_readers_ignore_batches_that_are_not_committed(spark, tmp_path):
     writer = make_batch_writer(ITEMS, str(tmp_path))
     for batch in range(3):
@@ -154,10 +190,7 @@ def test_snapshot_precedes_the_stream(spark, tmp_path):
     assert state(log.current()) == {1: 1, 2: 22, 3: 33}
 
 
-@pytest.mark.parametrize("limit", [0, 1 << 20])
-def test_compaction_keeps_the_state(spark, tmp_path, monkeypatch, limit):
-    """Both ways to read a base: rows after it sent to all tasks, or everything regrouped."""
-    monkeypatch.setattr(changelog, "BROADCAST_BYTES", limit)
+def test_compaction_keeps_the_state(spark, tmp_path):
     writer = make_batch_writer(ITEMS, str(tmp_path))
     batches = [
         [payload(1, 1, ts=100), payload(1, op="d", ts=300), payload(2, 2, ts=50), payload(5, 5, ts=1)],
