@@ -2,6 +2,7 @@
 
 import datetime
 
+import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 
@@ -86,8 +87,12 @@ def test_as_of(spark, changes, version, ts):
     events = numbered(changes)
     log = log_of(spark, events)
     batches = sorted({e[4] for e in events})
-    wanted = ([e for e in events if e[4] <= batches[version]] if version < len(batches) else [])
-    assert state(as_of(log, ITEMS, version=version)) == replay(wanted)
+    if version < len(batches):
+        wanted = [e for e in events if e[4] <= batches[version]]
+        assert state(as_of(log, ITEMS, version=version)) == replay(wanted)
+    elif events:
+        with pytest.raises(Exception, match="no version"):
+            as_of(log, ITEMS, version=version).collect()
     assert state(as_of(log, ITEMS, ts_ms=ts)) == replay([e for e in events if e[2] <= ts])
 
 
