@@ -27,6 +27,7 @@ from .tables import mixed, pieces, stored, table, utf8
 from .words import shingle_sets
 
 WORDS, PERCENT = 3, 90
+SKETCH = 16       # 64-bit words of a sketch; sets of some thousand elements still differ in it
 LEAF = 8192       # rows of a region that one task compares
 PIVOTS = 8        # documents that cut a larger one
 LEVELS = 3        # cuts, before the rest is joined in blocks
@@ -62,9 +63,9 @@ class Sets:
             self.names = mixed(mixed(sums[:, 0] + self.sizes.astype(np.uint64), 12) ^ sums[:, 1], 13).view(np.int64)
 
     def sketches(self) -> np.ndarray:
-        """256 parities a set: two sets' sketches differ in no more bits than the sets in elements."""
-        bits = (mixed(self.elements, 5) & np.uint64(255)).astype(np.int64)
-        out = np.zeros((len(self.sizes), 4), np.uint64)
+        """Parities of hashed shares of a set: two sets' sketches differ in no more bits than the sets in elements."""
+        bits = (mixed(self.elements, 5) & np.uint64(64 * SKETCH - 1)).astype(np.int64)
+        out = np.zeros((len(self.sizes), SKETCH), np.uint64)
         np.bitwise_xor.at(out, (self.owner, bits >> 6), np.uint64(1) << (bits & 63).astype(np.uint64))
         return out
 
@@ -175,7 +176,7 @@ def _sketch_filter(pairs: DataFrame, percent: int) -> DataFrame:
             if not batch.num_rows:
                 continue
             n, m = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("n_a", "n_b"))
-            x, y = (np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint64).reshape(-1, 4) for c in ("s_a", "s_b"))
+            x, y = (np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint64).reshape(-1, SKETCH) for c in ("s_a", "s_b"))
             apart = np.bitwise_count(x ^ y).sum(axis=1)
             near = (np.minimum(n, m) * 100 >= np.maximum(n, m) * percent) & (apart <= most_different(n + m, percent))
             yield batch.select(["a", "b"]).filter(pa.array(near))
@@ -242,12 +243,12 @@ def _cut(rows: DataFrame, sizes: DataFrame, level: int, percent: int) -> DataFra
         for batch in batches:
             if not batch.num_rows:
                 continue
-            own = np.frombuffer(b"".join(batch.column("sketch").to_pylist()), np.uint64).reshape(-1, 4)
+            own = np.frombuffer(b"".join(batch.column("sketch").to_pylist()), np.uint64).reshape(-1, SKETCH)
             n = batch.column("n").to_numpy(zero_copy_only=False)
             region = batch.column("region").to_numpy(zero_copy_only=False).view(np.uint64)
             reached = []
             for i, found in enumerate(batch.column("pivots").to_pylist()):
-                marks = np.frombuffer(b"".join(found), np.uint64).reshape(-1, 4)
+                marks = np.frombuffer(b"".join(found), np.uint64).reshape(-1, SKETCH)
                 apart = np.bitwise_count(marks ^ own[i]).sum(axis=1).astype(np.int64)
                 reach = np.flatnonzero(apart <= apart.min() + 2 * (n[i] * (100 - percent) // percent))
                 reached.append(mixed(region[i] ^ mixed(reach.astype(np.uint64), level + 20)).view(np.int64))
@@ -304,7 +305,7 @@ def _leaf_pairs(rows: DataFrame, percent: int) -> DataFrame:
             if not batch.num_rows:
                 continue
             now = [batch.column(c).to_numpy(zero_copy_only=False) for c in ("region", "name", "n", "component")]
-            now.append(np.frombuffer(b"".join(batch.column("sketch").to_pylist()), np.uint64).reshape(-1, 4))
+            now.append(np.frombuffer(b"".join(batch.column("sketch").to_pylist()), np.uint64).reshape(-1, SKETCH))
             if rest is not None:
                 now = [np.concatenate([x, y]) for x, y in zip(rest, now)]
             cut = np.searchsorted(now[0], now[0][-1])
@@ -368,12 +369,12 @@ def near_sets(frame: DataFrame, key: str, text: str = "text", words: int = WORDS
     star = members.filter("name != pivot").select(F.col("pivot").alias("b"), F.col("name").alias("a")).distinct()
     links = stored(_verified(with_sets(star.select("a", "b")), documents, classes, key, text, words, percent), "links")
     grouped = stored(components(links, "a", "b"), "grouped").withColumnRenamed("node", "name")
-    rest = (
-        members.select("region", "name").join(classes.select("name", "n", "sketch"), "name")
-        .join(grouped, "name", "left").withColumn("component", F.coalesce("component", "name"))
-        .select("region", "name", "n", "sketch", "component"))
+    # Regions inside one component need no further look; only members of the others get their sketches.
+    rest = members.select("region", "name").join(grouped, "name", "left").select(
+        "region", "name", F.coalesce("component", "name").alias("component"))
     open_regions = rest.groupBy("region").agg(F.min("component").alias("x"), F.max("component").alias("y")).filter("x != y")
-    rest = stored(rest.join(open_regions.select("region"), "region", "left_semi"), "rest")
+    rest = stored(rest.join(open_regions.select("region"), "region", "left_semi"), "open")
+    rest = stored(rest.join(classes.select("name", "n", "sketch"), "name").select("region", "name", "n", "sketch", "component"), "rest")
     more = _verified(_region_pairs(rest, percent, leaf, levels), documents, classes, key, text, words, percent)
     # From names to keys: a class's key is its least, so the least of a component is the least of all its rows.
     id_of = classes.select("name", "id")
