@@ -49,6 +49,15 @@ def most_different(total: np.ndarray, percent: int) -> np.ndarray:
     return total * (100 - percent) // (100 + percent)
 
 
+def spare_parts(upper: np.ndarray, percent: int) -> np.ndarray:
+    """Parts that a set of a band is cut into beyond those needed for one to agree: twice the empty ones expected.
+
+    The fewest elements are those of a set two bands below its band's upper size.
+    """
+    parts = most_different(2 * upper, percent) + 1
+    return (2 * parts * np.exp(-upper * (percent / 100) ** 2 / parts)).astype(np.int64)
+
+
 class Sets:
     """Shingle sets of a run of texts: the elements, where each set begins, sizes, identities, sketches."""
 
@@ -70,7 +79,11 @@ class Sets:
         return out
 
     def regions(self, percent: int) -> tuple[np.ndarray, np.ndarray]:
-        """Region and set of every part, in the set's own band and the next."""
+        """Region and set of every part, in the set's own band and the next.
+
+        Two linked sets agree in more parts than there are spare ones. So one of these has elements unless both sets
+        have more empty parts than spare ones, and only such a set is a member of its empty parts' regions.
+        """
         if not len(self.elements):
             return np.empty(0, np.int64), np.empty(0, np.int64)
         upper = bands(percent, int(self.sizes.max()))
@@ -78,17 +91,20 @@ class Sets:
         spread, keys, sets = mixed(self.elements, 3), [], []
         for ahead in (0, 1):
             band = own + ahead
-            parts = np.where(self.sizes > 0, most_different(2 * upper[band], percent) + 1, 0)
+            spare = spare_parts(upper[band], percent)
+            parts = np.where(self.sizes > 0, most_different(2 * upper[band], percent) + 1 + spare, 0)
             begin = np.concatenate([[0], np.cumsum(parts)])
             at = begin[self.owner] + (spread % parts[self.owner].astype(np.uint64)).astype(np.int64)
             sums = np.zeros(begin[-1], np.uint64)
+            owner = np.repeat(np.arange(len(parts)), parts)
+            empty = np.bincount(at, minlength=begin[-1]) == 0
+            use = ~empty | (np.bincount(owner[empty], minlength=len(parts)) > spare)[owner]
             with np.errstate(over="ignore"):
                 np.add.at(sums, at, mixed(self.elements, 4))
-                owner = np.repeat(np.arange(len(parts)), parts)
                 place = (np.arange(begin[-1]) - begin[owner]).astype(np.uint64)
                 where = mixed(place + (band[owner].astype(np.uint64) << np.uint64(32)), 6)
-                keys.append(mixed(sums ^ where).view(np.int64))
-            sets.append(owner)
+                keys.append(mixed(sums ^ where).view(np.int64)[use])
+            sets.append(owner[use])
         return np.concatenate(keys), np.concatenate(sets)
 
 
