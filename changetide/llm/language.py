@@ -7,6 +7,7 @@ import math
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -67,12 +68,12 @@ def learned(frame: DataFrame, text: str, language: str) -> tuple[list[str], np.n
                 ["language", "bucket", "n"])
 
     counts = frame.select(F.col(language).cast("string"), F.col(text)).mapInArrow(
-        work, "language string, bucket long, n long").groupBy("language", "bucket").agg(F.sum("n").alias("n")).toPandas()
-    names = sorted(counts["language"].unique())
+        work, "language string, bucket long, n long").groupBy("language", "bucket").agg(F.sum("n").alias("n")).toArrow().combine_chunks()
+    language_, bucket, n = (counts.column(c) for c in ("language", "bucket", "n"))
+    names = sorted(pc.unique(language_).to_pylist())
+    row = pc.index_in(language_, value_set=pa.array(names, pa.string()))
     table_ = np.full((len(names) + 1, BUCKETS), SMOOTH)
-    for i, name in enumerate(names):
-        mine = counts[counts["language"] == name]
-        table_[i, mine["bucket"]] += mine["n"]
+    np.add.at(table_, (row.to_numpy().astype(np.int64), bucket.to_numpy()), n.to_numpy())
     return names, np.log(table_ / table_.sum(axis=1, keepdims=True))
 
 
