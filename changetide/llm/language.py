@@ -111,11 +111,15 @@ def _likelihoods(frame: DataFrame, text: str, chances: np.ndarray, markup: bool)
     return frame.mapInArrow(work, f"{schema}, `__text` array<double>, `__declared` string")
 
 
+def _named(value: Column, use) -> Column:
+    """``use`` of a value that then stands once in the expression, however often it is used."""
+    return F.transform(F.array(value), use)[0]
+
+
 def _normed(scores: list[Column]) -> Column:
     """Beliefs from log scores, as an array that sums to 1."""
-    top = F.greatest(*scores)
-    odds = [F.exp(s - top) for s in scores]
-    return F.array(*[o / sum(odds[1:], odds[0]) for o in odds])
+    odds = _named(F.array(*scores), lambda s: F.transform(s, lambda x: F.exp(x - F.array_max(s))))
+    return _named(odds, lambda o: F.transform(o, lambda x: x / F.aggregate(o, F.lit(0.0), lambda a, b: a + b)))
 
 
 def _sums(rows: DataFrame, by: list[str], size: int) -> DataFrame:

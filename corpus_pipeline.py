@@ -35,7 +35,8 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     marked = _marked(docs)
     names, chances = learned(marked, "text", "lang")
     found = identified(marked, "text", "lang", F.col("source"), F.lit("-"), names, chances)
-    rejected = stored(found.filter("not accepted").select(MARK).distinct(), "rejected")
+    judged = stored(found.select(MARK, "accepted"), "judged")   # written first, or the filter would repeat the whole formula
+    rejected = stored(judged.filter("not accepted").select(MARK).distinct(), "rejected")
     return marked.join(rejected, MARK, "left_anti").select(*COLUMNS)
 
 
