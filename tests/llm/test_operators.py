@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from changetide.llm.attention import score_texts
 from changetide.llm.bpe import Codec, decode, default_vocabulary, digests, encode
 from changetide.llm.graph import components
-from changetide.llm.jaccard import near_sets
+from changetide.llm.jaccard import Sets, near_sets
 from changetide.llm.language import identified, learned, page_parts
 from changetide.llm.mixing import DOMAINS, mix
 from changetide.llm.order_minhash import code_points, compare_with_next, fingerprint, likeness
@@ -159,6 +159,23 @@ def test_near_sets_are_exact(docs, rows, size, percent, leaf):
     assert {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in found} == {k: (len(sets[k]), want[k]) for k in sets}
 
 
+@pytest.mark.parametrize("percent", [50, 80, 90])
+def test_linked_sets_share_a_region(percent):
+    draw = random.Random(percent)
+    for size in [1, 2, 3, 5, 9, 20, 60, 150, 400] * 12:
+        words = [f"w{draw.random()}" for _ in range(size)]
+        # As many words dropped and put in as two linked sets may differ in.
+        most = 2 * size * (100 - percent) // (100 + percent)
+        lost = draw.randint(0, most)
+        other = words[lost:] + [f"v{draw.random()}" for _ in range(most - lost)]
+        if not other or 100 * (size - lost) < percent * (size + most - lost):
+            continue
+        texts = [" ".join(words).encode(), " ".join(other).encode()]
+        bounds = np.cumsum([0, *map(len, texts)])
+        keys, owner = Sets(np.frombuffer(b"".join(texts), np.uint8), bounds, 1).regions(percent)
+        assert set(keys[owner == 0]) & set(keys[owner == 1])
+
+
 def test_near_sets_of_nothing(spark, empty):
     assert near_sets(empty, "doc_id").count() == 0
     nulls = spark.createDataFrame([(1, None, ""), (2, None, ""), (None, "a b", ""), (3, "A\tb", "")], SCHEMA)
