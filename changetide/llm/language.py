@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import html as entities
-import math
 
 import numpy as np
 import pyarrow as pa
@@ -151,12 +150,10 @@ def identified(frame: DataFrame, text: str, declared: str | None, host: Column,
     total = [(x or 0.0) + 1.0 for x in everyone]
     globally = [x / sum(total) for x in total]
     # How likely each declaration is in each language.
-    said = _sums(rows.filter("__declared is not null"), ["__declared"], size).collect()
-    among = [1.0 + sum(r["__n"][k] for r in said) for k in range(size)]
-    says = rows.sparkSession.createDataFrame(
-        [(r["__declared"], [math.log((r["__n"][k] + 0.01) / among[k]) for k in range(size)]) for r in said],
-        "__declared string, __says array<double>")
-    rows = rows.join(F.broadcast(says), "__declared", "left")
+    said = stored(_sums(rows.filter("__declared is not null"), ["__declared"], size), "said")
+    among = [1.0 + (x or 0.0) for x in _sums(said.withColumnRenamed("__n", "__p"), [], size).first()["__n"]]
+    says = said.select("__declared", F.array(*[F.log((F.col("__n")[k] + 0.01) / among[k]) for k in range(size)]).alias("__says"))
+    rows = rows.join(says, "__declared", "left")
     first = [scores[k] + F.coalesce(F.col("__says")[k], F.lit(0.0)) for k in range(size)]
     rows = rows.withColumn("__p", _normed(first))
     by_suffix = _sums(rows, ["__suffix"], size).withColumnRenamed("__n", "__ns")
