@@ -5,14 +5,14 @@ never exceeds the number of elements that two sets differ in. The join uses both
 
 1. The first pivots are sets of shingles: every document's set is cut into so many parts that two linked
    documents agree in at least one whole part. A document is a member of the region of each of its parts.
-2. Every region has a document as its pivot. Members are checked against it first; those near it are
-   one group, and pairs inside that group need no further look.
-3. What is left of a region is joined by sketches. A region that is too large is cut again: documents are drawn
+2. A region that is too large is cut again: documents are drawn
    as pivots, each member goes to its nearest pivot's cell, and the triangle inequality says which others
    it must be copied to, so that no pair is lost. Cells are cut again in the same way; a cell that does not shrink is
-   joined block by block. Inside a small cell, members are sorted by their distance to a pivot and compared
+   joined block by block. Inside a small cell, members are sorted by their distance to a pivot and compared by sketches
    within the window that the triangle inequality leaves.
-4. Pairs that pass are checked on their whole sets.
+3. Of the pairs that pass in a cell, a forest that connects the same members is checked on whole sets: at most
+   one pair a member, however many are alike. Where a pair of the forest turns out not to be connected, all the
+   cell's pairs between different groups are checked.
 """
 
 from __future__ import annotations
@@ -137,7 +137,7 @@ def shingled(frame: DataFrame, key: str, text: str, words: int) -> DataFrame:
 
 
 def _members(frame: DataFrame, text: str, words: int, percent: int) -> DataFrame:
-    """``region``, ``name`` and ``pivot`` for the regions of two or more different sets; pivot: the least name."""
+    """``region`` and ``name`` for the regions of two or more different sets."""
 
     def parts(batches):
         for batch in batches:
@@ -151,13 +151,13 @@ def _members(frame: DataFrame, text: str, words: int, percent: int) -> DataFrame
 
     def several(batches):
         """Rows come sorted by region and name; a region may go on in the next batch."""
-        held, pivot, told = None, None, False
+        held, least, told = None, None, False
         for batch in batches:
             region, name = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("region", "name"))
             if not len(region):
                 continue
             if held is not None and region[0] == held:
-                region, name = np.concatenate([[held], region]), np.concatenate([[pivot], name])
+                region, name = np.concatenate([[held], region]), np.concatenate([[least], name])
                 again = told
             else:
                 again = False
@@ -172,32 +172,14 @@ def _members(frame: DataFrame, text: str, words: int, percent: int) -> DataFrame
             if again:
                 use[0] = False
                 use[1:size[0]] = True
-            lead = np.repeat(name[at], size)
             last = len(at) - 1
-            held, pivot = region[at[last]], name[at[last]]
+            held, least = region[at[last]], name[at[last]]
             told = bool(size[last] > 1) or (again and last == 0)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(region[use]), pa.array(name[use]), pa.array(lead[use])], ["region", "name", "pivot"])
+            yield pa.RecordBatch.from_arrays([pa.array(region[use]), pa.array(name[use])], ["region", "name"])
 
     keyed = frame.select(text).mapInArrow(parts, "region long, name long")
     return keyed.repartition("region").sortWithinPartitions("region", "name").mapInArrow(
-        several, "region long, name long, pivot long")
-
-
-def _sketch_filter(pairs: DataFrame, percent: int) -> DataFrame:
-    """Pairs ``a, b`` (each with n and sketch) whose sizes and sketches leave room for a link."""
-
-    def work(batches):
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            n, m = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("n_a", "n_b"))
-            x, y = (np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint64).reshape(-1, SKETCH) for c in ("s_a", "s_b"))
-            apart = np.bitwise_count(x ^ y).sum(axis=1)
-            near = (np.minimum(n, m) * 100 >= np.maximum(n, m) * percent) & (apart <= most_different(n + m, percent))
-            yield batch.select(["a", "b"]).filter(pa.array(near))
-
-    return pairs.select("a", "b", "n_a", "n_b", "s_a", "s_b").mapInArrow(work, "a long, b long")
+        several, "region long, name long")
 
 
 def _verified(pairs: DataFrame, documents: DataFrame, named: DataFrame, key: str, text: str, words: int, percent: int) -> DataFrame:
@@ -287,8 +269,31 @@ def _blocks(rows: DataFrame, sizes: DataFrame, leaf: int) -> DataFrame:
     return paired.select(region.alias("region"), "name", "n", "sketch", "component")
 
 
-def _leaf_pairs(rows: DataFrame, percent: int) -> DataFrame:
-    """Pairs of different components in each small region that sizes, pivot windows and sketches let through."""
+def forest(label: np.ndarray, a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """New labels of members that pairs connect, and which pairs were needed: never more than labels that went."""
+    used = []
+    left = np.arange(len(a))
+    while True:
+        x, y = label[a[left]], label[b[left]]
+        left, x, y = (v[x != y] for v in (left, x, y))
+        if not len(left):
+            return label, np.concatenate([*used, left])
+        low, high = np.minimum(x, y), np.maximum(x, y)
+        order = np.lexsort((low, high))
+        order = order[np.append(True, np.diff(high[order]) > 0)]
+        used.append(left[order])
+        root = np.arange(len(label))
+        root[high[order]] = low[order]
+        while (root != root[root]).any():
+            root = root[root]
+        label = root[label]
+
+
+def _leaf_pairs(rows: DataFrame, percent: int, thin: bool) -> DataFrame:
+    """``region, a, b``: pairs of different components in small regions that sizes, pivot windows and sketches let through.
+
+    ``thin``: only a forest of them, which connects the same members of the region as all of them.
+    """
 
     def pairs_of(region, name, n, sketch, component):
         start = np.flatnonzero(np.append(True, region[1:] != region[:-1]))
@@ -296,7 +301,27 @@ def _leaf_pairs(rows: DataFrame, percent: int) -> DataFrame:
         far = np.bitwise_count(sketch ^ lead).sum(axis=1).astype(np.int64)
         order = np.lexsort((far, region))
         region, name, n, sketch, component, far = (x[order] for x in (region, name, n, sketch, component, far))
-        i, step, out = np.arange(len(region)), 1, []
+        # Labels are places of rows; members of one component in one region share theirs.
+        order = np.lexsort((component, region))
+        first = np.append(True, (np.diff(region[order]) != 0) | (np.diff(component[order]) != 0))
+        label = np.empty(len(region), np.int64)
+        label[order] = order[np.flatnonzero(first)][np.cumsum(first) - 1]
+        out = []
+
+        def compare(label, i, j):
+            fits = (label[i] != label[j]) & (np.minimum(n[i], n[j]) * 100 >= np.maximum(n[i], n[j]) * percent)
+            a, b = i[fits], j[fits]
+            near = np.bitwise_count(sketch[a] ^ sketch[b]).sum(axis=1) <= most_different(n[a] + n[b], percent)
+            a, b = a[near], b[near]
+            if thin:
+                label, kept = forest(label, a, b)
+                a, b = a[kept], b[kept]
+            out.append((a, b))
+            return label
+
+        i, step = np.arange(len(region)), 1
+        if thin:   # the pivots first, since these connect most of a group
+            label = compare(label, np.repeat(start, np.diff(np.append(start, len(region)))), i)
         while True:
             i = i[i + step < len(region)]
             j = i + step
@@ -304,16 +329,12 @@ def _leaf_pairs(rows: DataFrame, percent: int) -> DataFrame:
             i = i[(region[i] == region[j]) & (far[j] - far[i] <= n[i] * (100 - percent) // percent)]
             if not len(i):
                 break
-            j = i + step
-            fits = (component[i] != component[j]) & (np.minimum(n[i], n[j]) * 100 >= np.maximum(n[i], n[j]) * percent)
-            a, b = i[fits], j[fits]
-            near = np.bitwise_count(sketch[a] ^ sketch[b]).sum(axis=1) <= most_different(n[a] + n[b], percent)
-            out.append((name[a[near]], name[b[near]]))
+            label = compare(label, i, i + step)
             step += 1
-        a = np.concatenate([x for x, _ in out] + [np.empty(0, np.int64)])
-        b = np.concatenate([y for _, y in out] + [np.empty(0, np.int64)])
-        pair = np.unique(np.stack([np.minimum(a, b), np.maximum(a, b)]), axis=1)
-        return pa.RecordBatch.from_arrays([pa.array(pair[0]), pa.array(pair[1])], ["a", "b"])
+        a, b = (np.concatenate([pair[k] for pair in out] + [np.empty(0, np.int64)]) for k in (0, 1))
+        where, a, b = region[a], name[a], name[b]
+        return pa.RecordBatch.from_arrays(
+            [pa.array(where), pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], ["region", "a", "b"])
 
     def work(batches):
         rest = None   # the last region, which may go on
@@ -333,29 +354,28 @@ def _leaf_pairs(rows: DataFrame, percent: int) -> DataFrame:
             region, name, n, component, sketch = rest
             yield pairs_of(region, name, n, sketch, component)
 
-    return rows.repartition("region").sortWithinPartitions("region", "name").mapInArrow(work, "a long, b long")
+    return rows.repartition("region").sortWithinPartitions("region", "name").mapInArrow(work, "region long, a long, b long")
 
 
-def _region_pairs(rows: DataFrame, percent: int, leaf: int, levels: int) -> DataFrame:
-    """Candidate pairs of different components within regions of any size."""
+def _leaves(rows: DataFrame, percent: int, leaf: int, levels: int) -> DataFrame:
+    """The rows dealt to regions small enough for one task: every two rows of a region that can link meet in one."""
     found = None
     for level in range(levels + 1):
         sizes = rows.groupBy("region").agg(F.count("*").alias("size"))
         large = stored(sizes.filter(F.col("size") > leaf), "large")
-        small = rows.join(large, "region", "left_anti")
         none_large = large.isEmpty()
-        pairs = _leaf_pairs(rows if none_large else small, percent)
-        found = pairs if found is None else found.union(pairs)
+        small = rows if none_large else rows.join(large, "region", "left_anti")
+        found = small if found is None else found.union(small)
         if none_large:
             return found
         kept = rows.join(large.select("region"), "region", "left_semi")
         if level == levels:
-            return found.union(_leaf_pairs(_blocks(kept, large, leaf), percent))
+            return found.union(_blocks(kept, large, leaf))
         cells = stored(_cut(kept, large, level, percent), "cells")
         # Where windows reach nearly all cells, a cut only multiplies rows; such a region goes to blocks at once.
         spread = cells.groupBy("region").agg((F.sum(F.size("cells")) <= SPREAD * F.count("*")).alias("worth"))
         cut = cells.join(stored(spread, "spread"), "region")
-        found = found.union(_leaf_pairs(_blocks(cut.filter("not worth").drop("worth", "cells"), large, leaf), percent))
+        found = found.union(_blocks(cut.filter("not worth").drop("worth", "cells"), large, leaf))
         rows = cut.filter("worth").withColumn("region", F.explode("cells")).drop("worth", "cells").dropDuplicates(["region", "name"])
     return found
 
@@ -377,21 +397,21 @@ def near_sets(frame: DataFrame, key: str, text: str = "text", words: int = WORDS
         .agg(F.min("id").alias("id"), F.first("n").alias("n"), F.first("sketch").alias("sketch")), "classes")
     members = stored(_members(documents, text, words, percent), "members")
 
-    def with_sets(pairs: DataFrame) -> DataFrame:
-        side = lambda c: classes.select(F.col("name").alias(c), F.col("n").alias(f"n_{c}"), F.col("sketch").alias(f"s_{c}"))
-        return _sketch_filter(pairs.join(side("a"), "a").join(side("b"), "b"), percent)
-
-    # First the pivot of every region: its neighbours become one group without any pairs among them.
-    star = members.filter("name != pivot").select(F.col("pivot").alias("b"), F.col("name").alias("a")).distinct()
-    links = stored(_verified(with_sets(star.select("a", "b")), documents, classes, key, text, words, percent), "links")
-    grouped = stored(components(links, "a", "b"), "grouped").withColumnRenamed("node", "name")
-    # Regions inside one component need no further look; only members of the others get their sketches.
-    rest = members.select("region", "name").join(grouped, "name", "left").select(
-        "region", "name", F.coalesce("component", "name").alias("component"))
-    open_regions = rest.groupBy("region").agg(F.min("component").alias("x"), F.max("component").alias("y")).filter("x != y")
-    rest = stored(rest.join(open_regions.select("region"), "region", "left_semi"), "open")
-    rest = stored(rest.join(classes.select("name", "n", "sketch"), "name").select("region", "name", "n", "sketch", "component"), "rest")
-    more = _verified(_region_pairs(rest, percent, leaf, levels), documents, classes, key, text, words, percent)
+    rows = members.join(classes.select("name", "n", "sketch"), "name").select(
+        "region", "name", "n", "sketch", F.col("name").alias("component"))
+    leaves = _leaves(rows, percent, leaf, levels)
+    thin = stored(_leaf_pairs(leaves, percent, True), "forest")
+    links = stored(_verified(thin.select("a", "b"), documents, classes, key, text, words, percent), "links")
+    grouped = stored(components(links, "a", "b"), "grouped")
+    # Where the ends of all pairs of the forest are in one component, so are those of all other pairs.
+    side = lambda c: grouped.toDF(c, f"of_{c}")
+    apart = thin.join(side("a"), "a", "left").join(side("b"), "b", "left").filter(
+        F.coalesce("of_a", "a") != F.coalesce("of_b", "b")).select("region").distinct()
+    rest = leaves.join(stored(apart, "apart"), "region", "left_semi").drop("component").join(
+        grouped.withColumnRenamed("node", "name"), "name", "left").select(
+        "region", "name", "n", "sketch", F.coalesce("component", "name").alias("component"))
+    rest_pairs = _leaf_pairs(rest, percent, False).select("a", "b")
+    more = _verified(rest_pairs, documents, classes, key, text, words, percent)
     # From names to keys: a class's key is its least, so the least of a component is the least of all its rows.
     id_of = classes.select("name", "id")
     all_links = links.union(more)

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from changetide.llm.attention import score_texts
 from changetide.llm.bpe import Codec, decode, default_vocabulary, digests, encode
 from changetide.llm.graph import components
-from changetide.llm.jaccard import Sets, near_sets
+from changetide.llm.jaccard import Sets, forest, near_sets
 from changetide.llm.language import identified, learned, page_parts
 from changetide.llm.mixing import DOMAINS, mix
 from changetide.llm.order_minhash import code_points, compare_with_next, fingerprint, likeness
@@ -176,6 +176,21 @@ def test_linked_sets_share_a_region(percent):
         assert set(keys[owner == 0]) & set(keys[owner == 1])
 
 
+def test_forests_connect_what_all_pairs_connect():
+    draw = np.random.default_rng(8)
+    for size in (2, 30, 200):
+        a, b = draw.integers(0, size, (2, size))
+        start = draw.integers(0, size, size)
+        start = start[start]   # some members share a label from the outset
+        label, used = forest(start, a, b)
+        own = [(("member", i), ("label", x)) for i, x in enumerate(start.tolist())]
+        pairs = [(("member", x), ("member", y)) for x, y in zip(a.tolist(), b.tolist())]
+        nodes = {n for pair in own + pairs for n in pair}
+        whole, thin = (groups_of(own + chosen, nodes) for chosen in (pairs, [pairs[k] for k in used]))
+        assert whole == thin and len(used) == len(set(start)) - len(set(label))
+        assert all((label[x] == label[y]) == (whole["member", x] == whole["member", y]) for x in range(size) for y in range(size))
+
+
 def test_near_sets_of_nothing(spark, empty):
     assert near_sets(empty, "doc_id").count() == 0
     nulls = spark.createDataFrame([(1, None, ""), (2, None, ""), (None, "a b", ""), (3, "A\tb", "")], SCHEMA)
