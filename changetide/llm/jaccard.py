@@ -32,7 +32,7 @@ LEAF = 8192       # rows of a region that one task compares
 PIVOTS = 8        # documents that cut a larger one
 LEVELS = 3        # cuts, before the rest is joined in blocks
 SPREAD = 2        # cells that a member may be in on average, for a cut to be worth it
-CHUNK = 1 << 21   # bytes of text looked at together
+CHUNK = 1 << 19   # bytes of text looked at together
 FILTER_BITS = 1 << 24
 
 

@@ -20,7 +20,7 @@ TEMPER = 0.2          # byte triples overlap, so they count less than independen
 LEAN = 5.0            # pages' worth of belief that a host takes from its suffix, and a suffix from all
 UNKNOWN = "und"       # text of no known language: every triple as likely as any other
 SURE = 0.5            # least belief in a language for a text to be accepted
-CHUNK = 1 << 21
+CHUNK = 1 << 19
 _FOLDED = _FOLD.astype(np.int64)
 _FOLDED[9:14] = 32
 _COUNTS = (_FOLDED == 32) | (_FOLDED >= ord("a")) & (_FOLDED <= ord("z")) | (_FOLDED >= 128)

@@ -28,7 +28,7 @@ from .words import _BACK, powers
 
 LENGTH = 400      # bytes of a string that must not occur twice
 TRIGGER = 12      # bytes that decide whether a phrase ends
-CHUNK = 1 << 21
+CHUNK = 1 << 19
 FILTER_BITS = 1 << 24
 OPEN, EDGE = 1, 2
 _CODE = mixed(np.arange(256, dtype=np.uint64), 7)
