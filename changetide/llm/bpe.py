@@ -19,7 +19,7 @@ from .tables import table
 _SPACE = "\t\n\x0b\x0c\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 _WORD = r"'s|'t|'re|'ve|'m|'ll|'d|\p{L}+|\p{N}|[^" + _SPACE + r"\p{L}\p{N}]+"
 _END = "</w>"
-CACHE = 400_000
+CACHE = 100_000   # entries of a cache's generation
 _NEVER = 1 << 30
 
 
@@ -58,8 +58,13 @@ class Codec:
         self.word = regex.compile(_WORD)
         self.gap = regex.compile(f"[{_SPACE}]+")
         self.marks = regex.compile("(" + "|".join(map(regex.escape, self.special)) + ")")
-        self.chunks: list[dict[str, bytes]] = [{}, {}]
-        self.fragments: list[dict[str, list[int]]] = [{}, {}]
+        self.chunks: list[dict[str, bytes]]
+        self.fragments: list[dict[str, list[int]]]
+        self.forget()
+
+    def forget(self) -> None:
+        """Empty the caches. A worker may outlive its task, and its memory is then taken from the next ones."""
+        self.chunks, self.fragments = [{}, {}], [{}, {}]
 
     def cuts(self, letters: str) -> list[str]:
         """The fragments between the certain cuts; put together they are the word."""
@@ -184,6 +189,7 @@ def encode(frame: DataFrame, text: str = "text", ids: str = "ids", vocabulary: s
         for batch in batches:
             column = pa.array([codec.encode(t) for t in _texts(batch, text)], pa.binary())
             yield batch.append_column(ids, column)
+        codec.forget()
 
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in source.schema)
     return source.mapInArrow(work, f"{schema}, `{ids}` binary")
@@ -224,6 +230,7 @@ def digests(frame: DataFrame, key: str, text: str = "text", vocabulary: str | No
                 [batch.column(key), pa.array(counts, pa.int64()), pa.array(first, pa.string()),
                  pa.array(second, pa.string())],
                 [key, "n_tokens", "ids_sha256", "decoded_sha256"])
+        codec.forget()
 
     kind = frame.schema[key].dataType.simpleString()
     return frame.select(key, F.col(text)).mapInArrow(
