@@ -11,7 +11,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from changetide.llm.attention import score_texts
+from changetide.llm.attention import score_texts, windows_of
 from changetide.llm.bpe import Codec, decode, default_vocabulary, digests, encode
 from changetide.llm.graph import components
 from changetide.llm.jaccard import Sets, forest, near_sets
@@ -287,6 +287,32 @@ def test_attention_scores(docs, rows, empty):
     assert score_texts(empty, "doc_id").count() == 0
 
 
+def test_attention_learns_from_whole_texts(spark):
+    words = ["time", "year", "people", "way", "day", "man", "thing", "woman", "life", "child", "world", "school", "state", "family",
+             "student", "group", "country", "problem", "hand", "part", "place", "case", "week", "company"]
+    cycles = [(a, b) for a, b in zip(words[::2], words[1::2])]
+    held = [i for i in range(400) if zlib.crc32(str(i).encode()) % 10 == 0][:len(cycles)]
+    free = [i for i in range(400) if zlib.crc32(str(i).encode()) % 10][:2]
+    # One long text with a stretch of each pair; no single window of it holds them all.
+    long = " ".join(w for a, b in cycles for w in [a, b] * 60)
+    rows = [(i, long) for i in free] + [(i, " ".join(pair * 20)) for i, pair in zip(held, cycles)]
+    found = score_texts(spark.createDataFrame(rows, "doc_id long, text string").repartition(1), "doc_id", word_share=0.0)
+    scores = {r["doc_id"]: r["score"] / r["base_score"] for r in found.collect()}
+    assert all(scores[i] < 0.6 for i in held)
+    # Every id of every text to learn from stands once in a last block; before its start there is none.
+    sizes = np.array([1, 16, 17, 40, 33])
+    ids = np.arange(sizes.sum())
+    windows, at = windows_of(ids, sizes, -1)
+    assert windows[:, 17:].ravel()[at].tolist() == ids.tolist()
+    texts = np.repeat(np.arange(5), sizes)
+    for row in windows:
+        own = [(p, x) for p, x in enumerate(row) if x >= 0]
+        first = row[17]
+        start = first - (np.cumsum(sizes) - sizes)[texts[first]]
+        assert all(x == first + p - 17 and texts[x] == texts[first] for p, x in own)
+        assert (row[:17] >= 0).sum() == min(17, start)
+
+
 def test_language(spark):
     draw = random.Random(6)
     sounds = {"en": ["the ", "and ", "ing ", "of "], "de": ["der ", "und ", "ung ", "zu "]}
