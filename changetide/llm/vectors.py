@@ -10,12 +10,15 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .graph import components
+from .jaccard import forest
 from .tables import stored, table
 
 PASSES = 8        # sorted orders of all vectors
 HASHES = 16       # concatenated hashes of a sort key
-WINDOW = 32       # following neighbours that a vector is compared with
+FINE = 15         # bits behind them
+WINDOW = 2048     # following neighbours that a vector is compared with, at least
 BLOCK = 2048      # rows of one comparison block
+TILE = 512        # of these are multiplied with the others at once
 NEAR = 0.98
 SEED = 20240
 
@@ -40,7 +43,7 @@ def sort_keys(rows: np.ndarray, turn: int, hashes: int = HASHES) -> np.ndarray:
 
     Each hash is a projection cut into eight steps whose bounds are shifted at random, three bits of the number;
     near vectors share long prefixes, and a pass that cuts between two of them is followed by others
-    that cut elsewhere.
+    that cut elsewhere. Long runs of equal steps are sorted by one more projection, in fine steps.
     """
     size = rows.shape[1]
     draw = np.random.default_rng([SEED, turn, size])
@@ -50,7 +53,8 @@ def sort_keys(rows: np.ndarray, turn: int, hashes: int = HASHES) -> np.ndarray:
     key = np.zeros(len(rows), np.int64)
     for h in range(hashes):
         key = key << 3 | levels[:, h]
-    return key
+    fine = np.floor((rows @ draw.standard_normal(size) / 8 + 0.5) * (1 << FINE)).astype(np.int64)
+    return key << FINE | np.clip(fine, 0, (1 << FINE) - 1)
 
 
 def _marked(frame: DataFrame, key: str, vector: str, label: str, kind: str) -> DataFrame:
@@ -66,12 +70,37 @@ def _marked(frame: DataFrame, key: str, vector: str, label: str, kind: str) -> D
         "mark", F.when(F.col("raw").isNotNull(), F.sha2("raw", 256)))
 
 
-def _windows(rows: DataFrame, window: int, near: float, block: int, kind: str) -> DataFrame:
-    """Pairs of classes within ``window`` places of each other in one pass's order, at ``near`` or more."""
+def _centres(heads: DataFrame, kind: str) -> DataFrame:
+    """``label, size, centre, spread``: mean of a label's vectors of one length, at length 1, and their distance from it on average.
+
+    Vectors that share a direction would fall into the same few steps of all projections.
+    """
+    label = heads.schema["label"].dataType.simpleString()
+
+    def partial(batches):
+        for batch in batches:
+            frame = batch.to_pandas()
+            for (name, size), group in frame.groupby(["label", frame["raw"].map(len)], sort=False, dropna=False):
+                total = units(list(group["raw"]), kind).sum(axis=0)
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column("label").take(pa.array(group.index[:1])), pa.array([size], pa.int32()), pa.array([len(group)], pa.int64()),
+                     pa.array([total.tobytes()], pa.binary())], ["label", "size", "n", "total"])
+
+    def whole(frame: pd.DataFrame) -> pd.DataFrame:
+        centre = np.sum([np.frombuffer(t) for t in frame["total"]], axis=0) / frame["n"].sum()
+        spread = max(1 - centre @ centre, 1e-12) ** 0.5   # since all lengths are 1
+        return frame[["label", "size"]].head(1).assign(centre=[centre.tobytes()], spread=[spread])
+
+    return heads.select("label", "raw").mapInArrow(partial, f"label {label}, size int, n long, total binary").groupBy(
+        "label", "size").applyInPandas(whole, f"label {label}, size int, centre binary, spread double")
+
+
+def _windows(rows: DataFrame, heads: DataFrame, window: int, near: float, block: int, kind: str) -> DataFrame:
+    """Pairs at ``near`` or more that connect all classes which such pairs within ``window`` places in one pass's order connect."""
     # Ranks without one big sort in a task: rows per sorted part, then a running sum over the parts.
+    order = ["turn", "label", "key", "id", "name"]
     ordered = stored(
-        rows.repartitionByRange("turn", "label", "key", "id")
-        .sortWithinPartitions("turn", "label", "key", "id")
+        rows.repartitionByRange(*order).sortWithinPartitions(*order)
         .select("*", F.monotonically_increasing_id().alias("place")), "ordered")
     part = F.shiftright("place", 33)
     counts = ordered.groupBy(part.alias("part")).agg(F.count("*").alias("n")).collect()
@@ -82,13 +111,12 @@ def _windows(rows: DataFrame, window: int, near: float, block: int, kind: str) -
     offsets = rows.sparkSession.createDataFrame(before, "part long, before long")
     ranked = ordered.withColumn("part", part).join(F.broadcast(offsets), "part").withColumn(
         "rank", F.col("before") + F.col("place") - F.shiftleft(F.col("part"), 33))
-    number = (F.col("rank") / block).cast("long")
-    # A block also gets the first rows of the next one, which its last rows are compared with.
-    blocks = F.array(
-        F.struct(number.alias("block"), F.lit(True).alias("own")),
-        F.struct(F.when((F.col("rank") % block < window) & (number > 0), number - 1).alias("block"), F.lit(False).alias("own")))
-    dealt = ranked.withColumn("to", F.explode(F.filter(blocks, lambda b: b["block"].isNotNull()))).select(
-        "to.block", "to.own", "rank", "turn", "label", "id", "raw")
+    number = F.floor(F.col("rank") / block)
+    # A block also gets the first rows behind it, which its last rows are compared with.
+    least = F.greatest(F.ceil((F.col("rank") - window - block + 1) / block), F.lit(0))
+    dealt = ranked.select("rank", "turn", "id", "name", number.alias("number"), F.explode(F.sequence(least, number)).alias("block")).join(
+        heads.select("id", "name", "label", "raw"), ["id", "name"]).select(
+            "block", (F.col("block") == F.col("number")).alias("own"), "rank", "turn", "label", "id", "raw")
 
     def compare(frame: pd.DataFrame) -> pd.DataFrame:
         frame = frame.sort_values("rank", ignore_index=True)
@@ -99,10 +127,18 @@ def _windows(rows: DataFrame, window: int, near: float, block: int, kind: str) -
         for g in np.unique(group):
             at = np.flatnonzero(group == g)
             rows = units(list(frame["raw"].iloc[at]), kind)
-            for step in range(1, min(window, len(at) - 1) + 1):
-                cosine = np.einsum("ij,ij->i", rows[:-step], rows[step:])
-                hit = np.flatnonzero((cosine >= near) & own[at[:-step]])
-                out.append(pd.DataFrame({"a": ids[at[hit]], "b": ids[at[hit + step]]}))
+            rough, label = rows.astype(np.float32), np.arange(len(at))
+            for start in range(0, int(own[at].sum()), TILE):   # own rows stand first
+                stop = min(start + TILE, int(own[at].sum()))
+                i, j = np.nonzero(rough[start:stop] @ rough[start:].T >= near - 1e-4)
+                i, j = i[i < j] + start, j[i < j] + start
+                while len(i := i[rest := label[i] != label[j]]):
+                    j = j[rest]
+                    a, b, i, j = i[:TILE * 32], j[:TILE * 32], i[TILE * 32:], j[TILE * 32:]
+                    sure = np.einsum("ij,ij->i", rows[a], rows[b]) >= near
+                    a, b = a[sure], b[sure]
+                    label, used = forest(label, a, b)
+                    out.append(pd.DataFrame({"a": ids[at[a[used]]], "b": ids[at[b[used]]]}))
         return pd.concat(out)
 
     return dealt.groupBy("block").applyInPandas(compare, "a long, b long")
@@ -152,8 +188,9 @@ def near_vectors(frame: DataFrame, key: str, vector: str, label: str, near: floa
 
     Vectors with equal labels are linked when found at a cosine of ``near`` or more, in double
     precision. Equal vectors are one class, so copies never fill a window and make no pairs; a class
-    of k copies links each of them to the k-1 others. In each of ``passes`` orders a class is compared with
-    the ``window`` classes behind it; the verified pairs of all passes make the components, and the links
+    of k copies links each of them to the k-1 others. Vectors are sorted by where they lie around their label's mean.
+    In each of ``passes`` orders a class is compared with
+    the ``window`` classes behind it, in blocks; the verified pairs of all passes make the components, and the links
     inside a component are then counted in full. Null labels and vectors that are null, empty, zero or hold null or
     non-finite components link with nothing and are kept. Vectors of different lengths are never linked. The
     search is approximate: it can miss a link between two components, but links none below ``near``.
@@ -165,25 +202,29 @@ def near_vectors(frame: DataFrame, key: str, vector: str, label: str, near: floa
         rows.filter("mark is not null").groupBy("label", "mark")
         .agg(F.min("id").alias("id"), F.count("*").alias("copies")), "classes")
     heads = rows.select("label", "mark", "id", "raw").join(classes, ["label", "mark", "id"]) \
-        .dropDuplicates(["label", "mark", "id"])
+        .dropDuplicates(["label", "mark", "id"]).withColumn("name", F.xxhash64("label", "mark"))
+    heads = stored(heads.withColumn("size", F.length("raw")), "heads")
 
     def keyed(batches):
         for batch in batches:
-            values = batch.column("raw").to_pylist()
+            values, centres = batch.column("raw").to_pylist(), batch.column("centre").to_pylist()
             sizes = np.array([len(v) for v in values])
+            spread = batch.column("spread").to_numpy()
             for size in np.unique(sizes):
                 at = np.flatnonzero(sizes == size)
                 some, found = batch.take(pa.array(at)), units([values[i] for i in at], kind)
+                found -= np.frombuffer(b"".join(centres[i] for i in at)).reshape(found.shape)
+                found /= spread[at, None]
                 for turn in range(passes):
                     yield pa.RecordBatch.from_arrays(
                         [pa.array(np.full(len(at), turn, np.int32)), some.column("label"),
-                         pa.array(sort_keys(found, turn)), some.column("id"), some.column("raw")],
-                        ["turn", "label", "key", "id", "raw"])
+                         pa.array(sort_keys(found, turn)), some.column("id"), some.column("name")],
+                        ["turn", "label", "key", "id", "name"])
 
     kinds = {f.name: f.dataType.simpleString() for f in rows.schema}
-    turns = heads.select("id", "label", "raw").mapInArrow(
-        keyed, f"turn int, label {kinds['label']}, key long, id {kinds['id']}, raw binary")
-    pairs = _windows(turns, window, near, block, kind)
+    turns = heads.select("id", "name", "label", "size", "raw").join(_centres(heads, kind), ["label", "size"]).mapInArrow(
+        keyed, f"turn int, label {kinds['label']}, key long, id {kinds['id']}, name long")
+    pairs = _windows(turns, heads, window, near, block, kind)
     joined = stored(components(pairs, "a", "b").select(F.col("node").alias("id"), "component"), "joined")
     members = heads.join(joined, "id").select("component", "id", "copies", "raw")
     around = _links_inside(members, near, block, kind)

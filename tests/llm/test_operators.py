@@ -8,6 +8,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -235,6 +236,25 @@ def test_vectors(spark):
     assert near_vectors(frame.limit(0), "vec_id", "embedding", "label").count() == 0
 
 
+def test_vectors_of_a_tight_label(spark):
+    draw = np.random.default_rng(9)
+    n, planted, size = 12_000, 400, 64
+
+    def unit(x):
+        return x / np.linalg.norm(x, axis=1, keepdims=True)
+
+    # All share a direction, with a cosine of 0.9 on average; some have a near one.
+    rows = unit(0.9 ** 0.5 * unit(np.ones((1, size))) + 0.1 ** 0.5 * unit(draw.standard_normal((n, size))))
+    side = draw.standard_normal((planted, size))
+    side = unit(side - (side * rows[:planted]).sum(axis=1, keepdims=True) * rows[:planted])
+    rows[n - planted:] = 0.982 * rows[:planted] + (1 - 0.982 ** 2) ** 0.5 * side
+    near = rows @ rows.T >= 0.98
+    frame = spark.createDataFrame(pa.table({"vec_id": np.arange(n), "embedding": rows.tolist(), "label": np.zeros(n, np.int64)}))
+    found = near_vectors(frame, "vec_id", "embedding", "label").agg(F.sum("n_links")).first()[0]
+    wanted = int(near.sum()) - n
+    assert 2 * planted <= wanted and 0.95 * wanted <= found <= wanted
+
+
 def test_packing_loses_nothing(docs, rows, empty):
     import base64
 
