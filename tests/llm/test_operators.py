@@ -17,7 +17,7 @@ from changetide.llm.bpe import Codec, decode, default_vocabulary, digests, encod
 from changetide.llm.graph import components
 from changetide.llm.jaccard import Sets, forest, near_sets
 from changetide.llm.language import identified, learned, page_parts
-from changetide.llm.mixing import DOMAINS, mix
+from changetide.llm.mixing import DOMAINS, mix, rates
 from changetide.llm.order_minhash import code_points, compare_with_next, fingerprint, likeness
 from changetide.llm.packing import best_fit, pack
 from changetide.llm.repeats import without_repeats
@@ -365,3 +365,12 @@ def test_mixing_meets_its_targets(spark):
     kept = {r["doc_id"]: r["rate"] for r in mix(docs, "doc_id", "text", labels).collect()}
     assert all((kept[i] >= 0.5) == (i % 3 != 0) for i in range(300))
     assert mix(docs.limit(0), "doc_id", "text", labels).count() == 0
+
+
+@pytest.mark.parametrize("doubt", [0.0, 1e-9, 1e-5])
+def test_one_toxic_document_goes_from_a_large_clean_corpus(spark, doubt):
+    rows = [(1, 40, 0.0, 0.0, 1.0)] + [(i, 10_000_000, 0.7 - doubt, 0.3, doubt) for i in range(2, 60)]
+    members = spark.createDataFrame(rows, "doc_id long, n_tokens long, p_good double, p_plain double, p_toxic double")
+    now = {d: sum(r[1] * r[2 + i] for r in rows) for i, d in enumerate(DOMAINS)}
+    found = {r["doc_id"]: r["rate"] for r in rates(members, now | {"toxic": 0.0}).collect()}
+    assert found[1] < 0.01 and all(found[i] > 0.5 for i in range(2, 60))
