@@ -19,6 +19,7 @@ COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 NEAR_WORDS, NEAR_PERCENT = 5, 80   # near copies share four fifths of their runs of five words
 PASSAGE = 240                      # bytes of a repeated passage, less than 50 words have
 KEPT_RATE = 0.5                    # a document is kept if it is taken at least this often
+TOXIC = 0.5                        # and only goes if it is as likely toxic as not
 MARK = "row_mark"
 
 
@@ -67,12 +68,12 @@ def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the mixture without toxic tokens takes; the others are about as many tokens as before.
+    """Documents that the mixture without toxic tokens takes, and all that are less likely toxic than not.
 
-    Documents with a null doc_id have no rate and stay.
+    Taking almost no toxic tokens lowers the rates of slightly doubtful documents too; these stay. Documents with a null doc_id have no rate and stay.
     """
     rated = mix(docs, "doc_id", "text", table(spark, sf_dir, "labels"))
-    gone = stored(rated.filter(F.col("rate") < KEPT_RATE).select("doc_id"), "not_taken")
+    gone = stored(rated.filter((F.col("rate") < KEPT_RATE) & (F.col("p_toxic") >= TOXIC)).select("doc_id"), "not_taken")
     return docs.select(*COLUMNS).join(gone, "doc_id", "left_anti").select(*COLUMNS)
 
 

@@ -374,3 +374,21 @@ def test_one_toxic_document_goes_from_a_large_clean_corpus(spark, doubt):
     now = {d: sum(r[1] * r[2 + i] for r in rows) for i, d in enumerate(DOMAINS)}
     found = {r["doc_id"]: r["rate"] for r in rates(members, now | {"toxic": 0.0}).collect()}
     assert found[1] < 0.01 and all(found[i] > 0.5 for i in range(2, 60))
+
+
+def test_rates_reach_what_can_be_reached(spark, recwarn):
+    draw = np.random.default_rng(11)
+    p = draw.dirichlet([0.3, 0.3, 0.3], 200)
+    n = draw.integers(1, 500, 200)
+    rows = [(i, int(n[i]), *map(float, p[i])) for i in range(200)]
+    members = spark.createDataFrame(rows, "doc_id long, n_tokens long, p_good double, p_plain double, p_toxic double")
+    target = np.array([0.7, 0.3, 0.02]) * n.sum()
+    found = {r["doc_id"]: r["rate"] for r in rates(members, dict(zip(DOMAINS, target.tolist()))).collect()}
+    reached = (np.array([found[i] for i in range(200)]) * n) @ p
+    # The plain way: a great many short projected steps.
+    size, rate = n @ p, np.ones(200)
+    for _ in range(200_000):
+        rate = np.maximum(rate - p @ (((rate * n) @ p - target) / size), 0)
+    assert np.abs(reached - (rate * n) @ p).max() <= 1e-4 * size.min() and not [w for w in recwarn if "rates" in str(w.message)]
+    same = spark.createDataFrame([(i, 10, 0.5, 0.3, 0.2) for i in range(9)], members.schema)
+    assert len({r["rate"] for r in rates(same, {"good": 45.0, "plain": 27.0, "toxic": 0.0}).collect()}) == 1

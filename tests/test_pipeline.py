@@ -1,0 +1,25 @@
+"""The stages of the corpus pipeline, and all of it, on small tables."""
+
+import pytest
+from pyspark.sql import functions as F
+
+import corpus_pipeline as corpus
+
+DOCS = "doc_id long, text string, lang string, source string, n_chars long"
+
+
+def frame(spark, rows):
+    return spark.createDataFrame([(i, t, "en", "web", None if t is None else len(t)) for i, t in rows], DOCS)
+
+
+def texts(found):
+    return sorted(((r["doc_id"], r["text"]) for r in found.collect()), key=repr)
+
+
+def test_mixture_keeps_what_is_hardly_toxic(spark, tmp_path, monkeypatch):
+    spark.createDataFrame([], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    rated = [(1, 0.0, 0.9), (2, 0.4, 0.5), (3, 0.1, 0.49), (4, 0.6, 0.7), (5, 1.0, 0.0)]
+    monkeypatch.setattr(corpus, "mix", lambda *a: spark.createDataFrame(rated, "doc_id long, rate double, p_toxic double"))
+    rows = [(i, f"text {i}") for i in range(1, 6)] + [(None, "no key")]
+    kept = corpus.mixture(spark, frame(spark, rows), str(tmp_path))
+    assert texts(kept) == sorted([(3, "text 3"), (4, "text 4"), (5, "text 5"), (None, "no key")], key=repr)
