@@ -44,13 +44,17 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies, the one with the least doc_id; repeated rows stay once.
 
-    Documents with a null doc_id can't be told apart and stay.
+    Documents are told apart by doc_id and text, so a doc_id that several texts share goes with some of them only. Documents with a null doc_id
+    have no place in that order and stay.
     """
-    docs = docs.select(*COLUMNS)
-    found = near_sets(docs, "doc_id", words=NEAR_WORDS, percent=NEAR_PERCENT)
-    gone = stored(found.filter("doc_id != component_id").select("doc_id").distinct(), "gone")
-    named = docs.filter("doc_id is not null").join(gone, "doc_id", "left_anti").dropDuplicates(["doc_id", "text"])
-    return named.select(*COLUMNS).union(docs.filter("doc_id is null"))
+    marked = docs.select(*COLUMNS).withColumn(MARK, F.xxhash64("doc_id", "text"))
+    found = near_sets(marked, MARK, words=NEAR_WORDS, percent=NEAR_PERCENT).select(MARK, "component_id").dropDuplicates([MARK])
+    named = marked.filter("doc_id is not null").select(MARK, "doc_id").dropDuplicates([MARK]).join(found, MARK)
+    named = stored(named, "groups")
+    first = named.groupBy("component_id").agg(F.min(F.struct("doc_id", MARK))[MARK].alias(MARK))
+    gone = stored(named.join(first, MARK, "left_anti").select(MARK), "gone")
+    kept = marked.filter("doc_id is not null").join(gone, MARK, "left_anti").dropDuplicates(["doc_id", "text"])
+    return kept.select(*COLUMNS).union(docs.filter("doc_id is null").select(*COLUMNS))
 
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

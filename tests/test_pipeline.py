@@ -23,3 +23,11 @@ def test_mixture_keeps_what_is_hardly_toxic(spark, tmp_path, monkeypatch):
     rows = [(i, f"text {i}") for i in range(1, 6)] + [(None, "no key")]
     kept = corpus.mixture(spark, frame(spark, rows), str(tmp_path))
     assert texts(kept) == sorted([(3, "text 3"), (4, "text 4"), (5, "text 5"), (None, "no key")], key=repr)
+
+
+def test_near_copies_are_decided_by_text(spark):
+    a, b, c = (" ".join(f"{x}{i}" for i in range(40)) for x in "abc")
+    rows = [(3, b), (5, a), (5, b), (7, b + " more"), (7, c), (8, c + " more"), (8, c + " more"), (None, b), (9, None), (10, "")]
+    kept = corpus.near_copies(spark, frame(spark, [*rows, (3, b)]), "")
+    assert texts(kept) == sorted([(3, b), (5, a), (7, c), (None, b), (9, None), (10, "")], key=repr)
+    assert corpus.near_copies(spark, frame(spark, rows[:0]), "").count() == 0
