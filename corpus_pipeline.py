@@ -17,7 +17,7 @@ from changetide.llm.tables import stored, table
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 NEAR_WORDS, NEAR_PERCENT = 5, 80   # near copies share four fifths of their runs of five words
-PASSAGE = 240                      # bytes of a repeated passage, less than 50 words have
+PASSAGE = 240                      # bytes of the shortest repeated passage that is cut, however many words these are
 KEPT_RATE = 0.5                    # a document is kept if it is taken at least this often
 TOXIC = 0.5                        # and only goes if it is as likely toxic as not
 MARK = "row_mark"

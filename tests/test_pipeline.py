@@ -31,3 +31,12 @@ def test_near_copies_are_decided_by_text(spark):
     kept = corpus.near_copies(spark, frame(spark, [*rows, (3, b)]), "")
     assert texts(kept) == sorted([(3, b), (5, a), (7, c), (None, b), (9, None), (10, "")], key=repr)
     assert corpus.near_copies(spark, frame(spark, rows[:0]), "").count() == 0
+
+
+def test_shortest_passage_that_is_cut(spark):
+    # 120 words of one letter and a blank; and the same, one byte short.
+    for size, cut in ((240, True), (239, False)):
+        passage = ("a b c d e f g h i j " * 12)[:size]
+        rows = [(1, "<" + passage + ">"), (2, "[" + passage + "]")]
+        kept = texts(corpus.repeated_passages(spark, frame(spark, rows), ""))
+        assert kept == ([(1, "<>"), (2, "[]")] if cut else rows)
