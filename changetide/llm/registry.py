@@ -4,8 +4,11 @@ from __future__ import annotations
 
 from .attention import op3_attention_scores
 from .bpe import op9_bpe
+from .codes import op13_vector_codes
+from .infill import OP12_SQL, op12_infill
 from .jaccard import op8_jaccard_join
 from .language import op1_page_languages
+from .lines import OP11_SQL, op11_line_dedup
 from .mixing import op5_mixed_rates
 from .order_minhash import op7_order_minhash
 from .packing import op2_packed_rows
@@ -24,6 +27,9 @@ QUERIES = {
     "op8_jaccard_join": op8_jaccard_join,
     "op9_bpe": op9_bpe,
     "op10_repeated_strings": op10_repeated_strings,
+    "op11_line_dedup": op11_line_dedup,
+    "op12_infill": op12_infill,
+    "op13_vector_codes": op13_vector_codes,
 }
 
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {"op11_line_dedup": OP11_SQL, "op12_infill": OP12_SQL}

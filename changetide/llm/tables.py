@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..sources.paths import written
+from ..sources.paths import input_files, remove, written
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -21,6 +21,12 @@ def stored(frame: DataFrame, name: str) -> DataFrame:
     return written(frame, name)
 
 
+def discarded(frame: DataFrame) -> None:
+    """Delete a stored table that nothing reads any more."""
+    for path in input_files(frame)[:1]:
+        remove(frame.sparkSession, path.rsplit("/", 1)[0], recursive=True)
+
+
 def utf8(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """Bytes of a string column, one text behind the other, and where each text begins and ends.
 
@@ -67,3 +73,20 @@ def fresh(frame: DataFrame, name: str) -> str:
 
 def literal_text(column: str):
     return F.coalesce(F.col(column).cast("string"), F.lit(""))
+
+
+def joined_by_key(rows: DataFrame, facts: DataFrame, key: str, n: str, share: int = 1024) -> DataFrame:
+    """Rows of a stored table with the facts about their key, for keys that have facts; null keys match each other.
+
+    ``facts`` is stored too and has one row a key, with the number ``n`` of its rows. Keys with more than one in ``share`` of all these rows
+    are fewer than ``share``, whatever the size, so they go to every task and their rows stay where they are; the rows of no other key
+    can fill a task.
+    """
+    most = (facts.agg(F.sum(n)).first()[0] or 0) / share
+    names, own = rows.columns, [c for c in facts.columns if c != key]
+    there = facts.withColumnRenamed(key, "__key")
+    hot, cold = there.filter(F.col(n) > most), there.filter(F.col(n) <= most)
+    equal = F.col(key).eqNullSafe(F.col("__key"))
+    out = [*names, *own]
+    others = rows.join(F.broadcast(hot.select("__key")), equal, "left_anti")
+    return rows.join(F.broadcast(hot), equal).select(*out).unionByName(others.join(cold, equal).select(*out))
