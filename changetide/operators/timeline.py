@@ -42,6 +42,11 @@ def history(log: DataFrame, spec: TableSpec, skipped: int = 0) -> DataFrame:
         F.min(SOURCE_TS).alias("min_source_ts_ms"),
         F.max(SOURCE_TS).alias("max_source_ts_ms"),
     )
+    return history_of(batches, spec, skipped)
+
+
+def history_of(batches: DataFrame, spec: TableSpec, skipped: int = 0) -> DataFrame:
+    """The same from one row per batch with its time, counts and range of source times."""
     first = F.col("version") == 0
     return batches.withColumn(
         "version", (F.row_number().over(_by_batch()) + (skipped - 1)).cast("long")

@@ -27,6 +27,8 @@ Query = Callable[[SparkSession, str], DataFrame]
 VERSION = 12
 SOURCE_TIME = 1705276800000
 KEY = 7
+STORED_VERSION = 4
+LIMIT = 500
 
 _EXTRA_KEYS = 10_000_000
 
@@ -242,6 +244,14 @@ def csv_loaded(spark: SparkSession, sf_dir: str) -> DataFrame:
     return load_csv(spark, [f"{path}-missing", path], ORDERS)
 
 
+def csv_limited(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first orders of a folder of CSV files whose order is that of the keys."""
+    path = scratch_dir(spark, "orders-csv")
+    rows = feeds.as_orders(feeds.table(spark, sf_dir, "orders"))
+    rows.orderBy(ORDERS.pk).write.option("header", True).option("escape", '"').csv(path)
+    return load_csv(spark, [path], ORDERS, limit=LIMIT)
+
+
 def csv_numbered(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All line items written as CSV without a key; the loader numbers them."""
     path = scratch_dir(spark, "lines-csv")
@@ -306,6 +316,39 @@ def compacted_state(spark: SparkSession, sf_dir: str) -> DataFrame:
     return log.current()
 
 
+def stored_history(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """History from the summaries that the commits left."""
+    return replays.stored_log(spark, sf_dir).history().drop("timestamp")
+
+
+def stored_batch_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return replays.stored_log(spark, sf_dir, damaged=True).batch_metrics()
+
+
+def stored_time_travel_v(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A version between the base it starts from and one that it must not see."""
+    return replays.stored_log(spark, sf_dir, compacted=[1, 5]).as_of(version=STORED_VERSION)
+
+
+def stored_time_travel_ts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A time that no base after the first is old enough for."""
+    return replays.stored_log(spark, sf_dir, compacted=[0, 4]).as_of(ts_ms=SOURCE_TIME)
+
+
+def stored_point_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return replays.stored_log(spark, sf_dir, compacted=[2, 4]).lookup(KEY)
+
+
+def stored_overview(spark: SparkSession, sf_dir: str) -> DataFrame:
+    log = replays.stored_log(spark, sf_dir, compacted=[3])
+    return reports.overview([(log.spec, log.current(columns=[]), log.history(last=1))])
+
+
+def compacted_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """State from a base that was compacted three times, and the versions after it."""
+    return replays.stored_log(spark, sf_dir, compacted=[0, 2, 5]).current()
+
+
 def table_detail(spark: SparkSession, sf_dir: str) -> DataFrame:
     return replays.resumed(spark, sf_dir).detail()
 
@@ -388,6 +431,7 @@ QUERIES: dict[str, Query] = {
     "reconcile_unique_keys": reconciled_by_join,
     "verify_key": verified_key,
     "csv_snapshot_load": csv_loaded,
+    "csv_limited_load": csv_limited,
     "csv_numbered_load": csv_numbered,
     "snapshot_bootstrap": bootstrapped,
     "stream_ingest": stream_ingest,
@@ -396,6 +440,13 @@ QUERIES: dict[str, Query] = {
     "stream_multi_table": stream_multi_table,
     "stream_progress": stream_progress,
     "compacted_state": compacted_state,
+    "stored_history": stored_history,
+    "stored_batch_metrics": stored_batch_metrics,
+    "stored_time_travel_v": stored_time_travel_v,
+    "stored_time_travel_ts": stored_time_travel_ts,
+    "stored_point_lookup": stored_point_lookup,
+    "stored_overview": stored_overview,
+    "compacted_runs": compacted_runs,
     "table_detail": table_detail,
     "file_listing": file_listing,
     "orders_by_status": orders_by_status,

@@ -5,9 +5,9 @@ Nothing here is executed by the library.
 
 from __future__ import annotations
 
-from .catalog import KEY, SOURCE_TIME, VERSION
+from .catalog import KEY, LIMIT, SOURCE_TIME, STORED_VERSION, VERSION
 from .feeds import DAMAGED, LATE
-from .replays import DELIVERIES
+from .replays import DELIVERIES, PERIOD
 
 _EXTRA = 10_000_000
 
@@ -80,8 +80,11 @@ SELECT version, batch_id, n_rows, n_rows - lag(n_rows) OVER (ORDER BY version) A
 FROM counted"""
 
 
-_HISTORY = f"""
-WITH {_WITH_LATE},
+# The same by periods of days, as the stored log has them.
+_BY_PERIOD = f"""{_CHANGES.format(delay=f"CASE WHEN event_id % {LATE} = 0 THEN 1 ELSE 0 END").replace("log AS", "days AS")},
+log AS (SELECT * REPLACE (batch_id // {PERIOD} AS batch_id) FROM days)"""
+
+_BATCHES = """
 batches AS (
   SELECT batch_id, count(*) FILTER (WHERE NOT is_delete) AS n_upserts,
          count(*) FILTER (WHERE is_delete) AS n_deletes,
@@ -90,8 +93,14 @@ batches AS (
 hist AS (
   SELECT row_number() OVER (ORDER BY batch_id) - 1 AS version, * FROM batches)
 """
+_HISTORY = f"WITH {_WITH_LATE}, {_BATCHES}"
 _OPERATION = "CASE WHEN version = 0 THEN 'WRITE' ELSE 'MERGE' END AS operation"
 
+_OPERATIONS = f"""
+SELECT version, batch_id, {_OPERATION},
+       CASE WHEN version = 0 THEN 'mode=create' ELSE 'key=user_id' END AS operation_parameters,
+       n_upserts, n_deletes, min_source_ts_ms, max_source_ts_ms FROM hist"""
+
 _PRODUCTS = """
 products AS (
   SELECT CAST(p_partkey AS INTEGER) AS product_id, p_name AS product_name,
@@ -109,6 +118,25 @@ replica AS (
   FROM products WHERE product_id % 83 = 0
 )"""
 
+_METRICS = f"""
+WITH {_DAMAGED}, late AS (
+  SELECT *, CAST(day_no + CASE WHEN event_id % {LATE} = 0 THEN 1 ELSE 0 END AS BIGINT) AS batch_id
+  FROM kinds)
+SELECT {{batch}} AS batch_id, count(*) AS n_total, count(*) FILTER (WHERE kind = 'upsert') AS n_upserts,
+       count(*) FILTER (WHERE kind = 'delete') AS n_deletes,
+       count(*) FILTER (WHERE kind = 'reject') AS n_rejects,
+       count(*) FILTER (WHERE reason IS NULL AND damage = 5) AS n_partially_decoded
+FROM late GROUP BY 1"""
+
+_CSV_ORDERS = """
+SELECT CAST(o_orderkey AS INTEGER) AS order_id, CAST(o_custkey AS INTEGER) AS user_id,
+       'train' AS eval_set, 1 AS order_number, CAST(dayofweek(o_orderdate) AS INTEGER) AS order_dow,
+       CAST(hour(o_orderdate) AS INTEGER) AS order_hour_of_day,
+       CAST(NULL AS FLOAT) AS days_since_prior, o_orderstatus AS status,
+       strftime(o_orderdate, '%Y-%m-%d %H:%M:%S') AS created_at,
+       strftime(o_orderdate, '%Y-%m-%d %H:%M:%S') AS updated_at
+FROM orders"""
+
 _RECONCILED = f"""
 WITH {_PRODUCTS}, {_REPLICA}
 SELECT coalesce(s.product_id, r.product_id) AS product_id,
@@ -168,24 +196,13 @@ SELECT NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL FROM log WHERE is_de
                     f" v WHERE version = {VERSION})"),
     "time_travel_ts": _state(_WITH_LATE, f"ts_ms <= {SOURCE_TIME}"),
     "point_lookup": _state(_WITH_LATE, f"user_id = {KEY}"),
-    "history": _HISTORY + f"""
-SELECT version, batch_id, {_OPERATION},
-       CASE WHEN version = 0 THEN 'mode=create' ELSE 'key=user_id' END AS operation_parameters,
-       n_upserts, n_deletes, min_source_ts_ms, max_source_ts_ms FROM hist""",
+    "history": _HISTORY + _OPERATIONS,
     "last_operations": _HISTORY + f"""
 SELECT version, {_OPERATION}, n_upserts, n_deletes FROM hist ORDER BY version DESC LIMIT 5""",
     "version_row_counts": _version_counts("l.ts_ms DESC, l.event_id DESC"),
     "version_row_counts_delete_wins": _version_counts(
         "l.batch_id DESC, l.is_delete DESC, l.ts_ms DESC, l.event_id DESC"),
-    "batch_metrics": f"""
-WITH {_DAMAGED}, late AS (
-  SELECT *, CAST(day_no + CASE WHEN event_id % {LATE} = 0 THEN 1 ELSE 0 END AS BIGINT) AS batch_id
-  FROM kinds)
-SELECT batch_id, count(*) AS n_total, count(*) FILTER (WHERE kind = 'upsert') AS n_upserts,
-       count(*) FILTER (WHERE kind = 'delete') AS n_deletes,
-       count(*) FILTER (WHERE kind = 'reject') AS n_rejects,
-       count(*) FILTER (WHERE reason IS NULL AND damage = 5) AS n_partially_decoded
-FROM late GROUP BY batch_id""",
+    "batch_metrics": _METRICS.format(batch="batch_id"),
     "merge_upsert": f"""
 WITH {_PRODUCTS}
 SELECT product_id, CASE WHEN department_id > 25 THEN upper(product_name) ELSE product_name END
@@ -221,14 +238,8 @@ GROUP BY l_orderkey""",
 WITH {_PRODUCTS}
 SELECT product_id, 0 AS source_value, aisle_id AS replica_value, aisle_id = 0 AS in_sync
 FROM products WHERE product_id = {KEY}""",
-    "csv_snapshot_load": """
-SELECT CAST(o_orderkey AS INTEGER) AS order_id, CAST(o_custkey AS INTEGER) AS user_id,
-       'train' AS eval_set, 1 AS order_number, CAST(dayofweek(o_orderdate) AS INTEGER) AS order_dow,
-       CAST(hour(o_orderdate) AS INTEGER) AS order_hour_of_day,
-       CAST(NULL AS FLOAT) AS days_since_prior, o_orderstatus AS status,
-       strftime(o_orderdate, '%Y-%m-%d %H:%M:%S') AS created_at,
-       strftime(o_orderdate, '%Y-%m-%d %H:%M:%S') AS updated_at
-FROM orders""",
+    "csv_snapshot_load": _CSV_ORDERS,
+    "csv_limited_load": f"{_CSV_ORDERS} ORDER BY o_orderkey LIMIT {LIMIT}",
     "csv_numbered_load": """
 SELECT count(*) AS n_rows, CAST(1 AS BIGINT) AS min_id, count(*) AS max_id, count(*) AS n_ids,
        CAST(sum(l_orderkey) AS BIGINT) AS sum_order_id,
@@ -271,6 +282,17 @@ SELECT 'orders' AS table_name, count(*) AS n_rows FROM orders
 UNION ALL SELECT 'last_lines', count(*) FROM ranked WHERE rn = 1 AND l_returnflag <> 'R'
 UNION ALL SELECT 'products', count(*) FROM part""",
     "compacted_state": _state(_WITH_LATE),
+    "compacted_runs": _state(_BY_PERIOD),
+    "stored_history": f"WITH {_BY_PERIOD}, {_BATCHES}{_OPERATIONS}",
+    "stored_batch_metrics": _METRICS.format(batch=f"batch_id // {PERIOD}"),
+    "stored_time_travel_v": _state(_BY_PERIOD, f"batch_id <= {STORED_VERSION}"),
+    "stored_time_travel_ts": _state(_BY_PERIOD, f"ts_ms <= {SOURCE_TIME}"),
+    "stored_point_lookup": _state(_BY_PERIOD, f"user_id = {KEY}"),
+    "stored_overview": f"""
+WITH {_BY_PERIOD}, won AS ({_latest("log")})
+SELECT 'users' AS table_name, (SELECT count(*) FROM won WHERE NOT is_delete) AS n_rows,
+       (SELECT count(DISTINCT batch_id) FROM log) AS n_versions, 'MERGE' AS last_operation,
+       'user_id,event_id,event_type,value,props' AS "columns" """,
     "orders_by_status": """
 SELECT o_orderstatus AS status, count(*) AS n FROM orders GROUP BY o_orderstatus""",
     "orders_by_weekday": """

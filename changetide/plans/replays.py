@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -18,6 +20,9 @@ _ALL_NOW = {"availableNow": True}
 # First day of each delivery of the resumed stream.
 DELIVERIES = [0, 10, 20]
 
+# Days of each batch of the stored log, and how many batches the days of a month and a late one make.
+PERIOD, PERIODS = 5, 7
+
 
 def table_stream(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """A given table as a stream, be it a file or a folder of files.
@@ -66,6 +71,18 @@ def resumed(spark: SparkSession, sf_dir: str) -> ChangeLog:
     return ChangeLog(spark, feeds.USERS, root)
 
 
+def stored_log(spark: SparkSession, sf_dir: str, damaged: bool = False, compacted: Sequence[int] = ()) -> ChangeLog:
+    """Events committed by periods of some days, with bases of some versions written in turn."""
+    log = ChangeLog(spark, feeds.USERS, scratch_dir(spark, "stored"))
+    writer = make_batch_writer(feeds.USERS, log.root)
+    messages = feeds.event_messages(feeds.table(spark, sf_dir, "events"), late=True, damaged=damaged)
+    for number in range(PERIODS):
+        writer(messages.filter(F.floor(F.col(BATCH) / PERIOD) == number).drop(BATCH), number)
+    for version in compacted:
+        log.compact(version)
+    return log
+
+
 def _created(rows: DataFrame, spec: TableSpec) -> DataFrame:
     position = {PARTITION: F.lit(0), OFFSET: F.col(spec.pk).cast("long")}
     written = rows.withColumns({"__op": F.lit("c"), "__source_ts_ms": F.lit(0), **position})

@@ -24,12 +24,13 @@ def first_existing(spark: SparkSession, candidates: list[str]) -> str | None:
     return next((path for path in candidates if exists(spark, path)), None)
 
 
-def subfolders(spark: SparkSession, folder: str) -> list[str]:
+def entries(spark: SparkSession, folder: str) -> list[str]:
     """Names of a few entries of a folder, one call to the JVM each; none where it is missing."""
     fs, hadoop_path = _file_system(spark, folder)
     if not fs.exists(hadoop_path):
         return []
-    return [status.getPath().getName() for status in fs.listStatus(hadoop_path)]
+    names = [status.getPath().getName() for status in fs.listStatus(hadoop_path)]
+    return [name for name in names if not name.startswith((".", "_"))]
 
 
 def input_files(frame: DataFrame) -> list[str]:
@@ -39,12 +40,9 @@ def input_files(frame: DataFrame) -> list[str]:
     return [unquote(path) for path in joined.split("\n") if path]
 
 
-def file_names(spark: SparkSession, folder: str) -> list[str]:
-    """Names of the files in a folder."""
-    if not exists(spark, folder):
-        return []
-    listed = input_files(spark.read.format("binaryFile").load(folder))
-    return [path.rsplit("/", 1)[1] for path in listed]
+def reads_files(frame: DataFrame) -> bool:
+    """Whether a frame reads any file; one without has no rows and, to Spark, no known size."""
+    return len(frame._jdf.inputFiles()) > 0
 
 
 def touch(spark: SparkSession, path: str) -> None:
@@ -52,6 +50,39 @@ def touch(spark: SparkSession, path: str) -> None:
     fs.create(hadoop_path, True).close()
 
 
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    """A small file that is there whole or not at all; one of that name is replaced."""
+    fs, target = _file_system(spark, path)
+    folder, name = path.rsplit("/", 1)
+    _, hidden = _file_system(spark, f"{folder}/.{name}-{uuid.uuid4().hex}")
+    out = fs.create(hidden, True)
+    out.write(text.encode())
+    out.close()
+    fs.delete(target, False)
+    if not fs.rename(hidden, target):
+        raise OSError(f"{path} could not be written")
+
+
+def read_text(spark: SparkSession, path: str) -> str:
+    """A small file."""
+    fs, hadoop_path = _file_system(spark, path)
+    stream = fs.open(hadoop_path)
+    try:
+        return spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+
+
+def folder_size(spark: SparkSession, folder: str, ending: str = ".parquet") -> tuple[int, int]:
+    """Number and bytes of the files with an ending that lie in a folder itself, from one listing."""
+    fs, hadoop_path = _file_system(spark, folder)
+    if not fs.exists(hadoop_path):
+        return 0, 0
+    sizes = [status.getLen() for status in fs.listStatus(hadoop_path)
+             if status.getPath().getName().endswith(ending)]
+    return len(sizes), sum(sizes)
+
+
 def remove(spark: SparkSession, path: str, recursive: bool = False) -> None:
     """Delete a file, or a folder with all it holds, if it is there."""
     fs, hadoop_path = _file_system(spark, path)

@@ -4,72 +4,30 @@ Layout below the root, with one directory per committed micro-batch:
 
     batches/batch_id=N/lane=changes/*.parquet     upserts and deletes
     batches/batch_id=N/lane=rejects/*.parquet     messages that could not be applied
-    commits/N+changes+rejects                     empty marker: batch N is whole, with these lanes
-    base/mode=M/upto=N/*.parquet                  deciding change of every key up to N
+    commits, summaries, folded                    which batches are whole, and what each holds
+    base                                          deciding change of every key up to some batches
 
-Overwriting a directory is not atomic, so a batch counts only while its marker stands. The
-markers share one folder: a single listing tells which batches to open, where a marker in
-every batch directory would cost one request per batch.
+Overwriting a directory is not atomic, so a batch counts only once its commit stands
+(``commits.py``). Commits share one folder and carry a summary of their batch: whole reports come from
+these, and they tell which batches a read must open. A base (``base.py``) spares readers the batches before it.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterable
 from dataclasses import dataclass
+from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from ..functions.changes import ORDERED
 from ..operators import state, timeline
 from ..operators.decode import reject_summary
-from ..sources.paths import data_files, exists, file_names, remove, subfolders, touch
+from ..sources.paths import data_files, reads_files
 from ..spec import BATCH, KIND, REASON, SOURCE_TS, UPSERT, VALUE, TableSpec
-
-LANE, CHANGES, REJECTS = "lane", "changes", "rejects"
-
-# The initial snapshot comes before batch 0 of the stream.
-SNAPSHOT_BATCH = -1
-
-
-def batch_path(root: str, batch_id: int) -> str:
-    return f"{root}/batches/{BATCH}={batch_id}"
-
-
-def _commits(spark: SparkSession, root: str) -> dict[int, list[str]]:
-    """Committed batches, in order, with the lanes each one has."""
-    found = (name.split("+") for name in file_names(spark, f"{root}/commits"))
-    return dict(sorted((int(batch), lanes) for batch, *lanes in found))
-
-
-def _markers(root: str, batch_id: int) -> list[str]:
-    """The markers a batch may have, so that writing one batch lists no others."""
-    return [f"{root}/commits/{batch_id}+{lanes}"
-            for lanes in (CHANGES, REJECTS, f"{CHANGES}+{REJECTS}")]
-
-
-def drop_bases(spark: SparkSession, root: str) -> None:
-    """Forget the compacted state, when batches it was made from are written anew."""
-    remove(spark, f"{root}/base", recursive=True)
-
-
-def is_committed(spark: SparkSession, root: str, batch_id: int) -> bool:
-    return any(exists(spark, marker) for marker in _markers(root, batch_id))
-
-
-def open_batch(spark: SparkSession, root: str, batch_id: int) -> None:
-    """Withdraw a batch from readers before it is written again."""
-    for marker in _markers(root, batch_id):
-        remove(spark, marker)
-
-
-def commit_batch(spark: SparkSession, root: str, batch_id: int) -> None:
-    """Show a completely written batch to readers, unless nothing was written."""
-    lanes = [lane for lane in (CHANGES, REJECTS)
-             if exists(spark, f"{batch_path(root, batch_id)}/{LANE}={lane}")]
-    if lanes:
-        touch(spark, f"{root}/commits/{'+'.join([str(batch_id), *lanes])}")
+from .base import BUCKETS, GROWTH, Bases, log_columns
+from .commits import CHANGES, LANE, REJECTS, Commits, batch_path, may_hold
 
 
 @dataclass(frozen=True)
@@ -80,10 +38,13 @@ class ChangeLog:
 
     # -- what is stored -------------------------------------------------------------
 
+    @property
+    def commits(self) -> Commits:
+        return Commits(self.spark, self.spec, self.root)
+
     def committed(self, lane: str | None = None) -> list[int]:
         """Committed batches, or those of them that have a lane."""
-        commits = _commits(self.spark, self.root)
-        return [batch for batch, lanes in commits.items() if lane is None or lane in lanes]
+        return self.commits.batches(lane)
 
     def batches(self) -> list[int]:
         """Committed batches that hold changes; their places are the version numbers."""
@@ -99,7 +60,7 @@ class ChangeLog:
         return batches[version]
 
     def _stored(self, batches: list[int], lane: str) -> DataFrame:
-        schema = T.StructType([*self.spec.log_schema.fields, T.StructField(BATCH, T.LongType())])
+        schema = log_columns(self.spec)
         if not batches:
             return self.spark.createDataFrame([], schema)
         return (
@@ -108,13 +69,12 @@ class ChangeLog:
             .select(*schema.names)
         )
 
-    def read(self, after: int | None = None, upto: int | None = None) -> DataFrame:
-        """Changes of committed batches; directories of other batches are not opened."""
-        return self._stored(self._between(after, upto), CHANGES)
+    def read(self, after: int | None = None, upto: int | None = None, where: Column | None = None) -> DataFrame:
+        """Changes of committed batches, of a range and with summaries that meet a condition.
 
-    def _between(self, after: int | None, upto: int | None) -> list[int]:
-        return [b for b in self.batches()
-                if (after is None or b > after) and (upto is None or b <= upto)]
+        Directories of other batches are not opened.
+        """
+        return self._stored(self.commits.batches(CHANGES, after, upto, where), CHANGES)
 
     def rejects(self) -> DataFrame:
         return self._stored(self.committed(REJECTS), REJECTS).select(
@@ -125,90 +85,96 @@ class ChangeLog:
 
     # -- compaction -----------------------------------------------------------------
 
-    def _base_root(self, mode: str) -> str:
-        return f"{self.root}/base/mode={mode}"
+    def stored_bases(self, mode: str = ORDERED) -> Bases:
+        return Bases(self.spark, self.spec, self.root, mode)
 
     def bases(self, mode: str = ORDERED) -> list[int]:
         """Batches up to which a complete base is stored."""
-        root = self._base_root(mode)
-        return sorted(int(name.removeprefix("upto=")) for name in subfolders(self.spark, root)
-                      if exists(self.spark, f"{root}/{name}/_SUCCESS"))
+        return self.stored_bases(mode).stored()
 
-    def compact(self, version: int | None = None, mode: str = ORDERED) -> int:
+    def compact(self, version: int | None = None, mode: str = ORDERED, buckets: int = BUCKETS,
+                growth: int = GROWTH) -> int:
         """Store the deciding change of every key up to a version; returns its batch.
 
-        Deletes and positions are stored too, so a late change cannot bring a
-        deleted key back. An older base is the starting point of the next one.
+        Deletes and positions are stored too, so a late change cannot bring a deleted key back. The newest older base
+        is the starting point: only the changes since, and the runs they absorb, are written.
         """
         batches = self.batches()
         if not batches:
             raise ValueError(f"{self.spec.name} has no version to compact")
         upto = self.batch_of(len(batches) - 1 if version is None else version)
         bases = self.bases(mode)
-        if upto in bases:
-            return upto
-        older = [b for b in bases if b < upto]
-        (
-            (self._decided(older[-1], mode, upto) if older
-             else state.last_changes(self.read(upto=upto), self.spec, mode))
-            .sortWithinPartitions(self.spec.pk)
-            .write.mode("overwrite")
-            .option("parquet.bloom.filter.enabled#" + self.spec.pk, "true")
-            .option("parquet.bloom.filter.adaptive.enabled", "true")
-            .parquet(f"{self._base_root(mode)}/upto={upto}")
-        )
+        if upto not in bases:
+            before = max((b for b in bases if b < upto), default=None)
+            self.stored_bases(mode).write(self.read(before, upto), upto, before, buckets, growth)
         return upto
 
-    def _base(self, base: int, mode: str) -> DataFrame:
-        log_schema = T.StructType([*self.spec.log_schema.fields, T.StructField(BATCH, T.LongType())])
-        return self.spark.read.schema(log_schema).parquet(f"{self._base_root(mode)}/upto={base}")
-
-    def _decided(self, number: int, mode: str, upto: int | None,
-                 columns: list[str] | None = None) -> DataFrame:
-        """The deciding change of every key, from a base and the batches after it.
+    def _decided(self, base: int, mode: str, later: DataFrame, columns: list[str] | None = None) -> DataFrame:
+        """The deciding change of every key, from a base and the changes after it.
 
-        Only keys that changed since the base are grouped anew; its other rows are final as they are. Spark
+        Only keys that changed since the oldest runs are grouped anew; other rows are final as they are. Spark
         sizes the joins when they run: few changed keys go to the base's tasks, many meet it in a shuffle.
         """
-        base, later, pk = self._base(number, mode), self._between(number, upto), self.spec.pk
-        if not later:
-            return base if columns is None else base.select(pk, *[c for c in columns if c != pk])
-        tail = self._stored(later, CHANGES)
+        pk = self.spec.pk
+        oldest, younger = self.stored_bases(mode).read(base)
+        # A frame without files has no known size, which would make Spark shuffle the base.
+        parts = [rows for rows in (younger, later) if reads_files(rows)]
+        tail = reduce(DataFrame.unionByName, parts) if parts else None
+        if tail is None:
+            return oldest if columns is None else oldest.select(pk, *[c for c in columns if c != pk])
         touched = tail.select(pk).distinct()
-        reopened = base.join(touched, pk, "left_semi").select(*tail.columns).unionByName(tail)
+        reopened = oldest.join(touched, pk, "left_semi").select(*tail.columns).unionByName(tail)
         decided = state.last_changes(reopened, self.spec, mode, columns)
-        return base.join(touched, pk, "left_anti").select(*decided.columns).unionByName(decided)
+        return oldest.join(touched, pk, "left_anti").select(*decided.columns).unionByName(decided)
 
     # -- tables ---------------------------------------------------------------------
 
-    def current(self, mode: str = ORDERED, columns: Iterable[str] | None = None,
-                upto: int | None = None) -> DataFrame:
-        """Live rows, from the newest base that helps and the batches after it."""
+    def _rows(self, base: int | None, later: DataFrame, mode: str, columns: Iterable[str] | None) -> DataFrame:
+        """Live rows from a base, if there is one, and the changes after it."""
         spec = self.spec
         wanted = spec.columns if columns is None else [c for c in spec.columns if c in set(columns)]
-        usable = [b for b in self.bases(mode) if upto is None or b <= upto]
-        if not usable:
-            return state.current(self.read(upto=upto), spec, mode, wanted)
+        if base is None:
+            return state.current(later, spec, mode, wanted)
         out = wanted if spec.pk in wanted else [spec.pk, *wanted]
-        decided = self._decided(usable[-1], mode, upto, [*wanted, KIND])
-        return decided.filter(F.col(KIND) == UPSERT).select(*out)
+        return self._decided(base, mode, later, [*wanted, KIND]).filter(F.col(KIND) == UPSERT).select(*out)
+
+    def current(self, mode: str = ORDERED, columns: Iterable[str] | None = None,
+                upto: int | None = None) -> DataFrame:
+        """Live rows, from the newest base that helps and the batches after it."""
+        base = max((b for b in self.bases(mode) if upto is None or b <= upto), default=None)
+        return self._rows(base, self.read(base, upto), mode, columns)
 
     def as_of(self, version: int | None = None, ts_ms: int | None = None, mode: str = ORDERED,
               columns: Iterable[str] | None = None) -> DataFrame:
-        """State at a version (only its batches are opened) or at a source time."""
+        """State at a version or at a source time.
+
+        For a version only its batches are opened; for a time only those that begin by then, after
+        the newest base whose changes are all that old.
+        """
         if (version is None) == (ts_ms is None):
             raise ValueError("give either version or ts_ms")
         if version is not None:
             return self.current(mode, columns, upto=self.batch_of(version))
-        return state.current(self.read().filter(F.col(SOURCE_TS) <= F.lit(ts_ms).cast("long")),
-                             self.spec, mode, columns)
+        base = self._base_before(ts_ms, mode)
+        seen = self.read(base, where=F.col("min_source_ts_ms") <= ts_ms)
+        return self._rows(base, seen.filter(F.col(SOURCE_TS) <= F.lit(ts_ms).cast("long")), mode, columns)
 
-    def lookup(self, key: object, mode: str = ORDERED) -> DataFrame:
-        """The live row of one key, with the key filter at every scan."""
+    def _base_before(self, ts_ms: int, mode: str) -> int | None:
+        """The newest base without a change that is later, or that has no time and so counts as later."""
         bases = self.bases(mode)
         if not bases:
-            return state.lookup(self.read(), self.spec, key, mode)
-        log = self._base(bases[-1], mode).unionByName(self.read(after=bases[-1]))
+            return None
+        late = self.commits.batches(CHANGES, upto=max(bases), where=(
+            (F.col("max_source_ts_ms") > ts_ms) | (F.col("n_untimed") > 0)))
+        return max((b for b in bases if not late or b < late[0]), default=None)
+
+    def lookup(self, key: object, mode: str = ORDERED) -> DataFrame:
+        """The live row of one key: from its bucket of a base, and batches that may hold it."""
+        base = max(self.bases(mode), default=None)
+        log = self.read(base, where=may_hold(self.spec, key))
+        if base is not None:
+            oldest, younger = self.stored_bases(mode).read(base, key)
+            log = oldest.unionByName(younger).unionByName(log)
         return state.lookup(log, self.spec, key, mode)
 
     def create_view(self, name: str | None = None, mode: str = ORDERED) -> None:
@@ -217,10 +183,14 @@ class ChangeLog:
             name or self.spec.name)
 
     def history(self, last: int | None = None) -> DataFrame:
-        """History of all versions, or of the last ones, whose batches alone are opened."""
-        batches = self.batches()
-        skipped = 0 if last is None else max(0, len(batches) - last)
-        return timeline.history(self._stored(batches[skipped:], CHANGES), self.spec, skipped)
+        """History of all versions, or of the last ones, from the summaries; no batch is opened."""
+        rows, skipped = self.commits.summaries(CHANGES), 0
+        if last is not None:
+            batches = self.batches()
+            skipped = max(0, len(batches) - last)
+            rows = rows.filter(F.col(BATCH).isin(batches[skipped:]))
+        return timeline.history_of(
+            rows.withColumn("timestamp", F.timestamp_micros("committed_us")), self.spec, skipped)
 
     def version_row_counts(self, mode: str = ORDERED, first: int | None = None) -> DataFrame:
         """Row counts of all versions, or of the first ones, whose batches alone are opened."""
@@ -228,10 +198,14 @@ class ChangeLog:
             self._stored(self.batches()[:first], CHANGES), self.spec, mode)
 
     def batch_metrics(self) -> DataFrame:
-        """Messages of every committed batch by kind, rejects included."""
-        both = self._stored(self.batches(), CHANGES).unionByName(
-            self._stored(self.committed(REJECTS), REJECTS))
-        return timeline.batch_metrics(both)
+        """Messages of every committed batch by kind, rejects included, from the summaries."""
+        return self.commits.summaries().select(
+            BATCH, "n_total", "n_upserts", "n_deletes", "n_rejects", "n_partially_decoded")
+
+    def batch_timings(self) -> DataFrame:
+        """Messages of every committed batch, the time its commit took and when that was, however long ago."""
+        return self.commits.summaries().select(
+            BATCH, "n_total", "duration_ms", F.timestamp_micros("committed_us").alias("committed_at"))
 
     # -- files ----------------------------------------------------------------------
 
@@ -241,15 +215,17 @@ class ChangeLog:
                                        for b in self.batches()])
 
     def detail(self) -> DataFrame:
-        """One row: format, location, files, bytes, columns, partition column, versions."""
-        return self.files().agg(
-            F.count("*").alias("n_files"),
-            F.coalesce(F.sum("bytes"), F.lit(0)).alias("size_bytes"),
-            F.min("modified").alias("created_at"),
-            F.max("modified").alias("last_modified"),
+        """One row: format, location, files, bytes, columns, partition column, versions; from the summaries."""
+        committed = F.timestamp_micros("committed_us")
+        return self.commits.summaries(CHANGES).agg(
+            F.coalesce(F.sum("n_files"), F.lit(0)).alias("n_files"),
+            F.coalesce(F.sum("size_bytes"), F.lit(0)).alias("size_bytes"),
+            F.count("*").alias("n_versions"),
+            F.min(committed).alias("created_at"),
+            F.max(committed).alias("last_modified"),
         ).select(
             F.lit(self.spec.name).alias("table_name"), F.lit("parquet").alias("format"),
             F.lit(self.root).alias("location"), "created_at", "last_modified",
-            "n_files", "size_bytes", F.lit(len(self.batches())).cast("long").alias("n_versions"),
+            "n_files", "size_bytes", "n_versions",
             F.lit(",".join(self.spec.columns)).alias("columns"),
             F.lit(BATCH).alias("partition_columns"), F.lit(self.spec.pk).alias("key_column"))

@@ -10,7 +10,8 @@ from pyspark.sql.streaming import StreamingQuery
 
 from ..sources.paths import exists
 from ..spec import TableSpec
-from .changelog import SNAPSHOT_BATCH, ChangeLog
+from .changelog import ChangeLog
+from .commits import SNAPSHOT_BATCH
 from .writer import make_batch_writer
 
 DEFAULT_TRIGGER = {"processingTime": "10 seconds"}

@@ -2,37 +2,40 @@
 
 from __future__ import annotations
 
+import time
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from ..operators.decode import classify, decode
 from ..sources.messages import with_tasks
 from ..spec import COMMITTED, KIND, REJECT, TableSpec
-from .changelog import (
-    CHANGES, LANE, REJECTS, SNAPSHOT_BATCH, batch_path, commit_batch, drop_bases, is_committed,
-    open_batch,
-)
+from .base import drop_bases
+from .commits import CHANGES, FOLD, LANE, REJECTS, SNAPSHOT_BATCH, Commits, batch_path, measures
 
 
 def _commit(classified: DataFrame, spec: TableSpec, root: str, batch_id: int) -> None:
-    """Write upserts, deletes and rejects in one job, then set one commit marker.
+    """Write upserts, deletes and rejects in one job, then set one commit with what the job has seen.
 
     Writing a batch again replaces it. Rows are sorted by key in each file, so that a
     key filter can skip row groups; the same sort serves the directory split.
     """
-    spark = classified.sparkSession
-    open_batch(spark, root, batch_id)
+    commits, began = Commits(classified.sparkSession, spec, root), time.monotonic()
+    commits.withdraw(batch_id)
+    seen = Observation()
     lane = F.when(F.col(KIND) == REJECT, REJECTS).otherwise(CHANGES)
     (
         classified.withColumns({LANE: lane, COMMITTED: F.current_timestamp()})
         .select(*spec.log_schema.names, LANE)
+        .observe(seen, *measures(spec))
         .sortWithinPartitions(LANE, spec.pk)
         .write.mode("overwrite").option("partitionOverwriteMode", "static")
         .partitionBy(LANE).parquet(batch_path(root, batch_id))
     )
-    commit_batch(spark, root, batch_id)
+    commits.publish(batch_id, seen.get, round(1000 * (time.monotonic() - began)))
+    if (batch_id + 1) % FOLD == 0:
+        commits.fold(FOLD)
 
 
 # Bits of a made-up offset for the task and for its row; the batch stands above them.
@@ -58,7 +61,7 @@ def make_batch_writer(spec: TableSpec, root: str,
     few partitions or one that holds most messages.
     """
     def write(messages: DataFrame, batch_id: int) -> None:
-        if is_committed(messages.sparkSession, root, batch_id):
+        if Commits(messages.sparkSession, spec, root).is_committed(batch_id):
             return
         # Only a batch frame, not a stream, can number the messages of a source without offsets.
         placed = messages.withColumn("offset", F.coalesce("offset", _number(batch_id)))

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from changetide.sources import exists, file_messages, scratch_dir, text_messages
 from changetide.spec import ORDERS, PRODUCTS
 from changetide.streaming import (
-    ChangeLog, await_all, changelog, make_batch_writer, progress, start, start_all, stop_all,
+    ChangeLog, await_all, make_batch_writer, progress, start, start_all, stop_all,
     write_snapshot,
 )
 from changetide.streaming.queries import batch_timings
@@ -156,11 +156,11 @@ def test_readers_ignore_batches_that_are_not_committed(spark, tmp_path):
     writer = make_batch_writer(ITEMS, str(tmp_path))
     for batch in range(3):
         writer(messages_of(spark, [payload(batch, batch)]), batch)
-    changelog.open_batch(spark, str(tmp_path), 1)
     log = log_at(spark, tmp_path)
+    log.commits.withdraw(1)
     assert log.batches() == [0, 2]
     assert state(log.current()) == {0: 0, 2: 2}
-    changelog.commit_batch(spark, str(tmp_path), 1)
+    log.commits.publish(1)
     assert state(log.current()) == {0: 0, 1: 1, 2: 2}
 
 
