@@ -94,7 +94,7 @@ STAGES = [
     ("BPE encoding and decoding", tokens),
 ]
 
-# Language models, sorted suffixes, gradient steps and byte pairs are beyond SQL; tests/test_pipeline.py compares with plain versions.
+# Language models, sorted suffixes, gradient steps and byte pairs are beyond SQL; tests/llm/test_pipeline.py compares with plain versions.
 ORACLE_SQL = None
 
 
