@@ -7,19 +7,25 @@ import json
 import unicodedata
 from array import array
 from collections.abc import Iterator
+from heapq import heapify, heappop, heappush
+from operator import add
 
+import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .tables import table
+from .tables import mixed, pieces, table, utf8
 
 # White space as the vocabulary's patterns mean it, the word pattern, the word end.
 _SPACE = "\t\n\x0b\x0c\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 _WORD = r"'s|'t|'re|'ve|'m|'ll|'d|\p{L}+|\p{N}|[^" + _SPACE + r"\p{L}\p{N}]+"
 _END = "</w>"
-CACHE = 100_000   # entries of a cache's generation
+CACHE_BYTES = 24 << 20   # of a cache's generation, by estimate; a worker holds four, two of words and two of fragments
+ENTRY_BYTES = 250        # of an entry beside its text and ids
+RUN_BYTES = 4 << 20      # text whose stretches are looked up together
+LONG = 64                # letters of a fragment that is merged by a heap and not kept
 _NEVER = 1 << 30
 
 
@@ -36,7 +42,7 @@ class Codec:
 
     A pair of bytes that stands inside no token can never be joined, whatever the merges, so the text
     is cut there; each fragment is merged on its own and the ids are put together again. Fragments
-    repeat far more than words do, and a word's and a fragment's ids are kept in small caches.
+    repeat far more than words do, and a word's and a fragment's ids are kept in caches of bounded size.
     """
 
     def __init__(self, description: str):
@@ -51,6 +57,11 @@ class Codec:
         for rank, (left, right) in enumerate(model["model"]["merges"]):
             self.ranks.setdefault(vocab[left] << 20 | vocab[right], rank)
             self.joined.append(vocab[left + right])
+        self.pairs, self.joins = Pairs(self.ranks), np.array(self.joined, np.int64)
+        # Ids of letters by code point, inside a word and at its end.
+        self.first = np.zeros((2, 1 + max(map(ord, byte_letters()))), np.int64)
+        for letter in byte_letters():
+            self.first[:, ord(letter)] = vocab[letter], vocab[letter + _END]
         self.inside: set[str] = set()
         for token in vocab:
             body = token.removesuffix(_END) if token != _END else token
@@ -58,93 +69,214 @@ class Codec:
         self.word = regex.compile(_WORD)
         self.gap = regex.compile(f"[{_SPACE}]+")
         self.marks = regex.compile("(" + "|".join(map(regex.escape, self.special)) + ")")
-        self.chunks: list[dict[str, bytes]]
-        self.fragments: list[dict[str, list[int]]]
-        self.forget()
-
-    def forget(self) -> None:
-        """Empty the caches. A worker may outlive its task, and its memory is then taken from the next ones."""
-        self.chunks, self.fragments = [{}, {}], [{}, {}]
+        self.chunks, self.fragments = Cache(), Cache()
 
     def cuts(self, letters: str) -> list[str]:
         """The fragments between the certain cuts; put together they are the word."""
-        inside, begin, out = self.inside, 0, []
-        for i in range(1, len(letters)):
-            if letters[i - 1:i + 1] not in inside:
-                out.append(letters[begin:i])
-                begin = i
-        out.append(letters[begin:])
-        return out
+        inside = self.inside
+        at = [i for i, pair in enumerate(map(add, letters, letters[1:]), 1) if pair not in inside]
+        if not at:
+            return [letters]
+        return [letters[i:j] for i, j in zip([0, *at], [*at, len(letters)])]
+
+    def _merged(self, keys: list[str]) -> dict[str, bytes]:
+        """Ids of fragments: the pair of the lowest rank is joined, leftmost first, until none is left.
+
+        Fragments of one length are merged side by side. Each step joins one pair in every fragment that has one left, so
+        those stay of one length; the others are done.
+        """
+        found, by_size = {}, {}
+        for key in keys:
+            size = len(key) - len(_END) * key.endswith(_END)
+            if size <= LONG:
+                by_size.setdefault(size, []).append(key)
+            else:
+                found[key] = array("I", self._merged_long(self._letters([key], size)[0].tolist())).tobytes()
+        for size, some in by_size.items():
+            names, ids = np.array(some, object), self._letters(some, size)
+            ranks = self.pairs.of(ids[:, :-1], ids[:, 1:])
+            while len(names):
+                best = ranks.min(axis=1) if ranks.shape[1] else np.full(len(names), _NEVER)
+                done = best == _NEVER
+                if done.any():
+                    row = 4 * ids.shape[1]
+                    flat = ids[done].astype("<u4").tobytes()
+                    found.update((key, flat[i * row:(i + 1) * row]) for i, key in enumerate(names[done]))
+                    names, ids, ranks, best = (x[~done] for x in (names, ids, ranks, best))
+                if not len(names):
+                    break
+                n, width = ids.shape
+                each, at = np.arange(n), ranks.argmin(axis=1)
+                ids = ids[np.arange(width) != (at + 1)[:, None]].reshape(n, width - 1)
+                ids[each, at] = self.joins[best]
+                ranks = ranks[np.arange(width - 1) != at[:, None]].reshape(n, width - 2)
+                for rows, place in ((each[at > 0], at[at > 0] - 1), (each[at < width - 2], at[at < width - 2])):
+                    ranks[rows, place] = self.pairs.of(ids[rows, place], ids[rows, place + 1])
+        return found
+
+    def _letters(self, keys: list[str], size: int) -> np.ndarray:
+        """Ids of the single letters of fragments of one length."""
+        last = np.array([key.endswith(_END) for key in keys])
+        codes = np.frombuffer("".join([key[:size] for key in keys]).encode("utf-32-le"), "<u4").reshape(len(keys), size)
+        ids = self.first[0][codes]
+        ids[last, -1] = self.first[1][codes[last, -1]]
+        return ids
 
-    def _merged(self, fragment: str, last: bool) -> list[int]:
-        """Ids of one fragment: the pair of the lowest rank is joined, leftmost first, until none is left."""
-        key = fragment + _END if last else fragment
-        kept = self.fragments[0].get(key) or self.fragments[1].get(key)
-        if kept is None:
-            vocab, rank_of = self.vocab, self.ranks.get
-            kept = [vocab[m] for m in fragment]
-            if last:
-                kept[-1] = vocab[fragment[-1] + _END]
-            ranks = [rank_of(a << 20 | b, _NEVER) for a, b in zip(kept, kept[1:])]
-            while ranks and (best := min(ranks)) != _NEVER:
-                i = ranks.index(best)
-                kept[i:i + 2] = [self.joined[best]]
-                del ranks[i]
-                if i:
-                    ranks[i - 1] = rank_of(kept[i - 1] << 20 | kept[i], _NEVER)
-                if i < len(ranks):
-                    ranks[i] = rank_of(kept[i] << 20 | kept[i + 1], _NEVER)
-        _keep(self.fragments, key, kept)
-        return kept
-
-    def word_ids(self, word: str) -> list[int]:
-        letters = "".join(map(self.letters.__getitem__, word.encode()))
+    def _merged_long(self, ids: list[int]) -> list[int]:
+        """The same by a heap over linked ids, in time n log n."""
+        rank_of, joined = self.ranks.get, self.joined
+        n = len(ids)
+        after, before = [*range(1, n + 1)], [*range(-1, n - 1)]
+        heap = [(rank, i) for i in range(n - 1) if (rank := rank_of(ids[i] << 20 | ids[i + 1])) is not None]
+        heapify(heap)
+        while heap:
+            rank, i = heappop(heap)
+            j = after[i]
+            # Passed over if one of the two ids has been joined since.
+            if ids[i] < 0 or j == n or rank_of(ids[i] << 20 | ids[j]) != rank:
+                continue
+            ids[i], ids[j] = joined[rank], -1
+            after[i] = k = after[j]
+            if k < n:
+                before[k] = i
+                if (rank := rank_of(ids[i] << 20 | ids[k])) is not None:
+                    heappush(heap, (rank, i))
+            if (h := before[i]) >= 0 and (rank := rank_of(ids[h] << 20 | ids[i])) is not None:
+                heappush(heap, (rank, h))
+        return [i for i in ids if i >= 0]
+
+    def _fragments(self, word: str) -> list[str]:
+        """A word's fragments; the last one's key has the word end."""
+        letters = word if word.isascii() and word.isalnum() else "".join(map(self.letters.__getitem__, word.encode()))
         parts = self.cuts(letters)
-        ids: list[int] = []
-        for i, part in enumerate(parts):
-            ids += self._merged(part, i == len(parts) - 1)
-        return ids
+        parts[-1] += _END
+        return parts
 
-    def _chunk(self, chunk: str) -> bytes:
-        """Ids of a stretch without white space. No rule of this vocabulary looks past white space."""
-        ids: list[int] = []
+    def _parts(self, chunk: str) -> list[str]:
+        """Fragments and special tokens of a stretch without white space. No rule of this vocabulary looks past white space."""
+        out: list[str] = []
         for part in self.marks.split(chunk) if "<" in chunk else (chunk,):
             if part in self.special:
-                ids.append(self.special[part])
+                out.append(part)
                 continue
-            # Letter by letter, so that a capital sigma does not depend on its place.
-            lower = unicodedata.normalize("NFC", part).replace("Σ", "σ").lower()
-            for word in self.word.findall(lower):
-                ids += self.word_ids(word)
-        return array("I", ids).tobytes()
+            if part.isascii():
+                lower = part.lower()
+                words = (lower,) if lower.isalpha() else self.word.findall(lower)
+            else:
+                # Letter by letter, so that a capital sigma does not depend on its place.
+                words = self.word.findall(unicodedata.normalize("NFC", part).replace("Σ", "σ").lower())
+            for word in words:
+                out += self._fragments(word)
+        return out
 
-    def encode(self, text: str) -> bytes:
-        """Ids as little-endian unsigned 32-bit integers."""
-        odd = any(c in text for c in "\x1c\x1d\x1e\x1f")
-        new, old = self.chunks
-        out = []
-        for chunk in self.gap.split(text) if odd else text.split():
-            ids = new.get(chunk)
+    def _learned(self, chunks: set[str]) -> dict[str, tuple[bytes, str]]:
+        """Ids of every stretch, and the text these decode to."""
+        found, parts = {}, {}
+        for chunk in chunks:
+            pair = self.chunks.get(chunk)
+            if pair is None:
+                parts[chunk] = self._parts(chunk)
+            else:
+                found[chunk] = pair
+        known: dict[str, bytes] = {token: array("I", [i]).tobytes() for token, i in self.special.items()}
+        missing = []
+        for part in {p for each in parts.values() for p in each} - known.keys():
+            ids = self.fragments.get(part)
             if ids is None:
-                ids = old.get(chunk)
-                if ids is None:
-                    ids = self._chunk(chunk)
-                _keep(self.chunks, chunk, ids)
-                new, old = self.chunks
-            out.append(ids)
-        return b"".join(out)
+                missing.append(part)
+            else:
+                known[part] = ids
+        merged = self._merged(missing)
+        for part, ids in merged.items():
+            self.fragments.keep(part, ids, len(ids))
+        known |= merged
+        for chunk, each in parts.items():
+            ids = b"".join([known[p] for p in each])
+            found[chunk] = ids, self.decode(ids)
+            self.chunks.keep(chunk, found[chunk], 2 * len(ids) + len(chunk))
+        return found
+
+    def _split(self, text: str) -> list[str]:
+        if any(c in text for c in "\x1c\x1d\x1e\x1f"):   # white space to Python, but not to the vocabulary
+            return [c for c in self.gap.split(text) if c]
+        return text.split()
+
+    def coded(self, texts: list[str]) -> Iterator[tuple[bytes, str]]:
+        """Of each text the ids, as little-endian unsigned 32-bit integers, and the text they decode to.
+
+        Each different stretch is encoded and decoded once for all texts.
+        """
+        stretches = [self._split(text) for text in texts]
+        found = self._learned(set().union(*stretches))
+        for chunks in stretches:
+            pairs = [found[c] for c in chunks]
+            yield b"".join([ids for ids, _ in pairs]), " ".join([back for _, back in pairs])
+
+    def encode(self, text: str) -> bytes:
+        return next(self.coded([text]))[0]
 
     def decode(self, ids: bytes) -> str:
         """The tokens' strings with a blank between two, as this vocabulary's file, without a decoder, asks."""
         return " ".join(map(self.names.__getitem__, memoryview(ids).cast("I")))
 
 
-def _keep(caches: list[dict], key, value) -> None:
-    """Two generations: the older one goes when the newer one is full, so what is used often stays."""
-    if len(caches[0]) >= CACHE:
-        caches[:] = [{}, caches[0]]
-    if len(key) <= 64:
-        caches[0][key] = value
+class Pairs:
+    """Ranks of pairs of ids, for whole arrays: a hash table with open addressing."""
+
+    SIZE = 1 << 18   # several times the merges of any vocabulary file
+
+    def __init__(self, ranks: dict[int, int]):
+        self.keys = np.full(self.SIZE, -1, np.int64)
+        self.ranks = np.full(self.SIZE, _NEVER, np.int64)
+        for key, rank in ranks.items():
+            at = int(self._slot(np.array([key]))[0])
+            while self.keys[at] >= 0:
+                at = (at + 1) % self.SIZE
+            self.keys[at], self.ranks[at] = key, rank
+
+    def _slot(self, key: np.ndarray) -> np.ndarray:
+        return (mixed(key) % np.uint64(self.SIZE)).astype(np.int64)
+
+    def of(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        key = left << 20 | right
+        at = self._slot(key)
+        out = np.where(self.keys[at] == key, self.ranks[at], _NEVER)
+        far = np.nonzero((self.keys[at] != key) & (self.keys[at] >= 0))
+        key, at = key[far], at[far]
+        while len(at):
+            at = (at + 1) % self.SIZE
+            hit = self.keys[at] == key
+            out[tuple(x[hit] for x in far)] = self.ranks[at[hit]]
+            going = ~hit & (self.keys[at] >= 0)
+            key, at, far = key[going], at[going], tuple(x[going] for x in far)
+        return out
+
+
+class Cache:
+    """Two generations: the older one goes when the newer one is full, so what is used often stays.
+
+    It is bounded by bytes and kept as long as its worker, which may serve many tasks.
+    """
+
+    def __init__(self, most: int = CACHE_BYTES):
+        self.new: dict = {}
+        self.old: dict = {}
+        self.size, self.most = 0, most
+
+    def get(self, key: str):
+        found = self.new.get(key)
+        if found is None and (found := self.old.get(key)) is not None:
+            self.keep(key, found, len(key))
+        return found
+
+    def keep(self, key: str, value, size: int) -> None:
+        if len(key) > LONG:
+            return
+        self.size += size + len(key) + ENTRY_BYTES
+        if self.size > self.most:
+            self.old, self.size = dict(self.new), size
+            self.new.clear()   # in place: a caller may hold its lookup
+        self.new[key] = value
 
 
 _codecs: dict[int, Codec] = {}
@@ -170,9 +302,12 @@ def _described(spark: SparkSession, path: str | None):
         return spark.sparkContext.broadcast(file.read())
 
 
-def _texts(batch: pa.RecordBatch, name: str) -> Iterator[str]:
-    for value in batch.column(name):
-        yield value.as_py() or ""
+def _runs(batch: pa.RecordBatch, name: str) -> Iterator[list[str]]:
+    """The batch's texts, some megabytes at a time."""
+    column = batch.column(name)
+    _, bounds = utf8(column)
+    for first, end in pieces(bounds, RUN_BYTES):
+        yield [value or "" for value in column.slice(first, end - first).to_pylist()]
 
 
 def encode(frame: DataFrame, text: str = "text", ids: str = "ids", vocabulary: str | None = None) -> DataFrame:
@@ -187,9 +322,8 @@ def encode(frame: DataFrame, text: str = "text", ids: str = "ids", vocabulary: s
     def work(batches):
         codec = _codec(described.value)
         for batch in batches:
-            column = pa.array([codec.encode(t) for t in _texts(batch, text)], pa.binary())
+            column = pa.array([i for run in _runs(batch, text) for i, _ in codec.coded(run)], pa.binary())
             yield batch.append_column(ids, column)
-        codec.forget()
 
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in source.schema)
     return source.mapInArrow(work, f"{schema}, `{ids}` binary")
@@ -221,16 +355,15 @@ def digests(frame: DataFrame, key: str, text: str = "text", vocabulary: str | No
         codec = _codec(described.value)
         for batch in batches:
             counts, first, second = [], [], []
-            for value in _texts(batch, text):
-                ids = codec.encode(value)
-                counts.append(len(ids) // 4)
-                first.append(hashlib.sha256(ids).hexdigest())
-                second.append(hashlib.sha256(codec.decode(ids).encode()).hexdigest())
+            for run in _runs(batch, text):
+                for ids, back in codec.coded(run):
+                    counts.append(len(ids) // 4)
+                    first.append(hashlib.sha256(ids).hexdigest())
+                    second.append(hashlib.sha256(back.encode()).hexdigest())
             yield pa.RecordBatch.from_arrays(
                 [batch.column(key), pa.array(counts, pa.int64()), pa.array(first, pa.string()),
                  pa.array(second, pa.string())],
                 [key, "n_tokens", "ids_sha256", "decoded_sha256"])
-        codec.forget()
 
     kind = frame.schema[key].dataType.simpleString()
     return frame.select(key, F.col(text)).mapInArrow(

@@ -119,6 +119,22 @@ def test_codec_agrees_with_the_library(rows):
         assert codec.decode(ids) == library.decode(want, skip_special_tokens=False)
 
 
+def test_codec_on_long_words_and_in_small_caches():
+    from tokenizers import Tokenizer
+
+    path, draw = default_vocabulary(), random.Random(9)
+    codec, library = Codec(open(path, encoding="utf-8").read()), Tokenizer.from_file(path)
+    codec.chunks.most = codec.fragments.most = 5_000   # a few dozen entries
+    texts = ["a" * 150_000, "ab" * 75_000, "é" * 50_000, "".join(draw.choice("abcdehinst") for _ in range(100_000)),
+             " " * 5_000_000, "\xa0" * 2_000_000, "z" * 64, "z" * 65]
+    texts += ["".join(draw.choice(["th", "e", "ing ", "É", "-", "'s", "1", " x", "Σ", "<|endoftext|>"]) for _ in range(200)) for _ in range(150)]
+    for text, (ids, back) in zip(texts, codec.coded(texts)):
+        want = library.encode(text, add_special_tokens=False).ids
+        assert np.frombuffer(ids, "<u4").tolist() == want
+        assert back == library.decode(want, skip_special_tokens=False)
+    assert codec.chunks.size <= 6_000 and len(codec.chunks.new) < 50
+
+
 def test_coding_of_tables(docs, rows, empty):
     back = decode(encode(docs, ids="extra"), ids="extra").collect()
     found = {(r["doc_id"], r["ids_sha256"], r["decoded_sha256"], r["n_tokens"]) for r in digests(docs, "doc_id").collect()}
