@@ -14,7 +14,7 @@ import sys
 from pyspark.sql import SparkSession
 
 from .plans import reports
-from .sources import bootstrap, kafka_messages, load_shop_tables
+from .sources import as_rejects, bootstrap, kafka_messages, load_shop_tables, shop_rejects
 from .sources.bulk import BEFORE_ALL
 from .spec import SHOP_TABLES
 from .streaming import ChangeLog, start_all, stop_all, write_snapshot
@@ -27,17 +27,22 @@ def _logs(spark: SparkSession, base: str) -> dict[str, ChangeLog]:
 
 
 def load(spark: SparkSession, args: argparse.Namespace) -> None:
-    """Bulk files as the snapshot that precedes the streams."""
-    tables = load_shop_tables(spark, args.data_dir, args.limit)
+    """Bulk files as the snapshot that precedes the streams; what can't be loaded goes to the rejects. A second load is a full refresh."""
+    tables, rejects = load_shop_tables(spark, args.data_dir, args.limit, lenient=True), shop_rejects(spark, args.data_dir)
     for spec in SHOP_TABLES:
-        write_snapshot(bootstrap(tables[spec.name], spec, args.exported), spec, f"{args.base}/{spec.name}")
-    stored = {name: log.current(columns=[]) for name, log in _logs(spark, args.base).items()}
-    reports.table_counts(stored).show(truncate=False)
+        rows = bootstrap(tables[spec.name], spec, args.exported).unionByName(as_rejects(rejects[spec.name], spec))
+        write_snapshot(rows, spec, f"{args.base}/{spec.name}")
+    logs = _logs(spark, args.base)
+    reports.table_counts({name: log.current(columns=[]) for name, log in logs.items()}).show(truncate=False)
+    for name, log in logs.items():
+        if log.committed("rejects"):
+            print(f"load {name}: rejects")
+            log.reject_summary().show(truncate=False)
 
 
 def verify(spark: SparkSession, args: argparse.Namespace) -> None:
     """Bulk files against the tables: keys by status, and the first key's value on both sides."""
-    source = load_shop_tables(spark, args.data_dir, args.limit)
+    source = load_shop_tables(spark, args.data_dir, args.limit, lenient=True)
     for name, log in _logs(spark, args.base).items():
         if log.exists():
             column = next(c for c in log.spec.columns if c != log.spec.pk)

@@ -80,6 +80,11 @@ def update_where(rows: DataFrame, condition: Column, values: Mapping[str, object
         for name, value in new.items()})
 
 
+def doomed_rows(rows: DataFrame, keys: DataFrame, key: str) -> DataFrame:
+    """The rows that have one of the keys; a row with very many equals is split by the adaptive skew join."""
+    return rows.join(keys.select(key).distinct(), key, "left_semi").select(*rows.columns)
+
+
 def cascade_delete(parent: DataFrame, child: DataFrame, keys: DataFrame, pk: str,
                    fk: str) -> tuple[DataFrame, DataFrame]:
     """Remove parents by key and the children that refer to them.

@@ -62,13 +62,14 @@ def last_operations(history_rows: DataFrame, k: int) -> DataFrame:
     return history_rows.orderBy(F.desc("version")).limit(k)
 
 
-def version_row_counts(log: DataFrame, spec: TableSpec, mode: str = ORDERED) -> DataFrame:
-    """Live rows at every version, and the change against the version before.
+def version_steps(log: DataFrame, spec: TableSpec, mode: str = ORDERED, after: int | None = None) -> DataFrame:
+    """``batch_id`` and ``step``: by how much each batch changes the number of live rows.
 
-    One pass for all versions: reduce to one row per (key, batch), see which of these
+    One pass for all batches: reduce to one row per (key, batch), see which of these
     rows bring a key to life or end it, and add up the steps. The window per key holds at
     most one row per batch. Under ``ordered`` a late change may lose to an earlier
     batch, so a key lives by the greatest change seen so far, not by the batch's own.
+    Rows up to the batch ``after`` make no steps: they are the state that later batches meet.
     """
     per_key = Window.partitionBy(spec.pk).orderBy(BATCH)
     touched = log.groupBy(spec.pk, BATCH)
@@ -84,9 +85,15 @@ def version_row_counts(log: DataFrame, spec: TableSpec, mode: str = ORDERED) ->
         raise ValueError(f"unknown mode {mode!r}")
     before = F.coalesce(F.lag("live").over(per_key), F.lit(False))
     steps = states.select(BATCH, (F.col("live").cast("long") - before.cast("long")).alias("step"))
+    if after is not None:
+        steps = steps.filter(F.col(BATCH) > after)
+    return steps.groupBy(BATCH).agg(F.sum("step").alias("step"))
+
+
+def counts_of(steps: DataFrame) -> DataFrame:
+    """Live rows at every version, and the change against the version before, from the batches' steps."""
     return (
-        steps.groupBy(BATCH).agg(F.sum("step").alias("step"))
-        .select(
+        steps.select(
             (F.row_number().over(_by_batch()) - 1).cast("long").alias("version"),
             BATCH,
             F.sum("step").over(
@@ -96,3 +103,8 @@ def version_row_counts(log: DataFrame, spec: TableSpec, mode: str = ORDERED) ->
         .select("version", BATCH, "n_rows",
                 F.when(F.col("version") > 0, F.col("step")).alias("change"))
     )
+
+
+def version_row_counts(log: DataFrame, spec: TableSpec, mode: str = ORDERED) -> DataFrame:
+    """Live rows at every version, and the change against the version before."""
+    return counts_of(version_steps(log, spec, mode))

@@ -10,15 +10,15 @@ from pyspark.sql import functions as F
 from ..functions.changes import DELETE_WINS
 from ..operators import (
     as_of, batch_metrics, cascade_delete, current, history, insert_if_absent, last_operations,
-    lookup, merge_delete, merge_upsert, reconcile, reject_summary, update_where, verify_key,
+    lookup, merge_delete, merge_upsert, reconcile, reconcile_by_checksum, reject_summary, update_where, verify_key,
     version_row_counts,
 )
 from ..operators.decode import classify, decode, to_messages
-from ..sources import bootstrap, flatten_envelope, load_csv, route, scratch_dir, to_changes
+from ..sources import bootstrap, csv_rejects, flatten_envelope, load_csv, route, scratch_dir, to_changes
 from ..spec import (
     BATCH, KIND, OFFSET, ORDER_PRODUCTS, ORDERS, PARTIAL, PRODUCTS, REASON, UPSERT, DELETE, TableSpec,
 )
-from ..streaming import progress
+from ..streaming import cascade_delete_logged, progress
 from . import feeds, replays, reports
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -29,6 +29,8 @@ SOURCE_TIME = 1705276800000
 KEY = 7
 STORED_VERSION = 4
 LIMIT = 500
+CSV_DAMAGED = 50
+LOST, CHANGED = (20, 29), (100, 107)
 
 _EXTRA_KEYS = 10_000_000
 
@@ -199,12 +201,21 @@ def cascaded(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines = feeds.table(spark, sf_dir, "lineitem").select("l_orderkey", "l_quantity")
     doomed = orders.filter("o_orderstatus = 'F'").select("o_orderkey")
     parents, children = cascade_delete(orders, lines, doomed, "o_orderkey", "l_orderkey")
+    return _kept(parents, "o_orderkey", "orders").unionByName(_kept(children, "l_orderkey", "lineitem"))
 
-    def kept(rows: DataFrame, key: str, name: str) -> DataFrame:
-        return rows.groupBy(F.col(key).alias("order_key")).agg(
-            F.count("*").alias("n_rows")).withColumn("table_name", F.lit(name))
 
-    return kept(parents, "o_orderkey", "orders").unionByName(kept(children, "l_orderkey", "lineitem"))
+def _kept(rows: DataFrame, key: str, name: str) -> DataFrame:
+    return rows.groupBy(F.col(key).cast("long").alias("order_key")).agg(
+        F.count("*").alias("n_rows")).withColumn("table_name", F.lit(name))
+
+
+def cascaded_logged(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same as deletes in the logs of both tables, which appear together. Lines are known by order and number."""
+    orders, lines = replays.orders_and_lines(spark, sf_dir)
+    doomed = orders.current(columns=["status"]).filter("status = 'F'")
+    cascade_delete_logged(orders, lines, doomed, "order_id", ts_ms=1)
+    return _kept(orders.current(columns=[]), "order_id", "orders").unionByName(
+        _kept(lines.current(columns=["order_id"]), "order_id", "lineitem"))
 
 
 def _replica(parts: DataFrame) -> DataFrame:
@@ -226,6 +237,15 @@ def reconciled_by_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reconcile(parts, _replica(parts), PRODUCTS.pk, unique_keys=True)
 
 
+def reconciled_by_checksum(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Customers against a copy that differs in a stretch of keys and lacks another."""
+    customers = feeds.table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_nationkey", "c_acctbal")
+    key = F.col("c_custkey")
+    copy = customers.filter(~key.between(*LOST)).withColumn(
+        "c_acctbal", F.when(key.between(*CHANGED), F.col("c_acctbal") + 1).otherwise(F.col("c_acctbal")))
+    return reconcile_by_checksum(customers, copy, "c_custkey", unique_keys=True)
+
+
 def verified_key(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One part on both sides after an update that the replica has not seen."""
     parts = feeds.product_rows(spark, sf_dir)
@@ -252,6 +272,32 @@ def csv_limited(spark: SparkSession, sf_dir: str) -> DataFrame:
     return load_csv(spark, [path], ORDERS, limit=LIMIT)
 
 
+def _damaged_orders(spark: SparkSession, sf_dir: str) -> str:
+    """All orders as CSV lines, some of them cut short and some with a cell that is no number."""
+    path = scratch_dir(spark, "damaged-csv")
+    rows = feeds.as_orders(feeds.table(spark, sf_dir, "orders")).select(*ORDERS.columns)
+    damage = F.col(ORDERS.pk) % CSV_DAMAGED
+    cells = {c: F.coalesce(F.col(c).cast("string"), F.lit("")) for c in rows.columns}
+    cells["user_id"] = F.when(damage == 1, "x").otherwise(cells["user_id"])
+    cells[ORDERS.pk] = F.when(damage == 2, "none").otherwise(cells[ORDERS.pk])
+    line = F.concat_ws(",", *cells.values())
+    cut = F.substring_index(line, ",", 3)
+    # Written as one column with another separator, so that commas stay as they are.
+    rows.select(F.when(damage == 0, cut).otherwise(line).alias(",".join(cells))).write.option("header", True).option("sep", "\x01").csv(path)
+    return path
+
+
+def csv_damaged(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What can be loaded of them."""
+    return load_csv(spark, [_damaged_orders(spark, sf_dir)], ORDERS, lenient=True).select("order_id", "user_id", "status", "order_dow")
+
+
+def csv_left_out(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What cannot, by reason and column."""
+    found = csv_rejects(spark, [_damaged_orders(spark, sf_dir)], ORDERS)
+    return found.groupBy("reason", "column_name").agg(F.count("*").alias("n"), F.min("value").alias("least"))
+
+
 def csv_numbered(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All line items written as CSV without a key; the loader numbers them."""
     path = scratch_dir(spark, "lines-csv")
@@ -349,6 +395,11 @@ def compacted_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return replays.stored_log(spark, sf_dir, compacted=[0, 2, 5]).current()
 
 
+def compacted_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Row counts of all versions, most of them from the steps that bases keep."""
+    return replays.stored_log(spark, sf_dir, compacted=[1, 4]).version_row_counts()
+
+
 def table_detail(spark: SparkSession, sf_dir: str) -> DataFrame:
     return replays.resumed(spark, sf_dir).detail()
 
@@ -427,11 +478,15 @@ QUERIES: dict[str, Query] = {
     "update_where": updated_where,
     "update_where_logged": updated_where_logged,
     "cascade_delete": cascaded,
+    "cascade_delete_logged": cascaded_logged,
     "reconcile": reconciled,
     "reconcile_unique_keys": reconciled_by_join,
+    "reconcile_by_checksum": reconciled_by_checksum,
     "verify_key": verified_key,
     "csv_snapshot_load": csv_loaded,
     "csv_limited_load": csv_limited,
+    "csv_damaged_load": csv_damaged,
+    "csv_rejects": csv_left_out,
     "csv_numbered_load": csv_numbered,
     "snapshot_bootstrap": bootstrapped,
     "stream_ingest": stream_ingest,
@@ -447,6 +502,7 @@ QUERIES: dict[str, Query] = {
     "stored_point_lookup": stored_point_lookup,
     "stored_overview": stored_overview,
     "compacted_runs": compacted_runs,
+    "compacted_counts": compacted_counts,
     "table_detail": table_detail,
     "file_listing": file_listing,
     "orders_by_status": orders_by_status,

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from ..operators.decode import changes, classify, decode, to_messages
 from ..spec import (
-    BATCH, BROKER_TS, DELETED, OFFSET, OP, ORDERS, PARTITION, PRODUCTS, SOURCE_TS, TABLE,
+    BATCH, BROKER_TS, DELETED, OFFSET, OP, ORDER_PRODUCTS, ORDERS, PARTITION, PRODUCTS, SOURCE_TS, TABLE,
     TableSpec, row_schema,
 )
 from ..sources.bulk import bootstrap
@@ -110,6 +110,15 @@ def as_products(parts: DataFrame) -> DataFrame:
     return _cast(parts, PRODUCTS, values)
 
 
+def as_order_products(lines: DataFrame) -> DataFrame:
+    """``lineitem`` in the columns of the shop's line items, numbered by order and line."""
+    values = {
+        "id": "l_orderkey * 8 + l_linenumber", "order_id": "l_orderkey", "product_id": "l_partkey",
+        "add_to_cart_order": "l_linenumber", "reordered": "0", "created_at": "l_shipdate",
+    }
+    return _cast(lines, ORDER_PRODUCTS, values)
+
+
 def _cast(rows: DataFrame, spec: TableSpec, values: dict[str, str]) -> DataFrame:
     return rows.selectExpr(*[f"CAST({values[f.name]} AS {f.dataType.simpleString()}) AS {f.name}"
                              for f in spec.schema])

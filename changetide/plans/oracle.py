@@ -5,7 +5,7 @@ Nothing here is executed by the library.
 
 from __future__ import annotations
 
-from .catalog import KEY, LIMIT, SOURCE_TIME, STORED_VERSION, VERSION
+from .catalog import CHANGED, CSV_DAMAGED, KEY, LIMIT, LOST, SOURCE_TIME, STORED_VERSION, VERSION
 from .feeds import DAMAGED, LATE
 from .replays import DELIVERIES, PERIOD
 
@@ -64,9 +64,9 @@ SELECT {_ROW} FROM won WHERE NOT is_delete {then}"""
 _DELETE_WINS = "batch_id DESC, is_delete DESC, ts_ms DESC, event_id DESC"
 
 
-def _version_counts(order: str) -> str:
+def _version_counts(order: str, changes: str = _WITH_LATE) -> str:
     return f"""
-WITH {_WITH_LATE},
+WITH {changes},
 v AS (SELECT batch_id AS upto, row_number() OVER (ORDER BY batch_id) - 1 AS version
       FROM (SELECT DISTINCT batch_id FROM log) b),
 ranked AS (
@@ -153,6 +153,14 @@ SELECT CAST(o_orderkey AS INTEGER) AS order_id, CAST(o_custkey AS INTEGER) AS us
        CAST(CASE WHEN o_orderstatus = 'P' THEN 2 ELSE 1 END AS INTEGER) AS order_number
 FROM orders"""
 
+_CASCADED = """
+WITH kept AS (SELECT o_orderkey FROM orders WHERE o_orderstatus <> 'F')
+SELECT 'orders' AS table_name, o_orderkey AS order_key, count(*) AS n_rows FROM kept GROUP BY o_orderkey
+UNION ALL
+SELECT 'lineitem', l_orderkey, {n} FROM lineitem l
+WHERE NOT EXISTS (SELECT 1 FROM orders o WHERE o.o_orderkey = l.l_orderkey AND o.o_orderstatus = 'F')
+GROUP BY l_orderkey"""
+
 _DELIVERY = "CASE " + " ".join(
     f"WHEN batch_id >= {first} THEN {number}"
     for number, first in reversed(list(enumerate(DELIVERIES)))) + " END"
@@ -225,21 +233,37 @@ SELECT o_custkey, o_totalprice FROM incoming
 WHERE rn = 1 AND NOT EXISTS (SELECT 1 FROM target t WHERE t.c_custkey = incoming.o_custkey)""",
     "update_where": _UPDATED,
     "update_where_logged": _UPDATED,
-    "cascade_delete": """
-WITH kept AS (SELECT o_orderkey FROM orders WHERE o_orderstatus <> 'F')
-SELECT 'orders' AS table_name, o_orderkey AS order_key, count(*) AS n_rows FROM kept GROUP BY o_orderkey
-UNION ALL
-SELECT 'lineitem', l_orderkey, count(*) FROM lineitem l
-WHERE NOT EXISTS (SELECT 1 FROM orders o WHERE o.o_orderkey = l.l_orderkey AND o.o_orderstatus = 'F')
-GROUP BY l_orderkey""",
+    "cascade_delete": _CASCADED.format(n="count(*)"),
+    "cascade_delete_logged": _CASCADED.format(n="count(DISTINCT l_linenumber)"),
     "reconcile": _RECONCILED,
     "reconcile_unique_keys": _RECONCILED,
+    "reconcile_by_checksum": f"""
+SELECT c_custkey, CASE WHEN c_custkey BETWEEN {LOST[0]} AND {LOST[1]} THEN 'missing'
+                       WHEN c_custkey BETWEEN {CHANGED[0]} AND {CHANGED[1]} THEN 'different' ELSE 'equal' END AS status
+FROM customer""",
     "verify_key": f"""
 WITH {_PRODUCTS}
 SELECT product_id, 0 AS source_value, aisle_id AS replica_value, aisle_id = 0 AS in_sync
 FROM products WHERE product_id = {KEY}""",
     "csv_snapshot_load": _CSV_ORDERS,
     "csv_limited_load": f"{_CSV_ORDERS} ORDER BY o_orderkey LIMIT {LIMIT}",
+    "csv_damaged_load": f"""
+SELECT CAST(o_orderkey AS INTEGER) AS order_id,
+       CASE WHEN o_orderkey % {CSV_DAMAGED} <> 1 THEN CAST(o_custkey AS INTEGER) END AS user_id, o_orderstatus AS status,
+       CAST(dayofweek(o_orderdate) AS INTEGER) AS order_dow
+FROM orders WHERE o_orderkey % {CSV_DAMAGED} NOT IN (0, 2)""",
+    "csv_rejects": f"""
+SELECT 'malformed' AS reason, NULL AS column_name, count(*) AS n, min(o_orderkey || ',' || o_custkey || ',train') AS least
+FROM orders WHERE o_orderkey % {CSV_DAMAGED} = 0
+UNION ALL
+SELECT 'unreadable', 'user_id', count(*), 'x' FROM orders WHERE o_orderkey % {CSV_DAMAGED} = 1
+UNION ALL
+SELECT 'null_key', 'order_id', count(*), min(
+         '{{"order_id":"none","user_id":"' || o_custkey || '","eval_set":"train","order_number":"1","order_dow":"'
+         || dayofweek(o_orderdate) || '","order_hour_of_day":"' || hour(o_orderdate) || '","status":"' || o_orderstatus
+         || '","created_at":"' || strftime(o_orderdate, '%Y-%m-%d %H:%M:%S') || '","updated_at":"'
+         || strftime(o_orderdate, '%Y-%m-%d %H:%M:%S') || '"}}')
+FROM orders WHERE o_orderkey % {CSV_DAMAGED} = 2""",
     "csv_numbered_load": """
 SELECT count(*) AS n_rows, CAST(1 AS BIGINT) AS min_id, count(*) AS max_id, count(*) AS n_ids,
        CAST(sum(l_orderkey) AS BIGINT) AS sum_order_id,
@@ -283,6 +307,7 @@ UNION ALL SELECT 'last_lines', count(*) FROM ranked WHERE rn = 1 AND l_returnfla
 UNION ALL SELECT 'products', count(*) FROM part""",
     "compacted_state": _state(_WITH_LATE),
     "compacted_runs": _state(_BY_PERIOD),
+    "compacted_counts": _version_counts("l.ts_ms DESC, l.event_id DESC", _BY_PERIOD),
     "stored_history": f"WITH {_BY_PERIOD}, {_BATCHES}{_OPERATIONS}",
     "stored_batch_metrics": _METRICS.format(batch=f"batch_id // {PERIOD}"),
     "stored_time_travel_v": _state(_BY_PERIOD, f"batch_id <= {STORED_VERSION}"),

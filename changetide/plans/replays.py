@@ -9,10 +9,11 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ..operators.decode import to_messages
+from ..sources.bulk import bootstrap
 from ..sources.messages import file_messages
 from ..sources.paths import scratch_dir
-from ..spec import BATCH, OFFSET, ORDERS, PARTITION, PRODUCTS, TableSpec
-from ..streaming import ChangeLog, await_all, make_batch_writer, start, start_all
+from ..spec import BATCH, OFFSET, ORDER_PRODUCTS, ORDERS, PARTITION, PRODUCTS, TableSpec
+from ..streaming import ChangeLog, await_all, make_batch_writer, start, start_all, write_snapshot
 from . import feeds
 
 _ALL_NOW = {"availableNow": True}
@@ -83,6 +84,16 @@ def stored_log(spark: SparkSession, sf_dir: str, damaged: bool = False, compacte
     return log
 
 
+def orders_and_lines(spark: SparkSession, sf_dir: str) -> tuple[ChangeLog, ChangeLog]:
+    """Orders and their lines as the snapshots of two logs in one folder."""
+    base = scratch_dir(spark, "shop")
+    rows = feeds.as_orders(feeds.table(spark, sf_dir, "orders")), feeds.as_order_products(feeds.table(spark, sf_dir, "lineitem"))
+    logs = [ChangeLog(spark, spec, f"{base}/{spec.name}") for spec in (ORDERS, ORDER_PRODUCTS)]
+    for log, each in zip(logs, rows):
+        write_snapshot(bootstrap(each, log.spec), log.spec, log.root)
+    return logs[0], logs[1]
+
+
 def _created(rows: DataFrame, spec: TableSpec) -> DataFrame:
     position = {PARTITION: F.lit(0), OFFSET: F.col(spec.pk).cast("long")}
     written = rows.withColumns({"__op": F.lit("c"), "__source_ts_ms": F.lit(0), **position})

@@ -8,8 +8,8 @@ from pyspark.sql import types as T
 
 from ..functions.changes import DELETING_OP
 from ..spec import (
-    BROKER_TS, DELETE, DELETED, KIND, OFFSET, OP, ORDER_PRODUCTS, ORDERS, PARTIAL, PARTITION,
-    PRODUCTS, REASON, SOURCE_TS, TABLE, UPSERT, VALUE, TableSpec,
+    BROKER_TS, COMMITTED, DELETE, DELETED, KIND, OFFSET, OP, ORDER_PRODUCTS, ORDERS, PARTIAL, PARTITION,
+    PRODUCTS, REASON, REJECT, SHOP_TABLES, SOURCE_TS, TABLE, UPSERT, VALUE, TableSpec,
 )
 from .paths import first_existing, input_files, written
 
@@ -20,32 +20,62 @@ LINES_PER_ORDER = 3
 BEFORE_ALL = 0
 
 _FILE, _SPLIT, _PLACE, _FIRST, _BEFORE = "__file", "__split", "__place", "__first", "__before"
+_LINE = "__line"
+
+# Why a line, a row or a cell of a file was not taken over.
+BAD_LINE, NO_KEY, BAD_CELL = "malformed", "null_key", "unreadable"
 
 
 def _reader(spark: SparkSession) -> DataFrameReader:
     return spark.read.option("header", True).option("escape", '"')
 
 
-def _placed(text: DataFrame, schema: T.StructType) -> DataFrame:
-    """Declared columns by header name, cast to their types, and each row's place in the files."""
+def _lines(spark: SparkSession, path: str | list[str], schema: T.StructType) -> DataFrame:
+    """The cells of every line as text, and the line itself where it has too many or too few of them.
+
+    All cells are parsed, as a line is otherwise not seen to be damaged.
+    """
+    whole = T.StructType([*schema.fields, T.StructField(_LINE, T.StringType())])
+    return (_reader(spark).schema(whole).option("columnNameOfCorruptRecord", _LINE)
+            .option("columnPruning", False).csv(path))
+
+
+def _placed(text: DataFrame, schema: T.StructType, lenient: bool) -> DataFrame:
+    """Declared columns by header name, read as their types, and each row's place in the files."""
     present = set(text.columns)
+    read = Column.try_cast if lenient else Column.cast
     return text.select(
-        *[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema if f.name in present],
+        *[read(F.col(f.name), f.dataType).alias(f.name) for f in schema if f.name in present],
         F.col("_metadata.file_path").alias(_FILE),
         F.col("_metadata.file_block_start").alias(_SPLIT),
         F.monotonically_increasing_id().alias(_PLACE))
 
 
-def _opening_files(text: DataFrame, limit: int) -> list[str]:
-    """The first files, in path order, that together hold at least ``limit`` rows.
+def _fit(spark: SparkSession, path: str | list[str], schema: T.StructType, spec: TableSpec, lenient: bool) -> DataFrame:
+    """The cells of the lines to load: of all, or of those that have all their cells, and a key if the file has one."""
+    if not lenient:
+        return _reader(spark).schema(schema).csv(path)
+    lines = _lines(spark, path, schema)
+    return lines.filter(_whole(lines, spec))
+
+
+def _whole(lines: DataFrame, spec: TableSpec) -> Column:
+    whole = F.col(_LINE).isNull()
+    if spec.pk not in lines.columns:
+        # Spark refuses to look for damaged lines alone, so a cell is looked at as well.
+        return whole & (F.coalesce(F.length(lines.columns[0]), F.lit(0)) >= 0)
+    return whole & F.col(spec.pk).try_cast(spec.schema[spec.pk].dataType).isNotNull()
+
+
+def _opening_files(text: DataFrame, spec: TableSpec, limit: int, lenient: bool) -> list[str]:
+    """The first files, in path order, that together hold at least ``limit`` rows to load.
 
     Twice as many files are counted at each step, so the rest of a large folder is not read.
     """
     paths, taken, rows = sorted(input_files(text)), 0, 0
-    reader = _reader(text.sparkSession).schema(text.schema)
     while rows < limit and taken < len(paths):
         following = paths[taken:max(1, 2 * taken)]
-        rows += reader.csv(following).count()
+        rows += _fit(text.sparkSession, following, text.schema, spec, lenient).count()
         taken += len(following)
     return paths[:taken]
 
@@ -85,19 +115,22 @@ def number_rows(placed: DataFrame, number: str) -> DataFrame:
 
 
 def load_csv(spark: SparkSession, candidates: list[str], spec: TableSpec,
-             limit: int | None = None) -> DataFrame:
+             limit: int | None = None, lenient: bool = False) -> DataFrame:
     """Rows of the first candidate file that exists, in the table's columns.
 
     Columns the file lacks take the table's defaults; a missing integer key is numbered
     in file order. With ``limit`` the first rows in file order are kept. No file, no rows.
+    An unreadable cell is an error. A ``lenient`` load goes on: it leaves out lines with too many or too few cells
+    and rows without a readable key, makes other unreadable cells NULL, and :func:`csv_rejects` tells all of them.
     """
     path = first_existing(spark, candidates)
     if path is None:
         return spark.createDataFrame([], spec.schema)
     text = _reader(spark).csv(path)
-    if limit is not None:
-        text = _reader(spark).schema(text.schema).csv(_opening_files(text, limit))
-    rows = _placed(text, spec.schema)
+    if limit is not None or lenient:
+        files = path if limit is None else _opening_files(text, spec, limit, lenient)
+        text = _fit(spark, files, text.schema, spec, lenient)
+    rows = _placed(text, spec.schema, lenient)
     if limit is not None or spec.pk not in rows.columns:
         rows = number_rows(rows if limit is None else _opening_splits(rows, limit), "__number")
         if limit is not None:
@@ -110,18 +143,58 @@ def load_csv(spark: SparkSession, candidates: list[str], spec: TableSpec,
         .cast(f.dataType).alias(f.name) for f in spec.schema])
 
 
-def load_shop_tables(spark: SparkSession, data_dir: str,
-                     limit: int | None = None) -> dict[str, DataFrame]:
+def csv_rejects(spark: SparkSession, candidates: list[str], spec: TableSpec) -> DataFrame:
+    """What a lenient load leaves out: ``file, reason, column_name, value``, one row per line, row or cell.
+
+    ``malformed`` has the line, ``null_key`` the row's cells as JSON, and ``unreadable`` the cell, whose row is loaded without it.
+    """
+    schema = "file STRING, reason STRING, column_name STRING, value STRING"
+    path = first_existing(spark, candidates)
+    if path is None:
+        return spark.createDataFrame([], schema)
+    text = _reader(spark).csv(path)
+    lines = _lines(spark, path, text.schema)
+    cells = {f.name: f.dataType for f in spec.schema if f.name in text.columns}
+    bad = {name: F.col(name).isNotNull() & F.col(name).try_cast(kind).isNull() for name, kind in cells.items()}
+
+    def told(reason: str, column: str | None, value: Column) -> Column:
+        return F.struct(F.lit(reason).alias("reason"), F.lit(column).cast("string").alias("column_name"), value.alias("value"))
+
+    none = F.lit(None).cast("struct<reason: string, column_name: string, value: string>")
+    unread = F.filter(F.array(*[F.when(bad[c], told(BAD_CELL, c, F.col(c))).otherwise(none) for c in cells if c != spec.pk], none),
+                      lambda x: x.isNotNull())
+    keyless = F.array(told(NO_KEY, spec.pk, F.to_json(F.struct(*text.columns))))
+    found = F.when(F.col(_LINE).isNotNull(), F.array(told(BAD_LINE, None, F.col(_LINE)))).when(~_whole(lines, spec), keyless)
+    return lines.select(F.col("_metadata.file_path").alias("file"), F.explode(found.otherwise(unread)).alias("r")).select(
+        "file", "r.reason", "r.column_name", "r.value")
+
+
+def as_rejects(found: DataFrame, spec: TableSpec) -> DataFrame:
+    """What a load left out, as rejects of the table's log, beside the snapshot's rows."""
+    told = F.when(F.col("column_name").isNull(), F.col("value")).otherwise(F.concat_ws(": ", "column_name", "value"))
+    given = {VALUE: told, KIND: F.lit(REJECT), REASON: F.col("reason"), PARTIAL: F.lit(False)}
+    return found.select(*[
+        given.get(f.name, F.lit(None)).cast(f.dataType).alias(f.name) for f in spec.log_schema if f.name != COMMITTED])
+
+
+def load_shop_tables(spark: SparkSession, data_dir: str, limit: int | None = None,
+                     lenient: bool = False) -> dict[str, DataFrame]:
     """The three shop tables of a folder of CSV files, by table name; all rows unless a limit is given."""
-    lines = None if limit is None else limit * LINES_PER_ORDER
-    return {
-        ORDERS.name: load_csv(spark, [f"{data_dir}/orders.csv"], ORDERS, limit),
-        ORDER_PRODUCTS.name: load_csv(
-            spark,
-            [f"{data_dir}/order_products__prior.csv", f"{data_dir}/order_products__train.csv"],
-            ORDER_PRODUCTS, lines),
-        PRODUCTS.name: load_csv(spark, [f"{data_dir}/products.csv"], PRODUCTS),
-    }
+    limits = {ORDERS.name: limit, ORDER_PRODUCTS.name: None if limit is None else limit * LINES_PER_ORDER}
+    return {spec.name: load_csv(spark, shop_files(data_dir)[spec.name], spec, limits.get(spec.name), lenient)
+            for spec in SHOP_TABLES}
+
+
+def shop_files(data_dir: str) -> dict[str, list[str]]:
+    """The files that a shop table may stand in, by table name."""
+    return {ORDERS.name: [f"{data_dir}/orders.csv"],
+            ORDER_PRODUCTS.name: [f"{data_dir}/order_products__prior.csv", f"{data_dir}/order_products__train.csv"],
+            PRODUCTS.name: [f"{data_dir}/products.csv"]}
+
+
+def shop_rejects(spark: SparkSession, data_dir: str) -> dict[str, DataFrame]:
+    """What lenient loads of the shop tables leave out, by table name."""
+    return {spec.name: csv_rejects(spark, shop_files(data_dir)[spec.name], spec) for spec in SHOP_TABLES}
 
 
 def replace_table(rows: DataFrame, path: str) -> None:

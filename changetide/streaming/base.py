@@ -1,7 +1,8 @@
 """Compacted state of a change log, cut by key into buckets and stored in runs.
 
     base/mode=M/runs/upto=N/bucket=B/*.parquet    deciding changes of keys of bucket B, written at batch N
-    base/mode=M/manifests/N                       the runs that make up the base of batch N, as JSON
+    base/mode=M/steps/upto=N/*.parquet            change of the row count by each batch since the base before
+    base/mode=M/manifests/N                       the runs and steps that make up the base of batch N, as JSON
 
 A new base writes only buckets whose keys have changed, and of these only a run with the keys that did, unless the
 runs before are not much larger: then it absorbs them. So a bucket has a few runs of falling size, and
@@ -13,14 +14,15 @@ from __future__ import annotations
 
 import json
 from dataclasses import dataclass
+from functools import reduce
 from itertools import pairwise
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..operators import state
-from ..sources.paths import read_text, remove, entries, write_text
+from ..operators import state, timeline
+from ..sources.paths import entries, read_text, reads_files, remove, write_text
 from ..spec import BATCH, TableSpec
 
 # Parts of a base by hash of the key; the first base of a mode decides.
@@ -43,14 +45,16 @@ class Manifest:
     upto: int
     buckets: int
     runs: Runs
+    steps: list[int]   # batches at which steps were written
 
     @classmethod
     def parsed(cls, text: str) -> Manifest:
         found = json.loads(text)
-        return cls(found["upto"], found["buckets"], {int(b): runs for b, runs in found["runs"].items()})
+        return cls(found["upto"], found["buckets"], {int(b): runs for b, runs in found["runs"].items()},
+                   found["steps"])
 
     def text(self) -> str:
-        return json.dumps({"upto": self.upto, "buckets": self.buckets, "runs": self.runs})
+        return json.dumps({"upto": self.upto, "buckets": self.buckets, "runs": self.runs, "steps": self.steps})
 
 
 @dataclass(frozen=True)
@@ -102,7 +106,7 @@ class Bases:
     def write(self, tail: DataFrame, upto: int, before: int | None, buckets: int = BUCKETS,
               growth: int = GROWTH) -> None:
         """Store the base of ``upto`` from the changes since the base ``before``, or since the beginning."""
-        old = Manifest(upto, buckets, {}) if before is None else self.manifest(before)
+        old = Manifest(upto, buckets, {}, []) if before is None else self.manifest(before)
         bucket = self.bucket(old.buckets)
         # Distinct keys of each touched bucket, near enough for the choice of the runs to absorb.
         grown = {row[BUCKET]: row["n"] for row in tail.groupBy(bucket.alias(BUCKET)).agg(
@@ -131,7 +135,23 @@ class Bases:
             written = self.spark.read.parquet(folder).groupBy(BUCKET).agg(F.count("*").alias("n")).collect()
             for row in written:
                 runs[row[BUCKET]] = [*runs[row[BUCKET]], [upto, row["n"]]]
-        write_text(self.spark, f"{self._folder}/manifests/{upto}", Manifest(upto, old.buckets, runs).text())
+        self.later_steps(tail, before).coalesce(1).write.mode("overwrite").parquet(f"{self._folder}/steps/upto={upto}")
+        found = Manifest(upto, old.buckets, runs, [*old.steps, upto])
+        write_text(self.spark, f"{self._folder}/manifests/{upto}", found.text())
+
+    def later_steps(self, tail: DataFrame, before: int | None) -> DataFrame:
+        """Steps of the batches in ``tail``, the changes since the base ``before``, from the keys they touch alone."""
+        if before is None:
+            return timeline.version_steps(tail, self.spec, self.mode)
+        pk = self.spec.pk
+        touched = tail.select(pk).distinct()
+        met = [rows.join(touched, pk, "left_semi").select(*tail.columns) for rows in self.read(before) if reads_files(rows)]
+        return timeline.version_steps(reduce(DataFrame.unionByName, met, tail), self.spec, self.mode, before)
+
+    def steps(self, upto: int) -> DataFrame:
+        """Steps of all batches up to a base."""
+        return self.spark.read.schema(f"{BATCH} LONG, step LONG").parquet(
+            *[f"{self._folder}/steps/upto={batch}" for batch in self.manifest(upto).steps])
 
     def runs(self, upto: int) -> DataFrame:
         """``bucket, upto, n_rows`` of the runs of a base."""

@@ -193,9 +193,21 @@ class ChangeLog:
             rows.withColumn("timestamp", F.timestamp_micros("committed_us")), self.spec, skipped)
 
     def version_row_counts(self, mode: str = ORDERED, first: int | None = None) -> DataFrame:
-        """Row counts of all versions, or of the first ones, whose batches alone are opened."""
-        return timeline.version_row_counts(
-            self._stored(self.batches()[:first], CHANGES), self.spec, mode)
+        """Row counts of all versions, or of the first ones.
+
+        Bases keep the steps of the batches they were made of; of a base's rows only the keys that later batches touch are read.
+        """
+        batches = self.batches()[:first]
+        upto = batches[-1] if batches else None
+        base = max((b for b in self.bases(mode) if batches and b <= upto), default=None)
+        later = self._stored([b for b in batches if base is None or b > base], CHANGES)
+        bases = self.stored_bases(mode)
+        if base is None:
+            return timeline.counts_of(bases.later_steps(later, None))
+        steps = bases.steps(base)
+        if reads_files(later):
+            steps = steps.unionByName(bases.later_steps(later, base))
+        return timeline.counts_of(steps)
 
     def batch_metrics(self) -> DataFrame:
         """Messages of every committed batch by kind, rejects included, from the summaries."""

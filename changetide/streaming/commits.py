@@ -3,6 +3,7 @@
     commits/N+changes+rejects     batch N is whole, with these lanes; holds its summary as JSON
     summaries/L+A+B/*.parquet     summaries of batches A to B, folded together
     folded/L+A+B                  empty marker: that folder is whole
+    pending/N+lanes               commit of a batch that others must be visible with (``together.py``)
 
 The writer learns the summary from the write itself, so nothing is read for it. Readers answer
 from summaries what these can answer (history, counts, times, sizes) and choose by
@@ -22,7 +23,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..sources.paths import exists, folder_size, remove, entries, touch, write_text
+from ..sources.paths import entries, exists, folder_size, read_text, remove, touch, write_text
 from ..spec import BATCH, COMMITTED, DELETE, KIND, PARTIAL, REJECT, SOURCE_TS, UPSERT, TableSpec
 
 LANE, CHANGES, REJECTS = "lane", "changes", "rejects"
@@ -94,6 +95,18 @@ def may_hold(spec: TableSpec, key: object) -> Column:
     return reduce(Column.__and__, held)
 
 
+def shared_folder(root: str) -> str:
+    """Where tables that lie in one folder keep the markers they share."""
+    return f"{root.rsplit('/', 1)[0]}/together"
+
+
+def shared_names(spark: SparkSession, root: str) -> set[str]:
+    """Names of a table's pending commits whose shared marker stands."""
+    folder, table = shared_folder(root), root.rsplit("/", 1)[1]
+    found = [json.loads(read_text(spark, f"{folder}/{name}")) for name in entries(spark, folder)]
+    return {parts[table] for parts in found if table in parts}
+
+
 @dataclass(frozen=True, order=True)
 class Fold:
     first: int
@@ -127,9 +140,15 @@ class Commits:
                 for lanes in (CHANGES, REJECTS, f"{CHANGES}+{REJECTS}")]
 
     def _singles(self) -> dict[int, str]:
-        """Batches with a marker of their own, and its name."""
-        names = entries(self.spark, f"{self.root}/commits")
-        return {int(name.split("+", 1)[0]): name for name in names}
+        """Batches with a marker of their own, and its path below the root.
+
+        A pending commit counts as soon as the marker that it shares with others stands. Pending ones are
+        listed first: what is moved in between is then seen twice, not never.
+        """
+        waiting = entries(self.spark, f"{self.root}/pending")
+        shared = shared_names(self.spark, self.root) if waiting else set()
+        found = {int(name.split("+", 1)[0]): f"pending/{name}" for name in waiting if name in shared}
+        return found | {int(name.split("+", 1)[0]): f"commits/{name}" for name in entries(self.spark, f"{self.root}/commits")}
 
     def _folds(self) -> list[Fold]:
         return sorted(Fold.named(name) for name in entries(self.spark, f"{self.root}/folded"))
@@ -141,14 +160,14 @@ class Commits:
         """
         singles, folds = self._singles(), self._folds()
         folds = [f for f in folds if not any(other.covers(f) for other in folds)]
-        return {b: name for b, name in sorted(singles.items())
+        return {b: path for b, path in sorted(singles.items())
                 if not any(f.first <= b <= f.last for f in folds)}, folds
 
     def _read(self, singles: Mapping[int, str], folds: list[Fold]) -> DataFrame:
         schema = summary_schema(self.spec)
         found = self.spark.createDataFrame([], schema)
         if singles:
-            found = self.spark.read.schema(schema).json([f"{self.root}/commits/{name}" for name in singles.values()])
+            found = self.spark.read.schema(schema).json([f"{self.root}/{path}" for path in singles.values()])
         if folds:
             found = found.unionByName(self.spark.read.schema(schema).parquet(
                 *[f"{self.root}/summaries/{f.name}" for f in folds]))
@@ -169,7 +188,7 @@ class Commits:
             return (after is None or batch > after) and (upto is None or batch <= upto)
 
         singles, folds = self._listed()
-        singles = {b: name for b, name in singles.items() if inside(b) and (lane is None or lane in name.split("+"))}
+        singles = {b: path for b, path in singles.items() if inside(b) and (lane is None or lane in path.split("+"))}
         folds = [f for f in folds if (after is None or f.last > after) and (upto is None or f.first <= upto)]
         if where is None and not folds:
             return list(singles)
@@ -199,26 +218,29 @@ class Commits:
         for marker in self._markers(batch_id):
             remove(self.spark, marker)
 
-    def publish(self, batch_id: int, seen: Mapping[str, object] | None = None, duration_ms: int | None = None) -> None:
-        """Show a completely written batch to readers, unless nothing was written.
+    def publish(self, batch_id: int, seen: Mapping[str, object] | None = None, duration_ms: int | None = None,
+                folder: str = "commits") -> str | None:
+        """Show a completely written batch to readers, unless nothing was written; the marker's name.
 
         ``seen`` holds the batch's :func:`measures`; without it they are taken from the stored rows.
         """
-        folder = batch_path(self.root, batch_id)
-        lanes = [lane for lane in (CHANGES, REJECTS) if exists(self.spark, f"{folder}/{LANE}={lane}")]
+        stored = batch_path(self.root, batch_id)
+        lanes = [lane for lane in (CHANGES, REJECTS) if exists(self.spark, f"{stored}/{LANE}={lane}")]
         if not lanes:
-            return
+            return None
         if seen is None:
-            rows = self.spark.read.schema(self.spec.log_schema).parquet(*[f"{folder}/{LANE}={x}" for x in lanes])
+            rows = self.spark.read.schema(self.spec.log_schema).parquet(*[f"{stored}/{LANE}={x}" for x in lanes])
             seen = rows.agg(*measures(self.spec)).first().asDict()
-        n_files, size = folder_size(self.spark, f"{folder}/{LANE}={CHANGES}")
+        n_files, size = folder_size(self.spark, f"{stored}/{LANE}={CHANGES}")
         row = {name: base64.b64encode(value).decode() if isinstance(value, (bytes, bytearray)) else value
                for name, value in seen.items()}
         row |= {BATCH: batch_id, "lanes": "+".join(lanes), "duration_ms": duration_ms, "n_files": n_files, "size_bytes": size}
         integral = isinstance(self.spec.schema[self.spec.pk].dataType, T.IntegralType)
         for name in ("min_key", "max_key"):
             row[name] = int(row[name]) if integral and row[name] is not None else row[name]
-        write_text(self.spark, f"{self.root}/commits/{'+'.join([str(batch_id), *lanes])}", json.dumps(row))
+        marker = "+".join([str(batch_id), *lanes])
+        write_text(self.spark, f"{self.root}/{folder}/{marker}", json.dumps(row))
+        return marker
 
     def fold(self, size: int = FOLD) -> None:
         """Fold single commits, and then folds of each level, as soon as there are ``size`` of them.
@@ -229,11 +251,11 @@ class Commits:
         every, folds = self._singles(), self._folds()
         singles, whole = self._listed()
         for batch in every.keys() - singles.keys():
-            remove(self.spark, f"{self.root}/commits/{every[batch]}")
+            remove(self.spark, f"{self.root}/{every[batch]}")
         for old in set(folds) - set(whole):
             remove(self.spark, f"{self.root}/folded/{old.name}")
             remove(self.spark, f"{self.root}/summaries/{old.name}", recursive=True)
-        loose = {b: name for b, name in singles.items() if b != SNAPSHOT_BATCH}
+        loose = {b: path for b, path in singles.items() if b != SNAPSHOT_BATCH}
         if len(loose) >= size:
             self._store(self._read(loose, []), Fold(min(loose), max(loose), 0), len(loose))
         level = 0

@@ -5,7 +5,7 @@ from __future__ import annotations
 import time
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, Observation
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from ..operators.decode import classify, decode
@@ -15,8 +15,8 @@ from .base import drop_bases
 from .commits import CHANGES, FOLD, LANE, REJECTS, SNAPSHOT_BATCH, Commits, batch_path, measures
 
 
-def _commit(classified: DataFrame, spec: TableSpec, root: str, batch_id: int) -> None:
-    """Write upserts, deletes and rejects in one job, then set one commit with what the job has seen.
+def commit(classified: DataFrame, spec: TableSpec, root: str, batch_id: int, folder: str = "commits") -> str | None:
+    """Write upserts, deletes and rejects in one job, then set one commit with what the job has seen; its name.
 
     Writing a batch again replaces it. Rows are sorted by key in each file, so that a
     key filter can skip row groups; the same sort serves the directory split.
@@ -33,21 +33,22 @@ def _commit(classified: DataFrame, spec: TableSpec, root: str, batch_id: int) ->
         .write.mode("overwrite").option("partitionOverwriteMode", "static")
         .partitionBy(LANE).parquet(batch_path(root, batch_id))
     )
-    commits.publish(batch_id, seen.get, round(1000 * (time.monotonic() - began)))
+    marker = commits.publish(batch_id, seen.get, round(1000 * (time.monotonic() - began)), folder)
     if (batch_id + 1) % FOLD == 0:
         commits.fold(FOLD)
+    return marker
 
 
-# Bits of a made-up offset for the task and for its row; the batch stands above them.
-_TASK_BITS, _ROW_BITS = 14, 27
+def _positioned(messages: DataFrame, batch_id: int) -> DataFrame:
+    """Messages with a position, made up where the source gives none: by batch, task and place in the task.
 
-
-def _number(batch_id: int) -> Column:
-    """Number of a message whose source gives none: a later batch's are greater than all of an earlier one."""
-    made = F.monotonically_increasing_id()
-    row = made.bitwiseAND((1 << 33) - 1)
-    return (F.lit(batch_id << _TASK_BITS + _ROW_BITS).cast("long")
-            + F.shiftleft(F.shiftright(made, 33), _ROW_BITS) + row)
+    The batch stands as the partition and Spark's row number, which holds task and row, as the offset, so neither
+    has a limit of its own.
+    """
+    unplaced = F.col("offset").isNull()
+    return messages.withColumns({
+        "partition": F.when(unplaced, F.lit(batch_id).cast("int")).otherwise(F.col("partition")),
+        "offset": F.when(unplaced, F.monotonically_increasing_id()).otherwise(F.col("offset"))})
 
 
 def make_batch_writer(spec: TableSpec, root: str,
@@ -64,10 +65,10 @@ def make_batch_writer(spec: TableSpec, root: str,
         if Commits(messages.sparkSession, spec, root).is_committed(batch_id):
             return
         # Only a batch frame, not a stream, can number the messages of a source without offsets.
-        placed = messages.withColumn("offset", F.coalesce("offset", _number(batch_id)))
+        placed = _positioned(messages, batch_id)
         if tasks:
             placed = with_tasks(placed, tasks)
-        _commit(classify(decode(placed, spec), spec), spec, root, batch_id)
+        commit(classify(decode(placed, spec), spec), spec, root, batch_id)
 
     return write
 
@@ -78,4 +79,4 @@ def write_snapshot(changes: DataFrame, spec: TableSpec, root: str) -> None:
     A snapshot written again replaces the one before, a full refresh.
     """
     drop_bases(changes.sparkSession, root)
-    _commit(changes, spec, root, SNAPSHOT_BATCH)
+    commit(changes, spec, root, SNAPSHOT_BATCH)

@@ -2,8 +2,13 @@
 
 import pytest
 
-from changetide.sources import bulk, load_csv, load_shop_tables, replace_table, written
+from changetide.sources import (
+    as_rejects, bootstrap, bulk, csv_rejects, load_csv, load_shop_tables, replace_table, written,
+)
 from changetide.spec import ORDER_PRODUCTS, ORDERS, PRODUCTS
+from changetide.streaming import ChangeLog, write_snapshot
+
+from helpers import ITEMS
 
 
 def write(path, header, lines):
@@ -101,3 +106,58 @@ def test_a_full_refresh_replaces(spark, tmp_path):
     replace_table(rows, str(tmp_path / "t"))
     replace_table(rows.filter("k = 1"), str(tmp_path / "t"))
     assert spark.read.parquet(str(tmp_path / "t")).count() == 1
+
+
+# -- damaged files ------------------------------------------------------------------
+
+DAMAGED = """k,v,more
+1,10,a
+2,x,b
+3,30
+none,40,d
+,50,e
+6,60,f,g,h
+"7",70,"two
+lines, quoted"
+8,99999999999999,h
+9,90,i
+"""
+
+
+def test_what_cannot_be_loaded_is_told_and_stops_nothing(spark, tmp_path):
+    (tmp_path / "items.csv").write_text(DAMAGED)
+    files = [str(tmp_path / "items.csv")]
+    loaded = load_csv(spark, files, ITEMS, lenient=True)
+    found = {(r.reason, r.column_name, r.value) for r in csv_rejects(spark, files, ITEMS).collect()}
+    assert ("unreadable", "v", "x") in found and ("unreadable", "v", "99999999999999") in found
+    assert ("malformed", None, "3,30") in found and ("malformed", None, "6,60,f,g,h") in found
+    assert ("null_key", "k", '{"k":"none","v":"40","more":"d"}') in found
+    assert ("null_key", "k", '{"v":"50","more":"e"}') in found
+    assert {r.k: r.v for r in loaded.collect()}.items() >= {1: 10, 2: None, 8: None, 9: 90}.items()
+    assert {3, 6, None}.isdisjoint(r.k for r in loaded.collect())
+
+
+def test_limits_and_numbers_count_rows_that_are_fit(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("k,v\n" + "".join(f"{i},{i}\n" if i % 3 else f"{i}\n" for i in range(30)))
+    loaded = load_csv(spark, [str(tmp_path / "a.csv")], ITEMS, limit=7, lenient=True)
+    assert [r.k for r in loaded.orderBy("k").collect()] == [1, 2, 4, 5, 7, 8, 10]
+    (tmp_path / "b.csv").write_text("v\n" + "".join("1\n" if i % 4 else "1,2\n" for i in range(20)))
+    numbered = load_csv(spark, [str(tmp_path / "b.csv")], ITEMS, lenient=True)
+    assert sorted(r.k for r in numbered.collect()) == list(range(1, 16))
+    assert csv_rejects(spark, [str(tmp_path / "none.csv")], ITEMS).count() == 0
+    assert csv_rejects(spark, [str(tmp_path / "a.csv")], ITEMS).count() == 10
+
+
+def test_rejects_of_a_load_stand_in_the_log(spark, tmp_path):
+    (tmp_path / "items.csv").write_text(DAMAGED)
+    files, root = [str(tmp_path / "items.csv")], str(tmp_path / "log")
+    rows = bootstrap(load_csv(spark, files, ITEMS, lenient=True), ITEMS).unionByName(as_rejects(csv_rejects(spark, files, ITEMS), ITEMS))
+    write_snapshot(rows, ITEMS, root)
+    log = ChangeLog(spark, ITEMS, root)
+    counts = {r.reason: r.n_messages for r in log.reject_summary().collect()}
+    assert counts["null_key"] == 2 and counts["unreadable"] >= 2 and counts["malformed"] >= 2
+    assert log.current().count() == load_csv(spark, files, ITEMS, lenient=True).count()
+    assert "v: x" in {r.value for r in log.rejects().collect()}
+    (tmp_path / "items.csv").write_text("k,v,more\n1,11,a\n")
+    write_snapshot(bootstrap(load_csv(spark, files, ITEMS, lenient=True), ITEMS), ITEMS, root)     # a full refresh
+    assert [tuple(r) for r in log.current().collect()] == [(1, 11)] and log.rejects().count() == 0
