@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .tables import stored
+from .tables import discarded, stored
 
 
 def _state(edges: DataFrame):
@@ -40,6 +40,7 @@ def components(links: DataFrame, a: str, b: str) -> DataFrame:
         joined = large.join(least, "u")
         small = joined.select(F.col("v").alias("u"), F.col("m").alias("v")).union(
             least.select("u", F.col("m").alias("v")))
-        edges = stored(small.filter("u != v").distinct(), "links")
+        older, edges = edges, stored(small.filter("u != v").distinct(), "links")
+        discarded(older)
     rooted = edges.select(F.col("u").alias("node"), F.col("v").alias("component"))
     return rooted.union(edges.select(F.col("v").alias("node"), F.col("v").alias("component"))).distinct()

@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .graph import components
-from .tables import mixed, pieces, stored, table, utf8
+from .tables import mixed, pieces, stored, table, temporary, utf8
 from .words import shingle_sets
 
 WORDS, PERCENT = 3, 90
@@ -395,28 +395,30 @@ def near_sets(frame: DataFrame, key: str, text: str = "text", words: int = WORDS
     classes = stored(
         named.filter("name is not null").groupBy("name")
         .agg(F.min("id").alias("id"), F.first("n").alias("n"), F.first("sketch").alias("sketch")), "classes")
-    members = stored(_members(documents, text, words, percent), "members")
-
-    rows = members.join(classes.select("name", "n", "sketch"), "name").select(
-        "region", "name", "n", "sketch", F.col("name").alias("component"))
-    leaves = _leaves(rows, percent, leaf, levels)
-    thin = stored(_leaf_pairs(leaves, percent, True), "forest")
-    links = stored(_verified(thin.select("a", "b"), documents, classes, key, text, words, percent), "links")
-    grouped = stored(components(links, "a", "b"), "grouped")
-    # Where the ends of all pairs of the forest are in one component, so are those of all other pairs.
-    side = lambda c: grouped.toDF(c, f"of_{c}")
-    apart = thin.join(side("a"), "a", "left").join(side("b"), "b", "left").filter(
-        F.coalesce("of_a", "a") != F.coalesce("of_b", "b")).select("region").distinct()
-    rest = leaves.join(stored(apart, "apart"), "region", "left_semi").drop("component").join(
-        grouped.withColumnRenamed("node", "name"), "name", "left").select(
-        "region", "name", "n", "sketch", F.coalesce("component", "name").alias("component"))
-    rest_pairs = _leaf_pairs(rest, percent, False).select("a", "b")
-    more = _verified(rest_pairs, documents, classes, key, text, words, percent)
-    # From names to keys: a class's key is its least, so the least of a component is the least of all its rows.
+    # Only keys and their components outlive the search.
     id_of = classes.select("name", "id")
-    all_links = links.union(more)
-    keyed = all_links.join(id_of.toDF("a", "u"), "a").join(id_of.toDF("b", "v"), "b").select("u", "v")
-    joined = components(keyed, "u", "v").select(F.col("node").alias("id"), "component")
+    with temporary(frame.sparkSession):
+        members = stored(_members(documents, text, words, percent), "members")
+
+        rows = members.join(classes.select("name", "n", "sketch"), "name").select(
+            "region", "name", "n", "sketch", F.col("name").alias("component"))
+        leaves = _leaves(rows, percent, leaf, levels)
+        thin = stored(_leaf_pairs(leaves, percent, True), "forest")
+        links = stored(_verified(thin.select("a", "b"), documents, classes, key, text, words, percent), "links")
+        grouped = stored(components(links, "a", "b"), "grouped")
+        # Where the ends of all pairs of the forest are in one component, so are those of all other pairs.
+        side = lambda c: grouped.toDF(c, f"of_{c}")
+        apart = thin.join(side("a"), "a", "left").join(side("b"), "b", "left").filter(
+            F.coalesce("of_a", "a") != F.coalesce("of_b", "b")).select("region").distinct()
+        rest = leaves.join(stored(apart, "apart"), "region", "left_semi").drop("component").join(
+            grouped.withColumnRenamed("node", "name"), "name", "left").select(
+            "region", "name", "n", "sketch", F.coalesce("component", "name").alias("component"))
+        rest_pairs = _leaf_pairs(rest, percent, False).select("a", "b")
+        more = _verified(rest_pairs, documents, classes, key, text, words, percent)
+        # From names to keys: a class's key is its least, so the least of a component is the least of all its rows.
+        all_links = links.union(more)
+        keyed = all_links.join(id_of.toDF("a", "u"), "a").join(id_of.toDF("b", "v"), "b").select("u", "v")
+        joined = stored(components(keyed, "u", "v").select(F.col("node").alias("id"), "component"), "joined", keep=True)
     final = id_of.join(joined, "id", "left").select("name", F.coalesce("component", "id").alias("component_id"))
     return named.select("id", "n", "name").join(final, "name", "left").select(
         F.col("id").alias(key), F.col("n").alias("n_shingles"), F.coalesce("component_id", "id").alias("component_id"))

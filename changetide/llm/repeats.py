@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .tables import mixed, pieces, stored, table, utf8
+from .tables import mixed, pieces, stored, table, temporary, utf8
 from .words import _BACK, powers
 
 LENGTH = 400      # bytes of a string that must not occur twice
@@ -334,29 +334,19 @@ def _named(frame: DataFrame, key: str, text: str) -> DataFrame:
         "name", F.conv(F.substring("digest", 1, 15), 16, 10).cast("long"))
 
 
-def without_repeats(frame: DataFrame, key: str, text: str = "text", length: int = LENGTH) -> DataFrame:
+def without_repeats(frame: DataFrame, key: str, text: str = "text", length: int = LENGTH, characters: bool = False) -> DataFrame:
     """Per row: ``key``, ``n_bytes``, ``n_removed``, ``n_spans``, ``kept_sha256`` and ``kept`` (the bytes that stay).
 
     A byte goes if a string of ``length`` bytes that covers it also starts anywhere else, in this text or another;
     strings overlap freely and are judged on the whole input. Matches do not cross texts. A null text is
     empty; a text shorter than the length loses nothing; a text that occurs twice loses everything, if long enough.
     ``kept`` is null where a text stays as it is. Keys may repeat or be null: each row gets its own result.
+    With ``characters`` a character that loses a byte goes as a whole, so that ``kept`` is text again.
     """
     named = _named(frame, key, text)
     rows = stored(named.select("id", "name", "digest", F.octet_length("text").cast("long").alias("n_bytes")), "texts")
     classes = rows.groupBy("name").agg(F.count("*").alias("copies"), F.first("n_bytes").alias("n_bytes"))
     documents = named.select("name", "text")
-    ranges = _open_ranges(_phrase_rows(documents, length), length)
-    asked = stored(
-        ranges.groupBy("name").agg(F.collect_list(F.struct("low", "high")).alias("r"))
-        .join(classes, "name").select("name", (F.col("copies") > 1).alias("copied"),
-                                      F.col("r.low").alias("low"), F.col("r.high").alias("high")), "ranges")
-    texts = stored(_texts_of(documents, asked).dropDuplicates(["name"]), "candidates")
-    units = stored(_settled(_units(texts, length)), "units")
-    whole = units.filter("settled and not copied").select(
-        "name", F.col("at").alias("low"), (F.col("stop") + (length - 1)).alias("high"))
-    gone = whole.union(_strings_again(texts, units, length)).groupBy("name").agg(
-        F.collect_list(F.struct("low", "high")).alias("r")).select("name", F.col("r.low").alias("low"), F.col("r.high").alias("high"))
 
     def cut(batches):
         for batch in batches:
@@ -368,16 +358,33 @@ def without_repeats(frame: DataFrame, key: str, text: str = "text", length: int
                 inside = np.zeros(len(data) + 1, np.int8)
                 inside[low] += 1
                 inside[high] -= 1
-                kept = data[np.cumsum(inside[:-1]) == 0].tobytes()
+                stays = np.cumsum(inside[:-1]) == 0
+                if characters:   # a byte that goes on with a character begins with the bits 10
+                    character = np.cumsum(data & 0xC0 != 0x80)
+                    stays = (np.bincount(character, ~stays) == 0)[character]
+                kept = data[stays].tobytes()
                 out.append((name, len(data) - len(kept), len(low), hashlib.sha256(kept).hexdigest(), kept))
             columns = zip(*out) if out else [[]] * 5
             yield pa.RecordBatch.from_arrays(
                 [pa.array(c, t) for c, t in zip(columns, (pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.binary()))],
                 ["name", "n_removed", "n_spans", "kept_sha256", "kept"])
 
-    partly = texts.filter("not copied").select("name", "text").join(gone, "name").select("name", "text", "low", "high").mapInArrow(
-        cut, "name long, n_removed long, n_spans long, kept_sha256 string, kept binary")
-    partly = stored(partly, "cut")
+    # Of the search only the cut texts stay.
+    with temporary(frame.sparkSession):
+        ranges = _open_ranges(_phrase_rows(documents, length), length)
+        asked = stored(
+            ranges.groupBy("name").agg(F.collect_list(F.struct("low", "high")).alias("r"))
+            .join(classes, "name").select("name", (F.col("copies") > 1).alias("copied"),
+                                          F.col("r.low").alias("low"), F.col("r.high").alias("high")), "ranges")
+        texts = stored(_texts_of(documents, asked).dropDuplicates(["name"]), "candidates")
+        units = stored(_settled(_units(texts, length)), "units")
+        whole = units.filter("settled and not copied").select(
+            "name", F.col("at").alias("low"), (F.col("stop") + (length - 1)).alias("high"))
+        gone = whole.union(_strings_again(texts, units, length)).groupBy("name").agg(
+            F.collect_list(F.struct("low", "high")).alias("r")).select("name", F.col("r.low").alias("low"), F.col("r.high").alias("high"))
+        partly = texts.filter("not copied").select("name", "text").join(gone, "name").select("name", "text", "low", "high").mapInArrow(
+            cut, "name long, n_removed long, n_spans long, kept_sha256 string, kept binary")
+        partly = stored(partly, "cut", keep=True)
     wholly = classes.filter((F.col("copies") > 1) & (F.col("n_bytes") >= length)).select(
         "name", F.col("n_bytes").alias("n_removed"), F.lit(1).cast("long").alias("n_spans"),
         F.sha2(F.lit(b""), 256).alias("kept_sha256"), F.lit(b"").alias("kept"))

@@ -3,22 +3,57 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..sources.paths import input_files, remove, written
+from ..sources.paths import input_files, remove, scratch_dir
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def stored(frame: DataFrame, name: str) -> DataFrame:
-    """The frame written once to the shared folder, so that no lost executor makes it run again."""
-    return written(frame, name)
+# Fixed value: the setting that lets Spark delete an execution's shuffle files when it ends.
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+# Paths of the stored tables of every open ``temporary`` block, the innermost last.
+_scratch: list[list[str]] = []
+
+
+def stored(frame: DataFrame, name: str, keep: bool = False) -> DataFrame:
+    """The frame written once to the shared folder, so that no lost executor makes it run again.
+
+    Its shuffle files are deleted as soon as it is written. In a ``temporary`` block the table goes with the block, or
+    with the one around it if it is to be kept.
+    """
+    spark = frame.sparkSession
+    path, before = scratch_dir(spark, name), spark.conf.get(_CLEANUP, None)
+    spark.conf.set(_CLEANUP, "true")
+    try:
+        frame.write.parquet(path)
+    finally:
+        if before is None:
+            spark.conf.unset(_CLEANUP)
+        else:
+            spark.conf.set(_CLEANUP, before)
+    if len(_scratch) > keep:
+        _scratch[-1 - keep].append(path)
+    return spark.read.schema(frame.schema).parquet(path)
+
+
+@contextmanager
+def temporary(spark: SparkSession) -> Iterator[None]:
+    """A block whose stored tables are deleted when it ends. What is used after it must be stored in it, with ``keep``."""
+    _scratch.append([])
+    try:
+        yield
+    finally:
+        for path in _scratch.pop():
+            remove(spark, path, recursive=True)
 
 
 def discarded(frame: DataFrame) -> None:

@@ -43,6 +43,13 @@ def test_shortest_passage_that_is_cut(spark):
         assert kept == ([(1, "<>"), (2, "[]")] if cut else rows)
 
 
+def test_characters_are_cut_whole_and_others_stay(spark):
+    passage = "éa" * 90   # 270 bytes; the texts share half of the characters around it
+    rows = [(1, "\ufffd" + "é" + passage + "ê\ufffd"), (2, "x\ufffdé" + passage + "ë"), (3, "ü\ufffd")]
+    kept = texts(corpus.repeated_passages(spark, frame(spark, rows), ""))
+    assert kept == [(1, "\ufffd"), (2, "x"), (3, "ü\ufffd")]
+
+
 def plain_near_copies(rows):
     """Distinct (doc_id, text) without those that links chain to one of a lesser doc_id; all with no doc_id."""
     sets = {}
