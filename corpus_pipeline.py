@@ -13,7 +13,7 @@ from changetide.llm.jaccard import near_sets
 from changetide.llm.language import identified, learned
 from changetide.llm.mixing import mix
 from changetide.llm.repeats import without_repeats
-from changetide.llm.tables import stored, table
+from changetide.llm.tables import stored, table, temporary
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 NEAR_WORDS, NEAR_PERCENT = 5, 80   # near copies share four fifths of their runs of five words
@@ -48,11 +48,12 @@ def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     have no place in that order and stay.
     """
     marked = docs.select(*COLUMNS).withColumn(MARK, F.xxhash64("doc_id", "text"))
-    found = near_sets(marked, MARK, words=NEAR_WORDS, percent=NEAR_PERCENT).select(MARK, "component_id").dropDuplicates([MARK])
-    named = marked.filter("doc_id is not null").select(MARK, "doc_id").dropDuplicates([MARK]).join(found, MARK)
-    named = stored(named, "groups")
-    first = named.groupBy("component_id").agg(F.min(F.struct("doc_id", MARK))[MARK].alias(MARK))
-    gone = stored(named.join(first, MARK, "left_anti").select(MARK), "gone")
+    with temporary(spark):
+        found = near_sets(marked, MARK, words=NEAR_WORDS, percent=NEAR_PERCENT).select(MARK, "component_id").dropDuplicates([MARK])
+        named = marked.filter("doc_id is not null").select(MARK, "doc_id").dropDuplicates([MARK]).join(found, MARK)
+        named = stored(named, "groups")
+        first = named.groupBy("component_id").agg(F.min(F.struct("doc_id", MARK))[MARK].alias(MARK))
+        gone = stored(named.join(first, MARK, "left_anti").select(MARK), "gone", keep=True)
     kept = marked.filter("doc_id is not null").join(gone, MARK, "left_anti").dropDuplicates(["doc_id", "text"])
     return kept.select(*COLUMNS).union(docs.filter("doc_id is null").select(*COLUMNS))
 
@@ -63,10 +64,11 @@ def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     A character that loses some of its bytes goes as a whole.
     """
     marked = _marked(docs)
-    cut = without_repeats(marked, MARK, length=PASSAGE).filter("n_removed > 0").select(MARK, "kept").dropDuplicates([MARK])
-    kept = F.regexp_replace(F.make_valid_utf8(F.col("kept").cast("string")), "�", "")
-    joined = marked.join(stored(cut, "cut_texts"), MARK, "left")
-    text = F.when(F.col("kept").isNull(), F.col("text")).otherwise(kept)
+    with temporary(spark):
+        cut = without_repeats(marked, MARK, length=PASSAGE, characters=True).filter("n_removed > 0").select(MARK, "kept").dropDuplicates([MARK])
+        cut = stored(cut, "cut_texts", keep=True)
+    joined = marked.join(cut, MARK, "left")
+    text = F.when(F.col("kept").isNull(), F.col("text")).otherwise(F.col("kept").cast("string"))
     return joined.withColumn("text", text).filter(F.trim("text") != "").withColumn(
         "n_chars", F.char_length("text").cast("long")).select(*COLUMNS)
 
