@@ -19,7 +19,7 @@ from .sources.bulk import BEFORE_ALL
 from .spec import SHOP_TABLES
 from .streaming import ChangeLog, start_all, stop_all, write_snapshot
 
-REPORT_NAMES = ["overview", "current", "time-travel", "analytics", "metadata"]
+REPORT_NAMES = ["overview", "current", "time-travel", "analytics", "metadata", "consistent"]
 
 
 def _logs(spark: SparkSession, base: str) -> dict[str, ChangeLog]:

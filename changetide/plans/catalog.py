@@ -344,6 +344,10 @@ def stream_resume(spark: SparkSession, sf_dir: str) -> DataFrame:
         log.version_row_counts().select("version", "n_rows", "change"), "version")
 
 
+def stream_offsets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return replays.numbered(spark, sf_dir).current()
+
+
 def stream_multi_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     logs = replays.several_tables(spark, sf_dir)
     return reports.table_counts({name: log.current(columns=[]) for name, log in logs.items()})
@@ -456,6 +460,10 @@ def overview(spark: SparkSession, sf_dir: str) -> DataFrame:
                              for spec, log in logs])
 
 
+def rows_at_cut(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return reports.at_cut(replays.uneven_logs(spark, sf_dir))
+
+
 QUERIES: dict[str, Query] = {
     "decode_changes": decode_changes,
     "classify_changes": classify_changes,
@@ -492,6 +500,7 @@ QUERIES: dict[str, Query] = {
     "stream_ingest": stream_ingest,
     "stream_replay": stream_replay,
     "stream_resume": stream_resume,
+    "stream_offsets": stream_offsets,
     "stream_multi_table": stream_multi_table,
     "stream_progress": stream_progress,
     "compacted_state": compacted_state,
@@ -513,4 +522,5 @@ QUERIES: dict[str, Query] = {
     "sample_rows": sampled,
     "table_counts": table_counts,
     "overview": overview,
+    "rows_at_cut": rows_at_cut,
 }

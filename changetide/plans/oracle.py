@@ -7,7 +7,7 @@ from __future__ import annotations
 
 from .catalog import CHANGED, CSV_DAMAGED, KEY, LIMIT, LOST, SOURCE_TIME, STORED_VERSION, VERSION
 from .feeds import DAMAGED, LATE
-from .replays import DELIVERIES, PERIOD
+from .replays import DELIVERIES, PERIOD, STOPPED, TOPIC_PARTITIONS
 
 _EXTRA = 10_000_000
 
@@ -275,6 +275,7 @@ SELECT product_id, CASE WHEN department_id < 10 THEN upper(product_name) ELSE pr
          AS product_name, aisle_id, department_id
 FROM products WHERE department_id < 40""",
     "stream_ingest": _state(_ON_TIME),
+    "stream_offsets": _state(_ON_TIME, order=f"ts_ms DESC, event_id % {TOPIC_PARTITIONS} DESC, event_id DESC"),
     "stream_replay": """
 SELECT count(*) AS n_changes, count(*) FILTER (WHERE event_type <> 'error') AS n_upserts,
        count(*) FILTER (WHERE event_type = 'error') AS n_deletes, count(*) AS n_offsets
@@ -354,4 +355,14 @@ SELECT 'orders', (SELECT count(*) FROM orders), 1, 'WRITE',
 UNION ALL
 SELECT 'products', (SELECT count(*) FROM part), 1, 'WRITE',
        'product_id,product_name,aisle_id,department_id'""",
+    "rows_at_cut": f"""
+WITH {_WITH_LATE},
+seen AS (SELECT *, CASE WHEN user_id % 2 = 0 THEN 'even' ELSE 'odd' END AS table_name FROM log
+         WHERE user_id % 2 = 1 OR batch_id < {STOPPED}),
+cut AS (SELECT min(passed) AS ms FROM (SELECT max(ts_ms) AS passed FROM seen GROUP BY table_name) p),
+known AS (SELECT * FROM seen WHERE ts_ms <= (SELECT ms FROM cut)),
+won AS ({_latest("known")})
+SELECT t.table_name, (SELECT count(*) FROM won w WHERE w.table_name = t.table_name AND NOT is_delete) AS n_rows,
+       (SELECT ms FROM cut) AS cut_ms
+FROM (VALUES ('even'), ('odd')) t(table_name)""",
 }

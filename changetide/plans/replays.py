@@ -12,6 +12,7 @@ from ..operators.decode import to_messages
 from ..sources.bulk import bootstrap
 from ..sources.messages import file_messages
 from ..sources.paths import scratch_dir
+from ..sources.segments import segment_messages, write_segments
 from ..spec import BATCH, OFFSET, ORDER_PRODUCTS, ORDERS, PARTITION, PRODUCTS, TableSpec
 from ..streaming import ChangeLog, await_all, make_batch_writer, start, start_all, write_snapshot
 from . import feeds
@@ -21,6 +22,12 @@ _ALL_NOW = {"availableNow": True}
 # First day of each delivery of the resumed stream.
 DELIVERIES = [0, 10, 20]
 
+# Partitions of the topic that numbered files stand for.
+TOPIC_PARTITIONS = 4
+
+# Day on which one of two uneven logs stops.
+STOPPED = 17
+
 # Days of each batch of the stored log, and how many batches the days of a month and a late one make.
 PERIOD, PERIODS = 5, 7
 
@@ -84,6 +91,22 @@ def stored_log(spark: SparkSession, sf_dir: str, damaged: bool = False, compacte
     return log
 
 
+def uneven_logs(spark: SparkSession, sf_dir: str) -> dict[str, ChangeLog]:
+    """Users with even and with odd numbers in logs of their own, of which the first has stopped at an earlier day."""
+    base = scratch_dir(spark, "uneven")
+    changes = feeds.event_changes(feeds.table(spark, sf_dir, "events"), late=True)
+    logs = {}
+    for name, rest, days in (("even", 0, STOPPED), ("odd", 1, None)):
+        log = logs[name] = ChangeLog(spark, feeds.USERS, f"{base}/{name}")
+        writer, mine = make_batch_writer(log.spec, log.root), changes.filter(F.col("user_id") % 2 == rest)
+        for number, first in enumerate(DELIVERIES):
+            day = F.col(BATCH) - first
+            wanted = mine.filter((day >= 0) & (day < 10 if first != DELIVERIES[-1] else F.lit(True)))
+            wanted = wanted if days is None else wanted.filter(F.col(BATCH) < days)
+            writer(to_messages(wanted, log.spec, name).drop(BATCH), number)
+    return logs
+
+
 def orders_and_lines(spark: SparkSession, sf_dir: str) -> tuple[ChangeLog, ChangeLog]:
     """Orders and their lines as the snapshots of two logs in one folder."""
     base = scratch_dir(spark, "shop")
@@ -94,6 +117,19 @@ def orders_and_lines(spark: SparkSession, sf_dir: str) -> tuple[ChangeLog, Chang
     return logs[0], logs[1]
 
 
+def numbered(spark: SparkSession, sf_dir: str) -> ChangeLog:
+    """Events in numbered files of four partitions, delivered twice, and the stream resumed by its offsets."""
+    root, folder = scratch_dir(spark, "offsets"), scratch_dir(spark, "segments")
+    messages = feeds.event_messages(feeds.table(spark, sf_dir, "events")).withColumns({
+        "partition": (F.col("offset") % TOPIC_PARTITIONS).cast("int"),
+        "offset": F.floor(F.col("offset") / TOPIC_PARTITIONS).cast("long")}).drop(BATCH)
+    half = F.lit(messages.agg(F.max("offset")).first()[0] // 2)
+    for part in (F.col("offset") < half, F.col("offset") >= half):
+        write_segments(messages.filter(part), folder, rows=1000)
+        await_all([start(feeds.USERS, segment_messages(spark, folder), root, trigger=_ALL_NOW)])
+    return ChangeLog(spark, feeds.USERS, root)
+
+
 def _created(rows: DataFrame, spec: TableSpec) -> DataFrame:
     position = {PARTITION: F.lit(0), OFFSET: F.col(spec.pk).cast("long")}
     written = rows.withColumns({"__op": F.lit("c"), "__source_ts_ms": F.lit(0), **position})

@@ -12,7 +12,7 @@ from ..functions.report import share_of_total, weekday_label
 from ..operators.reconcile import reconcile_summary, verify_rows
 from ..operators.timeline import last_operations
 from ..spec import ORDER_PRODUCTS, ORDERS, TableSpec
-from ..streaming.changelog import ChangeLog
+from ..streaming.changelog import ChangeLog, consistent_cut
 
 # Lengths of the report lists.
 SAMPLE_ROWS, FIRST_VERSION_ROWS = 10, 5
@@ -76,6 +76,16 @@ def overview(tables: Sequence[tuple[TableSpec, DataFrame, DataFrame]]) -> DataFr
     return reduce(DataFrame.unionByName, [one(*table) for table in tables])
 
 
+def at_cut(logs: Mapping[str, ChangeLog]) -> DataFrame:
+    """Row count of each table at the latest time that all have passed, and that time; no rows before there is one."""
+    cut = consistent_cut(list(logs.values()))
+    if cut is None:
+        any_log = next(iter(logs.values()))
+        return any_log.spark.createDataFrame([], "table_name STRING, n_rows LONG, cut_ms LONG")
+    return table_counts({name: log.as_of(ts_ms=cut, columns=[]) for name, log in logs.items()}).withColumn(
+        "cut_ms", F.lit(cut).cast("long"))
+
+
 def current_data(orders: DataFrame) -> dict[str, DataFrame]:
     """Total, first rows, orders by status and the busiest hours of the current orders."""
     return {
@@ -153,4 +163,6 @@ def stored_reports(logs: Mapping[str, ChangeLog],
             "analytics": lambda: analytics(log.current(), lines.current() if lines else None),
             "metadata": lambda: metadata(log),
         })
+    if present and only == "consistent":   # shown on request only
+        builders["consistent"] = lambda: {"rows": at_cut(present)}
     return {name: build() for name, build in builders.items() if only in (None, name)}

@@ -14,7 +14,7 @@ these, and they tell which batches a read must open. A base (``base.py``) spares
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Iterable, Sequence
 from dataclasses import dataclass
 from functools import reduce
 
@@ -219,6 +219,12 @@ class ChangeLog:
         return self.commits.summaries().select(
             BATCH, "n_total", "duration_ms", F.timestamp_micros("committed_us").alias("committed_at"))
 
+    # -- several tables -------------------------------------------------------------
+
+    def passed(self) -> int | None:
+        """The greatest source time that the log has seen, from the summaries; None while there is none."""
+        return self.commits.summaries(CHANGES).agg(F.max("max_source_ts_ms")).first()[0]
+
     # -- files ----------------------------------------------------------------------
 
     def files(self) -> DataFrame:
@@ -241,3 +247,13 @@ class ChangeLog:
             "n_files", "size_bytes", "n_versions",
             F.lit(",".join(self.spec.columns)).alias("columns"),
             F.lit(BATCH).alias("partition_columns"), F.lit(self.spec.pk).alias("key_column"))
+
+
+def consistent_cut(logs: Sequence[ChangeLog]) -> int | None:
+    """The greatest source time that all logs have passed; None while one of them has seen none.
+
+    Tables of one database are committed apart, each at its own pace. As of this time they show one state of it, unless a
+    change older than it is still to come.
+    """
+    times = [log.passed() for log in logs]
+    return None if None in times else min(times, default=None)
