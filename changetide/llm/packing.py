@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .tables import table
+from .words import encoded
 
 ROW = 2048            # ids of a row
 END = 50256           # the id after each document, free in the vocabulary; it also fills the ends of rows
@@ -65,7 +66,7 @@ def best_fit(lengths: np.ndarray, row: int) -> np.ndarray:
 
 
 def _ids_of(text: str, encoder, end: int) -> np.ndarray:
-    return np.array([*encoder.encode_ordinary(text), end], np.uint16)
+    return np.array([*encoded(encoder.encode_ordinary, text), end], np.uint16)
 
 
 def default_vocabulary() -> str:

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import re
+from collections.abc import Callable
+
 import numpy as np
 
 from .tables import mixed
@@ -19,6 +22,27 @@ _BACK = pow(_BASE, -1, 2**64)
 _powers: dict[int, np.ndarray] = {}
 
 
+# A tokenizer's pattern keeps a step for every blank of a run, and a million of them exhaust its stack.
+RUN = 100_000
+_LONG_RUN = re.compile(r"(?<!\s)\s{%d,}" % (RUN + 1))
+
+
+def encoded(encode: Callable[[str], list[int]], text: str) -> list[int]:
+    """Ids of a text whose very long runs of white space are cut every ``RUN`` characters and encoded piece by piece.
+
+    The ids decode to the whole text; without such runs they are the tokenizer's own.
+    """
+    if len(text) <= RUN or (found := _LONG_RUN.search(text)) is None:
+        return encode(text)
+    ids, at = [], 0
+    while found is not None:
+        for cut in range(found.start() + RUN, found.end(), RUN):
+            ids += encode(text[at:cut])
+            at = cut
+        found = _LONG_RUN.search(text, found.end())
+    return ids + encode(text[at:])
+
+
 def powers(size: int, base: int = _BASE) -> np.ndarray:
     """The first powers of an odd number, wrapping at 64 bits; kept for the next call."""
     have = _powers.get(base)
