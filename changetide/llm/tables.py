@@ -17,13 +17,32 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-# Fixed value: the setting that lets Spark delete an execution's shuffle files when it ends.
-_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+# Settings of Spark that hold while a table is stored: an execution's shuffle files are deleted when it ends, and
+# what is sent to Python at once has a few megabytes, however long the texts are.
+_SETTINGS = {
+    "spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true",
+    "spark.sql.execution.arrow.maxBytesPerBatch": str(8 << 20),
+}
 
 # Paths of the stored tables of every open ``temporary`` block, the innermost last.
 _scratch: list[list[str]] = []
 
 
+@contextmanager
+def _settings(spark: SparkSession) -> Iterator[None]:
+    before = {name: spark.conf.get(name, None) for name in _SETTINGS}
+    try:
+        for name, value in _SETTINGS.items():
+            spark.conf.set(name, value)
+        yield
+    finally:
+        for name, value in before.items():
+            if value is None:
+                spark.conf.unset(name)
+            else:
+                spark.conf.set(name, value)
+
+
 def stored(frame: DataFrame, name: str, keep: bool = False) -> DataFrame:
     """The frame written once to the shared folder, so that no lost executor makes it run again.
 
@@ -31,15 +50,9 @@ def stored(frame: DataFrame, name: str, keep: bool = False) -> DataFrame:
     with the one around it if it is to be kept.
     """
     spark = frame.sparkSession
-    path, before = scratch_dir(spark, name), spark.conf.get(_CLEANUP, None)
-    spark.conf.set(_CLEANUP, "true")
-    try:
+    path = scratch_dir(spark, name)
+    with _settings(spark):
         frame.write.parquet(path)
-    finally:
-        if before is None:
-            spark.conf.unset(_CLEANUP)
-        else:
-            spark.conf.set(_CLEANUP, before)
     if len(_scratch) > keep:
         _scratch[-1 - keep].append(path)
     return spark.read.schema(frame.schema).parquet(path)
