@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.changes import is_delete, reject_reason
 from ..spec import (
-    BAD, BROKER_TS, DELETE, KIND, META_FIELDS, OFFSET, PARTIAL, PARTITION, REASON, REJECT, UPSERT,
+    BAD, BROKER_TS, DELETE, KIND, META_FIELDS, OFFSET, PARTIAL, PARTITION, REASON, REJECT, REST, UPSERT,
     VALUE, TableSpec,
 )
 
@@ -22,6 +23,7 @@ def decode(messages: DataFrame, spec: TableSpec) -> DataFrame:
     above the decoding; pushed below it, they would decode the text again for every field.
     """
     extra = [c for c in messages.columns if c not in _MESSAGE_COLUMNS]
+    rest = [_unknown(spec).alias(REST)] if spec.keep_unknown else []
     payload = F.from_json("value", spec.payload_schema, {"columnNameOfCorruptRecord": BAD})
     return messages.select(
         F.explode(F.array(payload)).alias("payload"),
@@ -29,8 +31,26 @@ def decode(messages: DataFrame, spec: TableSpec) -> DataFrame:
         F.col("partition").alias(PARTITION),
         F.col("offset").alias(OFFSET),
         F.col("value").alias(VALUE),
+        *rest,
         *extra,
-    ).select("payload.*", BROKER_TS, PARTITION, OFFSET, VALUE, *extra)
+    ).select("payload.*", BROKER_TS, PARTITION, OFFSET, VALUE, *[REST for _ in rest], *extra)
+
+
+def _unknown(spec: TableSpec) -> Column:
+    """Fields of the payload that the schema doesn't name, as JSON with their types; NULL if there are none."""
+    named = [*spec.columns, *(f.name for f in META_FIELDS)]
+    fields = F.from_json("value", "map<string, variant>")
+    rest = F.map_filter(fields, lambda name, _: ~name.isin(named))
+    return F.when(F.size(rest) > 0, F.to_json(rest))
+
+
+def widened(rows: DataFrame, spec: TableSpec) -> DataFrame:
+    """Stored rows whose columns also take what was unknown when they were written."""
+    if not spec.keep_unknown:
+        return rows
+    known = T.StructType([f for f in spec.schema if f.name != spec.pk])
+    found = F.from_json(REST, known)
+    return rows.withColumns({f.name: F.coalesce(F.col(f.name), found[f.name]) for f in known})
 
 
 def classify(decoded: DataFrame, spec: TableSpec) -> DataFrame:

@@ -18,7 +18,7 @@ from ..sources import bootstrap, csv_rejects, flatten_envelope, load_csv, route,
 from ..spec import (
     BATCH, KIND, OFFSET, ORDER_PRODUCTS, ORDERS, PARTIAL, PRODUCTS, REASON, UPSERT, DELETE, TableSpec,
 )
-from ..streaming import cascade_delete_logged, progress
+from ..streaming import ChangeLog, cascade_delete_logged, make_batch_writer, progress, write_snapshot
 from . import feeds, replays, reports
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -460,6 +460,22 @@ def overview(spark: SparkSession, sf_dir: str) -> DataFrame:
                              for spec, log in logs])
 
 
+def widened_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return replays.widened_log(spark, sf_dir).current()
+
+
+def snapshot_refreshed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Products loaded, changed by a stream, and loaded anew with other rows: the load replaces the load, not the stream's changes."""
+    log = ChangeLog(spark, PRODUCTS, scratch_dir(spark, "refreshed"))
+    rows = feeds.product_rows(spark, sf_dir)
+    write_snapshot(bootstrap(rows, PRODUCTS), PRODUCTS, log.root)
+    renamed = rows.filter("department_id < 10").withColumns(
+        {"product_name": F.upper("product_name"), "__op": F.lit("u"), "__source_ts_ms": F.lit(5)})
+    make_batch_writer(PRODUCTS, log.root)(to_messages(renamed, PRODUCTS, PRODUCTS.topic(feeds.PREFIX, feeds.DATABASE)), 0)
+    write_snapshot(bootstrap(rows.filter("department_id % 2 = 0").withColumn("aisle_id", F.lit(0)), PRODUCTS), PRODUCTS, log.root)
+    return log.current()
+
+
 def rows_at_cut(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reports.at_cut(replays.uneven_logs(spark, sf_dir))
 
@@ -523,4 +539,6 @@ QUERIES: dict[str, Query] = {
     "table_counts": table_counts,
     "overview": overview,
     "rows_at_cut": rows_at_cut,
+    "widened_table": widened_table,
+    "snapshot_refresh": snapshot_refreshed,
 }

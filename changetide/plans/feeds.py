@@ -22,6 +22,10 @@ USERS = TableSpec(
     "users", "user_id",
     row_schema("user_id long, event_id long, event_type string, value double, props string"))
 
+# The same table as it was first described, and as it is read later.
+NARROW_USERS = TableSpec("users", "user_id", row_schema("user_id long, event_type string"), keep_unknown=True)
+WIDE_USERS = TableSpec("users", "user_id", USERS.schema, keep_unknown=True)
+
 # One row per customer order, as the last line item to ship.
 LAST_LINES = TableSpec(
     "last_lines", "l_orderkey",

@@ -365,4 +365,10 @@ won AS ({_latest("known")})
 SELECT t.table_name, (SELECT count(*) FROM won w WHERE w.table_name = t.table_name AND NOT is_delete) AS n_rows,
        (SELECT ms FROM cut) AS cut_ms
 FROM (VALUES ('even'), ('odd')) t(table_name)""",
+    "widened_table": _state(_WITH_LATE),
+    "snapshot_refresh": f"""
+WITH {_PRODUCTS}
+SELECT product_id, CASE WHEN department_id < 10 THEN upper(product_name) ELSE product_name END AS product_name,
+       CASE WHEN department_id < 10 THEN aisle_id ELSE 0 END AS aisle_id, department_id
+FROM products WHERE department_id < 10 OR department_id % 2 = 0""",
 }

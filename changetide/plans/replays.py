@@ -91,6 +91,19 @@ def stored_log(spark: SparkSession, sf_dir: str, damaged: bool = False, compacte
     return log
 
 
+def widened_log(spark: SparkSession, sf_dir: str) -> ChangeLog:
+    """Events written under a description that lacks most fields, compacted, and read under one that has them; the last ones under that."""
+    narrow = ChangeLog(spark, feeds.NARROW_USERS, scratch_dir(spark, "widened"))
+    wide = ChangeLog(spark, feeds.WIDE_USERS, narrow.root)
+    messages = feeds.event_messages(feeds.table(spark, sf_dir, "events"), late=True)
+    for number, first in enumerate(DELIVERIES):
+        log, day = (wide if first == DELIVERIES[-1] else narrow), F.col(BATCH) - first
+        wanted = messages.filter((day >= 0) & (day < 10 if log is narrow else F.lit(True)))
+        make_batch_writer(log.spec, log.root)(wanted.drop(BATCH), number)
+    narrow.compact(version=0)
+    return wide
+
+
 def uneven_logs(spark: SparkSession, sf_dir: str) -> dict[str, ChangeLog]:
     """Users with even and with odd numbers in logs of their own, of which the first has stopped at an earlier day."""
     base = scratch_dir(spark, "uneven")

@@ -29,6 +29,7 @@ KIND = "__kind"
 REASON = "__reason"
 PARTIAL = "__partially_decoded"
 COMMITTED = "__committed_at"
+REST = "__rest"
 BATCH = "batch_id"
 
 UPSERT, DELETE, REJECT = "upsert", "delete", "reject"
@@ -48,7 +49,8 @@ class TableSpec:
 
     ``defaults`` fills columns that a bulk file does not carry; streamed changes
     are full rows and never use it. ``times`` are text columns that hold a time: the log
-    keeps the text, the published table has timestamps.
+    keeps the text, the published table has timestamps. With ``keep_unknown`` the log also keeps fields of the payload that the schema doesn't
+    name, as JSON, and a later specification of the table that names them reads them from there.
     """
 
     name: str
@@ -56,6 +58,7 @@ class TableSpec:
     schema: T.StructType
     defaults: Mapping[str, object] = field(default_factory=dict, hash=False)
     times: tuple[str, ...] = ()
+    keep_unknown: bool = False
 
     def __post_init__(self) -> None:
         if self.pk not in self.schema.names:
@@ -84,6 +87,7 @@ class TableSpec:
             T.StructField(REASON, T.StringType()),
             T.StructField(PARTIAL, T.BooleanType()),
             T.StructField(COMMITTED, T.TimestampType()),
+            *([T.StructField(REST, T.StringType())] if self.keep_unknown else []),
         ])
 
     def topic(self, prefix: str, database: str) -> str:

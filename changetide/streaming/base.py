@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..operators import state, timeline
+from ..operators.decode import widened
 from ..sources.paths import entries, read_text, reads_files, remove, write_text
 from ..spec import BATCH, TableSpec
 
@@ -86,7 +87,7 @@ class Bases:
         schema = log_columns(self.spec)
         if not paths:
             return self.spark.createDataFrame([], schema)
-        return self.spark.read.schema(schema).parquet(*paths)
+        return widened(self.spark.read.schema(schema).parquet(*paths), self.spec)
 
     def read(self, upto: int, key: object = None) -> tuple[DataFrame, DataFrame]:
         """Rows of every bucket's oldest run, in which no key repeats, and those of its younger ones.

@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 
 from ..functions.changes import ORDERED
 from ..operators import state, timeline
-from ..operators.decode import reject_summary
+from ..operators.decode import reject_summary, widened
 from ..sources.paths import data_files, reads_files
 from ..spec import BATCH, KIND, REASON, SOURCE_TS, UPSERT, VALUE, TableSpec
 from .base import BUCKETS, GROWTH, Bases, log_columns
@@ -63,11 +63,12 @@ class ChangeLog:
         schema = log_columns(self.spec)
         if not batches:
             return self.spark.createDataFrame([], schema)
-        return (
+        rows = (
             self.spark.read.schema(schema).option("basePath", f"{self.root}/batches")
             .parquet(*[f"{batch_path(self.root, b)}/{LANE}={lane}" for b in batches])
             .select(*schema.names)
         )
+        return widened(rows, self.spec)
 
     def read(self, after: int | None = None, upto: int | None = None, where: Column | None = None) -> DataFrame:
         """Changes of committed batches, of a range and with summaries that meet a condition.

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from ..operators.decode import classify, decode
 from ..sources.messages import with_tasks
-from ..spec import COMMITTED, KIND, REJECT, TableSpec
+from ..spec import COMMITTED, KIND, REJECT, REST, TableSpec
 from .base import drop_bases
 from .commits import CHANGES, FOLD, LANE, REJECTS, SNAPSHOT_BATCH, Commits, batch_path, measures
 
@@ -25,6 +25,8 @@ def commit(classified: DataFrame, spec: TableSpec, root: str, batch_id: int, fol
     commits.withdraw(batch_id)
     seen = Observation()
     lane = F.when(F.col(KIND) == REJECT, REJECTS).otherwise(CHANGES)
+    if spec.keep_unknown and REST not in classified.columns:   # rows that were no messages
+        classified = classified.withColumn(REST, F.lit(None).cast("string"))
     (
         classified.withColumns({LANE: lane, COMMITTED: F.current_timestamp()})
         .select(*spec.log_schema.names, LANE)

@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from changetide.sources import exists, file_messages, scratch_dir, text_messages
-from changetide.spec import ORDERS, PRODUCTS
+from changetide.spec import ORDERS, PRODUCTS, TableSpec, row_schema
 from changetide.streaming import (
     ChangeLog, await_all, make_batch_writer, progress, start, start_all, stop_all,
     write_snapshot,
@@ -15,7 +15,7 @@ from changetide.streaming.queries import batch_timings
 from changetide.sources import bootstrap
 from changetide.plans.reports import metadata, stored_reports, time_travel
 
-from helpers import ITEMS, messages_of, payload, state
+from helpers import ITEMS, log_from, messages_of, payload, state
 
 ALL_NOW = {"availableNow": True}
 
@@ -300,3 +300,29 @@ def test_json_frames_and_reports_of_stored_logs(spark, tmp_path):
     assert [(r.order_hour_of_day, r.n, r.pct) for r in found["analytics"]["hour_share"].collect()] == [
         (0, 4, 33.3), (1, 4, 33.3), (2, 4, 33.3)]
     assert stored_reports({}) == {}
+
+
+def test_unknown_fields_wait_for_a_specification_that_names_them(spark, tmp_path):
+    narrow = TableSpec("items", "k", row_schema("k integer, v integer"), keep_unknown=True)
+    wide = TableSpec("items", "k", row_schema("k integer, v integer, note string, size double, tags string"), keep_unknown=True)
+    root = str(tmp_path / "log")
+    make_batch_writer(narrow, root)(messages_of(spark, [
+        payload(1, 1, note="a \"b\"", size=2.5, tags=["x", 1]), payload(2, 2), payload(3, 3, note=None, other={"deep": [1]}), "{bad",
+        payload(4, 4, size="large")]), 0)
+    old = ChangeLog(spark, narrow, root)
+    assert state(old.current()) == {1: 1, 2: 2, 3: 3, 4: 4} and old.rejects().count() == 1
+    rests = {r.k: r["__rest"] for r in old.read().select("k", "__rest").collect()}
+    assert rests[2] is None and '"deep":[1]' in rests[3]
+    old.compact()
+    make_batch_writer(wide, root)(messages_of(spark, [payload(2, 20, ts=5, note="new"), payload(3, op="d", ts=5)]), 1)
+    new = ChangeLog(spark, wide, root)
+    rows = {r.k: (r.v, r.note, r.size, r.tags) for r in new.current().collect()}
+    assert rows == {1: (1, 'a "b"', 2.5, '["x",1]'), 2: (20, "new", None, None), 4: (4, None, None, None)}
+    assert new.lookup(1).first().note == 'a "b"' and new.as_of(version=0).filter("k = 3").first().note is None
+    write_snapshot(bootstrap(spark.createDataFrame([(9, 9)], "k INT, v INT"), narrow), narrow, root)   # rows that were no messages
+    assert new.current().filter("k = 9").first().v == 9
+
+
+def test_a_specification_keeps_nothing_unless_asked(spark):
+    assert "__rest" not in ITEMS.log_schema.names
+    assert "__rest" not in log_from(spark, [payload(1, 1, more=2)]).columns
