@@ -19,6 +19,9 @@ from .sources.bulk import BEFORE_ALL
 from .spec import SHOP_TABLES
 from .streaming import ChangeLog, start_all, stop_all, write_snapshot
 
+# Fixed value: how often a running ingest reports.
+PROGRESS_SECONDS = 30
+
 REPORT_NAMES = ["overview", "current", "time-travel", "analytics", "metadata", "consistent"]
 
 
@@ -53,13 +56,14 @@ def verify(spark: SparkSession, args: argparse.Namespace) -> None:
 
 
 def ingest(spark: SparkSession, args: argparse.Namespace) -> None:
-    """Follow the topics of all tables until one query ends or the user interrupts."""
+    """Follow the topics of all tables until one query ends or the user interrupts; show the last batches now and then."""
     messages = {spec.name: kafka_messages(spark, args.servers, spec.topic(args.prefix, args.database))
                 for spec in SHOP_TABLES}
     queries = start_all(SHOP_TABLES, messages, args.base, args.checkpoint,
                         {"processingTime": args.trigger})
     try:
-        spark.streams.awaitAnyTermination()
+        while not spark.streams.awaitAnyTermination(args.progress):
+            reports.latest_batches(_logs(spark, args.base)).show(truncate=False)
     except KeyboardInterrupt:
         pass
     finally:
@@ -91,6 +95,7 @@ def main(argv: list[str]) -> None:
     ingesting.add_argument("--database", required=True)
     ingesting.add_argument("--checkpoint")
     ingesting.add_argument("--trigger", default="10 seconds")
+    ingesting.add_argument("--progress", type=int, default=PROGRESS_SECONDS, help="seconds between two reports of progress")
 
     reporting = commands.add_parser("report")
     reporting.add_argument("--demo", choices=["all", *REPORT_NAMES], default="all")

@@ -76,6 +76,12 @@ def overview(tables: Sequence[tuple[TableSpec, DataFrame, DataFrame]]) -> DataFr
     return reduce(DataFrame.unionByName, [one(*table) for table in tables])
 
 
+def latest_batches(logs: Mapping[str, ChangeLog], last: int = 1) -> DataFrame:
+    """The last batches of each table: messages, duration and time of the commit."""
+    return reduce(DataFrame.unionByName, [
+        log.batch_timings(last).withColumn("table_name", F.lit(name)) for name, log in logs.items()])
+
+
 def at_cut(logs: Mapping[str, ChangeLog]) -> DataFrame:
     """Row count of each table at the latest time that all have passed, and that time; no rows before there is one."""
     cut = consistent_cut(list(logs.values()))

@@ -185,11 +185,12 @@ class ChangeLog:
 
     def history(self, last: int | None = None) -> DataFrame:
         """History of all versions, or of the last ones, from the summaries; no batch is opened."""
-        rows, skipped = self.commits.summaries(CHANGES), 0
+        after, skipped = None, 0
         if last is not None:
             batches = self.batches()
             skipped = max(0, len(batches) - last)
-            rows = rows.filter(F.col(BATCH).isin(batches[skipped:]))
+            after = batches[skipped - 1] if skipped else None
+        rows = self.commits.summaries(CHANGES, after)
         return timeline.history_of(
             rows.withColumn("timestamp", F.timestamp_micros("committed_us")), self.spec, skipped)
 
@@ -215,9 +216,13 @@ class ChangeLog:
         return self.commits.summaries().select(
             BATCH, "n_total", "n_upserts", "n_deletes", "n_rejects", "n_partially_decoded")
 
-    def batch_timings(self) -> DataFrame:
-        """Messages of every committed batch, the time its commit took and when that was, however long ago."""
-        return self.commits.summaries().select(
+    def batch_timings(self, last: int | None = None) -> DataFrame:
+        """Messages of all committed batches, or the last ones, the time each commit took and when that was, however long ago."""
+        after = None
+        if last is not None:
+            batches = self.committed()
+            after = batches[-last - 1] if len(batches) > last else None
+        return self.commits.summaries(after=after).select(
             BATCH, "n_total", "duration_ms", F.timestamp_micros("committed_us").alias("committed_at"))
 
     # -- several tables -------------------------------------------------------------

@@ -173,9 +173,15 @@ class Commits:
                 *[f"{self.root}/summaries/{f.name}" for f in folds]))
         return found
 
-    def summaries(self, lane: str | None = None) -> DataFrame:
-        """One row per committed batch, or per batch that has a lane."""
-        found = self._read(*self._listed())
+    def summaries(self, lane: str | None = None, after: int | None = None) -> DataFrame:
+        """One row per committed batch, or per batch that has a lane or follows another; older folds are not read."""
+        singles, folds = self._listed()
+        if after is not None:
+            singles = {b: path for b, path in singles.items() if b > after}
+            folds = [f for f in folds if f.last > after]
+        found = self._read(singles, folds)
+        if after is not None and folds:
+            found = found.filter(F.col(BATCH) > after)
         return found if lane is None else found.filter(F.col("lanes").contains(lane))
 
     def batches(self, lane: str | None = None, after: int | None = None, upto: int | None = None,

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from changetide.operators import as_of, batch_metrics, current, history
 from changetide.plans import replays
+from changetide.plans.reports import latest_batches
 from changetide.sources import bootstrap, paths
 from changetide.spec import KIND, TableSpec, row_schema
 from changetide.streaming import ChangeLog, base, make_batch_writer, write_snapshot, writer
@@ -75,12 +76,17 @@ def test_summaries_say_what_the_rows_say(spark, folded):
     assert detail.n_versions == len(log.batches()) == log.history().count()
     last = log.history(last=4).orderBy("version").collect()
     assert [r.version for r in last] == list(range(detail.n_versions - 4, detail.n_versions))
+    assert rows_of(log.history(last=1000)) == rows_of(log.history())
+    assert len([f for f in log.history(last=1).inputFiles() if "/summaries/" in f]) <= 1
 
 
 def test_durations_of_all_batches_outlive_the_session_that_wrote_them(folded):
     timings = ChangeLog(folded.spark, ITEMS, folded.root).batch_timings().collect()
     assert len(timings) == 31
     assert all(r.duration_ms >= 0 and r.committed_at is not None and r.n_total > 0 for r in timings)
+    assert sorted(r.batch_id for r in folded.batch_timings(last=3).collect()) == [27, 28, 29]
+    shown = latest_batches({"a": folded, "b": folded}, last=2).collect()
+    assert sorted((r.table_name, r.batch_id) for r in shown) == [("a", 28), ("a", 29), ("b", 28), ("b", 29)]
 
 
 def test_folded_batches_stay_as_they_are(spark, folded):
