@@ -94,6 +94,21 @@ def test_jump_moves_keys_only_into_the_new_shard():
     assert np.bincount(before).min() > 700
 
 
+def test_jump_equals_the_plain_loop():
+    def plain(key, shards):
+        at, ahead = -1, 0
+        while ahead < shards:
+            at = ahead
+            key = (key * 2862933555777941757 + 1) % 2**64
+            ahead = int((at + 1) * (float(1 << 31) / float((key >> 33) + 1)))
+        return at
+
+    draw = random.Random(6)
+    keys = [0, 1, 2**63, 2**64 - 1, *(draw.randrange(2**64) for _ in range(500))]
+    for shards in (1, 2, 24, 25, 1000):
+        assert jump(np.array(keys, np.uint64), shards).tolist() == [plain(k, shards) for k in keys]
+
+
 def test_shards_have_gapless_slots(spark, empty):
     frame = spark.createDataFrame([(None, "x", "a"), (None, "x", "a"), (7, "y", "b"), (7, "y", "b")], SCHEMA).union(
         spark.range(500).select(F.col("id").alias("doc_id"), F.lit("t"), F.lit("u")))
