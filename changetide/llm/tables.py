@@ -17,12 +17,8 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-# Settings of Spark that hold while a table is stored: an execution's shuffle files are deleted when it ends, and
-# what is sent to Python at once has a few megabytes, however long the texts are.
-_SETTINGS = {
-    "spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true",
-    "spark.sql.execution.arrow.maxBytesPerBatch": str(8 << 20),
-}
+# Settings of Spark that hold while a table is stored: an execution's shuffle files are deleted when it ends.
+_SETTINGS = {"spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true"}
 
 # Paths of the stored tables of every open ``temporary`` block, the innermost last.
 _scratch: list[list[str]] = []
