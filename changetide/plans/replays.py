@@ -22,6 +22,9 @@ _ALL_NOW = {"availableNow": True}
 # First day of each delivery of the resumed stream.
 DELIVERIES = [0, 10, 20]
 
+# Rows of a table that one task writes: a task sorts its rows, so their number bounds its memory.
+TASK_ROWS = 500_000
+
 # Partitions of the topic that numbered files stand for.
 TOPIC_PARTITIONS = 4
 
@@ -41,6 +44,11 @@ def table_stream(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.readStream.schema(schema).parquet(f"{sf_dir}/{name}.parque[t]")
 
 
+def write_tasks(spark: SparkSession, sf_dir: str, name: str) -> int:
+    """As many tasks as cores for a table that is streamed in one batch, more for a large one; counted from the files' footers."""
+    return max(spark.sparkContext.defaultParallelism, -(-feeds.table(spark, sf_dir, name).count() // TASK_ROWS))
+
+
 def _event_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     return feeds.event_messages(table_stream(spark, sf_dir, "events")).drop(BATCH)
 
@@ -49,7 +57,7 @@ def ingested(spark: SparkSession, sf_dir: str) -> tuple[ChangeLog, StreamingQuer
     """All events streamed into a log."""
     root = scratch_dir(spark, "ingest")
     query = start(feeds.USERS, _event_stream(spark, sf_dir), root, trigger=_ALL_NOW,
-                  tasks=spark.sparkContext.defaultParallelism)
+                  tasks=write_tasks(spark, sf_dir, "events"))
     await_all([query])
     return ChangeLog(spark, feeds.USERS, root), query
 
@@ -159,7 +167,8 @@ def several_tables(spark: SparkSession, sf_dir: str) -> dict[str, ChangeLog]:
             lines, feeds.LAST_LINES, feeds.LAST_LINES.topic(feeds.PREFIX, feeds.DATABASE)),
         PRODUCTS.name: _created(feeds.as_products(table_stream(spark, sf_dir, "part")), PRODUCTS),
     }
+    sources = {ORDERS.name: "orders", feeds.LAST_LINES.name: "lineitem", PRODUCTS.name: "part"}
     base = scratch_dir(spark, "tables")
     await_all(start_all(specs, messages, base, trigger=_ALL_NOW,
-                        tasks=spark.sparkContext.defaultParallelism))
+                        tasks={name: write_tasks(spark, sf_dir, source) for name, source in sources.items()}))
     return {spec.name: ChangeLog(spark, spec, f"{base}/{spec.name}") for spec in specs}

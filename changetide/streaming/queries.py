@@ -44,11 +44,12 @@ def start(spec: TableSpec, messages: DataFrame, root: str, checkpoint: str | Non
 
 def start_all(specs: Sequence[TableSpec], messages: Mapping[str, DataFrame], base: str,
               checkpoint: str | None = None, trigger: Mapping[str, object] | None = None,
-              tasks: int | None = None) -> list[StreamingQuery]:
-    """One query per table, side by side, below a common base path."""
+              tasks: int | Mapping[str, int] | None = None) -> list[StreamingQuery]:
+    """One query per table, side by side, below a common base path; ``tasks`` is one number for all or a number for each."""
+    each = tasks if isinstance(tasks, Mapping) else {spec.name: tasks for spec in specs}
     return [
         start(spec, messages[spec.name], f"{base}/{spec.name}",
-              f"{checkpoint}/{spec.name}" if checkpoint else None, trigger, tasks)
+              f"{checkpoint}/{spec.name}" if checkpoint else None, trigger, each.get(spec.name))
         for spec in specs
     ]
 

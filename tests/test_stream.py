@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from changetide.sources import exists, file_messages, scratch_dir, text_messages
 from changetide.spec import ORDERS, PRODUCTS, TableSpec, row_schema
+from changetide.plans import replays
 from changetide.streaming import (
     ChangeLog, await_all, make_batch_writer, progress, start, start_all, stop_all,
     write_snapshot,
@@ -326,3 +327,18 @@ def test_unknown_fields_wait_for_a_specification_that_names_them(spark, tmp_path
 def test_a_specification_keeps_nothing_unless_asked(spark):
     assert "__rest" not in ITEMS.log_schema.names
     assert "__rest" not in log_from(spark, [payload(1, 1, more=2)]).columns
+
+
+def test_a_large_table_is_streamed_by_more_tasks_than_cores(spark, tmp_path, monkeypatch):
+    """400 lines at 20 rows a task are 20 files; small tables keep one task a core."""
+    write = lambda name, *columns: spark.range(400 if name == "lineitem" else 5).selectExpr(*columns).coalesce(1).write.parquet(
+        str(tmp_path / f"{name}.parquet"))
+    day = "TIMESTAMP'2024-01-01 00:00:00'"
+    write("orders", "id AS o_orderkey", "id AS o_custkey", "'O' AS o_orderstatus", f"{day} AS o_orderdate")
+    write("lineitem", "id AS l_orderkey", "1 AS l_linenumber", "id AS l_partkey", "id AS l_suppkey", "1.0D AS l_quantity",
+          "1.0D AS l_extendedprice", "'N' AS l_returnflag", f"{day} AS l_shipdate")
+    write("part", "id AS p_partkey", "'x' AS p_name", "'Brand#1' AS p_brand", "1 AS p_size")
+    monkeypatch.setattr(replays, "TASK_ROWS", 20)
+    logs = replays.several_tables(spark, str(tmp_path))
+    assert [logs[name].files().count() for name in ("orders", "last_lines", "products")] == [5, 20, 5]
+    assert logs["last_lines"].current().count() == 400
