@@ -28,6 +28,7 @@ from ..spec import MESSAGE_SCHEMA
 
 FORMAT = "message_segments"
 ROWS = 100_000   # messages of a written file
+TASK_ROWS = 50_000   # messages that fill a task: small files share one, a larger file has its own
 
 _SCHEMA = "value STRING, ts TIMESTAMP, topic STRING, partition INT, offset LONG"
 _COLUMNS = ["value", "ts", "topic", "partition", "offset"]
@@ -63,11 +64,25 @@ def listed(folder: str) -> dict[str, list[Segment]]:
     return {partition: sorted(segments) for partition, segments in sorted(found.items())}
 
 
+def _shared(segments: Sequence[Segment], begin: int, stop: int) -> list[list[str]]:
+    """Files that follow each other, put together as long as their messages of a range fit one task."""
+    tasks: list[list[str]] = []
+    room = 0
+    for segment in segments:
+        rows = min(segment.last + 1, stop) - max(segment.first, begin)
+        if not tasks or rows > room:
+            tasks.append([])
+            room = TASK_ROWS
+        tasks[-1].append(segment.path)
+        room -= rows
+    return tasks
+
+
 class Range(InputPartition):
-    """Messages ``start`` to ``end`` (not included) of one partition, as far as a file holds them."""
+    """Messages ``start`` to ``end`` (not included) of one partition, as far as some files hold them."""
 
-    def __init__(self, partition: str, start: int, end: int, path: str):
-        self.partition, self.start, self.end, self.path = partition, start, end, path
+    def __init__(self, partition: str, start: int, end: int, paths: Sequence[str]):
+        self.partition, self.start, self.end, self.paths = partition, start, end, paths
 
 
 class LostOffsets(Exception):
@@ -78,7 +93,8 @@ class SegmentReader(DataSourceStreamReader):
     """Reads ranges of offsets. Options: ``path``; ``startingOffsets``, earliest (default), latest or JSON by partition;
     ``failOnDataLoss``, true (default) or false.
 
-    A batch takes all there is. Each file is a task of its own, so a partition that holds most messages is read by many.
+    A batch takes all there is. Files that follow each other share a task up to ``TASK_ROWS`` messages, so a partition that holds
+    most messages is read by many tasks, and the number of tasks follows the messages, not the files.
     """
 
     def __init__(self, options: dict[str, str]):
@@ -101,7 +117,7 @@ class SegmentReader(DataSourceStreamReader):
         return self.reached | {p: max(end, self.reached.get(p, 0)) for p, end in ends.items()}
 
     def partitions(self, start: Offsets, end: Offsets) -> Sequence[InputPartition]:
-        """One task per file with new messages; files deleted since the last batch are missed here."""
+        """Tasks for the files with new messages; files deleted since the last batch are missed here."""
         self.reached = dict(end)
         segments, ranges = listed(self.folder), []
         for partition, stop in sorted(end.items()):
@@ -115,24 +131,23 @@ class SegmentReader(DataSourceStreamReader):
                 raise LostOffsets(f"{self.folder}: {lost} messages of partition {partition} from {begin} to {stop - 1} are gone")
             if lost:
                 logging.getLogger(__name__).warning("%s: %s messages of partition %s are gone", self.folder, lost, partition)
-            ranges += [Range(partition, begin, stop, s.path) for s in mine]
-        return ranges or [Range("0", 0, 0, "")]
+            ranges += [Range(partition, begin, stop, paths) for paths in _shared(mine, begin, stop)]
+        return ranges or [Range("0", 0, 0, [])]
 
     def read(self, partition: InputPartition) -> Iterator[pa.RecordBatch]:
-        if not partition.path:
-            return
         files, _ = _opened(self.folder)
-        try:
-            file = pq.ParquetFile(files.open_input_file(partition.path))
-        except FileNotFoundError:   # deleted since the batch was planned
-            if self.strict:
-                raise LostOffsets(f"{partition.path} is gone") from None
-            return
-        for batch in file.iter_batches(columns=["value", "ts", "topic", "offset"]):
-            offset = batch.column("offset")
-            batch = batch.filter(pc.and_(pc.greater_equal(offset, partition.start), pc.less(offset, partition.end)))
-            whole = batch.append_column("partition", pa.array([int(partition.partition)] * batch.num_rows, pa.int32()))
-            yield pa.RecordBatch.from_arrays([pc.cast(whole.column(c), _TYPES.field(c).type) for c in _COLUMNS], schema=_TYPES)
+        for path in partition.paths:
+            try:
+                file = pq.ParquetFile(files.open_input_file(path))
+            except FileNotFoundError:   # deleted since the batch was planned
+                if self.strict:
+                    raise LostOffsets(f"{path} is gone") from None
+                continue
+            for batch in file.iter_batches(columns=["value", "ts", "topic", "offset"]):
+                offset = batch.column("offset")
+                batch = batch.filter(pc.and_(pc.greater_equal(offset, partition.start), pc.less(offset, partition.end)))
+                whole = batch.append_column("partition", pa.array([int(partition.partition)] * batch.num_rows, pa.int32()))
+                yield pa.RecordBatch.from_arrays([pc.cast(whole.column(c), _TYPES.field(c).type) for c in _COLUMNS], schema=_TYPES)
 
     def commit(self, end: Offsets) -> None:
         """Files stay: how long is for their owner to say."""

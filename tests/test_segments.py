@@ -105,6 +105,22 @@ def test_a_partition_without_files_keeps_its_place(tmp_path, spark):
     assert [(r.partition, r.start, r.end) for r in lenient.partitions(end, {"0": 5, "1": 8})] == [("1", 4, 8)]
 
 
+def test_small_files_share_a_task(spark, tmp_path, monkeypatch):
+    """200 files of five messages: four tasks, not 200, and every message of the range once."""
+    folder = tmp_path / "in"
+    write_segments(numbered(spark, 0, 1000).coalesce(1), str(folder), rows=5)
+    assert len(listed(str(folder))["0"]) >= 200
+    monkeypatch.setattr("changetide.sources.segments.TASK_ROWS", 250)
+    reader = SegmentReader({"path": str(folder)})
+    ranges = reader.partitions({"0": 0}, reader.latestOffset())
+    assert 4 <= len(ranges) <= 6
+    found = [i for r in reader.partitions({"0": 3}, {"0": 998}) for b in reader.read(r) for i in b.column("offset").to_pylist()]
+    assert found == list(range(3, 998))
+    monkeypatch.setattr("changetide.sources.segments.TASK_ROWS", 2)
+    assert len(reader.partitions({"0": 0}, {"0": 1000})) == len(listed(str(folder))["0"]), "a larger file has its own"
+    assert run(spark, folder, tmp_path / "log").read().select("__offset").distinct().count() == 1000
+
+
 def test_tables_are_cut_at_a_time_that_all_have_passed(spark, tmp_path):
     logs = {name: ChangeLog(spark, ITEMS, f"{tmp_path}/{name}") for name in ("a", "b")}
     write = {name: make_batch_writer(ITEMS, log.root) for name, log in logs.items()}
