@@ -8,7 +8,7 @@ import unicodedata
 from array import array
 from collections.abc import Iterator
 from heapq import heapify, heappop, heappush
-from operator import add
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -22,6 +22,7 @@ from .tables import mixed, pieces, table, utf8
 _SPACE = "\t\n\x0b\x0c\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 _WORD = r"'s|'t|'re|'ve|'m|'ll|'d|\p{L}+|\p{N}|[^" + _SPACE + r"\p{L}\p{N}]+"
 _END = "</w>"
+_STOP = "\n"     # ends a word's last fragment here; no word holds it
 CACHE_BYTES = 24 << 20   # of a cache's generation, by estimate; a worker holds four, two of words and two of fragments
 ENTRY_BYTES = 250        # of an entry beside its text and ids
 RUN_BYTES = 4 << 20      # text whose stretches are looked up together
@@ -51,7 +52,6 @@ class Codec:
         self.special = {t["content"]: t["id"] for t in model["added_tokens"] if t["special"]}
         self.names = {i: t for t, i in vocab.items()} | {i: t for t, i in self.special.items()}
         self.vocab = vocab
-        self.letters = {b: c for b, c in enumerate(byte_letters())}
         self.ranks: dict[int, int] = {}
         self.joined: list[int] = []
         for rank, (left, right) in enumerate(model["model"]["merges"]):
@@ -62,22 +62,31 @@ class Codec:
         self.first = np.zeros((2, 1 + max(map(ord, byte_letters()))), np.int64)
         for letter in byte_letters():
             self.first[:, ord(letter)] = vocab[letter], vocab[letter + _END]
-        self.inside: set[str] = set()
+        # Letters by byte, and the pairs of letters that stand inside a token; a word's end is never cut off.
+        self.letter = np.array([*map(ord, byte_letters())], np.uint16)
+        self.letter[ord(_STOP)] = ord(_STOP)
+        self.inside = np.zeros((self.first.shape[1],) * 2, bool)
+        self.inside[:, ord(_STOP)] = True
         for token in vocab:
             body = token.removesuffix(_END) if token != _END else token
-            self.inside.update(body[i:i + 2] for i in range(len(body) - 1))
+            for left, right in zip(body, body[1:]):
+                self.inside[ord(left), ord(right)] = True
         self.word = regex.compile(_WORD)
         self.gap = regex.compile(f"[{_SPACE}]+")
         self.marks = regex.compile("(" + "|".join(map(regex.escape, self.special)) + ")")
         self.chunks, self.fragments = Cache(), Cache()
 
-    def cuts(self, letters: str) -> list[str]:
-        """The fragments between the certain cuts; put together they are the word."""
-        inside = self.inside
-        at = [i for i, pair in enumerate(map(add, letters, letters[1:]), 1) if pair not in inside]
-        if not at:
-            return [letters]
-        return [letters[i:j] for i, j in zip([0, *at], [*at, len(letters)])]
+    def _fragments(self, words: list[str]) -> tuple[list[str], np.ndarray]:
+        """The fragments of all words between the certain cuts, and how many each word has; the last one of a word ends in ``_STOP``."""
+        if not words:
+            return [], np.zeros(0, np.int64)
+        letters = self.letter[np.frombuffer((_STOP.join(words) + _STOP).encode(), np.uint8)]
+        over = letters[:-1] == ord(_STOP)
+        begin = np.flatnonzero(np.append(True, over | ~self.inside[letters[:-1], letters[1:]]))
+        end = np.append(begin[1:], len(letters))
+        flat = letters.astype("<u2").tobytes().decode("utf-16-le")
+        last = np.flatnonzero(letters[end - 1] == ord(_STOP))
+        return [flat[i:j] for i, j in zip(begin.tolist(), end.tolist())], np.diff(last, prepend=-1)
 
     def _merged(self, keys: list[str]) -> dict[str, bytes]:
         """Ids of fragments: the pair of the lowest rank is joined, leftmost first, until none is left.
@@ -87,7 +96,7 @@ class Codec:
         """
         found, by_size = {}, {}
         for key in keys:
-            size = len(key) - len(_END) * key.endswith(_END)
+            size = len(key) - key.endswith(_STOP)
             if size <= LONG:
                 by_size.setdefault(size, []).append(key)
             else:
@@ -116,7 +125,7 @@ class Codec:
 
     def _letters(self, keys: list[str], size: int) -> np.ndarray:
         """Ids of the single letters of fragments of one length."""
-        last = np.array([key.endswith(_END) for key in keys])
+        last = np.array([key.endswith(_STOP) for key in keys])
         codes = np.frombuffer("".join([key[:size] for key in keys]).encode("utf-32-le"), "<u4").reshape(len(keys), size)
         ids = self.first[0][codes]
         ids[last, -1] = self.first[1][codes[last, -1]]
@@ -145,56 +154,54 @@ class Codec:
                 heappush(heap, (rank, h))
         return [i for i in ids if i >= 0]
 
-    def _fragments(self, word: str) -> list[str]:
-        """A word's fragments; the last one's key has the word end."""
-        letters = word if word.isascii() and word.isalnum() else "".join(map(self.letters.__getitem__, word.encode()))
-        parts = self.cuts(letters)
-        parts[-1] += _END
-        return parts
-
-    def _parts(self, chunk: str) -> list[str]:
-        """Fragments and special tokens of a stretch without white space. No rule of this vocabulary looks past white space."""
-        out: list[str] = []
-        for part in self.marks.split(chunk) if "<" in chunk else (chunk,):
-            if part in self.special:
-                out.append(part)
+    def _words(self, part: str) -> list[str]:
+        """Words of a stretch without white space and special tokens. No rule of this vocabulary looks past white space."""
+        if part.isascii():
+            lower = part.lower()
+            return [lower] if lower.isalpha() else self.word.findall(lower)
+        # Letter by letter, so that a capital sigma does not depend on its place.
+        return self.word.findall(unicodedata.normalize("NFC", part).replace("Σ", "σ").lower())
+
+    def _parts(self, chunks: list[str]) -> tuple[list[str], list[str], list[int]]:
+        """The stretches, plain ones first, the fragments and special tokens of all of them, and how many each has."""
+        plain, marked, words, sizes = [], [], [], []
+        for chunk in chunks:
+            if "<" in chunk and self.marks.search(chunk):
+                marked.append(chunk)
                 continue
-            if part.isascii():
-                lower = part.lower()
-                words = (lower,) if lower.isalpha() else self.word.findall(lower)
-            else:
-                # Letter by letter, so that a capital sigma does not depend on its place.
-                words = self.word.findall(unicodedata.normalize("NFC", part).replace("Σ", "σ").lower())
-            for word in words:
-                out += self._fragments(word)
-        return out
+            some = self._words(chunk)
+            plain.append(chunk)
+            words += some
+            sizes.append(len(some))
+        parts, n = self._fragments(words)
+        upto = np.concatenate([[0], np.cumsum(n)])[np.concatenate([[0], np.cumsum(sizes, dtype=np.int64)])]
+        counts = np.diff(upto).tolist()
+        for chunk in marked:
+            before = len(parts)
+            for part in self.marks.split(chunk):
+                parts += [part] if part in self.special else self._fragments(self._words(part))[0]
+            counts.append(len(parts) - before)
+        return plain + marked, parts, counts
 
     def _learned(self, chunks: set[str]) -> dict[str, tuple[bytes, str]]:
         """Ids of every stretch, and the text these decode to."""
-        found, parts = {}, {}
-        for chunk in chunks:
-            pair = self.chunks.get(chunk)
-            if pair is None:
-                parts[chunk] = self._parts(chunk)
-            else:
-                found[chunk] = pair
-        known: dict[str, bytes] = {token: array("I", [i]).tobytes() for token, i in self.special.items()}
-        missing = []
-        for part in {p for each in parts.values() for p in each} - known.keys():
-            ids = self.fragments.get(part)
-            if ids is None:
-                missing.append(part)
-            else:
-                known[part] = ids
-        merged = self._merged(missing)
-        for part, ids in merged.items():
-            self.fragments.keep(part, ids, len(ids))
+        found = self.chunks.known(chunks)
+        order, parts, counts = self._parts(list(chunks.difference(found)))
+        known = {token: (array("I", [i]).tobytes(), self.names[i]) for token, i in self.special.items()}
+        wanted = set(parts).difference(known)
+        known |= self.fragments.known(wanted)
+        merged = {part: (ids, self.decode(ids)) for part, ids in self._merged(list(wanted.difference(known))).items()}
+        self.fragments.keep(merged)
         known |= merged
-        for chunk, each in parts.items():
-            ids = b"".join([known[p] for p in each])
-            found[chunk] = ids, self.decode(ids)
-            self.chunks.keep(chunk, found[chunk], 2 * len(ids) + len(chunk))
-        return found
+        pairs, at, learned = [*map(known.__getitem__, parts)], 0, {}
+        for chunk, n in zip(order, counts):
+            if n == 1:
+                learned[chunk] = pairs[at]
+            else:
+                learned[chunk] = b"".join([ids for ids, _ in pairs[at:at + n]]), " ".join([back for _, back in pairs[at:at + n]])
+            at += n
+        self.chunks.keep(learned)
+        return found | learned
 
     def _split(self, text: str) -> list[str]:
         if any(c in text for c in "\x1c\x1d\x1e\x1f"):   # white space to Python, but not to the vocabulary
@@ -209,8 +216,8 @@ class Codec:
         stretches = [self._split(text) for text in texts]
         found = self._learned(set().union(*stretches))
         for chunks in stretches:
-            pairs = [found[c] for c in chunks]
-            yield b"".join([ids for ids, _ in pairs]), " ".join([back for _, back in pairs])
+            ids, back = zip(*map(found.__getitem__, chunks)) if chunks else ((), ())
+            yield b"".join(ids), " ".join(back)
 
     def encode(self, text: str) -> bytes:
         return next(self.coded([text]))[0]
@@ -263,20 +270,22 @@ class Cache:
         self.old: dict = {}
         self.size, self.most = 0, most
 
-    def get(self, key: str):
-        found = self.new.get(key)
-        if found is None and (found := self.old.get(key)) is not None:
-            self.keep(key, found, len(key))
-        return found
-
-    def keep(self, key: str, value, size: int) -> None:
-        if len(key) > LONG:
-            return
-        self.size += size + len(key) + ENTRY_BYTES
-        if self.size > self.most:
-            self.old, self.size = dict(self.new), size
-            self.new.clear()   # in place: a caller may hold its lookup
-        self.new[key] = value
+    def known(self, keys: set[str]) -> dict:
+        """What is kept of these keys; what only the older generation has moves to the newer one."""
+        found = {key: self.new[key] for key in keys & self.new.keys()}
+        again = {key: self.old[key] for key in (keys & self.old.keys()).difference(found)}
+        self.keep(again)
+        return found | again
+
+    def keep(self, found: dict[str, tuple[bytes, str]]) -> None:
+        """Keep ids and text of all but long keys, some entries at a time so that the bound holds."""
+        short = ((key, pair) for key, pair in found.items() if len(key) <= LONG)
+        while some := dict(islice(short, max(1, self.most // (64 * ENTRY_BYTES)))):
+            size = sum([ENTRY_BYTES + len(key) + len(ids) + len(back) for key, (ids, back) in some.items()])
+            if self.size + size > self.most:
+                self.old, self.new, self.size = self.new, {}, 0
+            self.new.update(some)
+            self.size += size
 
 
 _codecs: dict[int, Codec] = {}

@@ -134,6 +134,19 @@ def test_codec_agrees_with_the_library(rows):
         assert codec.decode(ids) == library.decode(want, skip_special_tokens=False)
 
 
+def test_codec_cuts_and_keeps_a_run_at_a_time(monkeypatch):
+    """New stretches are cut by one call for all; known ones aren't cut again, and a long one keeps no others from being kept."""
+    codec, calls = Codec(open(default_vocabulary(), encoding="utf-8").read()), []
+    fragments = codec._fragments
+    monkeypatch.setattr(codec, "_fragments", lambda words: calls.append(sorted(words)) or fragments(words))
+    texts = ["Ünder the xqzj", "", "the it's " + "z" * 100]
+    first = list(codec.coded(texts))
+    assert calls == [sorted(["ünder", "the", "xqzj", "it", "'s", "z" * 100])]
+    assert first[1] == (b"", "") and list(codec.coded(texts)) == first and calls[1] == ["z" * 100]
+    parts, n = fragments(["the", "xqzj"])
+    assert "".join(parts) == "the\nxqzj\n" and n.sum() == len(parts) and n[1] > 1
+
+
 def test_codec_on_long_words_and_in_small_caches():
     from tokenizers import Tokenizer
 
