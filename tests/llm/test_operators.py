@@ -134,6 +134,20 @@ def test_codec_agrees_with_the_library(rows):
         assert codec.decode(ids) == library.decode(want, skip_special_tokens=False)
 
 
+def test_the_jaccard_join_sends_small_batches(spark, monkeypatch):
+    """Every table of the join is made from batches of bounded bytes; the setting ends with it."""
+    from changetide.llm import jaccard
+
+    name, seen, stored = "spark.sql.execution.arrow.maxBytesPerBatch", [], jaccard.stored
+    before = spark.conf.get(name)
+    monkeypatch.setattr(jaccard, "stored", lambda frame, *a, **k: seen.append(spark.conf.get(name)) or stored(frame, *a, **k))
+    words = " ".join(f"w{i}" for i in range(100))
+    frame = spark.createDataFrame([(1, words), (2, words + " x"), (3, "else"), (4, None)], "doc_id long, text string")
+    found = {r["doc_id"]: r["component_id"] for r in near_sets(frame, "doc_id").collect()}
+    assert found == {1: 1, 2: 1, 3: 3, 4: 4}
+    assert set(seen) == {str(8 << 20)} and spark.conf.get(name) == before
+
+
 def test_codec_cuts_and_keeps_a_run_at_a_time(monkeypatch):
     """New stretches are cut by one call for all; known ones aren't cut again, and a long one keeps no others from being kept."""
     codec, calls = Codec(open(default_vocabulary(), encoding="utf-8").read()), []
