@@ -402,24 +402,27 @@ def near_sets(frame: DataFrame, key: str, text: str = "text", words: int = WORDS
         with temporary(frame.sparkSession):
             members = stored(_members(documents, text, words, percent), "members")
 
-            rows = members.join(classes.select("name", "n", "sketch"), "name").select(
+            # A class without a key is no end of a link.
+            rows = members.join(classes.filter("id is not null").select("name", "n", "sketch"), "name").select(
                 "region", "name", "n", "sketch", F.col("name").alias("component"))
             leaves = _leaves(rows, percent, leaf, levels)
             thin = stored(_leaf_pairs(leaves, percent, True), "forest")
             links = stored(_verified(thin.select("a", "b"), documents, classes, key, text, words, percent), "links")
-            grouped = stored(components(links, "a", "b"), "grouped")
-            # Where the ends of all pairs of the forest are in one component, so are those of all other pairs.
-            side = lambda c: grouped.toDF(c, f"of_{c}")
-            apart = thin.join(side("a"), "a", "left").join(side("b"), "b", "left").filter(
-                F.coalesce("of_a", "a") != F.coalesce("of_b", "b")).select("region").distinct()
-            rest = leaves.join(stored(apart, "apart"), "region", "left_semi").drop("component").join(
-                grouped.withColumnRenamed("node", "name"), "name", "left").select(
-                "region", "name", "n", "sketch", F.coalesce("component", "name").alias("component"))
-            rest_pairs = _leaf_pairs(rest, percent, False).select("a", "b")
-            more = _verified(rest_pairs, documents, classes, key, text, words, percent)
+            grouped = stored(components(links, "a", "b").join(id_of, F.col("node") == F.col("name")).select("node", "component", "id"), "grouped")
             # From names to keys: a class's key is its least, so the least of a component is the least of all its rows.
-            all_links = links.union(more)
-            keyed = all_links.join(id_of.toDF("a", "u"), "a").join(id_of.toDF("b", "v"), "b").select("u", "v")
+            keyed = grouped.join(grouped.groupBy("component").agg(F.min("id").alias("u")), "component").select("u", F.col("id").alias("v"))
+            # Where the ends of all pairs of the forest are in one component, so are those of all other pairs.
+            side = lambda c: grouped.select(F.col("node").alias(c), F.col("component").alias(f"of_{c}"))
+            apart = stored(thin.join(side("a"), "a", "left").join(side("b"), "b", "left").filter(
+                F.coalesce("of_a", "a") != F.coalesce("of_b", "b")).select("region").distinct(), "apart")
+            if not apart.isEmpty():
+                rest = leaves.join(apart, "region", "left_semi").drop("component").join(
+                    side("name"), "name", "left").select(
+                    "region", "name", "n", "sketch", F.coalesce("of_name", "name").alias("component"))
+                rest_pairs = _leaf_pairs(rest, percent, False).select("a", "b")
+                more = _verified(rest_pairs, documents, classes, key, text, words, percent)
+                keyed = keyed.union(more.join(id_of.toDF("a", "u"), "a").join(id_of.toDF("b", "v"), "b").select("u", "v"))
+            # Classes may share a key.
             joined = stored(components(keyed, "u", "v").select(F.col("node").alias("id"), "component"), "joined", keep=True)
     final = id_of.join(joined, "id", "left").select("name", F.coalesce("component", "id").alias("component_id"))
     return named.select("id", "n", "name").join(final, "name", "left").select(

@@ -450,3 +450,45 @@ def test_rates_reach_what_can_be_reached(spark, recwarn):
     assert np.abs(reached - (rate * n) @ p).max() <= 1e-4 * size.min() and not [w for w in recwarn if "rates" in str(w.message)]
     same = spark.createDataFrame([(i, 10, 0.5, 0.3, 0.2) for i in range(9)], members.schema)
     assert len({r["rate"] for r in rates(same, {"good": 45.0, "plain": 27.0, "toxic": 0.0}).collect()}) == 1
+
+
+def test_few_links_make_few_files(spark, monkeypatch):
+    """Every step of the contraction wrote a file for each shuffle partition, however few its links."""
+    from changetide.llm import graph
+
+    made, stored = [], graph.stored
+
+    def counted(frame, *args):
+        out = stored(frame, *args)
+        made.append(len(out.inputFiles()))
+        return out
+
+    monkeypatch.setattr(graph, "stored", counted)
+    settings = {"spark.sql.shuffle.partitions": "40", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {name: spark.conf.get(name) for name in settings}
+    for name, value in settings.items():
+        spark.conf.set(name, value)
+    try:
+        links = spark.range(60).selectExpr("id AS a", "id + 1 AS b")
+        found = graph.components(links, "a", "b").collect()
+    finally:
+        for name, value in before.items():
+            spark.conf.set(name, value)
+    assert {(r["node"], r["component"]) for r in found} == {(i, 0) for i in range(61)} and len(found) == 61
+    # The table of the given links and what is joined from it may have many files.
+    assert sum(n > 9 for n in made) <= 1 + (len(made) - 2) // 3
+    star = len(made)
+    graph.components(spark.range(1, 9).selectExpr("id AS a", "0L AS b"), "a", "b")
+    assert len(made) == star + 2   # a star is left as it is
+
+
+def test_a_text_without_a_key_hides_no_link(spark):
+    """The forest of a region could connect two texts by way of one without a key only."""
+    rows = []
+    for family in range(12):
+        words = [f"f{family}w{i}" for i in range(100)]
+        texts = [" ".join([*words, f"end{family}x{i}"]) for i in range(3)]
+        rows += [(2 * family, texts[0]), (2 * family + 1, texts[1]), (None, texts[2])]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    found = {r["doc_id"]: r["component_id"] for r in near_sets(docs, "doc_id").filter("doc_id is not null").collect()}
+    assert found == {i: i - i % 2 for i in range(24)}
