@@ -7,11 +7,14 @@ import json
 import unicodedata
 from array import array
 from collections.abc import Iterator
+from contextlib import contextmanager
 from heapq import heapify, heappop, heappush
-from itertools import islice
+from itertools import chain, islice
+from threading import Timer
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute  # noqa: F401
 import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -25,7 +28,8 @@ _END = "</w>"
 _STOP = "\n"     # ends a word's last fragment here; no word holds it
 CACHE_BYTES = 24 << 20   # of a cache's generation, by estimate; a worker holds four, two of words and two of fragments
 ENTRY_BYTES = 250        # of an entry beside its text and ids
-RUN_BYTES = 4 << 20      # text whose stretches are looked up together
+RUN_BYTES = 8 << 20      # text whose stretches are looked up together
+IDLE = 3.0               # seconds without a task after which a worker lets its codec go
 LONG = 64                # letters of a fragment that is merged by a heap and not kept
 _NEVER = 1 << 30
 
@@ -203,21 +207,29 @@ class Codec:
         self.chunks.keep(learned)
         return found | learned
 
-    def _split(self, text: str) -> list[str]:
-        if any(c in text for c in "\x1c\x1d\x1e\x1f"):   # white space to Python, but not to the vocabulary
-            return [c for c in self.gap.split(text) if c]
-        return text.split()
+    def _stretches(self, texts: pa.Array) -> pa.ListArray:
+        """Each text split at white space; a text that begins or ends with it has an empty stretch there."""
+        if pa.compute.any(pa.compute.match_substring_regex(texts, "[\x1c-\x1f]")).as_py():   # white space to Arrow, but not to the vocabulary
+            return pa.compute.split_pattern_regex(texts, f"[{_SPACE}]+")
+        return pa.compute.utf8_split_whitespace(texts)
 
     def coded(self, texts: list[str]) -> Iterator[tuple[bytes, str]]:
-        """Of each text the ids, as little-endian unsigned 32-bit integers, and the text they decode to.
-
-        Each different stretch is encoded and decoded once for all texts.
-        """
-        stretches = [self._split(text) for text in texts]
-        found = self._learned(set().union(*stretches))
-        for chunks in stretches:
-            ids, back = zip(*map(found.__getitem__, chunks)) if chunks else ((), ())
-            yield b"".join(ids), " ".join(back)
+        """Of each text the ids, as little-endian unsigned 32-bit integers, and the text they decode to."""
+        for ids, back in self.laid(pa.array(texts, pa.large_string())):
+            yield bytes(ids), str(back, "utf-8")
+
+    def laid(self, texts: pa.Array) -> Iterator[tuple[memoryview, memoryview]]:
+        """The same, the decoded text in UTF-8. Each different stretch is encoded and decoded once for all texts."""
+        lists = self._stretches(texts)
+        flat = lists.flatten().dictionary_encode()
+        distinct = flat.dictionary.to_pylist()
+        found = self._learned(set(distinct).difference([""]))
+        pairs = [found[chunk] if chunk else (b"", None) for chunk in distinct]
+        first = np.asarray(lists.offsets)
+        ids, id_at = _chosen(pa.array([ids for ids, _ in pairs], pa.large_binary()), flat.indices, first)
+        backs, back_at = _chosen(pa.array(["" if back is None else back + " " for _, back in pairs], pa.large_string()), flat.indices, first)
+        for i, j, a, b in zip(id_at, id_at[1:], back_at, back_at[1:]):
+            yield ids[i:j], backs[a:max(a, b - 1)]
 
     def encode(self, text: str) -> bytes:
         return next(self.coded([text]))[0]
@@ -227,6 +239,14 @@ class Codec:
         return " ".join(map(self.names.__getitem__, memoryview(ids).cast("I")))
 
 
+def _chosen(values: pa.Array, which: pa.Array, first: np.ndarray) -> tuple[memoryview, list[int]]:
+    """The chosen values one behind the other, and where those of each text begin."""
+    chosen = values.take(which)
+    at = np.frombuffer(chosen.buffers()[1], np.int64, len(chosen) + 1, 8 * chosen.offset)
+    data = chosen.buffers()[2]
+    return memoryview(data or b""), at[first].tolist()
+
+
 class Pairs:
     """Ranks of pairs of ids, for whole arrays: a hash table with open addressing."""
 
@@ -262,7 +282,7 @@ class Pairs:
 class Cache:
     """Two generations: the older one goes when the newer one is full, so what is used often stays.
 
-    It is bounded by bytes and kept as long as its worker, which may serve many tasks.
+    It is bounded by bytes and kept from task to task of its worker.
     """
 
     def __init__(self, most: int = CACHE_BYTES):
@@ -281,7 +301,7 @@ class Cache:
         """Keep ids and text of all but long keys, some entries at a time so that the bound holds."""
         short = ((key, pair) for key, pair in found.items() if len(key) <= LONG)
         while some := dict(islice(short, max(1, self.most // (64 * ENTRY_BYTES)))):
-            size = sum([ENTRY_BYTES + len(key) + len(ids) + len(back) for key, (ids, back) in some.items()])
+            size = ENTRY_BYTES * len(some) + sum(map(len, chain(some, *zip(*some.values()))))
             if self.size + size > self.most:
                 self.old, self.new, self.size = self.new, {}, 0
             self.new.update(some)
@@ -289,6 +309,21 @@ class Cache:
 
 
 _codecs: dict[int, Codec] = {}
+_timers: list[Timer] = []
+
+
+@contextmanager
+def _coder(description: str) -> Iterator[Codec]:
+    """The worker's codec. Workers go on to tasks of other kinds, so it goes when no task has used it for some seconds."""
+    while _timers:
+        _timers.pop().cancel()
+    try:
+        yield _codec(description)
+    finally:
+        timer = Timer(IDLE, _codecs.clear)
+        timer.daemon = True
+        _timers.append(timer)
+        timer.start()
 
 
 def _codec(description: str) -> Codec:
@@ -311,12 +346,12 @@ def _described(spark: SparkSession, path: str | None):
         return spark.sparkContext.broadcast(file.read())
 
 
-def _runs(batch: pa.RecordBatch, name: str) -> Iterator[list[str]]:
-    """The batch's texts, some megabytes at a time."""
-    column = batch.column(name)
+def _runs(batch: pa.RecordBatch, name: str) -> Iterator[pa.Array]:
+    """The batch's texts, some megabytes at a time; a null one is empty."""
+    column = batch.column(name).cast(pa.large_string()).fill_null("")
     _, bounds = utf8(column)
     for first, end in pieces(bounds, RUN_BYTES):
-        yield [value or "" for value in column.slice(first, end - first).to_pylist()]
+        yield column.slice(first, end - first)
 
 
 def encode(frame: DataFrame, text: str = "text", ids: str = "ids", vocabulary: str | None = None) -> DataFrame:
@@ -329,10 +364,10 @@ def encode(frame: DataFrame, text: str = "text", ids: str = "ids", vocabulary: s
     source = frame.drop(ids) if ids != text else frame
 
     def work(batches):
-        codec = _codec(described.value)
-        for batch in batches:
-            column = pa.array([i for run in _runs(batch, text) for i, _ in codec.coded(run)], pa.binary())
-            yield batch.append_column(ids, column)
+        with _coder(described.value) as codec:
+            for batch in batches:
+                column = pa.array([bytes(i) for run in _runs(batch, text) for i, _ in codec.laid(run)], pa.binary())
+                yield batch.append_column(ids, column)
 
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in source.schema)
     return source.mapInArrow(work, f"{schema}, `{ids}` binary")
@@ -344,10 +379,10 @@ def decode(frame: DataFrame, ids: str = "ids", text: str = "decoded", vocabulary
     source = frame.drop(text)
 
     def work(batches):
-        codec = _codec(described.value)
-        for batch in batches:
-            column = pa.array([codec.decode(v.as_py() or b"") for v in batch.column(ids)], pa.string())
-            yield batch.append_column(text, column)
+        with _coder(described.value) as codec:
+            for batch in batches:
+                column = pa.array([codec.decode(v.as_py() or b"") for v in batch.column(ids)], pa.string())
+                yield batch.append_column(text, column)
 
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in source.schema)
     return source.mapInArrow(work, f"{schema}, `{text}` string")
@@ -361,18 +396,18 @@ def digests(frame: DataFrame, key: str, text: str = "text", vocabulary: str | No
     described = _described(frame.sparkSession, vocabulary)
 
     def work(batches):
-        codec = _codec(described.value)
-        for batch in batches:
-            counts, first, second = [], [], []
-            for run in _runs(batch, text):
-                for ids, back in codec.coded(run):
-                    counts.append(len(ids) // 4)
-                    first.append(hashlib.sha256(ids).hexdigest())
-                    second.append(hashlib.sha256(back.encode()).hexdigest())
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(key), pa.array(counts, pa.int64()), pa.array(first, pa.string()),
-                 pa.array(second, pa.string())],
-                [key, "n_tokens", "ids_sha256", "decoded_sha256"])
+        with _coder(described.value) as codec:
+            for batch in batches:
+                counts, first, second = [], [], []
+                for run in _runs(batch, text):
+                    for ids, back in codec.laid(run):
+                        counts.append(len(ids) // 4)
+                        first.append(hashlib.sha256(ids).hexdigest())
+                        second.append(hashlib.sha256(back).hexdigest())
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column(key), pa.array(counts, pa.int64()), pa.array(first, pa.string()),
+                     pa.array(second, pa.string())],
+                    [key, "n_tokens", "ids_sha256", "decoded_sha256"])
 
     kind = frame.schema[key].dataType.simpleString()
     return frame.select(key, F.col(text)).mapInArrow(

@@ -452,6 +452,41 @@ def test_rates_reach_what_can_be_reached(spark, recwarn):
     assert len({r["rate"] for r in rates(same, {"good": 45.0, "plain": 27.0, "toxic": 0.0}).collect()}) == 1
 
 
+def test_codec_parts_words_like_the_vocabulary():
+    """Every white space of Unicode, what only Arrow or Python take for it, and blanks at both ends."""
+    from changetide.llm import bpe
+
+    codec = bpe.Codec(open(bpe.default_vocabulary(), encoding="utf-8").read())
+    seen = []
+    codec._learned = lambda chunks, learn=codec._learned: seen.append(chunks) or learn(chunks)
+    for i in [*range(0xD800), *range(0xE000, 0x11000)]:
+        parts = codec._stretches(pa.array([f"a{chr(i)}b"], pa.large_string())).to_pylist()[0]
+        assert (len(parts) == 2) == (codec.gap.search(chr(i)) is not None), hex(i)
+    texts = ["", " ", "  one two  ", "one\x1ctwo", " one　two\n", "x\x1f y"]
+    plain = [" ".join([w for w in codec.gap.split(t) if w]) for t in texts]
+    assert list(codec.coded(texts)) == list(codec.coded(plain)) and not any("" in chunks for chunks in seen)
+    empty = pa.array(["one", "", "two"], pa.large_string())
+    assert [(bytes(a), bytes(b)) for a, b in codec.laid(empty.slice(1, 2))] == [(b"", b""), (codec.encode("two"), b"two</w>")]
+
+
+def test_a_worker_lets_its_codec_go(monkeypatch):
+    """Vocabulary and caches stayed in a worker for good, beside whatever it did next."""
+    import time
+
+    from changetide.llm import bpe
+
+    monkeypatch.setattr(bpe, "IDLE", 0.2)
+    described = open(bpe.default_vocabulary(), encoding="utf-8").read()
+    with bpe._coder(described) as first:
+        first.encode("one")
+    with bpe._coder(described) as again:   # the next task finds it
+        assert again is first
+        time.sleep(0.5)
+        assert bpe._codecs
+    time.sleep(1)
+    assert not bpe._codecs
+
+
 def test_few_links_make_few_files(spark, monkeypatch):
     """Every step of the contraction wrote a file for each shuffle partition, however few its links."""
     from changetide.llm import graph
