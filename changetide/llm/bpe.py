@@ -19,7 +19,7 @@ import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .tables import mixed, pieces, table, utf8
+from .tables import frugal, let_go, mixed, pieces, table, utf8
 
 # White space as the vocabulary's patterns mean it, the word pattern, the word end.
 _SPACE = "\t\n\x0b\x0c\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
@@ -320,12 +320,17 @@ def _coder(description: str) -> Iterator[Codec]:
     try:
         yield _codec(description)
     finally:
-        timer = Timer(IDLE, _codecs.clear)
+        timer = Timer(IDLE, _dropped)
         timer.daemon = True
         _timers.append(timer)
         timer.start()
 
 
+def _dropped() -> None:
+    _codecs.clear()
+    let_go()
+
+
 def _codec(description: str) -> Codec:
     key = hash(description)
     if key not in _codecs:
@@ -370,7 +375,7 @@ def encode(frame: DataFrame, text: str = "text", ids: str = "ids", vocabulary: s
                 yield batch.append_column(ids, column)
 
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in source.schema)
-    return source.mapInArrow(work, f"{schema}, `{ids}` binary")
+    return source.mapInArrow(frugal(work), f"{schema}, `{ids}` binary")
 
 
 def decode(frame: DataFrame, ids: str = "ids", text: str = "decoded", vocabulary: str | None = None) -> DataFrame:
@@ -385,7 +390,7 @@ def decode(frame: DataFrame, ids: str = "ids", text: str = "decoded", vocabulary
                 yield batch.append_column(text, column)
 
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in source.schema)
-    return source.mapInArrow(work, f"{schema}, `{text}` string")
+    return source.mapInArrow(frugal(work), f"{schema}, `{text}` string")
 
 
 def digests(frame: DataFrame, key: str, text: str = "text", vocabulary: str | None = None) -> DataFrame:
@@ -411,7 +416,7 @@ def digests(frame: DataFrame, key: str, text: str = "text", vocabulary: str | No
 
     kind = frame.schema[key].dataType.simpleString()
     return frame.select(key, F.col(text)).mapInArrow(
-        work, f"`{key}` {kind}, n_tokens long, ids_sha256 string, decoded_sha256 string")
+        frugal(work), f"`{key}` {kind}, n_tokens long, ids_sha256 string, decoded_sha256 string")
 
 
 def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .graph import components
-from .tables import mixed, pieces, small_batches, stored, table, temporary, utf8
+from .tables import frugal, mixed, pieces, small_batches, stored, table, temporary, utf8
 from .words import shingle_sets
 
 WORDS, PERCENT = 3, 90
@@ -133,7 +133,7 @@ def shingled(frame: DataFrame, key: str, text: str, words: int) -> DataFrame:
                     ["id", "n", "name", "sketch"])
 
     kind = frame.schema[key].dataType.simpleString()
-    return frame.select(key, text).mapInArrow(work, f"id {kind}, n long, name long, sketch binary")
+    return frame.select(key, text).mapInArrow(frugal(work), f"id {kind}, n long, name long, sketch binary")
 
 
 def _members(frame: DataFrame, text: str, words: int, percent: int) -> DataFrame:
@@ -177,9 +177,9 @@ def _members(frame: DataFrame, text: str, words: int, percent: int) -> DataFrame
             told = bool(size[last] > 1) or (again and last == 0)
             yield pa.RecordBatch.from_arrays([pa.array(region[use]), pa.array(name[use])], ["region", "name"])
 
-    keyed = frame.select(text).mapInArrow(parts, "region long, name long")
+    keyed = frame.select(text).mapInArrow(frugal(parts), "region long, name long")
     return keyed.repartition("region").sortWithinPartitions("region", "name").mapInArrow(
-        several, "region long, name long")
+        frugal(several), "region long, name long")
 
 
 def _verified(pairs: DataFrame, documents: DataFrame, named: DataFrame, key: str, text: str, words: int, percent: int) -> DataFrame:
@@ -211,7 +211,7 @@ def _verified(pairs: DataFrame, documents: DataFrame, named: DataFrame, key: str
     kind = documents.schema[key].dataType.simpleString()
     items = (
         documents.select(key, text, F.pmod(F.xxhash64(key), F.lit(FILTER_BITS)).alias("bit"))
-        .filter(F.col(key).isNotNull()).mapInArrow(sets_of, f"id {kind}, name long, items binary")
+        .filter(F.col(key).isNotNull()).mapInArrow(frugal(sets_of), f"id {kind}, name long, items binary")
         .join(chosen, ["id", "name"], "left_semi").dropDuplicates(["name"]).select("name", "items"))
     items = stored(items, "items")
     both = (
@@ -226,7 +226,7 @@ def _verified(pairs: DataFrame, documents: DataFrame, named: DataFrame, key: str
                 keep.append(100 * shared >= percent * (len(x) + len(y) - shared))
             yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
-    return both.mapInArrow(check, "a long, b long")
+    return both.mapInArrow(frugal(check), "a long, b long")
 
 
 def _cut(rows: DataFrame, sizes: DataFrame, level: int, percent: int) -> DataFrame:
@@ -255,7 +255,7 @@ def _cut(rows: DataFrame, sizes: DataFrame, level: int, percent: int) -> DataFra
                 [*out.columns, pa.array(reached, pa.list_(pa.int64()))], [*out.schema.names, "cells"])
 
     return rows.join(pivots, "region").mapInArrow(
-        cells, "region long, name long, n long, sketch binary, component long, cells array<long>")
+        frugal(cells), "region long, name long, n long, sketch binary, component long, cells array<long>")
 
 
 def _blocks(rows: DataFrame, sizes: DataFrame, leaf: int) -> DataFrame:
@@ -354,7 +354,7 @@ def _leaf_pairs(rows: DataFrame, percent: int, thin: bool) -> DataFrame:
             region, name, n, component, sketch = rest
             yield pairs_of(region, name, n, sketch, component)
 
-    return rows.repartition("region").sortWithinPartitions("region", "name").mapInArrow(work, "region long, a long, b long")
+    return rows.repartition("region").sortWithinPartitions("region", "name").mapInArrow(frugal(work), "region long, a long, b long")
 
 
 def _leaves(rows: DataFrame, percent: int, leaf: int, levels: int) -> DataFrame:

@@ -11,7 +11,7 @@ import regex
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .tables import pieces, stored, table, utf8
+from .tables import frugal, pieces, stored, table, utf8
 from .words import _FOLD
 
 BUCKETS = 1 << 14     # hashed byte triples
@@ -67,7 +67,7 @@ def learned(frame: DataFrame, text: str, language: str) -> tuple[list[str], np.n
                 ["language", "bucket", "n"])
 
     counts = frame.select(F.col(language).cast("string"), F.col(text)).mapInArrow(
-        work, "language string, bucket long, n long").groupBy("language", "bucket").agg(F.sum("n").alias("n")).toArrow().combine_chunks()
+        frugal(work), "language string, bucket long, n long").groupBy("language", "bucket").agg(F.sum("n").alias("n")).toArrow().combine_chunks()
     language_, bucket, n = (counts.column(c) for c in ("language", "bucket", "n"))
     names = sorted(pc.unique(language_).to_pylist())
     row = pc.index_in(language_, value_set=pa.array(names, pa.string()))
@@ -107,7 +107,7 @@ def _likelihoods(frame: DataFrame, text: str, chances: np.ndarray, markup: bool)
 
     rest = [f for f in frame.schema if f.name != text]
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rest)
-    return frame.mapInArrow(work, f"{schema}, `__text` array<double>, `__declared` string")
+    return frame.mapInArrow(frugal(work), f"{schema}, `__text` array<double>, `__declared` string")
 
 
 def _named(value: Column, use) -> Column:
