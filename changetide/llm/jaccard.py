@@ -186,10 +186,9 @@ def _verified(pairs: DataFrame, documents: DataFrame, named: DataFrame, key: str
     """The pairs of names whose whole sets are near enough; sets are made again for these documents only."""
     pairs = stored(pairs.distinct(), "candidates")
     wanted = pairs.select(F.col("a").alias("name")).union(pairs.select("b")).distinct()
-    chosen = stored(named.join(wanted, "name").select("id", "name"), "chosen")
     # A bitmap of fixed size keeps most other texts from being sent at all; the join then decides.
     bit = F.pmod(F.xxhash64("id"), F.lit(FILTER_BITS))
-    set_bits = chosen.groupBy(F.shiftright(bit, 5).alias("w")).agg(
+    set_bits = named.join(wanted, "name").groupBy(F.shiftright(bit, 5).alias("w")).agg(
         F.bit_or(F.call_function("shiftleft", F.lit(1).cast("long"), (bit % 32).cast("int"))).alias("m")).collect()
     bitmap = np.zeros(FILTER_BITS // 32, np.uint32)
     for row in set_bits:
@@ -202,18 +201,15 @@ def _verified(pairs: DataFrame, documents: DataFrame, named: DataFrame, key: str
             where = batch.column("bit").to_numpy(zero_copy_only=False)
             hit = (seen[where >> 5] >> (where & 31).astype(np.uint32)) & np.uint32(1) == 1
             some = batch.filter(pa.array(hit))
-            for a, b, sets in _runs(some, text, words) if some.num_rows else ():
+            for _, _, sets in _runs(some, text, words) if some.num_rows else ():
                 raw = [sets.elements[i:j].tobytes() for i, j in zip(sets.first, sets.first[1:])]
                 yield pa.RecordBatch.from_arrays(
-                    [some.column(key).slice(a, b - a), pa.array(sets.names), pa.array(raw, pa.large_binary()).cast(pa.binary())],
-                    ["id", "name", "items"])
+                    [pa.array(sets.names), pa.array(raw, pa.large_binary()).cast(pa.binary())], ["name", "items"])
 
-    kind = documents.schema[key].dataType.simpleString()
+    # Sets are the bulk of what is sent: they go by name once, and both joins read them there.
     items = (
         documents.select(key, text, F.pmod(F.xxhash64(key), F.lit(FILTER_BITS)).alias("bit"))
-        .filter(F.col(key).isNotNull()).mapInArrow(frugal(sets_of), f"id {kind}, name long, items binary")
-        .join(chosen, ["id", "name"], "left_semi").dropDuplicates(["name"]).select("name", "items"))
-    items = stored(items, "items")
+        .filter(F.col(key).isNotNull()).mapInArrow(frugal(sets_of), "name long, items binary").dropDuplicates(["name"]))
     both = (
         pairs.join(items.toDF("a", "x"), "a").join(items.toDF("b", "y"), "b").select("a", "b", "x", "y"))
 

@@ -54,7 +54,7 @@ def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
         named = stored(named, "groups")
         first = named.groupBy("component_id").agg(F.min(F.struct("doc_id", MARK))[MARK].alias(MARK))
         gone = stored(named.join(first, MARK, "left_anti").select(MARK), "gone", keep=True)
-    kept = marked.filter("doc_id is not null").join(gone, MARK, "left_anti").dropDuplicates(["doc_id", "text"])
+    kept = marked.filter("doc_id is not null").join(gone, MARK, "left_anti").dropDuplicates([MARK, "doc_id", "text"])
     return kept.select(*COLUMNS).union(docs.filter("doc_id is null").select(*COLUMNS))
 
 
