@@ -5,6 +5,7 @@ never exceeds the number of elements that two sets differ in. The join uses both
 
 1. The first pivots are sets of shingles: every document's set is cut into so many parts that two linked
    documents agree in at least one whole part. A document is a member of the region of each of its parts.
+   Linked documents even agree in some number of parts, so a document that meets others in fewer regions than that is no member.
 2. A region that is too large is cut again: documents are drawn
    as pivots, each member goes to its nearest pivot's cell, and the triangle inequality says which others
    it must be copied to, so that no pair is lost. Cells are cut again in the same way; a cell that does not shrink is
@@ -12,7 +13,7 @@ never exceeds the number of elements that two sets differ in. The join uses both
    within the window that the triangle inequality leaves.
 3. Of the pairs that pass in a cell, a forest that connects the same members is checked on whole sets: at most
    one pair a member, however many are alike. Where a pair of the forest turns out not to be connected, all the
-   cell's pairs between different groups are checked.
+   cell's pairs between different groups are checked that meet in as many regions as linked ones do.
 """
 
 from __future__ import annotations
@@ -23,7 +24,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .graph import components
-from .tables import frugal, mixed, pieces, small_batches, stored, table, temporary, utf8
+from .tables import discarded, frugal, mixed, pieces, small_batches, stored, table, temporary, utf8
 from .words import shingle_sets
 
 WORDS, PERCENT = 3, 90
@@ -58,6 +59,11 @@ def spare_parts(upper: np.ndarray, percent: int) -> np.ndarray:
     return (2 * parts * np.exp(-upper * (percent / 100) ** 2 / parts)).astype(np.int64)
 
 
+def with_parity(region: np.ndarray, odd) -> np.ndarray:
+    """Names of regions with a last bit that tells whether their band is odd; what they are cut into keeps it."""
+    return region & np.int64(-2) | odd
+
+
 class Sets:
     """Shingle sets of a run of texts: the elements, where each set begins, sizes, identities, sketches."""
 
@@ -78,35 +84,52 @@ class Sets:
         np.bitwise_xor.at(out, (self.owner, bits >> 6), np.uint64(1) << (bits & 63).astype(np.uint64))
         return out
 
-    def regions(self, percent: int) -> tuple[np.ndarray, np.ndarray]:
-        """Region and set of every part, in the set's own band and the next.
+    def _dealt(self, percent: int, odd: int):
+        """For each set the one of its own band and the next that is odd or even, with its spare parts; for each part its set, its place
+        and whether it is empty; and the part of each element."""
+        upper = bands(percent, int(self.sizes.max()))
+        own = np.searchsorted(upper, self.sizes)
+        band = own + ((own ^ odd) & 1)
+        spare = spare_parts(upper[band], percent)
+        parts = np.where(self.sizes > 0, most_different(2 * upper[band], percent) + 1 + spare, 0)
+        begin = np.concatenate([[0], np.cumsum(parts)])
+        at = begin[self.owner] + (mixed(self.elements, 3) % parts[self.owner].astype(np.uint64)).astype(np.int64)
+        owner = np.repeat(np.arange(len(parts)), parts)
+        empty = np.bincount(at, minlength=begin[-1]) == 0
+        return band, spare, owner, np.arange(begin[-1]) - begin[owner], empty, at
+
+    def regions(self, percent: int, parities: tuple[int, ...] = (0, 1)) -> tuple[np.ndarray, np.ndarray]:
+        """Region and set of every part, in the set's own band and the next. A region is odd if its band is.
 
         Two linked sets agree in more parts than there are spare ones. So one of these has elements unless both sets
         have more empty parts than spare ones, and only such a set is a member of its empty parts' regions.
         """
         if not len(self.elements):
             return np.empty(0, np.int64), np.empty(0, np.int64)
-        upper = bands(percent, int(self.sizes.max()))
-        own = np.searchsorted(upper, self.sizes)
-        spread, keys, sets = mixed(self.elements, 3), [], []
-        for ahead in (0, 1):
-            band = own + ahead
-            spare = spare_parts(upper[band], percent)
-            parts = np.where(self.sizes > 0, most_different(2 * upper[band], percent) + 1 + spare, 0)
-            begin = np.concatenate([[0], np.cumsum(parts)])
-            at = begin[self.owner] + (spread % parts[self.owner].astype(np.uint64)).astype(np.int64)
-            sums = np.zeros(begin[-1], np.uint64)
-            owner = np.repeat(np.arange(len(parts)), parts)
-            empty = np.bincount(at, minlength=begin[-1]) == 0
-            use = ~empty | (np.bincount(owner[empty], minlength=len(parts)) > spare)[owner]
+        keys, sets = [], []
+        for odd in parities:
+            band, spare, owner, place, empty, at = self._dealt(percent, odd)
+            sums = np.zeros(len(owner), np.uint64)
+            use = ~empty | (np.bincount(owner[empty], minlength=len(spare)) > spare)[owner]
             with np.errstate(over="ignore"):
                 np.add.at(sums, at, mixed(self.elements, 4))
-                place = (np.arange(begin[-1]) - begin[owner]).astype(np.uint64)
-                where = mixed(place + (band[owner].astype(np.uint64) << np.uint64(32)), 6)
-                keys.append(mixed(sums ^ where).view(np.int64)[use])
+                where = mixed(place.astype(np.uint64) + (band[owner].astype(np.uint64) << np.uint64(32)), 6)
+                keys.append(with_parity(mixed(sums ^ where).view(np.int64)[use], odd))
             sets.append(owner[use])
         return np.concatenate(keys), np.concatenate(sets)
 
+    def least_shared(self, percent: int) -> np.ndarray:
+        """How many regions a set shares at least with any one that it links with, if both have parts in its even band; and in its odd one.
+
+        Of the parts that two linked sets agree in, more than the spare ones, each set's empty ones at most have no elements.
+        """
+        least = np.ones((2, len(self.sizes)), np.int64)
+        if len(self.elements):
+            for odd in (0, 1):
+                _, spare, owner, _, empty, _ = self._dealt(percent, odd)
+                least[odd] = np.maximum(1, spare + 1 - np.bincount(owner[empty], minlength=len(spare)))
+        return least
+
 
 def _runs(batch: pa.RecordBatch, text: str, words: int):
     data, bounds = utf8(batch.column(text))
@@ -118,8 +141,8 @@ def _binary(rows: np.ndarray) -> pa.Array:
     return pa.array([r.tobytes() for r in rows], pa.binary())
 
 
-def shingled(frame: DataFrame, key: str, text: str, words: int) -> DataFrame:
-    """``id``, size ``n``, identity ``name`` (null for an empty set) and ``sketch`` of each text's set.
+def shingled(frame: DataFrame, key: str, text: str, words: int, percent: int) -> DataFrame:
+    """``id``, size ``n``, identity ``name`` (null for an empty set), ``sketch``, and ``even`` and ``odd``, the least shared regions, of each text's set.
 
     Equal sets have equal names; different ones share a 64-bit name with negligible chance.
     """
@@ -129,20 +152,21 @@ def shingled(frame: DataFrame, key: str, text: str, words: int) -> DataFrame:
             for a, b, sets in _runs(batch, text, words):
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(key).slice(a, b - a), pa.array(sets.sizes, pa.int64()),
-                     pa.array(sets.names, pa.int64(), mask=sets.sizes == 0), _binary(sets.sketches())],
-                    ["id", "n", "name", "sketch"])
+                     pa.array(sets.names, pa.int64(), mask=sets.sizes == 0), _binary(sets.sketches()),
+                     *map(pa.array, sets.least_shared(percent))],
+                    ["id", "n", "name", "sketch", "even", "odd"])
 
     kind = frame.schema[key].dataType.simpleString()
-    return frame.select(key, text).mapInArrow(frugal(work), f"id {kind}, n long, name long, sketch binary")
+    return frame.select(key, text).mapInArrow(frugal(work), f"id {kind}, n long, name long, sketch binary, even long, odd long")
 
 
-def _members(frame: DataFrame, text: str, words: int, percent: int) -> DataFrame:
-    """``region`` and ``name`` for the regions of two or more different sets."""
+def _members(frame: DataFrame, text: str, words: int, percent: int, odd: int) -> DataFrame:
+    """``region`` and ``name`` for the regions of two or more different sets, in odd or even bands: one half of all parts."""
 
     def parts(batches):
         for batch in batches:
             for _, _, sets in _runs(batch, text, words):
-                keys, owner = sets.regions(percent)
+                keys, owner = sets.regions(percent, (odd,))
                 # Copies met together count once.
                 _, once = np.unique(sets.names, return_index=True)
                 use = np.isin(owner, once)
@@ -182,6 +206,25 @@ def _members(frame: DataFrame, text: str, words: int, percent: int) -> DataFrame
         frugal(several), "region long, name long")
 
 
+def _linkable(members: DataFrame, classes: DataFrame, least: str) -> DataFrame:
+    """The members, all in odd or all in even bands, without sets that meet others in fewer regions than a link takes."""
+    met = members.groupBy("name").agg(F.count("*").alias("met")).join(classes.select("name", least), "name")
+    return members.join(met.filter(F.col("met") >= F.col(least)).select("name"), "name", "left_semi").select("region", "name")
+
+
+def _linkable_pairs(pairs: DataFrame, classes: DataFrame) -> DataFrame:
+    """Of all pairs in all regions, the ones that meet in as many as a link of both ends takes, in their odd or in their even bands.
+
+    Texts without any likeness meet in a few regions by what is common to many, and sketches of long ones let them all through.
+    """
+    is_odd = F.col("region").bitwiseAND(F.lit(1)) == 1
+    met = pairs.groupBy("a", "b", is_odd.alias("is_odd")).agg(F.count("*").alias("met"))
+    for c in ("a", "b"):
+        met = met.join(classes.select(F.col("name").alias(c), F.col("even").alias(f"even_{c}"), F.col("odd").alias(f"odd_{c}")), c)
+    least = F.when(F.col("is_odd"), F.greatest("odd_a", "odd_b")).otherwise(F.greatest("even_a", "even_b"))
+    return met.filter(F.col("met") >= least).select("a", "b")
+
+
 def _verified(pairs: DataFrame, documents: DataFrame, named: DataFrame, key: str, text: str, words: int, percent: int) -> DataFrame:
     """The pairs of names whose whole sets are near enough; sets are made again for these documents only."""
     pairs = stored(pairs.distinct(), "candidates")
@@ -245,7 +288,8 @@ def _cut(rows: DataFrame, sizes: DataFrame, level: int, percent: int) -> DataFra
                 marks = np.frombuffer(b"".join(found), np.uint64).reshape(-1, SKETCH)
                 apart = np.bitwise_count(marks ^ own[i]).sum(axis=1).astype(np.int64)
                 reach = np.flatnonzero(apart <= apart.min() + 2 * (n[i] * (100 - percent) // percent))
-                reached.append(mixed(region[i] ^ mixed(reach.astype(np.uint64), level + 20)).view(np.int64))
+                inner = mixed(region[i] ^ mixed(reach.astype(np.uint64), level + 20)).view(np.int64)
+                reached.append(with_parity(inner, int(region[i]) & 1))
             out = batch.select(["region", "name", "n", "sketch", "component"])
             yield pa.RecordBatch.from_arrays(
                 [*out.columns, pa.array(reached, pa.list_(pa.int64()))], [*out.schema.names, "cells"])
@@ -261,7 +305,8 @@ def _blocks(rows: DataFrame, sizes: DataFrame, leaf: int) -> DataFrame:
     mine = F.pmod(F.xxhash64("name", F.lit("block")), many)
     other = F.explode(F.sequence(F.lit(0), many - 1))
     paired = joined.withColumn("mine", mine).withColumn("other", other)
-    region = F.xxhash64("region", F.least("mine", "other"), F.greatest("mine", "other"))
+    region = F.xxhash64("region", F.least("mine", "other"), F.greatest("mine", "other")).bitwiseAND(F.lit(-2)).bitwiseOR(
+        F.col("region").bitwiseAND(F.lit(1)))
     return paired.select(region.alias("region"), "name", "n", "sketch", "component")
 
 
@@ -389,14 +434,20 @@ def near_sets(frame: DataFrame, key: str, text: str = "text", words: int = WORDS
     documents = frame.select(key, text)
     # Texts and pairs of whole sets are wide.
     with small_batches(frame.sparkSession):
-        named = stored(shingled(documents, key, text, words), "named")
+        named = stored(shingled(documents, key, text, words, percent), "named")
         classes = stored(
             named.filter("name is not null").groupBy("name")
-            .agg(F.min("id").alias("id"), F.first("n").alias("n"), F.first("sketch").alias("sketch")), "classes")
+            .agg(F.min("id").alias("id"), *(F.first(c).alias(c) for c in ("n", "sketch", "even", "odd"))), "classes")
         # Only keys and their components outlive the search.
         id_of = classes.select("name", "id")
         with temporary(frame.sparkSession):
-            members = stored(_members(documents, text, words, percent), "members")
+            # Parts are the most rows of all, so they are sent in two halves; sketches go only where a link is possible.
+            halves = []
+            for odd, least in enumerate(("even", "odd")):
+                met = stored(_members(documents, text, words, percent, odd), "met")
+                halves.append(stored(_linkable(met, classes, least), "members"))
+                discarded(met)
+            members = halves[0].union(halves[1])
 
             # A class without a key is no end of a link.
             rows = members.join(classes.filter("id is not null").select("name", "n", "sketch"), "name").select(
@@ -415,7 +466,7 @@ def near_sets(frame: DataFrame, key: str, text: str = "text", words: int = WORDS
                 rest = leaves.join(apart, "region", "left_semi").drop("component").join(
                     side("name"), "name", "left").select(
                     "region", "name", "n", "sketch", F.coalesce("of_name", "name").alias("component"))
-                rest_pairs = _leaf_pairs(rest, percent, False).select("a", "b")
+                rest_pairs = _linkable_pairs(_leaf_pairs(rest, percent, False), classes)
                 more = _verified(rest_pairs, documents, classes, key, text, words, percent)
                 keyed = keyed.union(more.join(id_of.toDF("a", "u"), "a").join(id_of.toDF("b", "v"), "b").select("u", "v"))
             # Classes may share a key.

@@ -12,6 +12,7 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
+from changetide.llm import jaccard
 from changetide.llm.attention import score_texts, windows_of
 from changetide.llm.bpe import Codec, decode, default_vocabulary, digests, encode
 from changetide.llm.graph import components
@@ -235,6 +236,45 @@ def test_linked_sets_share_a_region(percent):
         assert set(keys[owner == 0]) & set(keys[owner == 1])
 
 
+@pytest.mark.parametrize("percent", [50, 80, 90])
+def test_linked_sets_share_enough_regions(percent):
+    draw = random.Random(percent + 1)
+    for size in [1, 2, 4, 7, 30, 90, 300, 900] * 10:
+        words = [f"w{draw.random()}" for _ in range(size)]
+        most = 2 * size * (100 - percent) // (100 + percent)
+        lost = draw.randint(0, most)
+        other = words[lost:] + [f"v{draw.random()}" for _ in range(most - lost)]
+        if not other or 100 * (size - lost) < percent * (size + most - lost):
+            continue
+        texts = [" ".join(words).encode(), " ".join(other).encode()]
+        sets = Sets(np.frombuffer(b"".join(texts), np.uint8), np.cumsum([0, *map(len, texts)]), 1)
+        shared, least = [], sets.least_shared(percent).max(axis=1)
+        for odd in (0, 1):
+            keys, owner = sets.regions(percent, (odd,))
+            assert all(keys & 1 == odd)
+            shared.append(len(set(keys[owner == 0]) & set(keys[owner == 1])))
+        # They have parts in one band in common, or in two.
+        assert shared[0] >= least[0] or shared[1] >= least[1]
+
+
+@pytest.mark.parametrize("leaf", [8192, 4])
+def test_unlike_long_texts_are_not_compared_whole(spark, monkeypatch, leaf):
+    """A passage that is common to long texts puts them into regions, and sketches of 1,024 bits can't tell them apart."""
+    sent = []
+
+    def counted(pairs, *a, own=jaccard._verified):
+        sent.append(pairs.distinct().count())
+        return own(pairs, *a)
+
+    monkeypatch.setattr(jaccard, "_verified", counted)
+    passage = " ".join(f"p{i}" for i in range(80))
+    texts = [" ".join(f"w{i}v{j}" for j in range(4500)) + " " + passage for i in range(40)]
+    rows = list(enumerate([*texts, texts[3] + " more", texts[3] + " and more"]))
+    found = near_sets(spark.createDataFrame(rows, "doc_id long, text string"), "doc_id", words=3, percent=80, leaf=leaf, levels=1).collect()
+    assert {r["doc_id"]: r["component_id"] for r in found} == {i: 3 if i >= 40 else i for i in range(42)}
+    assert sum(sent) <= 3
+
+
 def test_forests_connect_what_all_pairs_connect():
     draw = np.random.default_rng(8)
     for size in (2, 30, 200):
